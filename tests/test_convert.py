@@ -22,7 +22,7 @@ PAGES = [
     ("fr",
      "{{Voir homonymes|A}}\nné le {{date|1|mai|2001}} [[Catégorie:X]][[Category:Y]]\n\n== Vie ==\n:* Nord\n"
      "{| class=w\n| a {{x}}\n|}\n<ref>r</ref>&amp;nbsp;&lt;b>fin\n\n\n\nbout <math>x</math>",
-     'né le 1er mai 2001 <a href="Category:Y">Category:Y</a><br/><br/><h2>Vie</h2>:* Nord\xa0<b>fin'
+     '<br/><br/>né le 1er mai 2001 <a href="Category:Y">Category:Y</a><br/><br/><h2>Vie</h2>:* Nord<br/><br/>\xa0<b>fin'
      "<br/><br/>bout \\(x\\)"),
 ]
 

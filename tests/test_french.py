@@ -175,3 +175,25 @@ def test_optional_rules(evaluate):
     ]
     for rule, text, expected in cases:
         assert evaluate(rule, [text]) == [expected]
+
+
+@pytest.mark.parametrize("group", GROUPS)
+def test_language_rules(evaluate, group):
+    """Template by template, as in the conversion."""
+    from wikiloom.config import standard_languages
+    from wikiloom.functions.convert import translate
+
+    french = standard_languages().choose("wikipedia", "fr")
+    pairs = GROUPS[group]
+    assert evaluate(lambda t: translate(t, french), [p[0] for p in pairs]) == [p[1] for p in pairs]
+
+
+def test_rules_inside_other_templates(evaluate):
+    from wikiloom.config import standard_languages
+    from wikiloom.functions.convert import translate
+
+    french = standard_languages().choose("wikipedia", "fr")
+    deep = "{{x|" * 12 + "{{1er mai}}" + "}}" * 12
+    texts = ["{{box|a={{date|2|mai|2001}}|{{s|III|e}}}} {{heure|8}} {{other}}", "{{open {{heure|8}}", deep]
+    assert evaluate(lambda t: translate(t, french), texts) == [
+        "{{box|a=2 mai 2001|IIIe siècle}} 8 h {{other}}", "{{open 8 h", deep.replace("{{1er mai}}", "1<sup>er</sup> mai")]

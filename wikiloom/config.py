@@ -66,11 +66,18 @@ class Options:
 
 @dataclass(frozen=True)
 class Language:
-    """A language plug-in: disallowed title prefixes and template rules."""
+    """A language plug-in: disallowed title prefixes and template rules.
+
+    ``trigger``: a pattern found in every text that the rules change. With it
+    the rules see one outermost template at a time, and only those that hold
+    the pattern. Without it they see the whole text, as rules made of Python
+    functions need.
+    """
 
     code: str
     namespaces: tuple[str, ...]
     rules: tuple[Rule, ...] = field(default=())
+    trigger: str | None = None
 
 
 ENGLISH = Language("en", ENGLISH_NAMESPACES)
@@ -100,6 +107,6 @@ class Languages:
 
 
 def standard_languages() -> Languages:
-    from wikiloom.functions.french import FRENCH_RULES
+    from wikiloom.functions.french import FRENCH_RULES, FRENCH_TRIGGER
 
-    return Languages(Language("fr", FRENCH_NAMESPACES, FRENCH_RULES))
+    return Languages(Language("fr", FRENCH_NAMESPACES, FRENCH_RULES, FRENCH_TRIGGER))

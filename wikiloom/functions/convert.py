@@ -7,12 +7,12 @@ from functools import reduce
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from wikiloom.config import Languages, Options, standard_languages
+from wikiloom.config import Language, Languages, Options, standard_languages
 from wikiloom.functions import links as L
 from wikiloom.functions import markup as M
-from wikiloom.functions.expr import Step, compose
+from wikiloom.functions.expr import Step, bind, compose, if_contains
 from wikiloom.functions.lines import compact_to_html
-from wikiloom.functions.nesting import drop_tables, drop_templates
+from wikiloom.functions.nesting import drop_tables, drop_templates, template_pattern
 
 
 def speaks(language_code: str, lang: Column, wikitype: Column, languages: Languages) -> Column:
@@ -20,6 +20,39 @@ def speaks(language_code: str, lang: Column, wikitype: Column, languages: Langua
     return (lang == language_code) & (wikitype == languages.wikitype)
 
 
+def _in_templates(text: Column, change: Step) -> Column:
+    """Apply ``change`` to each outermost template instead of the whole text.
+
+    Where braces do not balance, or nest deeper than the pattern reaches, the
+    whole text is changed, so the outcome does not depend on the short cut.
+    """
+    tokens = F.regexp_extract_all(text, F.lit(rf"{template_pattern()}|[^{{]++|\{{"), F.lit(0))
+
+    def is_template(x: Column) -> Column:
+        return x.startswith("{{")
+
+    def rewrite(parts: Column) -> Column:
+        rest = F.array_join(F.filter(parts, lambda x: ~is_template(x)), "")
+        changed = F.transform(parts, lambda x: F.when(is_template(x), change(x)).otherwise(x))
+        return F.when(F.contains(rest, F.lit("{{")), change(text)).otherwise(F.array_join(changed, ""))
+
+    return bind(tokens, rewrite)
+
+
+def translate(text: Column, language: Language) -> Column:
+    """All template rules of one language."""
+
+    def rules(t: Column) -> Column:
+        return reduce(lambda c, rule: rule(c), language.rules, t)
+
+    def triggered(t: Column) -> Column:
+        return F.when(F.rlike(t, F.lit(language.trigger)), rules(t)).otherwise(t)
+
+    if language.trigger is None:
+        return if_contains(text, "{{", rules)
+    return if_contains(text, "{{", lambda t: _in_templates(t, triggered))
+
+
 def apply_rules(text: Column, lang: Column, wikitype: Column | None = None,
                 languages: Languages | None = None) -> Column:
     """Template rules of the page's language; other languages pass untouched."""
@@ -28,8 +61,8 @@ def apply_rules(text: Column, lang: Column, wikitype: Column | None = None,
     result = text
     for language in languages.special():
         if language.rules:
-            spoken = speaks(language.code, lang, wikitype, languages) & F.contains(text, F.lit("{{"))
-            result = F.when(spoken, reduce(lambda c, rule: rule(c), language.rules, text)).otherwise(result)
+            spoken = speaks(language.code, lang, wikitype, languages)
+            result = F.when(spoken, translate(text, language)).otherwise(result)
     return result
 
 
@@ -59,15 +92,15 @@ def clean_steps(lang: Column, options: Options = Options(), languages: Languages
         L.drop_leftover_links,
         L.external_link_labels,
         L.drop_bracketed_word,
-        M.quotes,
-        M.unescape_once,
+        *M.QUOTE_STEPS,
         M.unescape_once,
+        M.unescape_once,  # again: dumps hold &amp;nbsp;
         M.drop_comments,
         lambda t: M.drop_self_closing(t, options.self_closing_tags),
         lambda t: M.unwrap_ignored_tags(t, options.ignored_tags),
         lambda t: M.drop_elements(t, options.discard_elements),
         lambda t: M.placeholders(t, options.placeholder_tags),
-        M.tidy,
+        *M.TIDY_STEPS,
     ]
 
 

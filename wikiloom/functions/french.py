@@ -282,8 +282,20 @@ FRENCH_RULES: tuple[Rule, ...] = (
 )
 
 
+# How the templates of the rules begin.
+FRENCH_TRIGGER = (
+    r"(?iu)\{\{(?:"
+    r"heure\||nobr\||tmp\||formatnum:|unit[^\n]\||nombre\||num\||nau\|"
+    r"|exp\||ind\||\d\}|e\}|1er|1re\}|2nd"
+    r"|numéro\}|n[°º]\}|-?sp-?\||-?s2?-?\||[^|}]+(?:si[^\n]cle|mill[^\n]naire)"
+    r"|lang|rouge\||bleu\||vert\||jaune\||orange\||gris\||marron\||rose\|"
+    r"|référence |date|qui\||lequel\||combien\||enquoi\||en quoi\||lesquels\||laquelle\|"
+    r"|lesquelles\||par qui\||parqui\||pour qui\||code\||citation|napoléon|japonais\|)"
+)
+
+
 def translate_fr(text: Column) -> Column:
-    """All rules in order."""
+    """All rules in order, over the whole text."""
     return if_contains(text, "{{", lambda t: reduce(lambda c, rule: rule(c), FRENCH_RULES, t))
 
 

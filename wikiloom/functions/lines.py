@@ -71,7 +71,8 @@ def is_table_residue(line: Column) -> Column:
 
 def is_irrelevant(line: Column) -> Column:
     in_parentheses = line.startswith("(") & line.endswith(")")
-    return in_parentheses | (F.translate(line, ".-", "") == "")
+    dots = (line.startswith(".") | line.startswith("-")) & F.rlike(line, F.lit("^[.-]+$"))
+    return in_parentheses | dots
 
 
 def drop_table_residue(parts: Column) -> Column:

@@ -39,10 +39,14 @@ def _mark_namespace_links(text: Column, namespaces: Iterable[str]) -> Column:
     return F.regexp_replace(text, namespace_link_pattern(namespaces), MARK)
 
 
+def _unmark(text: Column) -> Column:
+    return F.replace(text, F.lit(MARK), F.lit(""))
+
+
 def drop_namespace_links(text: Column, namespaces: Iterable[str]) -> Column:
     """Remove links into the given namespaces, with the letters that follow."""
     return if_contains(
-        text, "[[", lambda t: F.translate(_mark_namespace_links(t, namespaces), MARK, ""))
+        text, "[[", lambda t: _unmark(_mark_namespace_links(t, namespaces)))
 
 
 def links_to_anchors(text: Column, namespaces: Iterable[str] = (), keep_links: bool = True) -> Column:
@@ -58,7 +62,7 @@ def links_to_anchors(text: Column, namespaces: Iterable[str] = (), keep_links: b
         if not namespaces:
             return F.regexp_replace(t, _LINK_FORMS, replacement)
         marked = _mark_namespace_links(t, namespaces)
-        return F.translate(F.regexp_replace(marked, _LINK_FORMS, replacement), MARK, "")
+        return _unmark(F.regexp_replace(marked, _LINK_FORMS, replacement))
 
     return if_contains(text, "[[", rewrite)
 
@@ -69,13 +73,13 @@ def links_as_text(text: Column, namespaces: Iterable[str] = ()) -> Column:
 
 
 def drop_leftover_links(text: Column) -> Column:
-    return F.regexp_replace(text, _LEFTOVER, "")
+    return if_contains(text, "[[", lambda t: F.regexp_replace(t, _LEFTOVER, ""))
 
 
 def external_link_labels(text: Column) -> Column:
     """``[http://site label]`` to ``label``."""
-    return F.regexp_replace(text, _EXTERNAL, "$1")
+    return if_contains(text, "[", lambda t: F.regexp_replace(t, _EXTERNAL, "$1"))
 
 
 def drop_bracketed_word(text: Column) -> Column:
-    return F.regexp_replace(text, _BRACKETED_WORD, "")
+    return if_contains(text, "[", lambda t: F.regexp_replace(t, _BRACKETED_WORD, ""))

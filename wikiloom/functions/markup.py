@@ -3,14 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Iterable
-from functools import reduce
 from html.entities import name2codepoint
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from wikiloom.config import DISCARD_ELEMENTS, IGNORED_TAGS, PLACEHOLDER_TAGS, SELF_CLOSING_TAGS
-from wikiloom.functions.expr import bind, if_contains, rewrite_matches
+from wikiloom.functions.expr import MARK, bind, compose, if_contains, rewrite_matches
 
 # End of a tag name; \b is not ASCII-only on every Java version.
 _END = r"(?![A-Za-z0-9_])"
@@ -44,17 +43,26 @@ def leftover_quotes(text: Column) -> Column:
     return F.replace(F.replace(text, F.lit("'''"), F.lit("")), F.lit("''"), F.lit("&quot;"))
 
 
+# All quote rules in order, each only on texts that hold its quotes.
+QUOTE_STEPS = (
+    lambda text: if_contains(text, "'''''", bold_italic),
+    lambda text: if_contains(text, "'''", bold),
+    lambda text: if_contains(text, "''\"", italic_quote),
+    lambda text: if_contains(text, "''", italic),
+    lambda text: if_contains(text, '""', double_quotes),
+    leftover_quotes,
+)
+
+
 def quotes(text: Column) -> Column:
-    """All quote rules in order; texts without quotes pass untouched."""
-    marked = F.contains(text, F.lit("''")) | F.contains(text, F.lit('""'))
-    steps = (bold_italic, bold, italic_quote, italic, double_quotes, leftover_quotes)
-    return F.when(marked, reduce(lambda c, step: step(c), steps, text)).otherwise(text)
+    return compose(QUOTE_STEPS)(text)
 
 
 # --- entities --------------------------------------------------------------
 
-# The HTML 4 names, as one literal "name<2>character<1>name<2>character…".
-_ENTITY_TABLE = "\x01".join(f"{name}\x02{chr(code)}" for name, code in name2codepoint.items())
+# The HTML 4 names and their characters, split into two arrays that Spark folds once.
+_ENTITY_NAMES = MARK.join(name2codepoint)
+_ENTITY_CHARACTERS = MARK.join(map(chr, name2codepoint.values()))
 
 
 def _code_point(entity: Column) -> Column:
@@ -69,11 +77,11 @@ def _code_point(entity: Column) -> Column:
 def _character(entity: Column) -> Column:
     code = _code_point(entity)
     legal = (code <= "0010FFFF") & ~code.between("0000D800", "0000DFFF")
-    names = F.str_to_map(F.lit(_ENTITY_TABLE), F.lit("\x01"), F.lit("\x02"))
     name = F.substring(entity, F.lit(2), F.length(entity) - 2)
+    position = F.array_position(F.split(F.lit(_ENTITY_NAMES), MARK), name).cast("int")
     return F.coalesce(
         F.when(entity.startswith("&#"), F.when(legal, F.decode(F.unhex(code), "UTF-32")))
-        .otherwise(F.try_element_at(names, name)),
+        .otherwise(F.get(F.split(F.lit(_ENTITY_CHARACTERS), MARK), position - 1)),
         entity,
     )
 
@@ -99,13 +107,15 @@ def drop_comments(text: Column) -> Column:
 
 
 def drop_self_closing(text: Column, tags: Iterable[str] = SELF_CLOSING_TAGS) -> Column:
-    return F.regexp_replace(text, rf"(?i)<\s*{_names(tags)}{_END}[^/]*+/\s*>", "")
+    return if_contains(
+        text, "<", lambda t: F.regexp_replace(t, rf"(?i)<\s*{_names(tags)}{_END}[^/]*+/\s*>", ""))
 
 
 def unwrap_ignored_tags(text: Column, tags: Iterable[str] = IGNORED_TAGS) -> Column:
     """Remove opening and closing tags, keep what they enclose."""
     names = _names(tags)
-    return F.regexp_replace(text, rf"(?i)<\s*(?:{names}{_END}[^>]*+|/\s*{names})>", "")
+    return if_contains(
+        text, "<", lambda t: F.regexp_replace(t, rf"(?i)<\s*(?:{names}{_END}[^>]*+|/\s*{names})>", ""))
 
 
 def drop_elements(text: Column, tags: Iterable[str] = DISCARD_ELEMENTS) -> Column:
@@ -136,15 +146,17 @@ def placeholders(text: Column, tags: Iterable[tuple[str, str]] = PLACEHOLDER_TAG
 
     ``i`` is the position of the block's first copy in the page.
     """
-    for tag, word in tags:
-        blocks = F.regexp_extract_all(text, F.lit(code_pattern(tag)), F.lit(0))
+    def number(t: Column, tag: str, word: str) -> Column:
+        blocks = F.regexp_extract_all(t, F.lit(code_pattern(tag)), F.lit(0))
         numbered = F.transform(
             F.array_distinct(blocks),
-            lambda block: F.struct(block.alias("block"),
-                                   F.array_position(blocks, block).alias("number")))
-        text = F.aggregate(
-            numbered, text,
-            lambda t, x: F.replace(t, x["block"], F.concat(F.lit(word + "_"), x["number"].cast("string"))))
+            lambda block: F.struct(
+                block.alias("block"),
+                F.concat(F.lit(word + "_"), F.array_position(blocks, block).cast("string")).alias("label")))
+        return F.aggregate(numbered, t, lambda rest, x: F.replace(rest, x["block"], x["label"]))
+
+    for tag, word in tags:
+        text = bind(text, lambda t: if_contains(t, "<", lambda u: number(u, tag, word)))
     return text
 
 
@@ -155,15 +167,15 @@ def code_pattern(tag: str) -> str:
 # --- spaces and punctuation ------------------------------------------------
 
 def tabs_to_space(text: Column) -> Column:
-    return F.translate(text, "\t", " ")
+    return F.replace(text, F.lit("\t"), F.lit(" "))
 
 
 def collapse_spaces(text: Column) -> Column:
-    return F.regexp_replace(text, r" {2,}", " ")
+    return if_contains(text, "  ", lambda t: F.regexp_replace(t, r" {2,}", " "))
 
 
 def collapse_dots(text: Column) -> Column:
-    return F.regexp_replace(text, r"\.{4,}", "...")
+    return if_contains(text, "....", lambda t: F.regexp_replace(t, r"\.{4,}", "..."))
 
 
 def drop_punctuation_lines(text: Column) -> Column:
@@ -177,13 +189,16 @@ def fix_commas(text: Column) -> Column:
 
 def cap_breaks(text: Column) -> Column:
     """At most two ``<br/>`` in a row."""
-    return F.regexp_replace(text, r"(?:<br/>){3,}+", "<br/><br/>")
+    return if_contains(text, "<br/><br/><br/>", lambda t: F.regexp_replace(t, r"(?:<br/>){3,}+", "<br/><br/>"))
 
 
 def math_delimiters(text: Column) -> Column:
     return F.replace(F.replace(text, F.lit("<math>"), F.lit(r"\(")), F.lit("</math>"), F.lit(r"\)"))
 
 
+# Spaces, dots, punctuation lines and commas in order.
+TIDY_STEPS = (tabs_to_space, collapse_spaces, collapse_dots, drop_punctuation_lines, fix_commas)
+
+
 def tidy(text: Column) -> Column:
-    """Spaces, dots, punctuation lines and commas in order."""
-    return fix_commas(drop_punctuation_lines(collapse_dots(collapse_spaces(tabs_to_space(text)))))
+    return compose(TIDY_STEPS)(text)

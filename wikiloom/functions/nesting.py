@@ -44,12 +44,21 @@ TABLE = Delimiters(
 )
 
 
-def _block_pattern(d: Delimiters, depth: int) -> str:
+def _balanced(d: Delimiters, depth: int) -> str:
     block = f"{d.open_re}(?:{d.inside})*+{d.close_re}"
     for _ in range(depth - 1):
         block = f"{d.open_re}(?:{d.inside}|{block})*+{d.close_re}"
+    return block
+
+
+def template_pattern(depth: int = REGEX_DEPTH) -> str:
+    """One balanced template, with templates inside."""
+    return _balanced(TEMPLATE, depth)
+
+
+def _block_pattern(d: Delimiters, depth: int) -> str:
     # \G: blocks are taken one after the other, until one that does not close.
-    return f"\\G((?:{d.outside})*+){block}"
+    return f"\\G((?:{d.outside})*+){_balanced(d, depth)}"
 
 
 def _fold(text: Column, d: Delimiters) -> Column:
