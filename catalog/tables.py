@@ -1,2 +1,508 @@
-QUERIES = {}
-ORACLES = {}
+"""Sources, sinks, filters, joins, counts, side tables, search and streaming."""
+
+from __future__ import annotations
+
+from collections.abc import Callable
+from functools import cache
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from catalog.text import (ARTICLES_SQL, IS_HEADING, HEADING_TITLE, LEVEL, ROUTED, replaced, sql_anchors,
+                          sql_numbered, LEFTOVER)
+from catalog.views import (RICH_PAGES, SITE, WIKI_PAGES, quote, rich_pages, scratch, view, wiki_dump, wiki_pages)
+from wikiloom.functions.convert import apply_rules
+from wikiloom.operators import counts as A
+from wikiloom.operators import extract as D
+from wikiloom.operators import lookups as J
+from wikiloom.operators import routing as P
+from wikiloom.operators import search as X
+from wikiloom.plans.convert import (convert_articles, show_articles, stored_articles, stored_counts,
+                                    stored_redirects, write_wiki)
+from wikiloom.sinks import tables as K
+from wikiloom.sources import dump as S
+from wikiloom.sources.tables import page_directory, read_metadata, unique_metadata
+from wikiloom.streaming.ingest import ingest, ingested, run_metrics, stream_pages
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+ORACLES: dict[str, str] = {}
+
+
+def query(sql: str | None = None):
+    """Register a query under its function's name, with the SQL that checks it."""
+
+    def register(function):
+        QUERIES[function.__name__] = function
+        if sql is not None:
+            ORACLES[function.__name__] = sql
+        return function
+
+    return register
+
+
+def over(source: str, select: str, rest: str = "") -> str:
+    return f"WITH p AS ({source}) SELECT {select} FROM p {rest}"
+
+
+MAX_ARTICLES = 150
+PAGES = "page_id, title, redirect_to, lang, wikitext"
+REDIRECTS = "title AS title_from, redirect_to AS title_to"
+
+
+def _routed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return P.route_pages(wiki_pages(spark, sf_dir))
+
+
+def _articles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return P.article_pages(wiki_pages(spark, sf_dir))
+
+
+def _redirects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return P.redirects(wiki_pages(spark, sf_dir))
+
+
+# --- sources ---------------------------------------------------------------
+
+@query(over(WIKI_PAGES, PAGES))
+def s01_read_pages(spark, sf_dir):
+    pages = S.read_pages(spark, wiki_dump(spark, sf_dir))
+    return pages.withColumn("wikitext", F.coalesce("wikitext", F.lit(""))).select(*PAGES.split(", "))
+
+
+@query(SITE)
+def s02_siteinfo(spark, sf_dir):
+    return S.site_table(spark, wiki_dump(spark, sf_dir))
+
+
+def _packed(spark, sf_dir, codec):
+    """The dump once more, as compressed text files."""
+    path = scratch(spark, codec)
+    dump = spark.read.text(wiki_dump(spark, sf_dir), lineSep=S.PAGE_END).where(F.contains("value", F.lit("<page>")))
+    whole = F.concat("value", F.lit(S.PAGE_END))
+    dump.select("lang", whole.alias("value")).write.partitionBy("lang").option("compression", codec).text(path)
+    return S.read_pages(spark, path)
+
+
+@query(over(WIKI_PAGES, "page_id, title, redirect_to, lang"))
+def s03_read_dump_gz(spark, sf_dir):
+    return S.spread(_packed(spark, sf_dir, "gzip"), "page_id").select("page_id", "title", "redirect_to", "lang")
+
+
+@query(over(WIKI_PAGES, "page_id, title, redirect_to, lang"))
+def s03_read_dump_bz2(spark, sf_dir):
+    return _packed(spark, sf_dir, "bzip2").select("page_id", "title", "redirect_to", "lang")
+
+
+METADATA_SQL = (
+    f"WITH s AS ({SITE}) SELECT lang, unnest(['lang-code', 'lang-local', 'lang-english', 'version', 'source', "
+    "'author', 'type']) AS key, unnest([lang, concat('Local ', lang), concat('English ', lang), '2.5', base, "
+    "'tester', sitename]) AS value FROM s")
+LANGUAGES = ("SELECT DISTINCT upper(lang) AS code, concat('English ', lang) AS english, "
+             "concat('Local ', lang) AS local FROM documents")
+
+
+@cache
+def _metadata_paths(application: str, sf_dir: str) -> dict[str, str]:
+    """Metadata of the dump of each language, written as a table each."""
+    spark = SparkSession.active()
+    dump = wiki_dump(spark, sf_dir)
+    names = view(spark, sf_dir, LANGUAGES)
+    paths = {}
+    for code in sorted(row["code"].lower() for row in names.collect()):  # a handful of wikis
+        infos = S.read_siteinfo(spark, f"{dump}/lang={code}", names, author="tester")
+        paths[code] = scratch(spark, f"metadata-{code}")
+        K.write_metadata(spark, infos, paths[code])
+    return paths
+
+
+@query(METADATA_SQL)
+def s04_read_metadata(spark, sf_dir):
+    paths = _metadata_paths(spark.sparkContext.applicationId, sf_dir)
+    rows = [(code, key, value) for code, path in paths.items()
+            for key, value in read_metadata(spark, path).items() if key != "date"]
+    return spark.createDataFrame(rows, "lang string, key string, value string")
+
+
+@query(METADATA_SQL)
+def k03_write_metadata(spark, sf_dir):
+    paths = _metadata_paths(spark.sparkContext.applicationId, sf_dir)
+    tables = [unique_metadata(spark.read.parquet(path)).withColumn("lang", F.lit(code))
+              for code, path in paths.items()]
+    merged = tables[0]
+    for table in tables[1:]:
+        merged = merged.unionByName(table)
+    return merged.where(F.col("key") != "date").select("lang", "key", "value")
+
+
+@query(over(WIKI_PAGES, "page_id, title, CASE WHEN instr(title, ':') > 1 THEN split_part(title, ':', 1) ELSE '' END AS ns, "
+            "cast(length(wikitext) AS INTEGER) AS n_chars"))
+def s05_page_directory(spark, sf_dir):
+    return page_directory(wiki_pages(spark, sf_dir)).drop("input_file")
+
+
+# --- sinks -----------------------------------------------------------------
+
+@query(ARTICLES_SQL)
+def k01_write_articles(spark, sf_dir):
+    path = scratch(spark, "articles")
+    K.write_articles(convert_articles(wiki_pages(spark, sf_dir)), path)
+    return spark.read.parquet(path)
+
+
+@query(over(WIKI_PAGES, REDIRECTS, "WHERE redirect_to <> ''"))
+def k02_write_redirects(spark, sf_dir):
+    path = scratch(spark, "redirects")
+    K.write_redirects(_redirects(spark, sf_dir), path)
+    return spark.read.parquet(path)
+
+
+SHARDED = f"""
+WITH r AS ({ROUTED}),
+e AS (SELECT page_id, title, kind, sum(CASE WHEN kind = 'article' THEN 1 ELSE 0 END) OVER (ORDER BY page_id) AS seen,
+        sum(CASE WHEN kind = 'article' THEN 1 ELSE 0 END) OVER () AS total
+      FROM r WHERE kind <> 'dropped'),
+s AS (SELECT page_id, title, kind, cast(least(
+        (CASE WHEN kind = 'article' THEN seen - 1 ELSE seen END) // {MAX_ARTICLES},
+        greatest((total - 1) // {MAX_ARTICLES}, 0)) AS BIGINT) AS shard FROM e)
+"""
+
+
+@query(SHARDED + "SELECT page_id, title, kind, shard FROM s")
+def k04_write_sharded(spark, sf_dir):
+    path = scratch(spark, "shards")
+    K.write_sharded(A.shard_emitted(_routed(spark, sf_dir), MAX_ARTICLES), path)
+    return spark.read.parquet(path).select("page_id", "title", "kind", F.col("shard").cast("long").alias("shard"))
+
+
+@query(over(f"SELECT page_id, title FROM ({ROUTED}) AS r WHERE kind = 'article'",
+            "page_id, title, cast(ntile(2) OVER (ORDER BY page_id) AS BIGINT) AS part"))
+def k05_split_table(spark, sf_dir):
+    return A.split_table(_articles(spark, sf_dir).select("page_id", "title"))
+
+
+@query(over(f"SELECT page_id, title FROM ({ROUTED}) AS r WHERE kind = 'article'",
+            "page_id, title, cast(ntile(7) OVER (ORDER BY page_id) AS BIGINT) AS part"))
+def k05_split_table_7(spark, sf_dir):
+    return A.split_table(_articles(spark, sf_dir).select("page_id", "title"), 7)
+
+
+@query(over(WIKI_PAGES, "page_id, title, wikitext"))
+def k06_write_by_title(spark, sf_dir):
+    path = scratch(spark, "by-title")
+    K.write_by_title(wiki_pages(spark, sf_dir).select("page_id", "title", "wikitext"), path)
+    return spark.read.parquet(path)
+
+
+@query(ARTICLES_SQL)
+def k07_compressed_storage(spark, sf_dir):
+    path = scratch(spark, "wiki")
+    write_wiki(wiki_pages(spark, sf_dir), path)
+    return stored_articles(spark, path)
+
+
+TITLES = "Doc 1,Race:Doc 4,Doc 6,No such title"
+IN_TITLES = "title IN (" + ", ".join(quote(t) for t in TITLES.split(",")) + ")"
+
+
+@query(f"SELECT title, html AS body FROM ({ARTICLES_SQL}) AS a WHERE {IN_TITLES}")
+def k08_show_articles(spark, sf_dir):
+    return show_articles(_articles(spark, sf_dir), TITLES)
+
+
+@query(over(WIKI_PAGES, "title, wikitext AS body", f"WHERE {IN_TITLES}"))
+def k08_show_articles_original(spark, sf_dir):
+    return show_articles(wiki_pages(spark, sf_dir), TITLES, convert=False)
+
+
+# --- filters and predicates ------------------------------------------------
+
+@query(over(ROUTED, "page_id, title, kind"))
+def p01_route_pages(spark, sf_dir):
+    return _routed(spark, sf_dir).select("page_id", "title", "kind")
+
+
+@query(over(WIKI_PAGES, REDIRECTS, "WHERE redirect_to <> ''"))
+def p02_redirects(spark, sf_dir):
+    return _redirects(spark, sf_dir)
+
+
+@query(over(WIKI_PAGES, PAGES, "WHERE length(wikitext) > 0"))
+def p03_non_empty(spark, sf_dir):
+    return P.non_empty(wiki_pages(spark, sf_dir))
+
+
+@query(over(ROUTED, PAGES, "WHERE kind = 'article' OR NOT (instr(title, ':') > 1 AND lang <> 'fr' "
+            "AND split_part(title, ':', 1) = 'Category')"))
+def p04_allowed_title(spark, sf_dir):
+    return P.allowed_pages(wiki_pages(spark, sf_dir))
+
+
+@query(over(WIKI_PAGES, PAGES, "WHERE title = 'Doc 7' ORDER BY page_id LIMIT 1"))
+def p05_lookup_title(spark, sf_dir):
+    return P.lookup_title(wiki_pages(spark, sf_dir), "Doc 7")
+
+
+@query(over(WIKI_PAGES, PAGES, f"WHERE {IN_TITLES}"))
+def p06_select_titles(spark, sf_dir):
+    return P.select_titles(wiki_pages(spark, sf_dir), TITLES)
+
+
+@query(f"WITH p AS ({WIKI_PAGES}) SELECT t AS title FROM (SELECT unnest(string_split({quote(TITLES)}, ',')) AS t) AS w "
+       "WHERE t NOT IN (SELECT title FROM p)")
+def p06_missing_titles(spark, sf_dir):
+    return P.missing_titles(wiki_pages(spark, sf_dir), TITLES)
+
+
+@query(over(WIKI_PAGES, PAGES, "WHERE page_id = 12"))
+def p07_lookup_id(spark, sf_dir):
+    return P.lookup_id(wiki_pages(spark, sf_dir), 12)
+
+
+_TYPE = "CASE WHEN lang IN ('fr', 'en') THEN 'wikipedia' ELSE 'wiktionary' END"
+
+
+@query(over(WIKI_PAGES, "page_id, CASE WHEN lang = 'fr' THEN "
+            + replaced("wikitext", (r"\{\{date\|1\|", "{{date|1er|"), (r"\{\{date\|(\w+)\|(\w+)\|(\d+)\}\}", r"\1 \2 \3"))
+            + " ELSE wikitext END AS text"))
+def p08_rules_for(spark, sf_dir):
+    """French rules on the French wikipedia only."""
+    pages = wiki_pages(spark, sf_dir)
+    return pages.select("page_id", apply_rules(F.col("wikitext"), F.col("lang"), F.expr(_TYPE)).alias("text"))
+
+
+_BASE = "concat('https://', lang, CASE WHEN lang IN ('fr', 'en') THEN '.wikipedia' ELSE '.wiktionary' END, '.org/wiki/', title)"
+
+
+@query(over(WIKI_PAGES, "page_id, CASE WHEN lang IN ('fr', 'en') THEN 'wikipedia' END AS wikitype"))
+def p09_guess_wikitype(spark, sf_dir):
+    return wiki_pages(spark, sf_dir).select("page_id", P.guess_wikitype(F.expr(_BASE)).alias("wikitype"))
+
+
+@query(f"SELECT title, html FROM ({ARTICLES_SQL}) AS a")
+def p11_project(spark, sf_dir):
+    return convert_articles(wiki_pages(spark, sf_dir)).select("title", "html")
+
+
+# --- joins -----------------------------------------------------------------
+
+@query(over(WIKI_PAGES, "page_id, title, lang, concat('English ', lang) AS english, concat('Local ', lang) AS local"))
+def j01_with_language(spark, sf_dir):
+    names = view(spark, sf_dir, LANGUAGES)
+    return J.with_language(wiki_pages(spark, sf_dir).select("page_id", "title", "lang"), names)
+
+
+HOPS = 3
+
+
+def _sql_hops() -> str:
+    parts = [f"r AS (SELECT title AS title_from, redirect_to AS title_to FROM ({WIKI_PAGES}) AS w WHERE redirect_to <> '')",
+             f"a AS (SELECT title FROM ({ROUTED}) AS q WHERE kind = 'article')",
+             "h1 AS (SELECT title_from, title_to, title_to AS target, 1 AS hops FROM r)"]
+    for i in range(1, HOPS):
+        parts.append(f"h{i + 1} AS (SELECT h.title_from, h.title_to, coalesce(r.title_to, h.target) AS target, "
+                     f"CASE WHEN r.title_to IS NULL THEN hops ELSE hops + 1 END AS hops "
+                     f"FROM h{i} h LEFT JOIN r ON h.target = r.title_from)")
+    return (f"WITH {', '.join(parts)} SELECT title_from, title_to, target, hops, "
+            f"target IN (SELECT title FROM a) AS found FROM h{HOPS}")
+
+
+@query(_sql_hops())
+def j02_resolve_redirects(spark, sf_dir):
+    return J.resolve_redirects(_redirects(spark, sf_dir), _articles(spark, sf_dir), HOPS)
+
+
+LINK_SQL = r"\[\[([^\[\]|]*)(?:\|([^\[\]]*))?\]\](\w*)"
+
+
+def _sql_items(source: str, items: str) -> str:
+    return (f"SELECT page_id, i - 1 AS pos, l[i] AS item FROM (SELECT page_id, l, unnest(range(1, len(l) + 1)) AS i "
+            f"FROM (SELECT page_id, {items} AS l FROM ({source}) AS s) AS x) AS y")
+
+
+def _sql_links(source: str) -> str:
+    def group(n):
+        return f"regexp_extract(item, {quote(LINK_SQL)}, {n})"
+    label = f"CASE WHEN {group(2)} <> '' THEN {group(2)} ELSE {group(1)} END"
+    prefix = f"CASE WHEN instr({group(1)}, ':') > 1 THEN split_part({group(1)}, ':', 1) ELSE '' END"
+    items = _sql_items(source, f"regexp_extract_all(wikitext, {quote(LINK_SQL)})")
+    return (f"SELECT page_id, cast(pos AS INTEGER) AS pos, {group(1)} AS target, {label} AS label, {group(3)} AS trail, "
+            f"{prefix} AS namespace FROM ({items}) AS z")
+
+
+def _links(spark, sf_dir):
+    """Stored, since the joins read the links twice."""
+    path = scratch(spark, "links")
+    D.extract_links(wiki_pages(spark, sf_dir)).write.parquet(path)
+    return spark.read.parquet(path)
+
+
+ARTICLE_TITLES = f"(SELECT title FROM ({ROUTED}) AS q WHERE kind = 'article')"
+
+
+@query(f"WITH l AS ({_sql_links(WIKI_PAGES)}) SELECT *, target IN {ARTICLE_TITLES} AS exists FROM l")
+def j03_links_to_articles(spark, sf_dir):
+    return J.links_to_articles(_links(spark, sf_dir), _articles(spark, sf_dir))
+
+
+@query(f"WITH l AS ({_sql_links(WIKI_PAGES)}) SELECT target, count(*) AS n_links FROM l "
+       f"WHERE target NOT IN {ARTICLE_TITLES} GROUP BY target")
+def j03_missing_articles(spark, sf_dir):
+    return J.missing_articles(D.extract_links(wiki_pages(spark, sf_dir)), _articles(spark, sf_dir))
+
+
+# --- counts, ids, shards ---------------------------------------------------
+
+@query(over(WIKI_PAGES, "count(*) AS n"))
+def a01_count_rows(spark, sf_dir):
+    return A.count_rows(wiki_pages(spark, sf_dir))
+
+
+BY_KIND = over(ROUTED, "kind, count(*) AS n", "WHERE kind <> 'dropped' GROUP BY kind")
+
+
+@query(BY_KIND)
+def a02_count_by_kind(spark, sf_dir):
+    return A.count_by_kind(_routed(spark, sf_dir))
+
+
+@query(BY_KIND)
+def a03_reconcile(spark, sf_dir):
+    """Rows announced while reading, checked against the rows stored."""
+    path = scratch(spark, "reconciled")
+    announced = write_wiki(wiki_pages(spark, sf_dir), path)
+    return stored_counts(spark, path).where(
+        F.col("n") == F.when(F.col("kind") == P.ARTICLE, announced.articles).otherwise(announced.redirects))
+
+
+IDS = f"SELECT page_id, title, row_number() OVER (ORDER BY page_id) AS article_id FROM ({ROUTED}) AS r WHERE kind = 'article'"
+
+
+@query(IDS)
+def a04_assign_ids(spark, sf_dir):
+    return A.assign_ids(_articles(spark, sf_dir).select("page_id", "title"))
+
+
+@query(over(IDS, f"page_id, title, article_id, (article_id - 1) // {MAX_ARTICLES} AS shard, "
+            f"(article_id - 1) % {MAX_ARTICLES} + 1 AS shard_article_id"))
+def a05_shard_ids(spark, sf_dir):
+    return A.shard_ids(_articles(spark, sf_dir).select("page_id", "title"), MAX_ARTICLES)
+
+
+@query(SHARDED + "SELECT shard, count(*) FILTER (WHERE kind = 'article') AS articles, "
+       "count(*) FILTER (WHERE kind = 'redirect') AS redirects FROM s GROUP BY shard")
+def a06_shard_counts(spark, sf_dir):
+    return A.shard_counts(A.shard_emitted(_routed(spark, sf_dir), MAX_ARTICLES))
+
+
+@query("SELECT lower(trim(item)) AS name, count(*) AS n FROM ("
+       + _sql_items(WIKI_PAGES, r"regexp_extract_all(wikitext, '\{\{+([^{}|]*)', 1)") + ") AS z GROUP BY lower(trim(item))")
+def a07_template_census(spark, sf_dir):
+    return D.template_census(wiki_pages(spark, sf_dir))
+
+
+@query(f"WITH l AS ({_sql_links(RICH_PAGES)}) SELECT target, count(*) AS n_links FROM l GROUP BY target")
+def a08_link_counts(spark, sf_dir):
+    return A.link_counts(D.extract_links(rich_pages(spark, sf_dir)))
+
+
+# --- order -----------------------------------------------------------------
+
+@query(over(WIKI_PAGES, PAGES, "ORDER BY page_id LIMIT 1"))
+def o01_first_row(spark, sf_dir):
+    return wiki_pages(spark, sf_dir).orderBy("page_id").limit(1)
+
+
+@query(over(WIKI_PAGES, "page_id, title"))
+def o02_order_by_title(spark, sf_dir):
+    return wiki_pages(spark, sf_dir).select("page_id", "title").orderBy("title")
+
+
+# --- title search ----------------------------------------------------------
+
+INDEX_SQL = (f"SELECT DISTINCT unnest(regexp_extract_all(lower(title), '[a-z0-9]+')) AS token, article_id, title FROM ({IDS}) AS i")
+
+
+def _index(spark, sf_dir):
+    return X.title_index(A.assign_ids(_articles(spark, sf_dir).select("page_id", "title")))
+
+
+@query(INDEX_SQL)
+def x01_title_index(spark, sf_dir):
+    path = scratch(spark, "title-index")
+    K.write_title_index(_index(spark, sf_dir), path)
+    return spark.read.parquet(path).select("token", "article_id", "title")
+
+
+@query(f"WITH x AS ({INDEX_SQL}) SELECT article_id, title FROM x WHERE token = 'doc' OR token LIKE '1%' "
+       "GROUP BY article_id, title HAVING bool_or(token = 'doc') AND bool_or(token LIKE '1%')")
+def x02_search_titles(spark, sf_dir):
+    return X.search_titles(_index(spark, sf_dir), "Doc 1*")
+
+
+# --- side tables -----------------------------------------------------------
+
+@query(_sql_links(RICH_PAGES))
+def d01_extract_links(spark, sf_dir):
+    return D.extract_links(rich_pages(spark, sf_dir))
+
+
+_EXT = r"\[(\w[^ \n]*) ([^\]\n]*)\]"
+
+
+@query("SELECT page_id, cast(pos AS INTEGER) AS pos, regexp_extract(item, " + quote(_EXT) + ", 1) AS url, regexp_extract(item, "
+       + quote(_EXT) + ", 2) AS label FROM ("
+       + _sql_items(RICH_PAGES, f"regexp_extract_all({replaced(sql_anchors('wikitext'), LEFTOVER)}, {quote(_EXT)})") + ") AS z")
+def d02_extract_external_links(spark, sf_dir):
+    return D.extract_external_links(rich_pages(spark, sf_dir))
+
+
+@query(f"SELECT page_id, cast(pos AS INTEGER) AS pos, cast({LEVEL} AS INTEGER) AS level, {HEADING_TITLE} AS title "
+       f"FROM ({sql_numbered(RICH_PAGES)}) AS n WHERE {IS_HEADING}")
+def d03_extract_sections(spark, sf_dir):
+    return D.extract_sections(rich_pages(spark, sf_dir))
+
+
+@query("SELECT page_id, cast(pos AS INTEGER) AS pos, trim(split_part(item, '|', 1)) AS name, "
+       "array_to_string(string_split(item, '|')[2:], '|') AS args FROM ("
+       + _sql_items(WIKI_PAGES, r"regexp_extract_all(wikitext, '\{\{([^{}]*)\}\}', 1)") + ") AS z")
+def d04_extract_templates(spark, sf_dir):
+    return D.extract_templates(wiki_pages(spark, sf_dir)).withColumn("args", F.array_join("args", "|"))
+
+
+@query("SELECT page_id, cast(pos + 1 AS INTEGER) AS index, item AS body FROM ("
+       + _sql_items(RICH_PAGES, r"regexp_extract_all(wikitext, '(?is)<\s*code(?:\s*| [^>]+?)>.*?<\s*/\s*code\s*>')") + ") AS z")
+def d05_extract_code_blocks(spark, sf_dir):
+    return D.extract_code_blocks(rich_pages(spark, sf_dir))
+
+
+# --- streaming -------------------------------------------------------------
+
+@cache
+def _ingested(application: str, sf_dir: str):
+    """The dump ingested once as a stream: (where it is stored, metrics)."""
+    spark = SparkSession.active()
+    path = scratch(spark, "ingested")
+    query = ingest(stream_pages(spark, wiki_dump(spark, sf_dir), files_per_batch=40), path, scratch(spark, "offsets"))
+    query.awaitTermination()
+    return path, run_metrics(query)
+
+
+@query(ARTICLES_SQL)
+def g01_stream_articles(spark, sf_dir):
+    path, _ = _ingested(spark.sparkContext.applicationId, sf_dir)
+    return ingested(spark, path, P.ARTICLE)
+
+
+@query(over(WIKI_PAGES, REDIRECTS, "WHERE redirect_to <> ''"))
+def g01_stream_redirects(spark, sf_dir):
+    path, _ = _ingested(spark.sparkContext.applicationId, sf_dir)
+    return ingested(spark, path, P.REDIRECT)
+
+
+@query("SELECT cast(count(*) AS BIGINT) AS pages, count(*) FILTER (WHERE doc_id % 10 = 0) AS redirects FROM documents")
+def g02_run_metrics(spark, sf_dir):
+    """Counts observed by the batches of the stream."""
+    _, metrics = _ingested(spark.sparkContext.applicationId, sf_dir)
+    rows = [(m["batch"], m["pages"], m["redirects"]) for m in metrics if "pages" in m]
+    return spark.createDataFrame(rows, "batch long, pages long, redirects long").agg(
+        F.sum("pages").alias("pages"), F.sum("redirects").alias("redirects"))

@@ -28,13 +28,14 @@ def _in_templates(text: Column, change: Step) -> Column:
     """
     tokens = F.regexp_extract_all(text, F.lit(rf"{template_pattern()}|[^{{]++|\{{"), F.lit(0))
 
-    def is_template(x: Column) -> Column:
-        return x.startswith("{{")
+    def has_braces(x: Column) -> Column:
+        return F.contains(x, F.lit("{{"))
 
     def rewrite(parts: Column) -> Column:
-        rest = F.array_join(F.filter(parts, lambda x: ~is_template(x)), "")
-        changed = F.transform(parts, lambda x: F.when(is_template(x), change(x)).otherwise(x))
-        return F.when(F.contains(rest, F.lit("{{")), change(text)).otherwise(F.array_join(changed, ""))
+        rest = F.array_join(F.filter(parts, lambda x: ~has_braces(x)), "")
+        pieces = F.when(has_braces(rest), F.array(text)).otherwise(parts)
+        return F.array_join(
+            F.transform(pieces, lambda x: F.when(has_braces(x), change(x)).otherwise(x)), "")
 
     return bind(tokens, rewrite)
 

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import tempfile
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Keys with more than 1/HOT_SHARE of all rows are hot; there are fewer than
-# HOT_SHARE of them, whatever the data.
+# Keys with more than 1/HOT_SHARE of all rows, and more than HOT_ROWS of them,
+# are hot; there are fewer than HOT_SHARE of them, whatever the data.
 HOT_SHARE = 1000
+HOT_ROWS = 100_000
 
 
 def join_on_key(rows: DataFrame, keyed: DataFrame, key: str) -> DataFrame:
@@ -22,7 +25,8 @@ def join_on_key(rows: DataFrame, keyed: DataFrame, key: str) -> DataFrame:
     values = [c for c in keyed.columns if c != key]
     counts = rows.where(F.col(key).isNotNull()).groupBy(key).agg(F.count("*").alias("_n"))
     total = counts.agg(F.sum("_n").alias("_total"))
-    hot = counts.join(F.broadcast(total), F.col("_n") * HOT_SHARE > F.col("_total")).select(key)
+    is_hot = (F.col("_n") * HOT_SHARE > F.col("_total")) & (F.col("_n") > HOT_ROWS)
+    hot = counts.join(F.broadcast(total), is_hot).select(key)  # total is one row
     partners = keyed.join(F.broadcast(hot), key, "left_semi").select(
         key, *[F.col(v).alias(f"_hot_{v}") for v in values])
 
@@ -52,26 +56,34 @@ def with_language(pages: DataFrame, languages: DataFrame) -> DataFrame:
             .drop("_code", "_names"))
 
 
+def cut_lineage(df: DataFrame) -> DataFrame:
+    """Store ``df`` in the shared checkpoint folder and go on from there."""
+    context = df.sparkSession.sparkContext
+    if context.getCheckpointDir() is None:  # spark.checkpoint.dir is not set, as in tests
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="wikiloom-checkpoint-"))
+    return df.checkpoint()
+
+
 def resolve_redirects(redirects: DataFrame, articles: DataFrame, max_hops: int = 4) -> DataFrame:
     """Follow ``title_from -> title_to`` for at most ``max_hops`` redirects.
 
     Returns ``title_from, title_to, target, hops, found``: ``target`` is the
     last title reached and ``found`` whether it is an article. Loops stop at
-    the bound. Hops run over the distinct targets, not over all redirects.
+    the bound. Hops run over the distinct targets, not over all redirects; each
+    round is stored, since the next one reads it twice.
     """
-    step = redirects.groupBy(F.col("title_from").alias("target")).agg(
-        F.min("title_to").alias("_next"))
+    step = redirects.groupBy(F.col("title_from").alias("target")).agg(F.min("title_to").alias("_next"))
+    titles = articles.select(F.col("title").alias("target")).distinct().withColumn("_found", F.lit(True))
     goals = redirects.select("title_to").distinct().select(
         "title_to", F.col("title_to").alias("target"), F.lit(1).alias("hops"))
     for _ in range(max_hops - 1):
         moved = F.col("_next").isNotNull()
-        goals = join_on_key(goals, step, "target").select(
+        goals = cut_lineage(join_on_key(goals, step, "target").select(
             "title_to",
             F.when(moved, F.col("_next")).otherwise(F.col("target")).alias("target"),
-            (F.col("hops") + moved.cast("int")).alias("hops"))
-    titles = articles.select(F.col("title").alias("target")).distinct().withColumn("_found", F.lit(True))
-    goals = join_on_key(goals, titles, "target").select(
-        "title_to", "target", "hops", F.coalesce("_found", F.lit(False)).alias("found"))
+            (F.col("hops") + moved.cast("int")).alias("hops")))
+    goals = cut_lineage(join_on_key(goals, titles, "target").select(
+        "title_to", "target", "hops", F.coalesce("_found", F.lit(False)).alias("found")))
     return join_on_key(redirects.select("title_from", "title_to"), goals, "title_to").select(
         "title_from", "title_to", "target", "hops", "found")
 

@@ -55,6 +55,16 @@ def ingested(spark: SparkSession, path: str, kind: str) -> DataFrame:
     return rows.select("page_id", "title", "html")
 
 
+def _progress(progress) -> dict:
+    observed = progress.observedMetrics.get("pages")
+    return {
+        "batch": progress.batchId,
+        "records": progress.numInputRows,
+        "records_per_second": progress.processedRowsPerSecond,
+        **(observed.asDict() if observed is not None else {}),
+    }
+
+
 class RunMetrics(StreamingQueryListener):
     """Collects the counts of each batch: register with ``spark.streams.addListener``."""
 
@@ -65,13 +75,7 @@ class RunMetrics(StreamingQueryListener):
         pass
 
     def onQueryProgress(self, event) -> None:
-        observed = event.progress.observedMetrics.get("pages")
-        self.batches.append({
-            "batch": event.progress.batchId,
-            "records": event.progress.numInputRows,
-            "records_per_second": event.progress.processedRowsPerSecond,
-            **(observed.asDict() if observed is not None else {}),
-        })
+        self.batches.append(_progress(event.progress))
 
     def onQueryTerminated(self, event) -> None:
         pass
@@ -79,5 +83,4 @@ class RunMetrics(StreamingQueryListener):
 
 def run_metrics(query: StreamingQuery) -> list[dict]:
     """The same counts from a query's recent progress."""
-    return [{"batch": p.batchId, "records": p.numInputRows, "records_per_second": p.processedRowsPerSecond}
-            for p in query.recentProgress]
+    return [_progress(p) for p in query.recentProgress]
