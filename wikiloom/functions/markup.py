@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 from html.entities import name2codepoint
+from string import ascii_lowercase, ascii_uppercase
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -118,6 +119,15 @@ def unwrap_ignored_tags(text: Column, tags: Iterable[str] = IGNORED_TAGS) -> Col
         text, "<", lambda t: F.regexp_replace(t, rf"(?i)<\s*(?:{names}{_END}[^>]*+|/\s*{names})>", ""))
 
 
+def drop_tags(text: Column, self_closing: Iterable[str] = SELF_CLOSING_TAGS,
+              ignored: Iterable[str] = IGNORED_TAGS) -> Column:
+    """Comments, self-closing tags and ignored tags in one scan; what starts first wins."""
+    names = _names(ignored)
+    pattern = (rf"(?is)<!--.*?-->|<\s*(?:{_names(self_closing)}{_END}[^/]*+/\s*>"
+               rf"|{names}{_END}[^>]*+>|/\s*{names}>)")
+    return if_contains(text, "<", lambda t: F.regexp_replace(t, pattern, ""))
+
+
 def drop_elements(text: Column, tags: Iterable[str] = DISCARD_ELEMENTS) -> Column:
     """Remove elements with their content, tag by tag in the given order.
 
@@ -128,7 +138,8 @@ def drop_elements(text: Column, tags: Iterable[str] = DISCARD_ELEMENTS) -> Colum
 
     def remove(t: Column) -> Column:
         closed = F.transform(
-            F.regexp_extract_all(t, F.lit(rf"(?i)<\s*/\s*({'|'.join(tags)})>"), F.lit(1)), F.lower)
+            F.regexp_extract_all(t, F.lit(rf"(?i)<\s*/\s*({'|'.join(tags)})>"), F.lit(1)),
+            lambda name: F.translate(name, ascii_uppercase, ascii_lowercase))
         return F.aggregate(
             F.array_intersect(F.array(*map(F.lit, tags)), closed),
             t,
@@ -147,13 +158,12 @@ def placeholders(text: Column, tags: Iterable[tuple[str, str]] = PLACEHOLDER_TAG
     ``i`` is the position of the block's first copy in the page.
     """
     def number(t: Column, tag: str, word: str) -> Column:
-        blocks = F.regexp_extract_all(t, F.lit(code_pattern(tag)), F.lit(0))
-        numbered = F.transform(
-            F.array_distinct(blocks),
-            lambda block: F.struct(
-                block.alias("block"),
-                F.concat(F.lit(word + "_"), F.array_position(blocks, block).cast("string")).alias("label")))
-        return F.aggregate(numbered, t, lambda rest, x: F.replace(rest, x["block"], x["label"]))
+        return bind(
+            F.regexp_extract_all(t, F.lit(code_pattern(tag)), F.lit(0)),
+            lambda blocks: F.aggregate(
+                F.array_distinct(blocks), t,
+                lambda rest, block: F.replace(rest, block, F.concat(
+                    F.lit(word + "_"), F.array_position(blocks, block).cast("string")))))
 
     for tag, word in tags:
         text = bind(text, lambda t: if_contains(t, "<", lambda u: number(u, tag, word)))

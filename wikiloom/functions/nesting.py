@@ -67,11 +67,10 @@ def _fold(text: Column, d: Delimiters) -> Column:
     ``out`` is the kept text, ``held`` the text since the outermost open
     delimiter, which is kept only if that is never closed.
     """
-    tokens = F.regexp_extract_all(text, F.lit(d.tokens), F.lit(0))
-    chunks = F.transform(
-        F.sequence(F.lit(0), F.greatest((F.size(tokens) - 1) / FOLD_CHUNK, F.lit(0)).cast("int")),
-        lambda i: F.slice(tokens, i * FOLD_CHUNK + 1, F.lit(FOLD_CHUNK)),
-    )
+    def chunks(tokens):
+        last = F.greatest((F.size(tokens) - 1) / FOLD_CHUNK, F.lit(0)).cast("int")
+        return F.transform(F.sequence(F.lit(0), last),
+                           lambda i: F.slice(tokens, i * FOLD_CHUNK + 1, F.lit(FOLD_CHUNK)))
 
     def state(depth, out, held, closed):
         return F.struct(depth.alias("depth"), out.alias("out"), held.alias("held"),
@@ -101,7 +100,8 @@ def _fold(text: Column, d: Delimiters) -> Column:
         ))
 
     empty = state(F.lit(0), F.lit(""), F.lit(""), F.lit(False))
-    return F.aggregate(chunks, empty, chunk, lambda a: F.concat(a["out"], a["held"]))
+    tokens = F.regexp_extract_all(text, F.lit(d.tokens), F.lit(0))
+    return F.aggregate(bind(tokens, chunks), empty, chunk, lambda a: F.concat(a["out"], a["held"]))
 
 
 def _drop(text: Column, d: Delimiters, depth: int) -> Column:
