@@ -60,7 +60,7 @@ def main() -> None:
     n_articles = queries["p01_route_pages"](spark, SF_DIR).where(F.col("kind") == routing.ARTICLE).count()
 
     def dump_to_wiki() -> None:
-        write_wiki(dump.read_pages(spark, path), views.scratch(spark, "bench"))
+        write_wiki(dump.spread(dump.read_pages(spark, path), "page_id"), views.scratch(spark, "bench"))
 
     seconds = {"dump_to_wiki": timed(dump_to_wiki)}
     for name in HEADLINE:

@@ -41,7 +41,8 @@ def double_quotes(text: Column) -> Column:
 
 
 def leftover_quotes(text: Column) -> Column:
-    return F.replace(F.replace(text, F.lit("'''"), F.lit("")), F.lit("''"), F.lit("&quot;"))
+    return if_contains(text, "''", lambda t: F.replace(
+        F.replace(t, F.lit("'''"), F.lit("")), F.lit("''"), F.lit("&quot;")))
 
 
 # All quote rules in order, each only on texts that hold its quotes.
@@ -203,7 +204,8 @@ def cap_breaks(text: Column) -> Column:
 
 
 def math_delimiters(text: Column) -> Column:
-    return F.replace(F.replace(text, F.lit("<math>"), F.lit(r"\(")), F.lit("</math>"), F.lit(r"\)"))
+    return if_contains(text, "math>", lambda t: F.replace(
+        F.replace(t, F.lit("<math>"), F.lit(r"\(")), F.lit("</math>"), F.lit(r"\)")))
 
 
 # Spaces, dots, punctuation lines and commas in order.

@@ -58,7 +58,8 @@ def template_pattern(depth: int = REGEX_DEPTH) -> str:
 
 def _block_pattern(d: Delimiters, depth: int) -> str:
     # \G: blocks are taken one after the other, until one that does not close.
-    return f"\\G((?:{d.outside})*+){_balanced(d, depth)}"
+    # \z: the text after the last block counts as matched, so it is not searched.
+    return f"\\G((?:{d.outside})*+)(?:{_balanced(d, depth)}|\\z)"
 
 
 def _fold(text: Column, d: Delimiters) -> Column:
