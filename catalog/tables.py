@@ -278,6 +278,25 @@ def p09_guess_wikitype(spark, sf_dir):
     return wiki_pages(spark, sf_dir).select("page_id", P.guess_wikitype(F.expr(_BASE)).alias("wikitype"))
 
 
+_INFOS = ("SELECT source AS wiki, unnest(['lang-code', 'type', 'source']) AS key, "
+          "unnest([lang, CASE WHEN n_chars % 2 = 0 THEN '' ELSE 'wiki' END, CASE WHEN lang = 'en' THEN source END]) "
+          "AS value FROM documents")
+_KEYS = "unnest(['lang-code', 'lang-local', 'lang-english', 'type', 'source', 'author'])"
+
+
+@query(f"WITH m AS ({_INFOS}), k AS (SELECT DISTINCT wiki FROM m), r AS (SELECT wiki, {_KEYS} AS key FROM k) "
+       "SELECT wiki, key FROM r WHERE NOT EXISTS (SELECT 1 FROM m WHERE m.wiki = r.wiki AND m.key = r.key AND m.value <> '')")
+def p10_require_keys(spark, sf_dir):
+    """Required keys that each source's documents fail to give."""
+    infos = view(spark, sf_dir, "SELECT source, lang, n_chars FROM documents").select(
+        F.col("source").alias("wiki"),
+        F.explode(F.create_map(
+            F.lit("lang-code"), F.col("lang"),
+            F.lit("type"), F.when(F.col("n_chars") % 2 == 0, "").otherwise("wiki"),
+            F.lit("source"), F.when(F.col("lang") == "en", F.col("source")))).alias("key", "value"))
+    return P.missing_keys(infos, "wiki")
+
+
 @query(f"SELECT title, html FROM ({ARTICLES_SQL}) AS a")
 def p11_project(spark, sf_dir):
     return convert_articles(wiki_pages(spark, sf_dir)).select("title", "html")

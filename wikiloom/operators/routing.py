@@ -109,3 +109,13 @@ def require_keys(metadata: Mapping[str, str], keys: Sequence[str] = REQUIRED_MET
     missing = [key for key in keys if not metadata.get(key)]
     if missing:
         raise ValueError(f"required metadata missing: {', '.join(missing)}")
+
+
+def missing_keys(metadata: DataFrame, by: str, keys: Sequence[str] = REQUIRED_METADATA) -> DataFrame:
+    """``by, key`` for each wiki and required key without a value.
+
+    The same check over the metadata of many wikis in one table.
+    """
+    given = F.collect_set(F.when(F.col("key").isin(*keys) & (F.length("value") > 0), F.col("key")))
+    return (metadata.groupBy(by).agg(given.alias("given"))
+            .select(by, F.explode(F.array_except(F.array(*map(F.lit, keys)), "given")).alias("key")))

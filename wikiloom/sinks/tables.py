@@ -6,6 +6,7 @@ from collections.abc import Mapping
 from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from wikiloom.config import METADATA_VERSION
 from wikiloom.operators.routing import require_keys
@@ -72,12 +73,13 @@ def write_bucketed(df: DataFrame, table: str, buckets: int, key: str = "title",
 
 
 def write_title_index(index: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """Folders by the token's first character, sorted by token inside.
+    """Folders by the token's first letter or digit, sorted by token inside.
 
     The article id in the range key splits tokens that most titles share.
     """
-    from pyspark.sql import functions as F
-
-    first = index.withColumn("initial", F.left("token", F.lit(1)))
-    _write(first.repartitionByRange("initial", "token", "article_id").sortWithinPartitions("initial", "token"),
-           path, mode, "initial")
+    first = F.left("token", F.lit(1))
+    initial = F.when(F.rlike(first, F.lit("[0-9a-z]")), first).otherwise("other")
+    ordered = (index.withColumn("initial", initial)
+               .repartitionByRange("initial", "token", "article_id")
+               .sortWithinPartitions("initial", "token"))
+    _write(ordered, path, mode, "initial")
