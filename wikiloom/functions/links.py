@@ -23,9 +23,12 @@ _LINK_FORMS = (
 _AS_ANCHOR = '<a href="$1$4">$2$4$3$5</a>'
 _AS_TEXT = "$2$4$3$5"
 
-_LEFTOVER = r"\[\[[^\n]*?\]\]"
+# Each pattern first tries an opening that its line never closes. Nothing after
+# it on the line can close either, so the rest of the line is kept at one go.
+_LEFTOVER_BODY = r"\[\[(?:[^\]\n]++|\](?!\]))*+"
+_LEFTOVER = rf"({_LEFTOVER_BODY})(?=\n|\z)|{_LEFTOVER_BODY}\]\]"
 # "[", a word character, the rest up to the first space, then the label.
-_EXTERNAL = r"\[\w[^ \n]*+ ([^\]\n]*+)\]"
+_EXTERNAL = r"(\[\w[^ \n]*+(?: [^\]\n]*+)?+)(?=\n|\z)|\[\w[^ \n]*+ ([^\]\n]*+)\]"
 EXTERNAL_PARTS = r"\[(\w[^ \n]*+) ([^\]\n]*+)\]"
 _BRACKETED_WORD = r"\[\w+[&\]]*\]"
 
@@ -73,12 +76,12 @@ def links_as_text(text: Column, namespaces: Iterable[str] = ()) -> Column:
 
 
 def drop_leftover_links(text: Column) -> Column:
-    return if_contains(text, "[[", lambda t: F.regexp_replace(t, _LEFTOVER, ""))
+    return if_contains(text, "[[", lambda t: F.regexp_replace(t, _LEFTOVER, "$1"))
 
 
 def external_link_labels(text: Column) -> Column:
     """``[http://site label]`` to ``label``."""
-    return if_contains(text, "[", lambda t: F.regexp_replace(t, _EXTERNAL, "$1"))
+    return if_contains(text, "[", lambda t: F.regexp_replace(t, _EXTERNAL, "$1$2"))
 
 
 def drop_bracketed_word(text: Column) -> Column:

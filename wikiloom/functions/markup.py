@@ -129,6 +129,10 @@ def drop_tags(text: Column, self_closing: Iterable[str] = SELF_CLOSING_TAGS,
     return if_contains(text, "<", lambda t: F.regexp_replace(t, pattern, ""))
 
 
+# An element up to its closing tag; "@" stands for the name.
+_ELEMENT = rf"<\s*@{_END}[^>]*+>(?:[^<]++|<(?!\s*/\s*@>))*+"
+
+
 def drop_elements(text: Column, tags: Iterable[str] = DISCARD_ELEMENTS) -> Column:
     """Remove elements with their content, tag by tag in the given order.
 
@@ -144,12 +148,13 @@ def drop_elements(text: Column, tags: Iterable[str] = DISCARD_ELEMENTS) -> Colum
         return F.aggregate(
             F.array_intersect(F.array(*map(F.lit, tags)), closed),
             t,
-            lambda rest, tag: F.regexp_replace(
-                rest,
-                F.concat(F.lit(r"(?is)<\s*"), tag, F.lit(_END + r"[^>]*+>.*?<\s*/\s*"), tag, F.lit(">")),
-                F.lit("")),
+            lambda rest, tag: F.regexp_replace(rest, element(tag), F.lit("$1")),
         )
 
+    def element(tag: Column) -> Column:
+        # First an element that nothing closes: the text from there on stays.
+        return F.replace(F.lit(rf"(?is)({_ELEMENT})\z|{_ELEMENT}<\s*/\s*@>"), F.lit("@"), tag)
+
     return if_contains(text, "<", remove)
 
 
@@ -159,20 +164,32 @@ def placeholders(text: Column, tags: Iterable[tuple[str, str]] = PLACEHOLDER_TAG
     ``i`` is the position of the block's first copy in the page.
     """
     def number(t: Column, tag: str, word: str) -> Column:
-        return bind(
-            F.regexp_extract_all(t, F.lit(code_pattern(tag)), F.lit(0)),
-            lambda blocks: F.aggregate(
-                F.array_distinct(blocks), t,
-                lambda rest, block: F.replace(rest, block, F.concat(
-                    F.lit(word + "_"), F.array_position(blocks, block).cast("string")))))
+        pattern = code_pattern(tag)
+
+        def replaced(blocks: Column) -> Column:
+            def label(block: Column) -> Column:
+                return F.concat(F.lit(word + "_"), F.array_position(blocks, block).cast("string"))
+
+            # A block inside another one is replaced there too, so then one after the other.
+            apart = F.regexp_count(t, F.lit(_code_opening(tag))) == F.size(blocks)
+            return (F.when(F.size(blocks) == 0, t)
+                    .when(apart, rewrite_matches(t, pattern, "<", label))
+                    .otherwise(F.aggregate(F.array_distinct(blocks), t,
+                                           lambda rest, block: F.replace(rest, block, label(block)))))
+
+        return bind(F.regexp_extract_all(t, F.lit(pattern), F.lit(0)), replaced)
 
     for tag, word in tags:
         text = bind(text, lambda t: if_contains(t, "<", lambda u: number(u, tag, word)))
     return text
 
 
+def _code_opening(tag: str) -> str:
+    return rf"(?i)<\s*{tag}(?:\s*| [^>]+?)>"
+
+
 def code_pattern(tag: str) -> str:
-    return rf"(?is)<\s*{tag}(?:\s*| [^>]+?)>.*?<\s*/\s*{tag}\s*>"
+    return rf"(?is:<\s*{tag}(?:\s*| [^>]+?)>.*?<\s*/\s*{tag}\s*>)"
 
 
 # --- spaces and punctuation ------------------------------------------------
