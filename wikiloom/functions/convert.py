@@ -96,7 +96,9 @@ def clean_steps(lang: Column, options: Options = Options(), languages: Languages
         *M.QUOTE_STEPS,
         M.unescape_once,
         M.unescape_once,  # again: dumps hold &amp;nbsp;
-        lambda t: M.drop_tags(t, options.self_closing_tags, options.ignored_tags),
+        M.drop_comments,
+        lambda t: M.drop_self_closing(t, options.self_closing_tags),
+        lambda t: M.unwrap_ignored_tags(t, options.ignored_tags),
         lambda t: M.drop_elements(t, options.discard_elements),
         lambda t: M.placeholders(t, options.placeholder_tags),
         *M.TIDY_STEPS,
