@@ -28,7 +28,7 @@ _AS_TEXT = "$2$4$3$5"
 _LEFTOVER_BODY = r"\[\[(?:[^\]\n]++|\](?!\]))*+"
 _LEFTOVER = rf"({_LEFTOVER_BODY})(?=\n|\z)|{_LEFTOVER_BODY}\]\]"
 # "[", a word character, the rest up to the first space, then the label.
-_EXTERNAL = r"(\[\w[^ \n]*+(?: [^\]\n]*+)?+)(?=\n|\z)|\[\w[^ \n]*+ ([^\]\n]*+)\]"
+_EXTERNAL = r"(?=\[)(?:(\[\w[^ \n]*+(?: [^\]\n]*+)?+)(?=\n|\z)|\[\w[^ \n]*+ ([^\]\n]*+)\])"
 EXTERNAL_PARTS = r"\[(\w[^ \n]*+) ([^\]\n]*+)\]"
 _BRACKETED_WORD = r"\[\w+[&\]]*\]"
 

@@ -116,7 +116,7 @@ def drop_comments(text: Column) -> Column:
 def drop_self_closing(text: Column, tags: Iterable[str] = SELF_CLOSING_TAGS) -> Column:
     """The tag runs up to the next slash, which must end it."""
     body = rf"<\s*{_names(tags)}{_END}[^/]*+"
-    pattern = rf"(?i)({body}(?:/(?!\s*>)|\z))|{body}/\s*>"
+    pattern = rf"(?i)(?=<)(?:({body}(?:/(?!\s*>)|\z))|{body}/\s*>)"
     return if_contains(text, "<", lambda t: F.regexp_replace(t, pattern, "$1"))
 
 
@@ -124,7 +124,7 @@ def unwrap_ignored_tags(text: Column, tags: Iterable[str] = IGNORED_TAGS) -> Col
     """Remove opening and closing tags, keep what they enclose."""
     names = _names(tags)
     opening = rf"<\s*{names}{_END}[^>]*+"
-    pattern = rf"(?i)({opening})\z|{opening}>|<\s*/\s*{names}>"
+    pattern = rf"(?i)(?=<)(?:({opening})\z|{opening}>|<\s*/\s*{names}>)"
     return if_contains(text, "<", lambda t: F.regexp_replace(t, pattern, "$1"))
 
 
@@ -152,7 +152,7 @@ def drop_elements(text: Column, tags: Iterable[str] = DISCARD_ELEMENTS) -> Colum
 
     def element(tag: Column) -> Column:
         # First an element that nothing closes: the text from there on stays.
-        return F.replace(F.lit(rf"(?is)({_ELEMENT})\z|{_ELEMENT}<\s*/\s*@>"), F.lit("@"), tag)
+        return F.replace(F.lit(rf"(?is)(?=<)(?:({_ELEMENT})\z|{_ELEMENT}<\s*/\s*@>)"), F.lit("@"), tag)
 
     return if_contains(text, "<", remove)
 
