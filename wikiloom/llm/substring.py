@@ -8,7 +8,7 @@ window. So anchors at four of thirteen positions find every repeated window;
 those that occur once in the corpus rule out all the windows around them.
 
 Where an anchor repeats, it is extended: the windows of 20 words that contain
-it are hashed in full (128 bits) and the first place of each is looked up.
+it are hashed in full (96 bits) and the first place of each is looked up.
 """
 
 from __future__ import annotations
@@ -24,6 +24,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from wikiloom.shared import stored
+
 WINDOW = 20
 PERIOD, COVER = 13, (0, 1, 3, 9)
 ANCHOR = WINDOW - PERIOD + 1
@@ -32,6 +34,8 @@ IN_COVER = np.isin(np.arange(PERIOD), COVER)
 FACTORS = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
 #: Entries that a task looks at together, and rows of one Arrow batch handed on.
 POOL, ROWS = 1 << 19, 1 << 16
+#: Stands among the places of a document that is a copy of an earlier one.
+COPY = -1
 
 
 def word_hashes(words: list[bytes]) -> np.ndarray:
@@ -90,7 +94,8 @@ def _anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     Of anchors that repeat inside a pool one is sent to their hash; all the
     others are marked as known and scattered, so a passage that most documents
-    share makes one row per pool there.
+    share makes one row per pool there. Rows keep the order of the documents,
+    which packs well.
     """
     def read(words: list[bytes], _) -> list[np.ndarray]:
         hashes = window_hashes(word_hashes(words), ANCHOR, FACTORS[0])
@@ -98,24 +103,40 @@ def _anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         return [hashes[at], at.astype(np.int32)]
 
     for batch, rows, (keys, places) in _pools(batches, read):
-        order = np.argsort(keys, kind="stable")
-        keys, rows, places = keys[order], pa.array(rows[order]), places[order]
-        again = np.r_[False, keys[1:] == keys[:-1]]
-        known = again | np.r_[again[1:], False]
-        yield from _sliced([pa.array(_spread(keys, again)), batch.column("doc_id").take(rows),
-                            batch.column("version").take(rows), pa.array(places), pa.array(known)],
+        version = batch.column("version").to_numpy()[rows]
+        order = np.lexsort((places, version, keys))
+        same = keys[order][1:] == keys[order][:-1]
+        copied = np.r_[False, same & (version[order][1:] == version[order][:-1]) & (places[order][1:] == places[order][:-1])]
+        again = np.r_[False, same]
+        group = np.cumsum(~again) - 1
+        differs = np.zeros(group[-1] + 1, bool)
+        differs[group[again & ~copied]] = True  # at another place or in another text
+        alone, known = np.empty(len(order), bool), np.empty(len(order), bool)
+        alone[order], known[order] = again, differs[group]
+        useful = ~alone | known
+        take = pa.array(rows[useful])
+        yield from _sliced([pa.array(_spread(keys, alone)[useful]), batch.column("doc_id").take(take),
+                            batch.column("version").take(take), pa.array(places[useful]), pa.array(known[useful])],
                            ["key", "doc_id", "version", "place", "known"])
 
 
 def repeated_anchors(docs: DataFrame) -> DataFrame:
-    """``doc_id, version, places``: the anchors of each document that occur twice or more."""
+    """``doc_id, version, place``: the anchors that occur at another place or in another text too."""
     schema = T.StructType([T.StructField("key", T.LongType()), docs.schema["doc_id"], docs.schema["version"],
                            T.StructField("place", T.IntegerType()), T.StructField("known", T.BooleanType())])
     same = Window.partitionBy("key")
-    rows = docs.mapInArrow(_anchors, schema).withColumn("times", F.count("*").over(same)).withColumn(
-        "any_known", F.max("known").over(same))
-    return (rows.where("times > 1 or any_known").groupBy("doc_id", "version")
-            .agg(F.collect_list("place").alias("places")))
+    found = F.struct("version", "place")
+    rows = docs.mapInArrow(_anchors, schema).withColumn("differ", F.min(found).over(same) != F.max(found).over(same))
+    return rows.withColumn("any_known", F.max("known").over(same)).where("differ or any_known").select(
+        "doc_id", "version", "place")
+
+
+def later_copies(docs: DataFrame) -> DataFrame:
+    """``doc_id, version`` of the rows whose whole text a row with a smaller id has."""
+    rows = docs.select("doc_id", "version", F.xxhash64("text").alias("whole"))
+    classes = rows.groupBy("whole", "version").agg(F.min(F.struct("doc_id")).alias("first"), F.count("*").alias("n"))
+    return rows.join(classes.where("n > 1"), ["whole", "version"]).where(F.struct("doc_id") > F.col("first")).select(
+        "doc_id", "version")
 
 
 def _windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -128,21 +149,24 @@ def _windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         n = len(words) - WINDOW + 1
         if n < 1 or not places.is_valid:
             return None
+        anchors = places.values.to_numpy()
+        if (anchors == COPY).any():
+            return None
         # A window holds an anchor if it starts at most 12 words before it.
-        low = np.maximum(places.values.to_numpy() - (WINDOW - ANCHOR), 0)
-        at = np.nonzero(covered(low, len(words), WINDOW - ANCHOR + 1)[:n])[0]
+        at = np.nonzero(covered(np.maximum(anchors - (WINDOW - ANCHOR), 0), len(words), WINDOW - ANCHOR + 1)[:n])[0]
         hashed = word_hashes(words)
-        return [*(window_hashes(hashed, WINDOW, f)[at] for f in FACTORS), at.astype(np.int32)]
+        h1, h2 = (window_hashes(hashed, WINDOW, f)[at] for f in FACTORS)
+        return [h1, h2.view(np.int64).astype(np.int32), at.astype(np.int32)]
 
     for batch, rows, (h1, h2, starts) in _pools(batches, read):
         age = pc.rank(batch.column("doc_id"), null_placement="at_start", tiebreaker="min").to_numpy()[rows]
         order = np.lexsort((starts, age, h2, h1))
-        h1, h2, starts, rows, age = h1[order], h2[order], starts[order], rows[order], age[order]
-        new = np.r_[True, (h1[1:] != h1[:-1]) | (h2[1:] != h2[:-1])]
-        first = np.nonzero(new)[0][np.cumsum(new) - 1]
+        new = np.r_[True, (h1[order][1:] != h1[order][:-1]) | (h2[order][1:] != h2[order][:-1])]
+        first = np.empty(len(order), np.int64)
+        first[order] = order[np.nonzero(new)[0][np.cumsum(new) - 1]]
         later = (age > age[first]) | (starts > starts[first])
         take = pa.array(rows)
-        yield from _sliced([pa.array(_spread(h1, later)), pa.array(h2.view(np.int64)), batch.column("doc_id").take(take),
+        yield from _sliced([pa.array(_spread(h1, later)), pa.array(h2), batch.column("doc_id").take(take),
                             batch.column("version").take(take), pa.array(starts), pa.array(later)],
                            ["h1", "h2", "doc_id", "version", "start", "later"])
 
@@ -154,7 +178,9 @@ def _kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             words = (text.as_py() or b"").split()
             n_words.append(len(words))
             if starts.is_valid:
-                gone = covered(np.unique(starts.values.to_numpy()), len(words))
+                at = np.unique(starts.values.to_numpy())
+                at = np.arange(max(len(words) - WINDOW + 1, 0)) if at[0] == COPY else at
+                gone = covered(at, len(words))
                 words = [w for w, g in zip(words, gone) if not g]
             n_removed.append(n_words[-1] - len(words))
             kept.append(b" ".join(words))
@@ -174,23 +200,27 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     null ``doc_id`` comes before all others. A null text has no words. Only
     ``doc_id`` and ``text`` are read.
     """
-    docs = docs.select("doc_id", F.col("text").cast("string").alias("text")).withColumn("version", F.xxhash64("text"))
-    dealt = docs.repartition("doc_id")  # the text moves once; both joins read it
-    anchors = repeated_anchors(docs)
-    schema = T.StructType([T.StructField("h1", T.LongType()), T.StructField("h2", T.LongType()), docs.schema["doc_id"],
+    docs = docs.select("doc_id", F.col("text").cast("string").alias("text")).withColumn("version", F.hash("text"))
+    dealt = docs.withColumn("row", F.xxhash64("doc_id")).repartition("row", "version")  # the text moves once; both joins read it
+    copies = stored(later_copies(docs), "copies").withColumn("place", F.lit(COPY))
+    schema = T.StructType([T.StructField("h1", T.LongType()), T.StructField("h2", T.IntegerType()), docs.schema["doc_id"],
                            docs.schema["version"], T.StructField("start", T.IntegerType()),
                            T.StructField("later", T.BooleanType())])
-    windows = _with(dealt, anchors, "places").mapInArrow(_windows, schema)
+    windows = _with(dealt, repeated_anchors(docs).unionByName(copies), "place").mapInArrow(_windows, schema)
     first = Window.partitionBy("h1", "h2").orderBy("doc_id", "start")
     later = (windows.withColumn("rank", F.rank().over(first)).where("later or rank > 1")
-             .groupBy("doc_id", "version").agg(F.collect_set("start").alias("starts")))
+             .select("doc_id", "version", F.col("start").alias("place")))
     out = T.StructType([docs.schema["doc_id"], T.StructField("n_words", T.LongType()),
                         T.StructField("n_removed", T.LongType()), T.StructField("kept_sha256", T.StringType()),
                         T.StructField("kept", T.StringType())])
-    return _with(dealt, later, "starts").mapInArrow(_kept, out)
+    return _with(dealt, later.unionByName(copies), "place").withColumnRenamed("places", "starts").mapInArrow(_kept, out)
+
 
+def _with(dealt: DataFrame, places: DataFrame, name: str) -> DataFrame:
+    """The documents with the list of their places, null where there is none.
 
-def _with(docs: DataFrame, lists: DataFrame, name: str) -> DataFrame:
-    """The documents with their list, null where there is none."""
-    same = docs["doc_id"].eqNullSafe(lists["doc_id"]) & (docs["version"] == lists["version"])
-    return docs.join(lists, same, "left").select(docs["doc_id"], docs["version"], "text", name)
+    Rows are told apart by hashes of id and text, 96 bits, which unlike the id are never null.
+    """
+    lists = (places.select(F.xxhash64("doc_id").alias("row"), "version", name)
+             .groupBy("row", "version").agg(F.collect_list(name).alias("places")))
+    return dealt.join(lists, ["row", "version"], "left").select("doc_id", "version", "text", "places")
