@@ -20,7 +20,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -84,9 +84,13 @@ def _pools(batches: Iterator[pa.RecordBatch], read: Callable) -> Iterator[tuple[
 
 
 def _spread(keys: np.ndarray, alone: np.ndarray) -> np.ndarray:
-    """``keys``, with those of rows that need no partner replaced by scattered ones."""
-    scattered = keys + (np.arange(len(keys), dtype=np.uint64) + np.uint64(1)) * np.uint64(FACTORS[1])
-    return np.where(alone, scattered, keys).view(np.int64)
+    """``keys``, with those of rows that need no partner replaced by running numbers, which spread and pack well."""
+    return np.where(alone, np.arange(len(keys)).astype(np.uint64), keys).view(np.int64)
+
+
+def _marked(places: np.ndarray, mark: np.ndarray) -> pa.Array:
+    """Places with a mark in the lowest bit."""
+    return pa.array(places.astype(np.int64) * 2 + mark)
 
 
 def _anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -115,28 +119,23 @@ def _anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         alone[order], known[order] = again, differs[group]
         useful = ~alone | known
         take = pa.array(rows[useful])
-        yield from _sliced([pa.array(_spread(keys, alone)[useful]), batch.column("doc_id").take(take),
-                            batch.column("version").take(take), pa.array(places[useful]), pa.array(known[useful])],
-                           ["key", "doc_id", "version", "place", "known"])
+        yield from _sliced([pa.array(_spread(keys, alone)[useful]), batch.column("version").take(take),
+                            _marked(places[useful], known[useful])], ["key", "version", "place_known"])
 
 
 def repeated_anchors(docs: DataFrame) -> DataFrame:
-    """``doc_id, version, place``: the anchors that occur at another place or in another text too."""
-    schema = T.StructType([T.StructField("key", T.LongType()), docs.schema["doc_id"], docs.schema["version"],
-                           T.StructField("place", T.IntegerType()), T.StructField("known", T.BooleanType())])
+    """``version, place``: the anchors that occur at another place or in another text too."""
     same = Window.partitionBy("key")
-    found = F.struct("version", "place")
-    rows = docs.mapInArrow(_anchors, schema).withColumn("differ", F.min(found).over(same) != F.max(found).over(same))
-    return rows.withColumn("any_known", F.max("known").over(same)).where("differ or any_known").select(
-        "doc_id", "version", "place")
+    found = F.struct("version", F.shiftright("place_known", 1))
+    rows = (docs.mapInArrow(_anchors, "key long, version long, place_known long")
+            .withColumn("differ", F.min(found).over(same) != F.max(found).over(same))
+            .withColumn("known", F.max(F.col("place_known").bitwiseAND(F.lit(1))).over(same) == 1))
+    return rows.where("differ or known").select("version", F.shiftright("place_known", 1).cast("int").alias("place"))
 
 
-def later_copies(docs: DataFrame) -> DataFrame:
-    """``doc_id, version`` of the rows whose whole text a row with a smaller id has."""
-    rows = docs.select("doc_id", "version", F.xxhash64("text").alias("whole"))
-    classes = rows.groupBy("whole", "version").agg(F.min(F.struct("doc_id")).alias("first"), F.count("*").alias("n"))
-    return rows.join(classes.where("n > 1"), ["whole", "version"]).where(F.struct("doc_id") > F.col("first")).select(
-        "doc_id", "version")
+def text_classes(docs: DataFrame) -> DataFrame:
+    """``version, first, n``: the smallest id and the rows of each text."""
+    return docs.groupBy("version").agg(F.min(F.struct("doc_id")).alias("first"), F.count("*").alias("n"))
 
 
 def _windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -166,9 +165,9 @@ def _windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         first[order] = order[np.nonzero(new)[0][np.cumsum(new) - 1]]
         later = (age > age[first]) | (starts > starts[first])
         take = pa.array(rows)
-        yield from _sliced([pa.array(_spread(h1, later)), pa.array(h2), batch.column("doc_id").take(take),
-                            batch.column("version").take(take), pa.array(starts), pa.array(later)],
-                           ["h1", "h2", "doc_id", "version", "start", "later"])
+        yield from _sliced([pa.array(_spread(h1, later)), pa.array(np.where(later, 0, h2)), batch.column("doc_id").take(take),
+                            batch.column("short").take(take), _marked(starts, later)],
+                           ["h1", "h2", "doc_id", "short", "start_later"])
 
 
 def _kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -200,27 +199,33 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     null ``doc_id`` comes before all others. A null text has no words. Only
     ``doc_id`` and ``text`` are read.
     """
-    docs = docs.select("doc_id", F.col("text").cast("string").alias("text")).withColumn("version", F.hash("text"))
-    dealt = docs.withColumn("row", F.xxhash64("doc_id")).repartition("row", "version")  # the text moves once; both joins read it
-    copies = stored(later_copies(docs), "copies").withColumn("place", F.lit(COPY))
+    docs = docs.select("doc_id", F.col("text").cast("string").alias("text")).withColumn("version", F.xxhash64("text"))
+    dealt = (docs.select("doc_id", "text", *_keys(F.col("doc_id"))).repartition("row", "short"))  # the text moves once; both joins read it
+    narrow = docs.select("doc_id", "version")
+    classes = stored(text_classes(narrow), "texts")
+    copies = (narrow.join(classes.where("n > 1"), "version").where(F.struct("doc_id") > F.col("first"))
+              .select(*_keys(F.col("doc_id")), F.lit(COPY).alias("place")))
+    anchors = repeated_anchors(docs).groupBy("version").agg(F.collect_list("place").alias("places"))
+    first_rows = anchors.join(classes, "version").select(*_keys(F.col("first.doc_id")), F.explode("places").alias("place"))
     schema = T.StructType([T.StructField("h1", T.LongType()), T.StructField("h2", T.IntegerType()), docs.schema["doc_id"],
-                           docs.schema["version"], T.StructField("start", T.IntegerType()),
-                           T.StructField("later", T.BooleanType())])
-    windows = _with(dealt, repeated_anchors(docs).unionByName(copies), "place").mapInArrow(_windows, schema)
-    first = Window.partitionBy("h1", "h2").orderBy("doc_id", "start")
-    later = (windows.withColumn("rank", F.rank().over(first)).where("later or rank > 1")
-             .select("doc_id", "version", F.col("start").alias("place")))
+                           T.StructField("short", T.IntegerType()), T.StructField("start_later", T.LongType())])
+    windows = _with(dealt, first_rows.unionByName(copies)).mapInArrow(_windows, schema)
+    start = F.shiftright("start_later", 1)
+    first = Window.partitionBy("h1", "h2").orderBy("doc_id", start)
+    later = (windows.withColumn("rank", F.rank().over(first)).where("rank > 1 or start_later % 2 = 1")
+             .select(F.xxhash64("doc_id").alias("row"), "short", start.cast("int").alias("place")))
     out = T.StructType([docs.schema["doc_id"], T.StructField("n_words", T.LongType()),
                         T.StructField("n_removed", T.LongType()), T.StructField("kept_sha256", T.StringType()),
                         T.StructField("kept", T.StringType())])
-    return _with(dealt, later.unionByName(copies), "place").withColumnRenamed("places", "starts").mapInArrow(_kept, out)
+    return _with(dealt, later.unionByName(copies)).withColumnRenamed("places", "starts").mapInArrow(_kept, out)
 
 
-def _with(dealt: DataFrame, places: DataFrame, name: str) -> DataFrame:
-    """The documents with the list of their places, null where there is none.
+def _keys(doc_id: Column) -> list[Column]:
+    """Hashes of id and text, 96 bits together, which unlike the id are never null."""
+    return [F.xxhash64(doc_id).alias("row"), F.shiftright("version", 32).cast("int").alias("short")]
 
-    Rows are told apart by hashes of id and text, 96 bits, which unlike the id are never null.
-    """
-    lists = (places.select(F.xxhash64("doc_id").alias("row"), "version", name)
-             .groupBy("row", "version").agg(F.collect_list(name).alias("places")))
-    return dealt.join(lists, ["row", "version"], "left").select("doc_id", "version", "text", "places")
+
+def _with(dealt: DataFrame, places: DataFrame) -> DataFrame:
+    """The documents with the list of their places, null where there is none."""
+    lists = places.groupBy("row", "short").agg(F.collect_list("place").alias("places"))
+    return dealt.join(lists, ["row", "short"], "left").select("doc_id", "short", "text", "places")
