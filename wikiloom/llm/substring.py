@@ -93,44 +93,89 @@ def _marked(places: np.ndarray, mark: np.ndarray) -> pa.Array:
     return pa.array(places.astype(np.int64) * 2 + mark)
 
 
-def _anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Anchor rows.
-
-    Of anchors that repeat inside a pool one is sent to their hash; all the
-    others are marked as known and scattered, so a passage that most documents
-    share makes one row per pool there. Rows keep the order of the documents,
-    which packs well.
+def _anchors(buckets: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Anchors in parcels: a row per pool and bucket of hashes, with the columns packed as bytes.
+
+    Of anchors that repeat inside a pool one is sent to its bucket and marked as
+    known; the others go to any bucket with a running number for a hash, so a
+    passage that most documents share makes one anchor per pool there. Those of
+    equal texts at equal places tell nothing and are left out. 48 bits of a hash
+    and its bucket are enough, since an anchor only rules windows in.
     """
     def read(words: list[bytes], _) -> list[np.ndarray]:
         hashes = window_hashes(word_hashes(words), ANCHOR, FACTORS[0])
         at = np.nonzero(IN_COVER[np.arange(len(hashes)) % PERIOD])[0]
-        return [hashes[at], at.astype(np.int32)]
-
-    for batch, rows, (keys, places) in _pools(batches, read):
-        version = batch.column("version").to_numpy()[rows]
-        order = np.lexsort((places, version, keys))
-        same = keys[order][1:] == keys[order][:-1]
-        copied = np.r_[False, same & (version[order][1:] == version[order][:-1]) & (places[order][1:] == places[order][:-1])]
-        again = np.r_[False, same]
-        group = np.cumsum(~again) - 1
-        differs = np.zeros(group[-1] + 1, bool)
-        differs[group[again & ~copied]] = True  # at another place or in another text
-        alone, known = np.empty(len(order), bool), np.empty(len(order), bool)
-        alone[order], known[order] = again, differs[group]
-        useful = ~alone | known
-        take = pa.array(rows[useful])
-        yield from _sliced([pa.array(_spread(keys, alone)[useful]), batch.column("version").take(take),
-                            _marked(places[useful], known[useful])], ["key", "version", "place_known"])
+        return [hashes[at], at]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch, rows, (keys, places) in _pools(batches, read):
+            version = batch.column("version").to_numpy()[rows]
+            order = np.lexsort((places, version, keys))
+            same = keys[order][1:] == keys[order][:-1]
+            copied = np.r_[False, same & (version[order][1:] == version[order][:-1]) & (places[order][1:] == places[order][:-1])]
+            again = np.r_[False, same]
+            group = np.cumsum(~again) - 1
+            differs = np.zeros(group[-1] + 1, bool)
+            differs[group[again & ~copied]] = True  # at another place or in another text
+            alone, known = np.empty(len(order), bool), np.empty(len(order), bool)
+            alone[order], known[order] = again, differs[group]
+            useful = ~alone | known
+            number = np.arange(len(keys)).astype(np.uint64)
+            keys = np.where(alone, number, keys)[useful]
+            version, marked = version[useful], (places * 2 + known)[useful].astype(np.uint32)
+            bucket = (keys % np.uint64(buckets)).astype(np.int64)
+            keys //= np.uint64(buckets)
+            order = np.argsort(bucket, kind="stable")
+            edges = np.searchsorted(bucket[order], np.arange(buckets + 1))
+            for b in np.nonzero(np.diff(edges))[0]:
+                part = order[edges[b]:edges[b + 1]]
+                starts = np.nonzero(np.r_[True, version[part][1:] != version[part][:-1]])[0]
+                columns = [keys[part].astype(np.uint32), (keys[part] >> np.uint64(32)).astype(np.uint16),
+                           version[part][starts], np.diff(np.r_[starts, len(part)]).astype(np.uint32),
+                           marked[part].astype(np.uint16), (marked[part] >> np.uint32(16)).astype(np.uint16)]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([b], pa.int32()), *(pa.array([c.tobytes()], pa.binary()) for c in columns)], ["bucket", *PARCEL])
+
+    return run
+
+
+#: Columns of a parcel: halves of the hashes, runs of texts and their lengths, halves of the marked places.
+PARCEL = {"low": np.uint32, "high": np.uint16, "version": np.int64, "run": np.uint32, "place": np.uint16, "place_high": np.uint16}
+
+
+def _repeated(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The anchors of a partition's parcels whose hash is known to repeat, or does so here."""
+    parcels = [batch for batch in batches if batch.num_rows]
+    if not parcels:
+        return
+    table = pa.Table.from_batches(parcels)
+    column = {c: np.frombuffer(b"".join(x.as_py() for x in table[c]), t) for c, t in PARCEL.items()}
+    sizes = [len(x.as_py()) // 4 for x in table["low"]]
+    bucket = np.repeat(table["bucket"].to_numpy().astype(np.uint64), sizes)
+    keys = column["low"].astype(np.uint64) | (column["high"].astype(np.uint64) << np.uint64(32)) | (bucket << np.uint64(48))
+    version = np.repeat(column["version"], column["run"])
+    marked = column["place"].astype(np.int64) | (column["place_high"].astype(np.int64) << 16)
+    order = np.argsort(keys, kind="stable")
+    keys, version, marked = keys[order], version[order], marked[order]
+    starts = np.nonzero(np.r_[True, keys[1:] != keys[:-1]])[0]
+    group = np.repeat(np.arange(len(starts)), np.diff(np.r_[starts, len(keys)]))
+    place = marked >> 1
+    repeats = np.bitwise_or.reduceat(marked & 1, starts) > 0
+    for values in (version, place):
+        repeats |= np.minimum.reduceat(values, starts) != np.maximum.reduceat(values, starts)
+    found = repeats[group]
+    yield from _sliced([pa.array(version[found]), pa.array(place[found].astype(np.int32))], ["version", "place"])
 
 
 def repeated_anchors(docs: DataFrame) -> DataFrame:
-    """``version, place``: the anchors that occur at another place or in another text too."""
-    same = Window.partitionBy("key")
-    found = F.struct("version", F.shiftright("place_known", 1))
-    rows = (docs.mapInArrow(_anchors, "key long, version long, place_known long")
-            .withColumn("differ", F.min(found).over(same) != F.max(found).over(same))
-            .withColumn("known", F.max(F.col("place_known").bitwiseAND(F.lit(1))).over(same) == 1))
-    return rows.where("differ or known").select("version", F.shiftright("place_known", 1).cast("int").alias("place"))
+    """``version, place``: the anchors that occur at another place or in another text too.
+
+    There are as many buckets as shuffle partitions, at most 2 ** 16; a task
+    holds the anchors of its bucket, about 20 bytes each.
+    """
+    buckets = min(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), 1 << 16)
+    parcels = docs.mapInArrow(_anchors(buckets), "bucket int, " + ", ".join(f"{c} binary" for c in PARCEL))
+    return parcels.repartition(buckets, "bucket").mapInArrow(_repeated, "version long, place int")
 
 
 def text_classes(docs: DataFrame) -> DataFrame:
