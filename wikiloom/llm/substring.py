@@ -15,6 +15,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Callable, Iterator
+from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
@@ -144,15 +145,16 @@ PARCEL = {"low": np.uint32, "high": np.uint16, "version": np.int64, "run": np.ui
 
 
 def _repeated(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The anchors of a partition's parcels whose hash is known to repeat, or does so here."""
-    parcels = [batch for batch in batches if batch.num_rows]
-    if not parcels:
-        return
+    """The anchors whose hash is known to repeat or does so in its bucket; parcels come in order of their buckets."""
+    rows = (batch.slice(i, 1) for batch in batches for i in range(batch.num_rows))
+    for _, parcels in groupby(rows, key=lambda row: row.column("bucket")[0].as_py()):
+        yield from _repeated_in(list(parcels))
+
+
+def _repeated_in(parcels: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     table = pa.Table.from_batches(parcels)
     column = {c: np.frombuffer(b"".join(x.as_py() for x in table[c]), t) for c, t in PARCEL.items()}
-    sizes = [len(x.as_py()) // 4 for x in table["low"]]
-    bucket = np.repeat(table["bucket"].to_numpy().astype(np.uint64), sizes)
-    keys = column["low"].astype(np.uint64) | (column["high"].astype(np.uint64) << np.uint64(32)) | (bucket << np.uint64(48))
+    keys = column["low"].astype(np.uint64) | (column["high"].astype(np.uint64) << np.uint64(32))
     version = np.repeat(column["version"], column["run"])
     marked = column["place"].astype(np.int64) | (column["place_high"].astype(np.int64) << 16)
     order = np.argsort(keys, kind="stable")
@@ -175,7 +177,7 @@ def repeated_anchors(docs: DataFrame) -> DataFrame:
     """
     buckets = min(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), 1 << 16)
     parcels = docs.mapInArrow(_anchors(buckets), "bucket int, " + ", ".join(f"{c} binary" for c in PARCEL))
-    return parcels.repartition(buckets, "bucket").mapInArrow(_repeated, "version long, place int")
+    return parcels.repartition(buckets, "bucket").sortWithinPartitions("bucket").mapInArrow(_repeated, "version long, place int")
 
 
 def text_classes(docs: DataFrame) -> DataFrame:
