@@ -15,11 +15,12 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from wikiloom.shared import stored
+from wikiloom.shared import stored, unused
 
 ROW_BYTES = 8
 TOLERANCE = 0.001
@@ -101,7 +102,6 @@ def shard_bytes(docs: DataFrame, n_shards: int = 24, tolerance: float = TOLERANC
     (size 8, crc 0); null ids are allowed; repeated rows get a slot each. An empty table
     gives no rows.
     """
-    spark = docs.sparkSession
     text = F.col("text").cast("string")
     keyed = stored(docs.select(key_of(F.col("doc_id"), text).alias("key"), size_of(text).alias("size")), "keys")
     total = keyed.agg(F.coalesce(F.sum("size"), F.lit(0))).first()[0]
@@ -111,20 +111,18 @@ def shard_bytes(docs: DataFrame, n_shards: int = 24, tolerance: float = TOLERANC
     first = [0, *below]  # rows before each piece
     starts = [first[i // per_shard * per_shard] if i // per_shard * per_shard < len(first) else 0 for i in range(len(first))]
     table = [(i, i // per_shard, first[i] - starts[i]) for i in range(len(first))]
-    rows = docs.withColumns({"size": size_of(text), "text_crc32": F.crc32(F.coalesce(text, F.lit("")).cast("binary")),
-                             "_key": key_of(F.col("doc_id"), text)})
-    return _exchanged(spark, rows, keys, table)
+    rows = docs.withColumns({"size": size_of(text), "text_crc32": F.crc32(F.coalesce(text, F.lit("")).cast("binary"))})
+    return _exchanged(rows, key_of(F.col("doc_id"), text), keys, table)
 
 
-def _exchanged(spark: SparkSession, rows: DataFrame, keys: list[int], table: list[tuple[int, int, int]]) -> DataFrame:
+def _exchanged(rows: DataFrame, key: Column, keys: list[int], table: list[tuple[int, int, int]]) -> DataFrame:
     @F.pandas_udf("int")
-    def piece(key):
-        import pandas as pd
+    def piece(key: pd.Series) -> pd.Series:
         return pd.Series(np.searchsorted(np.array(keys, np.int64), key.to_numpy(), side="right").astype(np.int32))
 
-    pieces = F.broadcast(spark.createDataFrame(table, "_piece int, shard int, _before long"))  # MAX_PIECES rows at most
-    place = Window.partitionBy("_piece").orderBy("_key", "doc_id", "text_crc32")
-    return (rows.withColumn("_piece", piece("_key")).withColumn("_place", F.row_number().over(place) - 1)
-            .drop("shard").join(pieces, "_piece")
-            .withColumn("slot", F.col("_before") + F.col("_place"))
-            .drop("_key", "_piece", "_place", "_before"))
+    rows = rows.drop("shard", "slot")
+    k, p, n, b = (unused(rows, name) for name in ("_key", "_piece", "_place", "_before"))
+    pieces = F.broadcast(rows.sparkSession.createDataFrame(table, f"{p} int, shard int, {b} long"))  # MAX_PIECES rows at most
+    place = Window.partitionBy(p).orderBy(k, "doc_id", "text_crc32")
+    return (rows.withColumn(k, key).withColumn(p, piece(k)).withColumn(n, F.row_number().over(place) - 1)
+            .join(pieces, p).withColumn("slot", F.col(b) + F.col(n)).drop(k, p, n, b))

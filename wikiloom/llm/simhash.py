@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from wikiloom.llm.components import components
-from wikiloom.shared import stored
+from wikiloom.shared import stored, unused
 
 BITS, SEGMENTS = 64, 8
 MAX_DISTANCE = 3
@@ -170,9 +170,10 @@ def keep_one(docs: DataFrame) -> DataFrame:
     """
     judged = stored(near_duplicates(docs).select("doc_id", "version", (F.col("doc_id") != F.col("component_id")).alias("later")),
                     "near")
-    gone = judged.where("later").select(F.col("doc_id").alias("_id"), F.col("version").alias("_version")).distinct()
-    marked = docs.withColumn("_row_version", F.xxhash64(F.col("text").cast("string")))
-    kept = marked.join(gone, (F.col("doc_id") == F.col("_id")) & (F.col("_row_version") == F.col("_version")), "left_anti")
+    i, v, mine = (unused(docs, name) for name in ("_id", "_version", "_own_version"))
+    gone = judged.where("later").select(F.col("doc_id").alias(i), F.col("version").alias(v)).distinct()
+    marked = docs.withColumn(mine, F.xxhash64(F.col("text").cast("string")))
+    kept = marked.join(gone, (F.col("doc_id") == F.col(i)) & (F.col(mine) == F.col(v)), "left_anti")
     if judged.groupBy("doc_id", "version").count().where("count > 1").head(1):
-        kept = kept.dropDuplicates(["doc_id", "_row_version"])
-    return kept.drop("_row_version")
+        kept = kept.dropDuplicates(["doc_id", mine])
+    return kept.drop(mine)

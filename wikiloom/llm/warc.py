@@ -52,7 +52,7 @@ def record(kind: str, page_id, url: str | None, digest: str, payload: bytes, ref
     sha = base64.b32encode(bytes.fromhex(digest)).decode()
     lines = ["WARC/1.1", f"WARC-Type: {kind}", f"WARC-Record-ID: <urn:page:{'' if page_id is None else page_id}>", f"WARC-Date: {DATE}"]
     if url is not None:
-        lines.append("WARC-Target-URI: " + quote(url, safe="!#$%&'()*+,/:;=?@[]~"))
+        lines.append("WARC-Target-URI: " + quote(url, safe="!#$&'()*+,/:;=?@[]~"))
     lines.append(f"WARC-Payload-Digest: sha1:{sha}")
     if refers_to is not None:
         lines += ["WARC-Profile: http://netpreserve.org/warc/1.1/revisit/identical-payload-digest",
