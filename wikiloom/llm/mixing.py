@@ -27,7 +27,7 @@ WORD = r"[^\x20\x09-\x0D]+"
 WEIGHTS = (1, 2, 3)
 MAX_REPEATS = 3
 #: Documents of a group about.
-GROUP = 20_000
+GROUP = 4_000
 EPS = 1e-9
 #: Sources up to which their table is sent to all tasks.
 MANY = 10_000
