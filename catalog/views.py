@@ -2,12 +2,10 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from wikiloom.shared import new_path
 from wikiloom.sources.dump import spread, xml_text
 
 
@@ -87,10 +85,7 @@ def rich_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def scratch(spark: SparkSession, name: str) -> str:
     """A new folder below the one that the session names for shared data."""
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        base = tempfile.mkdtemp(prefix="wikiloom-")
-    return f"{base}/{name}-{uuid.uuid4().hex}"
+    return new_path(spark, name)
 
 
 SITE = ("SELECT DISTINCT lang, concat('Wiki ', lang) AS sitename, concat(lang, 'wiki') AS dbname, "

@@ -21,11 +21,11 @@ from wikiloom.streaming.ingest import RunMetrics, ingest, ingested, run_metrics,
 
 PAGE_SCHEMA = "page_id long, title string, redirect_to string, lang string, wikitext string"
 PAGES = [
-    (1, "Sigles en médecine", "Liste d'abréviations en médecine", "fr", "#REDIRECT"),
-    (2, "Aude (département)", None, "fr", "{{Voir homonymes|Aude}}\n'''Aude'''"),
+    (1, "Vieux fours", "Fours anciens", "fr", "#REDIRECT"),
+    (2, "Argile (roche)", None, "fr", "{{Voir|Argile}}\n'''Argile'''"),
     (3, "Modèle:X", None, "fr", "body"),
     (4, "Catégorie:Y", "Catégorie:Z", "fr", "#REDIRECT"),
-    (5, "Race:Chie", None, "fr", "osef "),
+    (5, "Race:Pot", None, "fr", "cuit "),
     (6, "Leer", None, "de", None),
     (7, "Empty", None, "en", ""),
     (8, ":odd", "", "en", "kept"),
@@ -36,10 +36,10 @@ KINDS = ["redirect", "article", "dropped", "redirect", "article", "dropped", "dr
 
 HEADER = """<mediawiki xmlns="http://www.mediawiki.org/xml/export-0.10/" version="0.10" xml:lang="fr">
   <siteinfo>
-    <sitename>Wikipédia</sitename>
-    <dbname>frwiki</dbname>
-    <base>https://fr.wikipedia.org/wiki/Wikip%C3%A9dia:Accueil_principal</base>
-    <generator>MediaWiki 1.29.0-wmf.18</generator>
+    <sitename>Kilnpedia</sitename>
+    <dbname>kilnwiki</dbname>
+    <base>https://kiln.test/wiki/Start</base>
+    <generator>MediaWiki 1.41</generator>
     <namespaces><namespace key="-2">Média</namespace></namespaces>
   </siteinfo>
 """
@@ -74,18 +74,18 @@ def test_route(pages):
     rows = P.route_pages(pages).orderBy("page_id").collect()
     assert [r.kind for r in rows] == KINDS
     assert {(r.title_from, r.title_to) for r in P.redirects(pages).collect()} == {
-        ("Sigles en médecine", "Liste d'abréviations en médecine"), ("Catégorie:Y", "Catégorie:Z")}
+        ("Vieux fours", "Fours anciens"), ("Catégorie:Y", "Catégorie:Z")}
     assert {r.kind: r.n for r in A.count_by_kind(P.route_pages(pages)).collect()} == {"article": 4, "redirect": 2}
 
 
 def test_lookups(pages):
     assert [r.page_id for r in P.lookup_title(pages, "Category:C").collect()] == [9]
     assert P.lookup_title(pages, "none").count() == 0
-    assert [r.title for r in P.lookup_id(pages, 5).collect()] == ["Race:Chie"]
-    assert {r.page_id for r in P.select_titles(pages, "Race:Chie,Nope,Category:C").collect()} == {5, 9, 10}
-    assert [r.title for r in P.missing_titles(pages, ["Race:Chie", "Nope"]).collect()] == ["Nope"]
-    assert show_articles(pages, "Race:Chie", convert=False).collect() == [("Race:Chie", "osef ")]
-    assert show_articles(pages, "Aude (département)").collect() == [("Aude (département)", "<br/><br/><b>Aude</b>")]
+    assert [r.title for r in P.lookup_id(pages, 5).collect()] == ["Race:Pot"]
+    assert {r.page_id for r in P.select_titles(pages, "Race:Pot,Nope,Category:C").collect()} == {5, 9, 10}
+    assert [r.title for r in P.missing_titles(pages, ["Race:Pot", "Nope"]).collect()] == ["Nope"]
+    assert show_articles(pages, "Race:Pot", convert=False).collect() == [("Race:Pot", "cuit ")]
+    assert show_articles(pages, "Argile (roche)").collect() == [("Argile (roche)", "<br/><br/><b>Argile</b>")]
 
 
 def test_metadata_keys(spark, tmp_path):
@@ -204,10 +204,10 @@ def test_dump(spark, tmp_path, languages):
         assert [(r.page_id, r.title, r.redirect_to, r.wikitext or None) for r in df.collect()] == expected
     info = S.read_siteinfo(spark, str(path), languages, author="me")
     assert info == {
-        "lang": "fr", "generator": "MediaWiki 1.29.0-wmf.18", "sitename": "Wikipédia", "dbname": "frwiki",
-        "base": "https://fr.wikipedia.org/wiki/Wikip%C3%A9dia:Accueil_principal", "lang-code": "fr",
-        "lang-local": "Français", "lang-english": "French", "type": "Wikipédia", "author": "me",
-        "source": "https://fr.wikipedia.org/wiki/Wikip%C3%A9dia:Accueil_principal"}
+        "lang": "fr", "generator": "MediaWiki 1.41", "sitename": "Kilnpedia", "dbname": "kilnwiki",
+        "base": "https://kiln.test/wiki/Start", "lang-code": "fr",
+        "lang-local": "Français", "lang-english": "French", "type": "Kilnpedia", "author": "me",
+        "source": "https://kiln.test/wiki/Start"}
     other = tmp_path / "other.xml"
     other.write_text("<html></html>")
     with pytest.raises(ValueError, match="not a MediaWiki dump"):
@@ -234,7 +234,7 @@ def test_write_wiki(spark, pages, tmp_path):
     counts = write_wiki(pages, str(tmp_path / "w"))
     assert counts == RunCounts(articles=4, redirects=2)
     assert {r.title for r in stored_articles(spark, str(tmp_path / "w")).collect()} == {
-        "Aude (département)", "Race:Chie", ":odd", "Category:C"}
+        "Argile (roche)", "Race:Pot", ":odd", "Category:C"}
     assert stored_redirects(spark, str(tmp_path / "w")).count() == 2
     with pytest.raises(CountMismatch):
         reconcile(counts, RunCounts(4, 1))
@@ -282,7 +282,7 @@ def test_stream(spark, tmp_path):
     finally:
         spark.streams.removeListener(listener)
     assert {r.title for r in ingested(spark, out, "article").collect()} == {
-        "Aude (département)", "Race:Chie", ":odd", "Category:C"}
+        "Argile (roche)", "Race:Pot", ":odd", "Category:C"}
     assert ingested(spark, out, "redirect").count() == 2
 
 
@@ -295,3 +295,29 @@ def test_conversion_needs_no_shuffle_and_no_python(spark, pages, tmp_path):
     plan = convert_articles(spark.read.parquet(str(tmp_path / "p")))._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in plan and "Python" not in plan and "ArrowEval" not in plan
 
+
+
+@pytest.mark.parametrize("fault", ["&bogus; <", "&#1;", "</text></revision></wrong>"])
+def test_broken_pages_are_not_lost(spark, tmp_path, fault):
+    good = dump_xml()
+    bad = page_xml(77, "Scherbe", None, "XXX").replace("XXX", fault)
+    (tmp_path / "dump.xml").write_text(good.replace("</mediawiki>", bad + "</mediawiki>"))
+    with pytest.raises(Exception, match="cannot be parsed"):
+        S.read_pages(spark, str(tmp_path), "fr").collect()
+    kept = S.read_pages(spark, str(tmp_path), "fr", on_broken="skip").collect()
+    assert sorted(r.page_id for r in kept) == [p[0] for p in PAGES]
+    assert [("Scherbe" in r.raw) for r in S.broken_pages(spark, str(tmp_path)).collect()] == [True]
+
+
+def test_dump_that_was_cut_off(spark, tmp_path):
+    whole = dump_xml()
+    (tmp_path / "dump.xml").write_text(whole[:whole.rindex("<revision>") + 20])
+    with pytest.raises(Exception, match="cannot be parsed"):
+        S.read_pages(spark, str(tmp_path), "fr").collect()
+
+
+def test_search_cuts_terms_as_titles(spark):
+    articles = spark.createDataFrame([(1, "Foo-Bar"), (2, "Foo Ton"), (3, "Tonne")], "article_id long, title string")
+    index = X.title_index(articles)
+    for query, ids in (("foo-bar", {1}), ("(foo)", {1, 2}), ("ton*", {2, 3}), ("foo ton*", {2})):
+        assert {r.article_id for r in X.search_titles(index, query).collect()} == ids

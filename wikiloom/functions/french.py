@@ -63,7 +63,7 @@ def formatnum(text: Column) -> Column:
     return rewrite_matches(text, _FORMATNUM, "{", number)
 
 
-_UNIT = r"(?iu:\{\{(?:unit[^\n]|nombre|num|nau)\|([^|{}]+(?:\|[^{}|]*)*)\}\})"
+_UNIT = r"(?iu:\{\{(?:unit[^\n]|nombre|num|nau)\|([^|{}]++(?:\|[^{}|]*+)*+)\}\})"
 
 
 def unit(text: Column) -> Column:
@@ -108,7 +108,7 @@ def unit(text: Column) -> Column:
 
 
 def hour(text: Column) -> Column:
-    return _rewrite(text, r"(?i:\{\{heure(?:\|\d\d?)+\}\})", [
+    return _rewrite(text, r"(?i:\{\{heure(?:\|\d\d?+)++\}\})", [
         (r"^..(?i:heure)\|(\d+)\}\}$", "$1 h"),
         (r"^..(?i:heure)\|(\d+)\|(\d+)\}\}$", "$1 h $2"),
         (r"^..(?i:heure)\|(\d+)\|(\d+)\|(\d+)\}\}$", "$1 h $2 min $3 s"),
@@ -158,14 +158,14 @@ def century(text: Column) -> Column:
     """Spelled-out centuries, ``{{s|III|e}}`` and ``{{s2|III|e|IX|e}}``."""
     name, one = r"([^|}]+)", r"\|([^|}]+)\|[eE]"
     spelled = r"[^|}]+(?i:si[^\n]cle|mill[^\n]naire)[^|}]*"
-    short = r"-?[sS]2?-?(?:\|[^|}]+\|[eE])+"
+    short = r"-?[sS]2?-?(?:\|[^|}]++\|[eE])++"
     return _rewrite(text, rf"\{{\{{(?:{spelled}|{short})\|?\}}\}}", [
         (rf"^\{{\{{-s2-?{one}{one}\|?\}}\}}$", f"$1e et $2e siècles{_BC} "),
         (rf"^\{{\{{s2-?{one}{one}\|?\}}\}}$", "$1e et $2e siècles"),
         # Any other number of centuries after s2 leaves the arguments.
-        (rf"^\{{\{{(-?s2-?(?:{one})+)\|?\}}\}}$", "$1"),
-        (rf"^\{{\{{-(?:[sS]|S2)-?{one}(?:{one})*\|?\}}\}}$", f"$1e siècle{_BC} "),
-        (rf"^\{{\{{(?:[sS]|S2)-?{one}(?:{one})*\|?\}}\}}$", "$1e siècle"),
+        (rf"^\{{\{{(-?s2-?(?:{one})++)\|?\}}\}}$", "$1"),
+        (rf"^\{{\{{-(?:[sS]|S2)-?{one}(?:{one})*+\|?\}}\}}$", f"$1e siècle{_BC} "),
+        (rf"^\{{\{{(?:[sS]|S2)-?{one}(?:{one})*+\|?\}}\}}$", "$1e siècle"),
         (rf"^\{{\{{{name}\|?\}}\}}$", "$1"),
     ])
 
@@ -200,7 +200,7 @@ def nobr(text: Column) -> Column:
         text, r"(?iu)\{\{nobr\|([^{]+|[^{]*\{\{[^}]+\}\}[^}]*)\}\}", '<span class="nowrap">$1</span>')
 
 
-_LANG = r"(?iu:\{\{(lang(?:ue)?(?:-[\p{L}\p{N}_]+)?(?:\|[^}|]+)+)\}\})"
+_LANG = r"(?iu:\{\{(lang(?:ue)?(?:-[\p{L}\p{N}_]+)?(?:\|[^}|]++)++)\}\})"
 
 
 def lang(text: Column) -> Column:

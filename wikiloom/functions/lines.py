@@ -71,7 +71,7 @@ def is_table_residue(line: Column) -> Column:
 
 def is_irrelevant(line: Column) -> Column:
     in_parentheses = line.startswith("(") & line.endswith(")")
-    dots = (line.startswith(".") | line.startswith("-")) & F.rlike(line, F.lit("^[.-]+$"))
+    dots = (line.startswith(".") | line.startswith("-")) & F.rlike(line, F.lit(r"^[.-]+\z"))
     return in_parentheses | dots
 
 

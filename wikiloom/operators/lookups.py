@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-import tempfile
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from wikiloom.shared import stored
+
 # Keys with more than 1/HOT_SHARE of all rows, and more than HOT_ROWS of them,
 # are hot; there are fewer than HOT_SHARE of them, whatever the data.
 HOT_SHARE = 1000
@@ -56,14 +56,6 @@ def with_language(pages: DataFrame, languages: DataFrame) -> DataFrame:
             .drop("_code", "_names"))
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Store ``df`` in the shared checkpoint folder and go on from there."""
-    context = df.sparkSession.sparkContext
-    if context.getCheckpointDir() is None:  # spark.checkpoint.dir is not set, as in tests
-        context.setCheckpointDir(tempfile.mkdtemp(prefix="wikiloom-checkpoint-"))
-    return df.checkpoint()
-
-
 def resolve_redirects(redirects: DataFrame, articles: DataFrame, max_hops: int = 4) -> DataFrame:
     """Follow ``title_from -> title_to`` for at most ``max_hops`` redirects.
 
@@ -78,12 +70,12 @@ def resolve_redirects(redirects: DataFrame, articles: DataFrame, max_hops: int =
         "title_to", F.col("title_to").alias("target"), F.lit(1).alias("hops"))
     for _ in range(max_hops - 1):
         moved = F.col("_next").isNotNull()
-        goals = cut_lineage(join_on_key(goals, step, "target").select(
+        goals = stored(join_on_key(goals, step, "target").select(
             "title_to",
             F.when(moved, F.col("_next")).otherwise(F.col("target")).alias("target"),
-            (F.col("hops") + moved.cast("int")).alias("hops")))
-    goals = cut_lineage(join_on_key(goals, titles, "target").select(
-        "title_to", "target", "hops", F.coalesce("_found", F.lit(False)).alias("found")))
+            (F.col("hops") + moved.cast("int")).alias("hops")), "hops")
+    goals = stored(join_on_key(goals, titles, "target").select(
+        "title_to", "target", "hops", F.coalesce("_found", F.lit(False)).alias("found")), "hops")
     return join_on_key(redirects.select("title_from", "title_to"), goals, "title_to").select(
         "title_from", "title_to", "target", "hops", "found")
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import string
 from collections.abc import Sequence
 
@@ -22,20 +23,39 @@ def title_index(articles: DataFrame) -> DataFrame:
     return articles.select(F.explode(title_tokens(F.col("title"))).alias("token"), "article_id", "title")
 
 
+def initial_name(first: str) -> str:
+    """The folder of a token by its first character."""
+    return first if first in string.ascii_lowercase + string.digits else "other"
+
+
+def query_tokens(query: str | Sequence[str]) -> list[str]:
+    """The tokens of the terms, cut as titles are; a star stays with a term's last one."""
+    lower, tokens = str.maketrans(string.ascii_uppercase, string.ascii_lowercase), []
+    for term in query.split() if isinstance(query, str) else query:
+        parts = [t for t in re.split(_SEPARATORS, term.translate(lower)) if t]
+        if parts and term.endswith("*"):
+            parts[-1] += "*"
+        tokens += parts
+    return list(dict.fromkeys(tokens))
+
+
 def search_titles(index: DataFrame, query: str | Sequence[str]) -> DataFrame:
-    """Articles whose titles hold all terms; ``term*`` is a prefix."""
-    terms = list(dict.fromkeys(query.split() if isinstance(query, str) else query))
+    """Articles whose titles hold all terms; ``term*`` is a prefix.
+
+    Terms are cut into tokens as titles are, so ``foo-bar`` and ``(foo)`` are
+    found. If the index has the ``initial`` of its tokens, as when it is stored
+    by it, only the folders of the terms are read.
+    """
+    terms = query_tokens(query)
     if not terms:
         raise ValueError("a search needs at least one term")
-    lower = str.maketrans(string.ascii_uppercase, string.ascii_lowercase)
 
     def matches(term: str) -> Column:
-        term = term.translate(lower)
-        if term.endswith("*"):
-            return F.col("token").startswith(term[:-1])
-        return F.col("token") == term
+        return F.col("token").startswith(term[:-1]) if term.endswith("*") else F.col("token") == term
 
     tests = [matches(term) for term in terms]
+    if "initial" in index.columns:
+        index = index.where(F.col("initial").isin(sorted({initial_name(term[0]) for term in terms})))
     hit = tests[0]
     for test in tests[1:]:
         hit = hit | test

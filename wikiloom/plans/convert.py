@@ -78,11 +78,13 @@ def reconcile(announced: RunCounts, written: RunCounts) -> None:
 
 
 def write_wiki(pages: DataFrame, path: str, options: Options = Options(),
-               languages: Languages | None = None, metadata: dict[str, str] | None = None) -> RunCounts:
+               languages: Languages | None = None, metadata: dict[str, str] | None = None,
+               overwrite: bool = False) -> RunCounts:
     """Convert and store a wiki in one pass over its pages.
 
     The pages are routed on the way in, where they are counted, and written
-    into one folder per kind. The counts must agree with what is stored.
+    into one folder per kind. The counts must agree with what is stored. A wiki
+    that is there already is replaced only if ``overwrite`` says so.
     """
     spark = pages.sparkSession
     seen = Observation()
@@ -90,7 +92,7 @@ def write_wiki(pages: DataFrame, path: str, options: Options = Options(),
         seen,
         F.count_if(F.col("kind") == ARTICLE).alias("articles"),
         F.count_if(F.col("kind") == REDIRECT).alias("redirects"))
-    (emitted_rows(routed, options, languages).write.mode("overwrite")
+    (emitted_rows(routed, options, languages).write.mode("overwrite" if overwrite else "errorifexists")
      .option("compression", COMPRESSION).option("maxRecordsPerFile", ROWS_PER_FILE)
      .partitionBy("kind").parquet(f"{path}/pages"))
     announced = RunCounts(seen.get["articles"], seen.get["redirects"])

@@ -6,45 +6,70 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 PAGE_END = "</page>"
+BROKEN = "_broken"
 PAGE_XML = (
     "title string, ns long, id long, redirect struct<_title:string>, "
-    "revision struct<id:long, text:struct<_VALUE:string>>"
+    f"revision struct<id:long, text:struct<_VALUE:string>>, {BROKEN} string"
 )
 SITE_XML = "sitename string, dbname string, base string, generator string"
 # Surrounding line breaks belong to the article.
-_XML_OPTIONS = {"ignoreSurroundingSpaces": "false"}
+_XML_OPTIONS = {"ignoreSurroundingSpaces": "false", "mode": "PERMISSIVE", "columnNameOfCorruptRecord": BROKEN}
 
 
-def parse_pages(records: DataFrame) -> DataFrame:
-    """Text records that end before ``</page>`` to one row per page.
-
-    Works on a batch and on a stream. An article cannot hold the tag itself,
-    since dumps escape ``<``. Further columns, such as those of a partitioned
-    folder, stay.
-    """
+def _parsed(records: DataFrame) -> tuple[DataFrame, list[str]]:
+    """``raw``, ``page`` and ``is_broken`` for every record with a page, beside further columns."""
     others = [c for c in records.columns if c != "value"]
     start = F.instr("value", "<page>")
     xml = F.concat(F.substring("value", start, F.length("value")), F.lit(PAGE_END))
-    page = F.from_xml(xml, PAGE_XML, {**_XML_OPTIONS, "rowTag": "page"})
-    return (records.where(start > 0).select(*others, page.alias("page"))
-            .select(*others, F.col("page.id").alias("page_id"),
-                    F.col("page.title").alias("title"),
-                    F.col("page.ns").alias("ns"),
-                    F.col("page.redirect._title").alias("redirect_to"),
-                    F.col("page.revision.id").alias("revision_id"),
-                    F.col("page.revision.text._VALUE").alias("wikitext")))
+    rows = records.where(start > 0).select(*others, xml.alias("raw"))
+    parsed = rows.withColumn("page", F.from_xml("raw", PAGE_XML, {**_XML_OPTIONS, "rowTag": "page"}))
+    broken = F.col("page").isNull() | F.col(f"page.{BROKEN}").isNotNull() | F.col("page.id").isNull() | F.col("page.title").isNull()
+    return parsed.withColumn("is_broken", broken), others
+
 
+def parse_pages(records: DataFrame, on_broken: str = "raise") -> DataFrame:
+    """Text records that end before ``</page>`` to one row per page.
 
-def read_pages(spark: SparkSession, path: str, lang: str | None = None) -> DataFrame:
+    Works on a batch and on a stream. An article cannot hold the tag itself,
+    since dumps escape ``<``. Further columns, such as those of a partitioned
+    folder, stay. A page that is no XML or has no id or title, such as the last
+    one of a dump that was cut off, raises an error; with ``on_broken="skip"``
+    it is left out here and found by ``broken_pages``.
+    """
+    if on_broken not in ("raise", "skip"):
+        raise ValueError(f"on_broken: {on_broken!r}")
+    parsed, others = _parsed(records)
+    page_id = F.col("page.id")
+    if on_broken == "skip":
+        parsed = parsed.where(~F.col("is_broken"))
+    else:
+        message = F.concat(F.lit("a page of the dump cannot be parsed: "), F.left("raw", F.lit(300)))
+        page_id = F.when(F.col("is_broken"), F.raise_error(message).cast("long")).otherwise(page_id)
+    return parsed.select(*others, page_id.alias("page_id"),
+                         F.col("page.title").alias("title"),
+                         F.col("page.ns").alias("ns"),
+                         F.col("page.redirect._title").alias("redirect_to"),
+                         F.col("page.revision.id").alias("revision_id"),
+                         F.when(page_id.isNotNull(), F.col("page.revision.text._VALUE")).alias("wikitext"))
+
+
+def read_pages(spark: SparkSession, path: str, lang: str | None = None, on_broken: str = "raise") -> DataFrame:
     """Pages of a dump file or of a folder of dumps, plain, ``.bz2`` or ``.gz``.
 
     Splitting the text at ``</page>`` lets many tasks share one file (plain or
     bz2; gz cannot be split, see ``spread``). ``lang`` becomes a column.
+    Broken pages: see ``parse_pages``.
     """
-    pages = parse_pages(spark.read.text(path, lineSep=PAGE_END))
+    pages = parse_pages(spark.read.text(path, lineSep=PAGE_END), on_broken)
     return pages.withColumn("lang", F.lit(lang)) if lang is not None else pages
 
 
+def broken_pages(spark: SparkSession, path: str) -> DataFrame:
+    """``raw``: the records of a dump that cannot be parsed, for a table of their own."""
+    parsed, others = _parsed(spark.read.text(path, lineSep=PAGE_END))
+    return parsed.where("is_broken").select(*others, "raw")
+
+
 def read_siteinfo(spark: SparkSession, path: str, languages: DataFrame | None = None,
                   author: str = "unknown") -> dict[str, str | None]:
     """Header of a dump with the values derived from it.
