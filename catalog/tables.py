@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from functools import cache
+from functools import cache, reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,8 +17,8 @@ from wikiloom.operators import extract as D
 from wikiloom.operators import lookups as J
 from wikiloom.operators import routing as P
 from wikiloom.operators import search as X
-from wikiloom.plans.convert import (convert_articles, show_articles, stored_articles, stored_counts,
-                                    stored_redirects, write_wiki)
+from wikiloom.plans.convert import (convert_articles, convert_dump, emitted_rows, show_articles, stored_articles,
+                                    stored_counts, stored_titles, write_wiki)
 from wikiloom.sinks import tables as K
 from wikiloom.sources import dump as S
 from wikiloom.sources.tables import page_directory, read_metadata, unique_metadata
@@ -83,14 +83,29 @@ def _packed(spark, sf_dir, codec):
     return S.read_pages(spark, path)
 
 
-@query(over(WIKI_PAGES, "page_id, title, redirect_to, lang"))
+def _with_text(pages):
+    return pages.withColumn("wikitext", F.coalesce("wikitext", F.lit(""))).select(*PAGES.split(", "))
+
+
+@query(over(WIKI_PAGES, PAGES))
 def s03_read_dump_gz(spark, sf_dir):
-    return S.spread(_packed(spark, sf_dir, "gzip"), "page_id").select("page_id", "title", "redirect_to", "lang")
+    return _with_text(S.spread(_packed(spark, sf_dir, "gzip"), "page_id"))
 
 
-@query(over(WIKI_PAGES, "page_id, title, redirect_to, lang"))
+@query(over(WIKI_PAGES, PAGES))
 def s03_read_dump_bz2(spark, sf_dir):
-    return _packed(spark, sf_dir, "bzip2").select("page_id", "title", "redirect_to", "lang")
+    return _with_text(_packed(spark, sf_dir, "bzip2"))
+
+
+@query("SELECT doc_id AS page_id FROM documents WHERE doc_id % 7 = 0")
+def s01_broken_pages(spark, sf_dir):
+    """A dump in which every seventh page holds an unknown entity: the records that cannot be parsed."""
+    path = scratch(spark, "broken")
+    value, page_id = F.col("value"), F.regexp_extract("value", r"<id>(\d+)</id>", 1).cast("long")
+    bad = F.replace(value, F.lit("</text>"), F.lit("&bogus; <</text>"))
+    records = spark.read.text(wiki_dump(spark, sf_dir), lineSep=S.PAGE_END).where(F.contains("value", F.lit("<page>")))
+    records.select(F.concat(F.when(page_id % 7 == 0, bad).otherwise(value), F.lit(S.PAGE_END)).alias("value")).write.text(path)
+    return S.broken_pages(spark, path).select(F.regexp_extract("raw", r"<id>(\d+)</id>", 1).cast("long").alias("page_id"))
 
 
 METADATA_SQL = (
@@ -167,23 +182,30 @@ s AS (SELECT page_id, title, kind, cast(least(
 """
 
 
-@query(SHARDED + "SELECT page_id, title, kind, shard FROM s")
+@query(SHARDED + f"SELECT s.page_id, s.title, s.kind, shard, html FROM s LEFT JOIN ({ARTICLES_SQL}) AS h ON s.page_id = h.page_id")
 def k04_write_sharded(spark, sf_dir):
     path = scratch(spark, "shards")
-    K.write_sharded(A.shard_emitted(_routed(spark, sf_dir), MAX_ARTICLES), path)
-    return spark.read.parquet(path).select("page_id", "title", "kind", F.col("shard").cast("long").alias("shard"))
+    K.write_sharded(A.shard_emitted(emitted_rows(wiki_pages(spark, sf_dir)), MAX_ARTICLES), path)
+    return spark.read.parquet(path).select("page_id", "title", "kind", F.col("shard").cast("long").alias("shard"), "html")
+
+
+def _split(spark, sf_dir, n):
+    """Written in parts and read back."""
+    path = scratch(spark, "parts")
+    K.write_sharded(A.split_table(_articles(spark, sf_dir).select("page_id", "title"), n), path, by="part")
+    return spark.read.parquet(path).withColumn("part", F.col("part").cast("long"))
 
 
 @query(over(f"SELECT page_id, title FROM ({ROUTED}) AS r WHERE kind = 'article'",
             "page_id, title, cast(ntile(2) OVER (ORDER BY page_id) AS BIGINT) AS part"))
 def k05_split_table(spark, sf_dir):
-    return A.split_table(_articles(spark, sf_dir).select("page_id", "title"))
+    return _split(spark, sf_dir, 2)
 
 
 @query(over(f"SELECT page_id, title FROM ({ROUTED}) AS r WHERE kind = 'article'",
             "page_id, title, cast(ntile(7) OVER (ORDER BY page_id) AS BIGINT) AS part"))
 def k05_split_table_7(spark, sf_dir):
-    return A.split_table(_articles(spark, sf_dir).select("page_id", "title"), 7)
+    return _split(spark, sf_dir, 7)
 
 
 @query(over(WIKI_PAGES, "page_id, title, wikitext"))
@@ -200,6 +222,20 @@ def k07_compressed_storage(spark, sf_dir):
     return stored_articles(spark, path)
 
 
+@query(f"SELECT lang, page_id, title, article_id, html FROM (SELECT lang, page_id, title, row_number() OVER "
+       f"(PARTITION BY lang ORDER BY page_id) AS article_id FROM ({ROUTED}) AS r WHERE kind = 'article') AS i "
+       f"JOIN ({ARTICLES_SQL}) AS h USING (page_id, title)")
+def k07_convert_dump(spark, sf_dir):
+    """The dump of each wiki, converted in one call and read back: titles with ids, and html."""
+    dump, path = wiki_dump(spark, sf_dir), scratch(spark, "wikis")
+    codes = [row["lang"] for row in S.site_table(spark, dump).select("lang").distinct().collect()]  # a handful of wikis
+    for code in codes:
+        convert_dump(spark, f"{dump}/lang={code}", f"{path}/{code}")
+    wikis = [stored_titles(spark, f"{path}/{code}").join(stored_articles(spark, f"{path}/{code}"), ["page_id", "title"])
+             .withColumn("lang", F.lit(code)) for code in codes]
+    return reduce(DataFrame.unionByName, wikis)
+
+
 TITLES = "Doc 1,Race:Doc 4,Doc 6,No such title"
 IN_TITLES = "title IN (" + ", ".join(quote(t) for t in TITLES.split(",")) + ")"
 
@@ -310,24 +346,23 @@ def j01_with_language(spark, sf_dir):
     return J.with_language(wiki_pages(spark, sf_dir).select("page_id", "title", "lang"), names)
 
 
-HOPS = 3
-
-
-def _sql_hops() -> str:
-    parts = [f"r AS (SELECT title AS title_from, redirect_to AS title_to FROM ({WIKI_PAGES}) AS w WHERE redirect_to <> '')",
-             f"a AS (SELECT title FROM ({ROUTED}) AS q WHERE kind = 'article')",
-             "h1 AS (SELECT title_from, title_to, title_to AS target, 1 AS hops FROM r)"]
-    for i in range(1, HOPS):
-        parts.append(f"h{i + 1} AS (SELECT h.title_from, h.title_to, coalesce(r.title_to, h.target) AS target, "
-                     f"CASE WHEN r.title_to IS NULL THEN hops ELSE hops + 1 END AS hops "
-                     f"FROM h{i} h LEFT JOIN r ON h.target = r.title_from)")
-    return (f"WITH {', '.join(parts)} SELECT title_from, title_to, target, hops, "
-            f"target IN (SELECT title FROM a) AS found FROM h{HOPS}")
+# Every chain ends: those of the pages, and a chain over all documents whose number is even.
+CHAINS = ("SELECT concat('Chain ', cast(doc_id AS string)) AS title_from, concat('Chain ', cast(CASE WHEN doc_id % 50 = 48 "
+          "THEN doc_id - 18 ELSE doc_id + 2 END AS string)) AS title_to FROM documents WHERE doc_id % 2 = 0 AND doc_id % 50 <> 28")
+_JUMPS = (f"r AS (SELECT {REDIRECTS} FROM ({WIKI_PAGES}) AS w WHERE redirect_to <> '' UNION ALL {CHAINS}), "
+          f"a AS (SELECT title FROM ({ROUTED}) AS q WHERE kind = 'article'), "
+          "h AS (SELECT title_from AS start, title_to AS first, title_to AS target, CAST(1 AS BIGINT) AS hops FROM r UNION ALL "
+          "SELECT start, first, r.title_to, hops + 1 FROM h JOIN r ON h.target = r.title_from WHERE hops < 60)")
 
 
-@query(_sql_hops())
+@query(f"WITH RECURSIVE {_JUMPS}, e AS (SELECT start, first, max(hops) AS hops FROM h GROUP BY start, first) "
+       "SELECT e.start AS title_from, e.first AS title_to, CASE WHEN e.hops < 60 THEN h.target END AS target, "
+       "CASE WHEN e.hops < 60 THEN e.hops ELSE -1 END AS hops, e.hops < 60 AND h.target IN (SELECT title FROM a) AS found, "
+       "e.hops >= 60 AS loops FROM e JOIN h ON e.start = h.start AND e.first = h.first AND e.hops = h.hops")
 def j02_resolve_redirects(spark, sf_dir):
-    return J.resolve_redirects(_redirects(spark, sf_dir), _articles(spark, sf_dir), HOPS)
+    """Chains of up to 23 redirects, and loops of ten."""
+    redirects = _redirects(spark, sf_dir).unionByName(view(spark, sf_dir, CHAINS))
+    return J.resolve_redirects(redirects, _articles(spark, sf_dir)).withColumn("hops", F.coalesce("hops", F.lit(-1).cast("long")))
 
 
 LINK_SQL = r"\[\[([^\[\]|]*)(?:\|([^\[\]]*))?\]\](\w*)"
@@ -401,6 +436,12 @@ def a04_assign_ids(spark, sf_dir):
     return A.assign_ids(_articles(spark, sf_dir).select("page_id", "title"))
 
 
+@query("SELECT doc_id * 9000000000000 AS page_id, row_number() OVER (ORDER BY doc_id) AS article_id FROM documents")
+def a04_sparse_ids(spark, sf_dir):
+    """Ids far apart, as hashed ones are."""
+    return A.assign_ids(view(spark, sf_dir, "SELECT doc_id * 9000000000000 AS page_id FROM documents"))
+
+
 @query(over(IDS, f"page_id, title, article_id, (article_id - 1) // {MAX_ARTICLES} AS shard, "
             f"(article_id - 1) % {MAX_ARTICLES} + 1 AS shard_article_id"))
 def a05_shard_ids(spark, sf_dir):
@@ -455,7 +496,10 @@ def x01_title_index(spark, sf_dir):
 @query(f"WITH x AS ({INDEX_SQL}) SELECT article_id, title FROM x WHERE token = 'doc' OR token LIKE '1%' "
        "GROUP BY article_id, title HAVING bool_or(token = 'doc') AND bool_or(token LIKE '1%')")
 def x02_search_titles(spark, sf_dir):
-    return X.search_titles(_index(spark, sf_dir), "Doc 1*")
+    """In the stored index; the terms are cut as titles are."""
+    path = scratch(spark, "title-index")
+    K.write_title_index(_index(spark, sf_dir), path)
+    return X.search_titles(spark.read.parquet(path), "(Doc) 1*")
 
 
 # --- side tables -----------------------------------------------------------
@@ -501,9 +545,11 @@ def _ingested(application: str, sf_dir: str):
     """The dump ingested once as a stream: (where it is stored, metrics)."""
     spark = SparkSession.active()
     path = scratch(spark, "ingested")
-    query = ingest(stream_pages(spark, wiki_dump(spark, sf_dir), files_per_batch=40), path, scratch(spark, "offsets"))
+    metrics = scratch(spark, "metrics")
+    query = ingest(stream_pages(spark, wiki_dump(spark, sf_dir), files_per_batch=40), path, scratch(spark, "offsets"),
+                   metrics=metrics)
     query.awaitTermination()
-    return path, run_metrics(query)
+    return path, metrics
 
 
 @query(ARTICLES_SQL)
@@ -520,8 +566,6 @@ def g01_stream_redirects(spark, sf_dir):
 
 @query("SELECT cast(count(*) AS BIGINT) AS pages, count(*) FILTER (WHERE doc_id % 10 = 0) AS redirects FROM documents")
 def g02_run_metrics(spark, sf_dir):
-    """Counts observed by the batches of the stream."""
+    """Counts stored by the batches of the stream."""
     _, metrics = _ingested(spark.sparkContext.applicationId, sf_dir)
-    rows = [(m["batch"], m["pages"], m["redirects"]) for m in metrics if "pages" in m]
-    return spark.createDataFrame(rows, "batch long, pages long, redirects long").agg(
-        F.sum("pages").alias("pages"), F.sum("redirects").alias("redirects"))
+    return run_metrics(spark, metrics).agg(F.sum("pages").alias("pages"), F.sum("redirects").alias("redirects"))

@@ -10,6 +10,7 @@ LANG = [
     ("{{langue|el|φούρνος}} et {{lang-pt|fornalha}}", "φούρνος et fornalha"), ("{{lang|el|texte=πηλός}}", "πηλός"),
     ("{{lang|el|dir=ltr|texte=πηλός}}", "πηλός"), ("{{lang|it|[[Forno|forni]]}}", "[[Forno|forni]]"),
     ("{{lang|it|dir=ltr|argilla}}", ""),
+    ("{{lang|it|x=1|Texte=a\nb}}", "a"), ("{{lang-it|[[F|f]]|b}}", "f]]|b"), ("{{lang|it|[[F]] [[g|h]]}}", "[[F]] [[g|h]]"), ("{{lang|it|[[g|]]}}", ""),
 ]
 MONTHS = ["mars", "août", "décembre", "février"]
 FIRST_OF_MONTH = [("{{1er %s}} clair" % m, "1<sup>er</sup> %s clair" % m) for m in MONTHS]
@@ -30,6 +31,9 @@ CENTURY = [
 UNIT = [
     ("{{Unité|98765}}", "98 765"), ("{{unité|98765,4}}", "98 765.4"), ("{{unité|6.02|e=23}}", "6.02×10<sup>23</sup>"),
     ("{{nombre|4500|pots}}", "4 500 pots"), ("{{unité|31|cm|3}}", "31 cm<sup>3</sup>"), ("{{unité|12|kg||m|-3}}", "12 kg⋅m<sup>-3</sup>"),
+    ("{{unité|3|m|2|3}}", "3 m<sup>2</sup>⋅m<sup>3</sup>"), ("{{unité|3|e=4||kg}}", "3×10<sup>4</sup> ⋅"),
+    ("{{unité|3|a|kg|e=4|s|-2}}", "3×10kg<sup>4</sup>⋅s<sup>-2</sup>"), ("{{unité|3||2}}", "3 ⋅<sup>2</sup>"),
+    ("{{unité|3|e=4|m|1500}}", "3×10<sup>4</sup> ⋅m<sup>1 500</sup>"), ("{{unité|3|a|b}}", "3 b"), ("{{unité|3|}}", "3 "),
     ("{{unité|-7.5|°C}}", "-7.5 °C"), ("{{num|x|pots}} {{nau|0042}}", "x pots 42"),
 ]
 
@@ -113,6 +117,10 @@ def test_rules_inside_other_templates(evaluate):
 
     french = standard_languages().choose("wikipedia", "fr")
     deep = "{{x|" * 12 + "{{1er mai}}" + "}}" * 12
+    strays = ["{{nobr|x}} text }} end", "{{japonais|a}} t {{japonais|b|c}}", "{{s|IV|e}} {{ {{heure|8}} }} }} {{", "{{{{heure|8}}"]
+    both = [evaluate(rules, strays) for rules in (fr.translate_fr, lambda t: translate(t, french))]
+    assert both[0] == both[1] == [
+        '<span class="nowrap">x</span> text }} end', "{{japonais|a}} t b (c)", "IVe siècle {{ 8 h }} }} {{", "{{8 h"]
     texts = ["{{box|a={{date|2|mai|2001}}|{{s|III|e}}}} {{heure|8}} {{other}}", "{{open {{heure|8}}", deep]
     assert evaluate(lambda t: translate(t, french), texts) == [
         "{{box|a=2 mai 2001|IIIe siècle}} 8 h {{other}}", "{{open 8 h", deep.replace("{{1er mai}}", "1<sup>er</sup> mai")]

@@ -12,8 +12,8 @@ from wikiloom.operators import counts as A
 from wikiloom.operators import lookups as J
 from wikiloom.operators import routing as P
 from wikiloom.operators import search as X
-from wikiloom.plans.convert import (CountMismatch, RunCounts, reconcile, show_articles, stored_articles,
-                                    stored_redirects, write_wiki)
+from wikiloom.plans.convert import (CountMismatch, RunCounts, convert_dump, reconcile, show_articles, stored_articles,
+                                    stored_redirects, stored_titles, write_wiki)
 from wikiloom.sinks import tables as K
 from wikiloom.sources import dump as S
 from wikiloom.sources.tables import page_directory, read_metadata
@@ -105,14 +105,13 @@ def test_join_on_key_with_hot_key(spark, monkeypatch):
     rng = random.Random(3)
     rows = [(i, "hot" if rng.random() < 0.4 else f"k{rng.randint(0, 40)}") for i in range(3000)] + [(-1, None), (-2, "gone")]
     keyed = [("hot", 1, "H")] + [(f"k{i}", i, None if i % 3 else "v") for i in range(0, 40, 2)]
-    monkeypatch.setattr(J, "HOT_SHARE", 30)
     monkeypatch.setattr(J, "HOT_ROWS", 50)
     left = spark.createDataFrame(rows, "i int, k string")
     right = spark.createDataFrame(keyed, "k string, n int, v string")
     got = {tuple(r) for r in J.join_on_key(left, right, "k").collect()}
     table = {k: (n, v) for k, n, v in keyed}
     assert got == {(i, k, *table.get(k, (None, None))) for i, k in rows}
-    assert J.join_on_key(left, right, "k").count() == len(rows)
+    assert J.join_on_key(left, right, "k").count() == len(rows) and J.hot_keys(left, "k")[0] == "hot"
 
 
 def test_with_language(pages, languages):
@@ -125,16 +124,28 @@ def test_resolve_redirects(spark):
     pairs = [("a", "b"), ("b", "c"), ("c", "Page"), ("x", "y"), ("y", "x"), ("d", "nowhere"), ("e", "Page"), ("s", "s")]
     redirects = spark.createDataFrame(pairs, "title_from string, title_to string")
     articles = spark.createDataFrame([("Page",), ("Page",)], "title string")
-    got = {r.title_from: (r.target, r.hops, r.found) for r in J.resolve_redirects(redirects, articles, 3).collect()}
-    follow = dict(pairs)
+    got = {r.title_from: (r.target, r.hops, r.found, r.loops) for r in J.resolve_redirects(redirects, articles).collect()}
+    assert got == {"a": ("Page", 3, True, False), "b": ("Page", 2, True, False), "c": ("Page", 1, True, False),
+                   "e": ("Page", 1, True, False), "d": ("nowhere", 1, False, False), "x": (None, None, False, True),
+                   "y": (None, None, False, True), "s": (None, None, False, True)}
 
-    def expected(title):
-        target, hops = follow[title], 1
-        while target in follow and hops < 3:
+
+def test_long_chains_and_loops(spark):
+    rng = random.Random(11)
+    follow = {i: rng.randint(0, 399) if i % 60 == 59 else i + 1 for i in range(300)}
+    redirects = spark.createDataFrame([(f"t{i}", f"t{j}") for i, j in follow.items()], "title_from string, title_to string")
+    articles = spark.createDataFrame([("t300",), ("t310",)], "title string")
+
+    def expected(i):
+        target, hops = follow[i], 1
+        while target in follow and hops < 1000:
             target, hops = follow[target], hops + 1
-        return target, hops, target == "Page"
+        return (None, None, False, True) if hops == 1000 else (f"t{target}", hops, target in (300, 310), False)
 
-    assert got == {title: expected(title) for title, _ in pairs}
+    got = {r.title_from: (r.target, r.hops, r.found, r.loops) for r in J.resolve_redirects(redirects, articles).collect()}
+    assert got == {f"t{i}": expected(i) for i in follow}
+    empty = J.resolve_redirects(redirects.limit(0), articles)
+    assert empty.count() == 0 and empty.columns == ["title_from", "title_to", "target", "hops", "found", "loops"]
 
 
 # --- ids and shards --------------------------------------------------------
@@ -150,6 +161,11 @@ def test_running_ids(spark):
         assert row.n == total
     dense = [r.article_id for r in A.assign_ids(df).orderBy("page_id").collect()]
     assert dense == list(range(1, 2001))
+    hashed = spark.createDataFrame([(i * 90_000_000_000_000,) for i in ids], "page_id long")
+    assert [r.article_id for r in A.assign_ids(hashed).orderBy("page_id").collect()] == dense
+    with pytest.raises(Exception, match="occurs twice"):
+        A.assign_ids(hashed.unionByName(hashed.limit(1))).collect()
+    assert A.assign_ids(hashed.limit(0)).count() == 0
     for n in (1, 2, 7, 1999, 2500):
         parts = [r.part for r in A.split_table(df, n).orderBy("page_id").collect()]
         size, rest = divmod(2000, n)
@@ -240,6 +256,27 @@ def test_write_wiki(spark, pages, tmp_path):
         reconcile(counts, RunCounts(4, 1))
 
 
+def test_convert_dump(spark, tmp_path):
+    """Language and wiki type come from the header; rules and French namespaces are for wikipedias only."""
+    text = dump_xml([*PAGES, (11, "Heure", None, "fr", "{{heure|8}}")])
+    for name, base, titles in (
+            ("other", "https://kiln.test/wiki/Start", ["Argile (roche)", "Modèle:X", "Race:Pot", ":odd", "Heure"]),
+            ("pedia", "https://fr.wikipedia.org/wiki/Start", ["Argile (roche)", "Race:Pot", ":odd", "Category:C", "Category:C", "Heure"])):
+        path, out = str(tmp_path / f"{name}.xml"), str(tmp_path / name)
+        with open(path, "w", encoding="utf-8") as file:
+            file.write(text.replace("https://kiln.test/wiki/Start", base))
+        assert convert_dump(spark, path, out) == RunCounts(len(titles), 2)
+        rows = stored_titles(spark, out).orderBy("article_id").collect()
+        assert [r.title for r in rows] == titles and [r.article_id for r in rows] == list(range(1, len(titles) + 1))
+        html = {r.title: r.html for r in stored_articles(spark, out).collect()}
+        assert html["Heure"] == ("8 h" if name == "pedia" else "<br/><br/>")  # a line without text is a break
+        found = X.search_titles(spark.read.parquet(f"{out}/index"), "argile (roche)").collect()
+        assert [r.title for r in found] == ["Argile (roche)"]
+        assert read_metadata(spark, f"{out}/metadata")["lang-code"] == "fr"
+        with pytest.raises(Exception, match="(?i)exists"):
+            convert_dump(spark, path, out)
+
+
 def test_layouts(spark, pages, tmp_path):
     import pyarrow.parquet as pq
 
@@ -268,7 +305,7 @@ def test_layouts(spark, pages, tmp_path):
 # --- streaming -------------------------------------------------------------
 
 def test_stream(spark, tmp_path):
-    inbox, out, offsets = (str(tmp_path / n) for n in ("in", "out", "offsets"))
+    inbox, out, offsets, metrics = (str(tmp_path / n) for n in ("in", "out", "offsets", "metrics"))
     os.mkdir(inbox)
     listener = RunMetrics()
     spark.streams.addListener(listener)
@@ -276,9 +313,10 @@ def test_stream(spark, tmp_path):
         for part, chunk in enumerate((PAGES[:5], PAGES[5:])):
             with open(f"{inbox}/{part}.xml", "w", encoding="utf-8") as file:
                 file.write(dump_xml(chunk))
-            query = ingest(stream_pages(spark, inbox, "fr"), out, offsets)
+            query = ingest(stream_pages(spark, inbox, "fr"), out, offsets, metrics=metrics)
             query.awaitTermination()
-        assert sum(m["pages"] for m in run_metrics(query) if "pages" in m) == 5
+        assert [(r.batch, r.pages, r.redirects) for r in run_metrics(spark, metrics).orderBy("batch").collect()] == [
+            (0, 5, 2), (1, 5, 0)]
     finally:
         spark.streams.removeListener(listener)
     assert {r.title for r in ingested(spark, out, "article").collect()} == {

@@ -168,11 +168,14 @@ def test_many_template_arguments(evaluate):
 
 
 @pytest.mark.parametrize("unit", ["<ref> word <ul> ", "<div ", "<!-- word ", "[word word [http://x y ", "[[a|", "{{open word ",
-                                  "{| a ", "<li> word ", "== word "])
+                                  "{| a ", "<li> word ", "== word ", "<code> word ",
+                                  "<code ", "< code x> <code", "{{nobr|a ", "{{citation|word ", "{{unité|1|km "])
 def test_openings_without_end(evaluate, unit):
     """Large pages full of openings that nothing closes: no step may search them again and again."""
     text = unit * 20000
+    from wikiloom.functions.french import translate_fr
+
     steps = [B.drop_templates, B.drop_tables, L.links_to_anchors, L.drop_leftover_links, L.external_link_labels,
-             M.drop_comments, M.drop_self_closing, M.unwrap_ignored_tags, M.drop_elements]
+             M.drop_comments, M.drop_self_closing, M.unwrap_ignored_tags, M.drop_elements, M.placeholders, translate_fr]
     for step in steps:
         assert evaluate(step, [text]) == [text]

@@ -10,9 +10,9 @@ from pyspark.sql import functions as F
 from wikiloom.config import Language, Languages, Options, standard_languages
 from wikiloom.functions import links as L
 from wikiloom.functions import markup as M
-from wikiloom.functions.expr import Step, bind, compose, if_contains
+from wikiloom.functions.expr import Step, compose, if_contains
 from wikiloom.functions.lines import compact_to_html
-from wikiloom.functions.nesting import drop_tables, drop_templates, template_pattern
+from wikiloom.functions.nesting import drop_tables, drop_templates, in_templates
 
 
 def speaks(language_code: str, lang: Column, wikitype: Column, languages: Languages) -> Column:
@@ -20,26 +20,6 @@ def speaks(language_code: str, lang: Column, wikitype: Column, languages: Langua
     return (lang == language_code) & (wikitype == languages.wikitype)
 
 
-def _in_templates(text: Column, change: Step) -> Column:
-    """Apply ``change`` to each outermost template instead of the whole text.
-
-    Where braces do not balance, or nest deeper than the pattern reaches, the
-    whole text is changed, so the outcome does not depend on the short cut.
-    """
-    tokens = F.regexp_extract_all(text, F.lit(rf"{template_pattern()}|[^{{]++|\{{"), F.lit(0))
-
-    def has_braces(x: Column) -> Column:
-        return F.contains(x, F.lit("{{"))
-
-    def rewrite(parts: Column) -> Column:
-        rest = F.array_join(F.filter(parts, lambda x: ~has_braces(x)), "")
-        pieces = F.when(has_braces(rest), F.array(text)).otherwise(parts)
-        return F.array_join(
-            F.transform(pieces, lambda x: F.when(has_braces(x), change(x)).otherwise(x)), "")
-
-    return bind(tokens, rewrite)
-
-
 def translate(text: Column, language: Language) -> Column:
     """All template rules of one language."""
 
@@ -51,7 +31,7 @@ def translate(text: Column, language: Language) -> Column:
 
     if language.trigger is None:
         return if_contains(text, "{{", rules)
-    return if_contains(text, "{{", lambda t: _in_templates(t, triggered))
+    return in_templates(text, triggered)
 
 
 def apply_rules(text: Column, lang: Column, wikitype: Column | None = None,

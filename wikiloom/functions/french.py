@@ -12,7 +12,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from wikiloom.config import Rule
-from wikiloom.functions.expr import bind, if_contains, replace_all, rewrite_matches
+from wikiloom.functions.expr import bind, replace_all, rewrite_matches
+from wikiloom.functions.nesting import in_templates
 
 
 def _rewrite(text: Column, pattern: str, cases: list[tuple[str, str]]) -> Column:
@@ -64,47 +65,49 @@ def formatnum(text: Column) -> Column:
 
 
 _UNIT = r"(?iu:\{\{(?:unit[^\n]|nombre|num|nau)\|([^|{}]++(?:\|[^{}|]*+)*+)\}\})"
+# In "|km||s|-1" the names are km and s; an empty argument or a number ends a factor.
+_NAMES = r"(?:\|(?!-?[0-9])[^|]++)*+"
+# Names at the end, which no exponent follows, are taken along, so that they are not searched again.
+_FACTORS = rf"{_NAMES}(?:(?:\|(?:-?[0-9][^|]*+)?(?=\||\z))++|\z)"
+_MARKED = r"\|(?=[^|=]++=)[^|]{2}"
 
 
 def unit(text: Column) -> Column:
     """``{{unité|10000|km|2}}`` to ``10 000 km<sup>2</sup>``.
 
-    Arguments after the number: a name is kept until its exponent (a number) or
-    an empty argument follows; ``e=k`` is the power of ten.
+    After the number come factors: names, of which the last one counts, and the
+    exponents it is raised to, an empty one for none. A marked exponent, as in
+    ``e=k``, is one of ten. Names that nothing follows count if there is no
+    factor.
     """
 
-    def state(name, power, parts):
-        return F.struct(name.alias("name"), power.alias("power"), parts.alias("parts"))
-
-    def step(a, raw):
-        has_sign = F.instr(raw, "=") > 1
-        arg = F.when(has_sign, F.substring(raw, F.lit(3), F.length(raw))).otherwise(raw)
-        is_number = F.rlike(arg, F.lit("^-?[0-9]"))
-        part = F.when(is_number, F.concat(a["name"], F.lit("<sup>"), _localised(arg), F.lit("</sup>"))) \
-            .otherwise(a["name"])
-        done = is_number | (arg == "")
-        return state(
-            F.when(done, a["name"]).otherwise(arg),
-            F.when(has_sign, "×10").otherwise(a["power"]),
-            F.when(done, F.concat(a["parts"], F.array(part))).otherwise(a["parts"]),
-        )
-
-    def finish(number):
-        def join(a):
-            several = F.concat(number, a["power"], F.array_join(a["parts"], "⋅"))
-            return (F.when(F.size(a["parts"]) == 0, F.concat(number, a["power"], a["name"]))
-                    .when(F.size(a["parts"]) == 1, F.concat(number, a["power"], F.get(a["parts"], F.lit(0))))
-                    .otherwise(F.regexp_replace(several, r"×10<sup>([^<]+)</sup>", "×10<sup>$1</sup> ")))
-        return join
-
-    def value(args):
-        number = _localised(F.get(args, F.lit(0)))
-        start = state(F.lit(""), F.lit(" "), F.array().cast("array<string>"))
-        rest = F.slice(args, F.lit(2), F.size(args))
-        return F.when(F.size(args) == 1, number).otherwise(F.aggregate(rest, start, step, finish(number)))
-
-    return rewrite_matches(
-        text, _UNIT, "{", lambda x: bind(F.split(F.regexp_extract(x, _UNIT, 1), r"\|", -1), value))
+    def factors(run: Column) -> Column:
+        names = F.regexp_extract(run, f"^{_NAMES}", 0)
+        exponents = F.split(F.substring(run, F.length(names) + 2, F.length(run)), r"\|", -1)
+        name = F.substring_index(names, "|", -1)
+        return F.transform(exponents, lambda e: F.concat(
+            name, F.when(e == "", "").otherwise(F.concat(F.lit("<sup>"), _localised(e), F.lit("</sup>")))))
+
+    def measure(rest: Column, of_ten: Column) -> Column:
+        def joined(parts: Column) -> Column:
+            power_first = of_ten & (F.size(parts) > 1) & F.get(parts, F.lit(0)).startswith("<sup>")
+            return F.when(F.size(parts) == 0, F.substring_index(rest, "|", -1)).when(
+                power_first, F.concat(F.get(parts, F.lit(0)), F.lit(" ⋅"), F.array_join(F.slice(parts, 2, F.size(parts) - 1), "⋅"))
+            ).otherwise(F.array_join(parts, "⋅"))
+
+        runs = F.filter(F.regexp_extract_all(rest, F.lit(_FACTORS), F.lit(0)),
+                        lambda run: F.length(run) > F.length(F.regexp_extract(run, f"^{_NAMES}", 0)))
+        return bind(F.flatten(F.transform(runs, factors)), joined)
+
+    def value(body: Column) -> Column:
+        number = F.substring_index(body, "|", 1)
+        rest = F.substring(body, F.length(number) + 1, F.length(body))
+        of_ten = F.rlike(rest, F.lit(_MARKED))
+        plain = F.regexp_replace(rest, _MARKED, "|")
+        return F.when(rest == "", _localised(number)).otherwise(F.concat(
+            _localised(number), F.when(of_ten, "×10").otherwise(" "), bind(plain, lambda r: measure(r, of_ten))))
+
+    return rewrite_matches(text, _UNIT, "{", lambda x: bind(F.regexp_extract(x, _UNIT, 1), value))
 
 
 def hour(text: Column) -> Column:
@@ -203,21 +206,34 @@ def nobr(text: Column) -> Column:
 _LANG = r"(?iu:\{\{(lang(?:ue)?(?:-[\p{L}\p{N}_]+)?(?:\|[^}|]++)++)\}\})"
 
 
+def _holds_piped_link(text: Column) -> Column:
+    """Whether a bar stands inside the brackets of the first line, from the first opening to the last closing."""
+    line = F.substring_index(text, "\n", 1)
+    after = F.substring(line, F.instr(line, "[[") + 2, F.length(line))
+    inner = F.left(after, F.length(after) - F.length(F.substring_index(after, "]]", -1)) - 2)
+    between = F.substring(inner, F.lit(2), F.length(inner) - 2)
+    return F.contains(line, F.lit("[[")) & F.contains(after, F.lit("]]")) & F.contains(between, F.lit("|"))
+
+
 def lang(text: Column) -> Column:
-    """``{{lang|xx|text}}`` and ``{{lang-xx|text}}`` to the text."""
+    """``{{lang|xx|text}}`` and ``{{lang-xx|text}}`` to the text.
+
+    Bars of a link belong to the text. With further arguments the text is the
+    one named ``texte``, nothing without it.
+    """
 
-    def value(args: Column, x: Column) -> Column:
-        rest = F.slice(args, F.lit(3), F.size(args))
-        named = F.filter(rest, lambda a: F.rlike(a, F.lit("^(?i:texte=)")))
-        return (F.when(F.rlike(x, F.lit(r"^[^\n]*\[\[[^\n]+\|[^\n]+\]\]")), F.array_join(rest, "|"))
-                .when(F.rlike(F.get(args, F.lit(0)), F.lit(r"^(?i:lang-)\w+")), F.get(args, F.lit(1)))
-                .when(F.size(rest) == 1, F.replace(F.get(rest, F.lit(0)), F.lit("texte="), F.lit("")))
-                .otherwise(F.coalesce(
-                    F.regexp_extract(F.get(named, F.lit(0)), r"^(?i:texte=)([^\n]*)", 1), F.lit(""))))
+    def value(body: Column) -> Column:
+        in_name = F.rlike(body, F.lit(r"^(?i:lang-)\w"))
+        first = F.regexp_extract(body, r"^[^|]*+\|([^|]*+)", 1)
+        rest = F.regexp_extract(body, r"(?s)^[^|]*+\|[^|]*+\|(.*)", 1)
+        named = F.regexp_extract(F.concat(F.lit("|"), rest), r"\|(?i:texte=)([^|\n]*+)", 1)
+        one = ~F.contains(rest, F.lit("|"))
+        return (F.when(in_name & ~_holds_piped_link(body), first)
+                .when(_holds_piped_link(body), rest)
+                .when(one, F.replace(rest, F.lit("texte="), F.lit("")))
+                .otherwise(named))
 
-    return rewrite_matches(
-        text, _LANG, "{",
-        lambda x: bind(F.split(F.regexp_extract(x, _LANG, 1), r"\|", -1), lambda args: value(args, x)))
+    return rewrite_matches(text, _LANG, "{", lambda x: bind(F.regexp_extract(x, _LANG, 1), value))
 
 
 _COLOURS = (("rouge", "red"), ("bleu", "blue"), ("vert", "green"), ("jaune", "yellow"),
@@ -295,8 +311,11 @@ FRENCH_TRIGGER = (
 
 
 def translate_fr(text: Column) -> Column:
-    """All rules in order, over the whole text."""
-    return if_contains(text, "{{", lambda t: reduce(lambda c, rule: rule(c), FRENCH_RULES, t))
+    """All rules in order, in each outermost template that one of them may be for."""
+    def rules(t: Column) -> Column:
+        return F.when(F.rlike(t, F.lit(FRENCH_TRIGGER)), reduce(lambda c, rule: rule(c), FRENCH_RULES, t)).otherwise(t)
+
+    return in_templates(text, rules)
 
 
 # --- optional rules, not part of FRENCH_RULES ------------------------------

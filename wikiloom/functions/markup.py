@@ -178,17 +178,27 @@ def placeholders(text: Column, tags: Iterable[tuple[str, str]] = PLACEHOLDER_TAG
 
         return bind(F.regexp_extract_all(t, F.lit(pattern), F.lit(0)), replaced)
 
+    def closed(t: Column, tag: str, word: str) -> Column:
+        return bind(closed_part(t, tag), lambda head: F.concat(
+            number(head, tag, word), F.substring(t, F.length(head) + 1, F.length(t))))
+
     for tag, word in tags:
-        text = bind(text, lambda t: if_contains(t, "<", lambda u: number(u, tag, word)))
+        text = bind(text, lambda t: if_contains(t, "<", lambda u: closed(u, tag, word)))
     return text
 
 
 def _code_opening(tag: str) -> str:
-    return rf"(?i)<\s*{tag}(?:\s*| [^>]+?)>"
+    return rf"(?i)<\s*{tag}(?:\s*| [^>]++)>"
 
 
 def code_pattern(tag: str) -> str:
-    return rf"(?is:<\s*{tag}(?:\s*| [^>]+?)>.*?<\s*/\s*{tag}\s*>)"
+    return rf"(?is:<\s*{tag}(?:\s*| [^>]++)>(?:[^<]++|<(?!\s*/\s*{tag}\s*>))*+<\s*/\s*{tag}\s*>)"
+
+
+def closed_part(text: Column, tag: str) -> Column:
+    """The text up to the first opening that nothing closes; no block comes after it."""
+    opens = rf"\s*{tag}(?:\s*(?:>|\z)| )"
+    return F.regexp_extract(text, rf"(?i)^((?:{code_pattern(tag)}|[^<]++|<(?!{opens}))*+)", 1)
 
 
 # --- spaces and punctuation ------------------------------------------------

@@ -11,7 +11,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from wikiloom.functions.expr import bind, if_contains
+from wikiloom.functions.expr import Step, bind, if_contains
 
 # Nesting handled by the regular expression; deeper blocks take the fold.
 REGEX_DEPTH = 8
@@ -56,6 +56,17 @@ def template_pattern(depth: int = REGEX_DEPTH) -> str:
     return _balanced(TEMPLATE, depth)
 
 
+def in_templates(text: Column, change: Step) -> Column:
+    """Apply ``change`` to each outermost template that is closed; the text around stays.
+
+    Of templates nested deeper than the pattern reaches, the outer ones stay.
+    """
+    tokens = F.regexp_extract_all(text, F.lit(rf"{template_pattern()}|[^{{]++|\{{"), F.lit(0))
+    is_template = lambda x: F.contains(x, F.lit("{{"))
+    return if_contains(text, "{{", lambda _: F.array_join(
+        F.transform(tokens, lambda x: F.when(is_template(x), change(x)).otherwise(x)), ""))
+
+
 def _block_pattern(d: Delimiters, depth: int) -> str:
     # \G: blocks are taken one after the other, until one that does not close.
     # \z: the text after the last block counts as matched, so it is not searched.

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from wikiloom.operators.routing import ARTICLE, REDIRECT
 
-# Pages per bucket at most: ids are unique, a bucket spans this many of them.
+# Rows per bucket at most: ids are unique, a bucket spans this many of them.
 BUCKET_WIDTH = 65_536
 
 
@@ -25,23 +25,45 @@ def link_counts(links: DataFrame) -> DataFrame:
     return links.groupBy("target").agg(F.count("*").alias("n_links"))
 
 
+def _starts(buckets: DataFrame, width: int, levels: int) -> DataFrame:
+    """``_bucket, _start``: the sum of ``_n`` over all smaller buckets.
+
+    Buckets are summed in wider ones, ``levels`` times, so that each window
+    sees ``width`` rows at most, however sparse the ids are.
+    """
+    if levels == 0:
+        before = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+        return buckets.select("_bucket", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
+    wide = buckets.withColumn("_wide", F.expr(f"(_bucket - pmod(_bucket, {width}L)) div {width}L"))
+    above = _starts(wide.groupBy(F.col("_wide").alias("_bucket")).agg(F.sum("_n").alias("_n")), width, levels - 1)
+    before = Window.partitionBy("_wide").orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    return (wide.join(above.select(F.col("_bucket").alias("_wide"), F.col("_start").alias("_above")), "_wide")
+            .select("_bucket", (F.col("_above") + F.coalesce(F.sum("_n").over(before), F.lit(0))).alias("_start")))
+
+
 def running_count(df: DataFrame, flag: Column, name: str, order: str = "page_id",
                   width: int = BUCKET_WIDTH) -> DataFrame:
     """Adds the number of flagged rows up to each row in the order of unique ids.
 
-    Rows are counted per bucket of neighbouring ids; a window over the small
-    bucket table gives each bucket its start, a window inside a bucket the
-    rest. No window sees more than one bucket of rows, and ids come out the
-    same however often a task is run again.
+    Rows are counted per bucket of neighbouring ids, buckets in wider buckets,
+    and so on until few are left; windows inside a bucket give the rest. No
+    window sees more than ``width`` rows, also where ids are sparse or hashed,
+    and ids come out the same however often a task is run again. How many
+    levels are needed follows from the least and the largest id. An id that
+    occurs twice raises an error, since its order would change between runs.
     """
-    bucketed = df.withColumn("_bucket", F.floor(F.col(order) / width)).withColumn(
+    least, most = df.agg(F.min(order), F.max(order)).first()
+    span, levels = (max(abs(least), abs(most)) // width if least is not None else 0), 0
+    while span >= width // 2:
+        span, levels = span // width, levels + 1
+    bucketed = df.withColumn("_bucket", F.expr(f"({order} - pmod({order}, {width}L)) div {width}L")).withColumn(
         "_flag", F.when(flag, 1).otherwise(0).cast("long"))
-    before = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    starts = bucketed.groupBy("_bucket").agg(F.sum("_flag").alias("_n")).select(
-        "_bucket", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
-    inside = Window.partitionBy("_bucket").orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
-    return (bucketed.join(starts, "_bucket")
-            .withColumn(name, F.col("_start") + F.sum("_flag").over(inside))
+    starts = _starts(bucketed.groupBy("_bucket").agg(F.sum("_flag").alias("_n")), width, levels)
+    inside = Window.partitionBy("_bucket").orderBy(order)
+    upto = F.sum("_flag").over(inside.rowsBetween(Window.unboundedPreceding, 0))
+    once = F.when(F.lag(order).over(inside) == F.col(order), F.raise_error(
+        F.concat(F.lit(f"{order} occurs twice: "), F.col(order).cast("string"))).cast("long")).otherwise(upto)
+    return (bucketed.join(starts, "_bucket").withColumn(name, F.col("_start") + once)
             .drop("_bucket", "_flag", "_start"))
 
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from wikiloom.functions import lines as N
 from wikiloom.functions import links as L
-from wikiloom.functions.markup import code_pattern
+from wikiloom.functions.markup import closed_part, code_pattern
 from wikiloom.operators.routing import title_prefix
 
 TEMPLATE_NAME = r"\{\{++([^{}|]*)"
@@ -67,7 +67,8 @@ def extract_templates(pages: DataFrame) -> DataFrame:
 
 def extract_code_blocks(pages: DataFrame) -> DataFrame:
     """``page_id, index, body``; indices start at 1 as in the placeholders."""
-    return (_explode(pages, _all(code_pattern("code")))
+    closed = pages.withColumn("wikitext", closed_part(F.col("wikitext"), "code"))
+    return (_explode(closed, _all(code_pattern("code")))
             .select("page_id", (F.col("pos") + 1).alias("index"), F.col("item").alias("body")))
 
 

@@ -7,77 +7,94 @@ from pyspark.sql import functions as F
 
 from wikiloom.shared import stored
 
-# Keys with more than 1/HOT_SHARE of all rows, and more than HOT_ROWS of them,
-# are hot; there are fewer than HOT_SHARE of them, whatever the data.
+# Keys with more than HOT_ROWS rows are hot. The HOT_SHARE most frequent of them
+# are split: every other key has less than 1/HOT_SHARE of all rows.
 HOT_SHARE = 1000
 HOT_ROWS = 100_000
+#: Parts that a hot key's rows are split into.
+PARTS = 200
+
+
+def hot_keys(rows: DataFrame, key: str) -> list:
+    """The hot values of ``key``, at most ``HOT_SHARE``; one job over that column."""
+    counts = rows.where(F.col(key).isNotNull()).groupBy(key).agg(F.count("*").alias("_n"))
+    hot = counts.where(F.col("_n") > HOT_ROWS).orderBy(F.desc("_n"), key).limit(HOT_SHARE)
+    return [row[0] for row in hot.select(key).collect()]
 
 
 def join_on_key(rows: DataFrame, keyed: DataFrame, key: str) -> DataFrame:
     """Left join of ``rows`` with a table that has one row per ``key``.
 
-    Rows of hot keys find their partner among the hot keys' rows, a broadcast
-    of fewer than ``HOT_SHARE`` rows by construction. In the shuffled join that
-    serves all others they carry a salt without partner, which spreads them
-    over the tasks. ``rows`` is read a second time for its key column alone, so
-    hand over a stored table where it is costly to compute.
+    The rows of a hot key are dealt over ``PARTS`` salts, and its partner is
+    repeated for each of them; all other rows have one salt. Hot keys are found
+    beforehand from the key column, so hand over a stored table where ``rows``
+    is costly to compute. The plan reads both sides once.
     """
-    values = [c for c in keyed.columns if c != key]
-    counts = rows.where(F.col(key).isNotNull()).groupBy(key).agg(F.count("*").alias("_n"))
-    total = counts.agg(F.sum("_n").alias("_total"))
-    is_hot = (F.col("_n") * HOT_SHARE > F.col("_total")) & (F.col("_n") > HOT_ROWS)
-    hot = counts.join(F.broadcast(total), is_hot).select(key)  # total is one row
-    partners = keyed.join(F.broadcast(hot), key, "left_semi").select(
-        key, *[F.col(v).alias(f"_hot_{v}") for v in values])
-
-    salt = F.when(F.col("_hot"), F.pmod(F.xxhash64(*rows.columns), F.lit(HOT_SHARE)) + 1).otherwise(F.lit(0))
-    marked = (rows.join(F.broadcast(hot.withColumn("_hot", F.lit(True))), key, "left")
-              .join(F.broadcast(partners), key, "left")
-              .withColumn("_salt", salt.cast("long")))
-    # Always 0, but not a constant that would drop out of the join key.
-    salted = keyed.withColumn("_salt", F.pmod(F.xxhash64(key), F.lit(1)).cast("long"))
-    return marked.join(salted, [key, "_salt"], "left").select(
-        *[F.col(c) for c in rows.columns],
-        *[F.coalesce(F.col(v), F.col(f"_hot_{v}")).alias(v) for v in values])
+    hot = hot_keys(rows, key)
+    if not hot:
+        return rows.join(keyed, key, "left").select(*rows.columns, *(c for c in keyed.columns if c != key))
+    is_hot = F.coalesce(F.col(key).isin(hot), F.lit(False))
+    zero = F.lit(0).cast("long")
+    salt = F.when(is_hot, F.pmod(F.xxhash64(*rows.columns), F.lit(PARTS))).otherwise(zero)
+    salts = F.when(is_hot, F.sequence(zero, F.lit(PARTS - 1).cast("long"))).otherwise(F.array(zero))
+    salted = keyed.withColumn("_salt", F.explode(salts))
+    return rows.withColumn("_salt", salt).join(salted, [key, "_salt"], "left").select(
+        *rows.columns, *(c for c in keyed.columns if c != key))
 
 
 def with_language(pages: DataFrame, languages: DataFrame) -> DataFrame:
     """Adds ``english`` and ``local`` names of the page's language.
 
     ``languages(code, english, local)``: the code is matched without regard to
-    case and the first row in order of the names counts. One row per language
-    tag, so it is broadcast.
+    case and the first row in order of the names counts.
     """
     names = languages.groupBy(F.lower("code").alias("_code")).agg(
         F.min(F.struct("english", "local")).alias("_names"))
-    return (pages.join(F.broadcast(names), F.lower("lang") == F.col("_code"), "left")
+    return (pages.join(names, F.lower("lang") == F.col("_code"), "left")
             .withColumn("english", F.col("_names.english"))
             .withColumn("local", F.col("_names.local"))
             .drop("_code", "_names"))
 
 
-def resolve_redirects(redirects: DataFrame, articles: DataFrame, max_hops: int = 4) -> DataFrame:
-    """Follow ``title_from -> title_to`` for at most ``max_hops`` redirects.
+def resolve_redirects(redirects: DataFrame, articles: DataFrame) -> DataFrame:
+    """Follow ``title_from -> title_to`` to the end of each chain.
+
+    Returns ``title_from, title_to, target, hops, found, loops``: ``target`` is
+    the last title of the chain, ``found`` whether it is an article. A chain
+    that runs into a loop has no end: ``target`` and ``hops`` are null and
+    ``loops`` is true. A title that occurs twice leads to its first target in
+    alphabetical order.
 
-    Returns ``title_from, title_to, target, hops, found``: ``target`` is the
-    last title reached and ``found`` whether it is an article. Loops stop at
-    the bound. Hops run over the distinct targets, not over all redirects; each
-    round is stored, since the next one reads it twice.
+    Each round joins the jumps with themselves, so they double; after as many
+    rounds as the number of titles has binary digits, what still moves is in a
+    loop. Rounds are stored, and only open jumps take part in them.
     """
-    step = redirects.groupBy(F.col("title_from").alias("target")).agg(F.min("title_to").alias("_next"))
+    jump = ["node", "target", "hops"]
+    open_ = stored(redirects.where("title_from is not null and title_to is not null")
+                   .groupBy(F.col("title_from").alias("node"))
+                   .agg(F.min("title_to").alias("target"), F.lit(1).cast("long").alias("hops")), "hops")
+    ended = open_.limit(0)
+    for _ in range(open_.count().bit_length() + 1):
+        onward = ended.unionByName(open_).select(
+            F.col("node").alias("target"), F.col("target").alias("_next"), F.col("hops").alias("_hops"))
+        moved = stored(join_on_key(open_, onward, "target"), "hops")
+        ended = ended.unionByName(moved.where("_next is null").select(*jump))
+        open_ = moved.where("_next is not null").select(
+            "node", F.col("_next").alias("target"), (F.col("hops") + F.col("_hops")).alias("hops"))
+        if not open_.head(1):
+            break
+    ends = ended.withColumn("loops", F.lit(False)).unionByName(open_.select(
+        "node", F.lit(None).cast("string").alias("target"), F.lit(None).cast("long").alias("hops"), F.lit(True).alias("loops")))
+
+    at_end = F.col("loops").isNull()  # title_to is no redirect itself
+    goals = stored(redirects.select(F.col("title_to").alias("node")).distinct().join(ends, "node", "left").select(
+        F.col("node").alias("title_to"), F.when(at_end, F.col("node")).otherwise(F.col("target")).alias("target"),
+        F.when(at_end, 1).otherwise(F.col("hops") + 1).cast("long").alias("hops"),
+        F.coalesce("loops", F.lit(False)).alias("loops")), "goals")
     titles = articles.select(F.col("title").alias("target")).distinct().withColumn("_found", F.lit(True))
-    goals = redirects.select("title_to").distinct().select(
-        "title_to", F.col("title_to").alias("target"), F.lit(1).alias("hops"))
-    for _ in range(max_hops - 1):
-        moved = F.col("_next").isNotNull()
-        goals = stored(join_on_key(goals, step, "target").select(
-            "title_to",
-            F.when(moved, F.col("_next")).otherwise(F.col("target")).alias("target"),
-            (F.col("hops") + moved.cast("int")).alias("hops")), "hops")
-    goals = stored(join_on_key(goals, titles, "target").select(
-        "title_to", "target", "hops", F.coalesce("_found", F.lit(False)).alias("found")), "hops")
-    return join_on_key(redirects.select("title_from", "title_to"), goals, "title_to").select(
-        "title_from", "title_to", "target", "hops", "found")
+    found = stored(join_on_key(goals, titles, "target").select(
+        "title_to", "target", "hops", F.coalesce("_found", F.lit(False)).alias("found"), "loops"), "goals")
+    return join_on_key(redirects.select("title_from", "title_to"), found, "title_to")
 
 
 def links_to_articles(links: DataFrame, articles: DataFrame) -> DataFrame:

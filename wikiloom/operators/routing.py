@@ -43,15 +43,15 @@ def allowed_title(title: Column, lang: Column, wikitype: Column | None = None,
     return F.coalesce(~listed, F.lit(True))
 
 
-def page_kind(languages: Languages | None = None) -> Column:
+def page_kind(languages: Languages | None = None, wikitype: Column | None = None) -> Column:
     """Redirects first, then the body, then the title."""
-    keep = is_non_empty(F.col("wikitext")) & allowed_title(F.col("title"), F.col("lang"), None, languages)
+    keep = is_non_empty(F.col("wikitext")) & allowed_title(F.col("title"), F.col("lang"), wikitype, languages)
     return F.when(is_redirect(F.col("redirect_to")), REDIRECT).when(keep, ARTICLE).otherwise(DROPPED)
 
 
-def route_pages(pages: DataFrame, languages: Languages | None = None) -> DataFrame:
+def route_pages(pages: DataFrame, languages: Languages | None = None, wikitype: Column | None = None) -> DataFrame:
     """Adds ``kind``: redirect, article or dropped."""
-    return pages.withColumn("kind", page_kind(languages))
+    return pages.withColumn("kind", page_kind(languages, wikitype))
 
 
 def redirects(pages: DataFrame) -> DataFrame:

@@ -11,8 +11,11 @@ from pyspark.sql import functions as F
 from wikiloom.config import Languages, Options
 from wikiloom.functions.convert import convert_steps
 from wikiloom.functions.expr import apply_steps
-from wikiloom.operators.routing import (ARTICLE, REDIRECT, article_pages, route_pages, select_titles)
-from wikiloom.sinks.tables import COMPRESSION, ROWS_PER_FILE, write_metadata
+from wikiloom.operators.counts import assign_ids
+from wikiloom.operators.routing import (ARTICLE, REDIRECT, article_pages, guess_wikitype, route_pages, select_titles)
+from wikiloom.operators.search import title_index
+from wikiloom.sinks.tables import COMPRESSION, ROWS_PER_FILE, write_by_title, write_metadata, write_title_index
+from wikiloom.sources.dump import read_pages, read_siteinfo
 
 
 def add_html(pages: DataFrame, options: Options = Options(), languages: Languages | None = None,
@@ -37,13 +40,13 @@ def show_articles(pages: DataFrame, titles: Sequence[str] | str, convert: bool =
     return add_html(chosen, options).select("title", F.col("html").alias("body"))
 
 
-def emitted_rows(pages: DataFrame, options: Options = Options(),
-                 languages: Languages | None = None) -> DataFrame:
+def emitted_rows(pages: DataFrame, options: Options = Options(), languages: Languages | None = None,
+                 wikitype: Column | None = None) -> DataFrame:
     """Articles and redirects in one table: ``page_id, title, title_to, html, kind``."""
-    routed = route_pages(pages, languages).where(F.col("kind").isin(ARTICLE, REDIRECT))
+    routed = route_pages(pages, languages, wikitype).where(F.col("kind").isin(ARTICLE, REDIRECT))
     # Redirects have no text to convert; null passes all steps.
     text_only = F.when(F.col("kind") == ARTICLE, F.col("wikitext"))
-    return add_html(routed.withColumn("wikitext", text_only), options, languages).select(
+    return add_html(routed.withColumn("wikitext", text_only), options, languages, wikitype).select(
         "page_id", "title", F.when(F.col("kind") == REDIRECT, F.col("redirect_to")).alias("title_to"),
         "html", "kind")
 
@@ -79,20 +82,22 @@ def reconcile(announced: RunCounts, written: RunCounts) -> None:
 
 def write_wiki(pages: DataFrame, path: str, options: Options = Options(),
                languages: Languages | None = None, metadata: dict[str, str] | None = None,
-               overwrite: bool = False) -> RunCounts:
+               overwrite: bool = False, wikitype: Column | None = None) -> RunCounts:
     """Convert and store a wiki in one pass over its pages.
 
     The pages are routed on the way in, where they are counted, and written
     into one folder per kind. The counts must agree with what is stored. A wiki
-    that is there already is replaced only if ``overwrite`` says so.
+    that is there already is replaced only if ``overwrite`` says so. Language
+    rules and namespaces hold for the wiki type of the registry; ``wikitype``
+    is taken to be that one unless it is given.
     """
     spark = pages.sparkSession
     seen = Observation()
-    routed = route_pages(pages, languages).observe(
+    routed = route_pages(pages, languages, wikitype).observe(
         seen,
         F.count_if(F.col("kind") == ARTICLE).alias("articles"),
         F.count_if(F.col("kind") == REDIRECT).alias("redirects"))
-    (emitted_rows(routed, options, languages).write.mode("overwrite" if overwrite else "errorifexists")
+    (emitted_rows(routed, options, languages, wikitype).write.mode("overwrite" if overwrite else "errorifexists")
      .option("compression", COMPRESSION).option("maxRecordsPerFile", ROWS_PER_FILE)
      .partitionBy("kind").parquet(f"{path}/pages"))
     announced = RunCounts(seen.get["articles"], seen.get["redirects"])
@@ -101,3 +106,28 @@ def write_wiki(pages: DataFrame, path: str, options: Options = Options(),
     if metadata is not None:
         write_metadata(spark, metadata, f"{path}/metadata")
     return announced
+
+
+def convert_dump(spark: SparkSession, dump: str, path: str, names: DataFrame | None = None, author: str = "unknown",
+                 options: Options = Options(), languages: Languages | None = None, overwrite: bool = False) -> RunCounts:
+    """A dump to a stored wiki that can be searched.
+
+    Language and wiki type come from the dump's header. Below ``path``:
+    ``pages`` (articles and redirects), ``titles`` (``article_id, page_id,
+    title`` with dense ids in page order, laid out by title), ``index`` (tokens
+    of the titles) and ``metadata``. ``names(code, english, local)`` supplies
+    the names of the language; without it they are its code.
+    """
+    info = read_siteinfo(spark, dump, names, author)
+    info = {**info, "lang-english": info["lang-english"] or info["lang"], "lang-local": info["lang-local"] or info["lang"]}
+    wikitype = guess_wikitype(F.lit(info["base"]))
+    counts = write_wiki(read_pages(spark, dump, info["lang"]), path, options, languages, info, overwrite, wikitype)
+    mode = "overwrite" if overwrite else "errorifexists"
+    numbered = assign_ids(stored_articles(spark, path).select("page_id", "title"))
+    write_by_title(numbered.select("article_id", "page_id", "title"), f"{path}/titles", mode=mode)
+    write_title_index(title_index(stored_titles(spark, path)), f"{path}/index", mode=mode)
+    return counts
+
+
+def stored_titles(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.parquet(f"{path}/titles")

@@ -51,13 +51,13 @@ def write_metadata(spark: SparkSession, infos: Mapping[str, str], path: str,
     table.coalesce(1).write.mode("overwrite").parquet(path)
 
 
-def write_sharded(sharded: DataFrame, path: str, order: str = "page_id", mode: str = "overwrite") -> None:
-    """One folder per ``shard``.
+def write_sharded(sharded: DataFrame, path: str, order: str = "page_id", mode: str = "overwrite", by: str = "shard") -> None:
+    """One folder per ``shard``, or per ``part`` of a split table.
 
     The range partitioning keeps a shard's rows together and still splits a
     shard that is too large for one task.
     """
-    _write(sharded.repartitionByRange("shard", order), path, mode, "shard")
+    _write(sharded.repartitionByRange(by, order), path, mode, by)
 
 
 def write_by_title(df: DataFrame, path: str, key: str = "title", mode: str = "overwrite") -> None:

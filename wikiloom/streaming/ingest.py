@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
@@ -13,6 +13,13 @@ from wikiloom.sinks.tables import COMPRESSION
 from wikiloom.sources.dump import PAGE_END, parse_pages
 
 
+def _counts() -> list[Column]:
+    """What is counted over the pages of a batch."""
+    return [F.count("*").alias("pages"),
+            F.count_if(F.coalesce(F.col("redirect_to") != "", F.lit(False))).alias("redirects"),
+            F.coalesce(F.sum(F.length("wikitext")), F.lit(0)).alias("characters")]
+
+
 def stream_pages(spark: SparkSession, folder: str, lang: str | None = None,
                  files_per_batch: int = 100) -> DataFrame:
     """Pages of all dump files in a folder, present and future.
@@ -26,22 +33,26 @@ def stream_pages(spark: SparkSession, folder: str, lang: str | None = None,
 
 
 def ingest(pages: DataFrame, path: str, checkpoint: str, options: Options = Options(),
-           languages: Languages | None = None, keep_running: bool = False) -> StreamingQuery:
+           languages: Languages | None = None, keep_running: bool = False, wikitype: Column | None = None,
+           metrics: str | None = None) -> StreamingQuery:
     """Convert a page stream into ``path/batch=…/kind=…``.
 
     A batch that is run again overwrites its own folder, so pages are stored
     once even after a failure. By default the query stops when it has read
-    what is there.
+    what is there. With ``metrics``, a folder of its own, each batch stores its
+    counts there as ``batch=…``; read them with ``run_metrics``.
     """
 
     def store(batch: DataFrame, batch_id: int) -> None:
-        (emitted_rows(batch, options, languages).write.mode("overwrite")
+        seen = Observation()
+        counted = batch.observe(seen, *_counts())
+        (emitted_rows(counted, options, languages, wikitype).write.mode("overwrite")
          .option("compression", COMPRESSION).partitionBy("kind").parquet(f"{path}/batch={batch_id}"))
+        if metrics is not None:
+            row = [F.lit(n).cast("long").alias(name) for name, n in seen.get.items()]
+            batch.sparkSession.range(1).select(*row).write.mode("overwrite").parquet(f"{metrics}/batch={batch_id}")
 
-    counted = pages.observe(
-        "pages", F.count("*").alias("pages"),
-        F.count_if(F.coalesce(F.col("redirect_to") != "", F.lit(False))).alias("redirects"),
-        F.sum(F.length("wikitext")).alias("characters"))
+    counted = pages.observe("pages", *_counts())
     writer = counted.writeStream.foreachBatch(store).option("checkpointLocation", checkpoint)
     return (writer if keep_running else writer.trigger(availableNow=True)).start()
 
@@ -81,6 +92,6 @@ class RunMetrics(StreamingQueryListener):
         pass
 
 
-def run_metrics(query: StreamingQuery) -> list[dict]:
-    """The same counts from a query's recent progress."""
-    return [_progress(p) for p in query.recentProgress]
+def run_metrics(spark: SparkSession, metrics: str) -> DataFrame:
+    """``batch, pages, redirects, characters`` of all batches ever run."""
+    return spark.read.option("basePath", metrics).parquet(metrics)
