@@ -153,6 +153,43 @@ def test_shards(spark, odd, none):
     assert sizes.max() - sizes.min() < 2000  # a hot group is cut, too; rows have up to 700 bytes
 
 
+def test_shards_of_several_pieces(spark):
+    """A third of the rows of one text, cut into far smaller pieces."""
+    rows = [(i, BASE if i % 3 == 0 else prose(20 + i % 40)) for i in range(3000)]
+    size = sum(len(t) + 8 for _, t in rows)
+    got = sharding.shard_bytes(spark.createDataFrame(rows, "doc_id long, text string"), 3, piece_bytes=-(-size // 57)).collect()
+    sizes = np.zeros(3, int)
+    for r in got:
+        sizes[r.shard] += r.size
+    assert len(got) == len(rows) and sizes.max() - sizes.min() < 2000
+    for shard in range(3):
+        slots = sorted(r.slot for r in got if r.shard == shard)
+        assert slots == list(range(len(slots)))
+
+
+@pytest.mark.parametrize("n_shards, per_shard", [(24, 19), (3, 19), (6, 4), (5, 1)])
+def test_cuts_inside_a_group(monkeypatch, n_shards, per_shard):
+    rng = np.random.default_rng(2)
+    keys = rng.integers(-(1 << 63), 1 << 63, 60_000)
+    hot = rng.random(60_000) < 1 / 3
+    keys[hot] = (keys[0] & ~((1 << 24) - 1)) | rng.integers(0, 1 << 24, hot.sum())
+    keys = np.sort(keys)
+    total, pieces = 700 * len(keys), n_shards * per_shard
+
+    def count_below(_, probes):
+        assert probes == sorted(set(probes))
+        rows = np.searchsorted(keys, np.array(probes, np.int64), side="left")
+        return 700 * rows, rows
+
+    monkeypatch.setattr(sharding, "count_below", count_below)
+    exact = {i * per_shard for i in range(1, n_shards)}
+    cuts, below = sharding.splitters(None, total, pieces, exact, int(total / n_shards * 0.001))
+    assert cuts == sorted(cuts) and below == np.searchsorted(keys, cuts).tolist()
+    ends = [0, *(below[i - 1] for i in sorted(exact)), len(keys)]
+    assert np.abs(np.diff(ends) - len(keys) / n_shards).max() <= 2 * max(1, len(keys) / n_shards * 0.001)
+    assert np.diff([0, *below, len(keys)]).max() <= 1.6 * len(keys) / pieces
+
+
 # --- op 5 ------------------------------------------------------------------
 
 def test_decontamination(spark, odd, none):

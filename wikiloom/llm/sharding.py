@@ -25,6 +25,8 @@ from wikiloom.shared import stored, unused
 ROW_BYTES = 8
 TOLERANCE = 0.001
 PROBES = 31
+#: Share of a piece by which a cut inside a shard may be off.
+INNER_TOLERANCE = 0.25
 #: Bytes in a piece about, and the most pieces of one sort: bounds what the driver holds.
 PIECE_BYTES, MAX_PIECES = 64 << 20, 1 << 16
 LOWEST, HIGHEST = -(1 << 63), (1 << 63) - 1
@@ -64,17 +66,22 @@ def splitters(keyed: DataFrame, total: int, n_pieces: int, exact: set[int], tole
     """Keys that cut ``keyed`` into pieces of near equal bytes, and the rows below each.
 
     Splitter ``i`` is to have ``i / n_pieces`` of the bytes below it. Those in
-    ``exact`` are refined until within ``tolerance``, or between neighbouring
-    keys; the others, cuts inside a shard, take the best probe of two rounds.
+    ``exact`` are refined until within ``tolerance``, the others, cuts inside a
+    shard, until within a share of a piece; either stops between neighbouring
+    keys. Each stays at its index, a cut between the exact ones around it.
     """
     goals = [total * i // n_pieces for i in range(1, n_pieces)]
+    within = [tolerance if i + 1 in exact else max(tolerance, int(total / n_pieces * INNER_TOLERANCE)) for i in range(len(goals))]
     low = {i: (LOWEST, 0, 0) for i in range(len(goals))}
     high = {i: (HIGHEST, total, None) for i in low}
     best: dict[int, tuple[int, int, int]] = {i: (total, LOWEST, 0) for i in low}
-    open_, rounds = set(low), 0
+    open_ = set(low)
     while open_:
-        probes = sorted({low[i][0] + (high[i][0] - low[i][0]) * j // (PROBES + 1) for i in open_ for j in range(1, PROBES + 1)}
-                        | {low[i][0] + 1 for i in open_ if high[i][0] > low[i][0] + 1})
+        sharp = {(low[i][0], high[i][0]) for i in open_ if i + 1 in exact}
+        rough = {(low[i][0], high[i][0]) for i in open_} - sharp
+        fewer = max(1, min(PROBES, MAX_PIECES // max(len(rough), 1)))  # bounds the probes of a round
+        probes = sorted({a + (b - a) * j // (n + 1) for bounds, n in ((sharp, PROBES), (rough, fewer)) for a, b in bounds for j in range(1, n + 1)}
+                        | {a + 1 for a, b in sharp | rough if b > a + 1})
         size, rows = count_below(keyed, probes)
         at = np.searchsorted(size, [goals[i] for i in sorted(open_)])
         for i, k in zip(sorted(open_), at):
@@ -85,14 +92,24 @@ def splitters(keyed: DataFrame, total: int, n_pieces: int, exact: set[int], tole
                 low[i] = (probes[k - 1], int(size[k - 1]), int(rows[k - 1]))
             if k < len(probes) and probes[k] < high[i][0]:
                 high[i] = (probes[k], int(size[k]), int(rows[k]))
-        rounds += 1
-        open_ = {i for i in open_ if best[i][0] > tolerance and high[i][0] - low[i][0] > 1 and high[i][1] > low[i][1]
-                 and (i + 1 in exact or rounds < 2)}
-    found = sorted((key, rows) for _, key, rows in best.values())
+        open_ = {i for i in open_ if best[i][0] > within[i] and high[i][0] - low[i][0] > 1 and high[i][1] > low[i][1]}
+    found = _in_order([best[i][1:] for i in range(len(goals))], exact)
     return [key for key, _ in found], [rows for _, rows in found]
 
 
-def shard_bytes(docs: DataFrame, n_shards: int = 24, tolerance: float = TOLERANCE) -> DataFrame:
+def _in_order(found: list[tuple[int, int]], exact: set[int]) -> list[tuple[int, int]]:
+    """Key and rows of each splitter, rising; those in ``exact`` keep their index, the others lie between them."""
+    ends = [i - 1 for i in sorted(exact)]
+    fixed = dict(zip(ends, sorted(found[i] for i in ends)))
+    out, least = [], (LOWEST, 0)
+    for start, end in zip([0, *(i + 1 for i in ends)], [*ends, len(found)]):
+        out += [max(least, min(cut, fixed.get(end, cut))) for cut in sorted(found[start:end])]
+        if end in fixed:
+            out.append(least := fixed[end])
+    return out
+
+
+def shard_bytes(docs: DataFrame, n_shards: int = 24, tolerance: float = TOLERANCE, piece_bytes: int = PIECE_BYTES) -> DataFrame:
     """The rows of ``docs`` with ``size, text_crc32, shard, slot`` (these replace columns of such names).
 
     ``size``: UTF-8 bytes plus 8. Shards 0 to ``n_shards - 1`` hold near equal
@@ -100,12 +117,12 @@ def shard_bytes(docs: DataFrame, n_shards: int = 24, tolerance: float = TOLERANC
     than that; rows that agree in ``doc_id`` and text stay together. ``slot``
     counts a shard's rows from 0 without gaps. A null text counts as empty
     (size 8, crc 0); null ids are allowed; repeated rows get a slot each. An empty table
-    gives no rows.
+    gives no rows. A task sorts ``piece_bytes`` about, more where rows repeat.
     """
     text = F.col("text").cast("string")
     keyed = stored(docs.select(key_of(F.col("doc_id"), text).alias("key"), size_of(text).alias("size")), "keys")
     total = keyed.agg(F.coalesce(F.sum("size"), F.lit(0))).first()[0]
-    per_shard = max(1, min(MAX_PIECES // n_shards, -(-total // (n_shards * PIECE_BYTES))))
+    per_shard = max(1, min(MAX_PIECES // n_shards, -(-total // (n_shards * piece_bytes))))
     exact = {i * per_shard for i in range(1, n_shards)}
     keys, below = splitters(keyed, total, n_shards * per_shard, exact, int(total / n_shards * tolerance)) if total else ([], [])
     first = [0, *below]  # rows before each piece
