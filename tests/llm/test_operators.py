@@ -8,6 +8,7 @@ import random
 import numpy as np
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from wikiloom.llm import (decontaminate, host_rules, language, mixing, quality_gam, secrets, sharding, simhash, substring,
@@ -396,6 +397,20 @@ def test_repeats(spark, odd, none):
     assert multiset(tuple(r)[:4] for r in substring.remove_repeats(docs).collect()) == multiset(by_hand(rows))
 
 
+def test_places_do_not_grow_with_copies(spark):
+    """A hot text that shares a passage with others: one place each, in a pool, over pools and in the lists."""
+    hot = PASSAGE + " " + prose(60)
+    rows = [(i, hot if i % 3 else prose(30) + " " + PASSAGE) for i in range(300)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").withColumn("version", F.xxhash64("text"))
+    one_pool = substring.repeated_anchors(docs.coalesce(1))
+    assert one_pool.count() == one_pool.distinct().count() > 0
+    lists = {r.version: r.places for r in substring.anchor_places(docs.repartition(5)).collect()}
+    assert len(lists) == 101 and all(len(p) == len(set(p)) <= 150 for p in lists.values())
+    dealt = docs.where("doc_id = 0").select("doc_id", "text", *substring._keys(F.col("doc_id")))
+    places = dealt.select("row", "short", F.explode(F.array_repeat(F.lit(3), 1000)).alias("place"))
+    assert [r.places for r in substring._with(dealt, places).collect()] == [[3]]
+
+
 def test_cover_aligns_every_pair():
     n = substring.PERIOD
     for i in range(n):

@@ -99,8 +99,8 @@ def _anchors(buckets: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.R
 
     Of anchors that repeat inside a pool one is sent to its bucket and marked as
     known; the others go to any bucket with a running number for a hash, so a
-    passage that most documents share makes one anchor per pool there. Those of
-    equal texts at equal places tell nothing and are left out. 48 bits of a hash
+    passage that most documents share makes one anchor per pool there. Of equal
+    texts at equal places one stands for all. 48 bits of a hash
     and its bucket are enough, since an anchor only rules windows in.
     """
     def read(words: list[bytes], _) -> list[np.ndarray]:
@@ -118,9 +118,9 @@ def _anchors(buckets: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.R
             group = np.cumsum(~again) - 1
             differs = np.zeros(group[-1] + 1, bool)
             differs[group[again & ~copied]] = True  # at another place or in another text
-            alone, known = np.empty(len(order), bool), np.empty(len(order), bool)
-            alone[order], known[order] = again, differs[group]
-            useful = ~alone | known
+            alone, known, copied_at = (np.empty(len(order), bool) for _ in range(3))
+            alone[order], known[order], copied_at[order] = again, differs[group], copied
+            useful = ~alone | (known & ~copied_at)
             number = np.arange(len(keys)).astype(np.uint64)
             keys = np.where(alone, number, keys)[useful]
             version, marked = version[useful], (places * 2 + known)[useful].astype(np.uint32)
@@ -180,6 +180,11 @@ def repeated_anchors(docs: DataFrame) -> DataFrame:
     return parcels.repartition(buckets, "bucket").sortWithinPartitions("bucket").mapInArrow(_repeated, "version long, place int")
 
 
+def anchor_places(docs: DataFrame) -> DataFrame:
+    """``version, places``: each repeated anchor's place once, however many copies a text has."""
+    return repeated_anchors(docs).groupBy("version").agg(F.collect_set("place").alias("places"))
+
+
 def text_classes(docs: DataFrame) -> DataFrame:
     """``version, first, n``: the smallest id and the rows of each text."""
     return docs.groupBy("version").agg(F.min(F.struct("doc_id")).alias("first"), F.count("*").alias("n"))
@@ -252,8 +257,7 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     classes = stored(text_classes(narrow), "texts")
     copies = (narrow.join(classes.where("n > 1"), "version").where(F.struct("doc_id") > F.col("first"))
               .select(*_keys(F.col("doc_id")), F.lit(COPY).alias("place")))
-    anchors = repeated_anchors(docs).groupBy("version").agg(F.collect_list("place").alias("places"))
-    first_rows = anchors.join(classes, "version").select(*_keys(F.col("first.doc_id")), F.explode("places").alias("place"))
+    first_rows = anchor_places(docs).join(classes, "version").select(*_keys(F.col("first.doc_id")), F.explode("places").alias("place"))
     schema = T.StructType([T.StructField("h1", T.LongType()), T.StructField("h2", T.IntegerType()), docs.schema["doc_id"],
                            T.StructField("short", T.IntegerType()), T.StructField("start_later", T.LongType())])
     windows = _with(dealt, first_rows.unionByName(copies)).mapInArrow(_windows, schema)
@@ -273,6 +277,6 @@ def _keys(doc_id: Column) -> list[Column]:
 
 
 def _with(dealt: DataFrame, places: DataFrame) -> DataFrame:
-    """The documents with the list of their places, null where there is none."""
-    lists = places.groupBy("row", "short").agg(F.collect_list("place").alias("places"))
+    """The documents with the list of their places, each once, null where there is none."""
+    lists = places.groupBy("row", "short").agg(F.collect_set("place").alias("places"))
     return dealt.join(lists, ["row", "short"], "left").select("doc_id", "short", "text", "places")
