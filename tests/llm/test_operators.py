@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import random
+import tracemalloc
 
 import numpy as np
 import pytest
@@ -366,6 +367,18 @@ def test_links_find_every_component(spark):
     assert all(len(g) == 1 for g in groups.values()) and len(groups) == len(set(root.tolist()))
 
 
+def test_large_buckets_are_compared_in_blocks():
+    rng = np.random.default_rng(13)
+    fps = rng.integers(0, 2 ** 63, 6000, dtype=np.uint64)
+    fps[3000:3200] = fps[:200] ^ np.uint64(1)  # in another block than its partner
+    tracemalloc.start()
+    a, b = simhash.bucket_links(fps, 0)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert {(int(x), int(y)) for x, y in zip(a, b)} == {(int(x) ^ 1, int(x)) for x in fps[:200]}
+    assert peak < 64e6
+
+
 # --- op 10 -----------------------------------------------------------------
 
 def test_repeats(spark, odd, none):

@@ -34,7 +34,7 @@ SHINGLE = 3
 SEED = 42
 #: Bits by which chains of 1, 2, ... 8 segments may differ.
 BUDGETS = [MAX_DISTANCE * n // SEGMENTS for n in range(1, SEGMENTS + 1)]
-#: Hashes whose bits are counted at once, and rows of a bucket compared at once.
+#: Hashes whose bits are counted at once, and rows and columns of a bucket compared at once.
 CHUNK, BLOCK = 1 << 16, 1024
 
 
@@ -99,9 +99,9 @@ def within_budgets(differing: np.ndarray, start: int) -> np.ndarray:
 def bucket_links(fps: np.ndarray, start: int) -> tuple[np.ndarray, np.ndarray]:
     """Links that connect what is connected within a bucket: at most one a row."""
     root = np.arange(len(fps))
-    for low in range(0, len(fps), BLOCK):
-        rows, columns = np.nonzero(within_budgets(fps[low:low + BLOCK, None] ^ fps[None, low:], start))
-        a, b = root[rows + low], root[columns + low]
+    for low, left in ((x, y) for x in range(0, len(fps), BLOCK) for y in range(x, len(fps), BLOCK)):
+        rows, columns = np.nonzero(within_budgets(fps[low:low + BLOCK, None] ^ fps[None, left:left + BLOCK], start))
+        a, b = root[rows + low], root[columns + left]
         while (open_ := a != b).any():
             a, b = a[open_], b[open_]
             np.minimum.at(root, np.maximum(a, b), np.minimum(a, b))
