@@ -344,6 +344,14 @@ def test_near_duplicates(odd, none):
     assert {r.doc_id for r in kept.collect()} == {w[0] for w in want if w[0] is None or w[0] == w[2]}
 
 
+def test_one_row_stays_whatever_its_id(spark):
+    texts = [prose(200) for _ in range(3)]
+    near = texts[0].replace(" ", "  ")  # another text with the same fingerprint
+    rows = [(4, texts[0]), (None, near), (None, texts[0]), (None, texts[1]), (None, texts[1]), (None, texts[1].replace(" ", "\n")), (None, texts[2])]
+    kept = simhash.keep_one(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert multiset((r.doc_id, " ".join(r.text.split())) for r in kept) == multiset([(4, texts[0]), (None, texts[1]), (None, texts[2])])
+
+
 def test_links_find_every_component(spark):
     rng = np.random.default_rng(11)
     seeds = rng.integers(0, 2 ** 63, 40, dtype=np.uint64)

@@ -152,28 +152,35 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     keep their row. Only ``doc_id`` and ``text`` are read; ``version`` is the
     XXH64 of the text and tells rows of one id apart.
     """
+    return _grouped(docs).select(
+        "doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id", "version")
+
+
+def _grouped(docs: DataFrame) -> DataFrame:
+    """``doc_id, version, fp, component_id, least_version``; the last is the smallest text hash of the component."""
     hashed = stored(fingerprints(docs), "fingerprints")
-    groups = hashed.groupBy("fp").agg(F.min("doc_id").alias("smallest"))
+    groups = hashed.groupBy("fp").agg(F.min("doc_id").alias("smallest"), F.min("version").alias("least"))
     roots = components(links(groups.select("fp")))
     joined = groups.join(roots, groups["fp"] == roots["node"], "left").select(
-        "fp", "smallest", F.coalesce("root", "fp").alias("root"))
-    lowest = joined.groupBy("root").agg(F.min("smallest").alias("component_id"))
-    ids = joined.join(lowest, "root").select("fp", "component_id")
-    return hashed.join(ids, "fp").select(
-        "doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id", "version")
+        "fp", "smallest", "least", F.coalesce("root", "fp").alias("root"))
+    lowest = joined.groupBy("root").agg(F.min("smallest").alias("component_id"), F.min("least").alias("least_version"))
+    ids = joined.join(lowest, "root").select("fp", "component_id", "least_version")
+    return hashed.join(ids, "fp").select("doc_id", "version", "fp", "component_id", "least_version")
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` without those that have a near duplicate with a smaller ``doc_id``.
 
-    Of rows repeated with id and text one stays. Rows without ``doc_id`` stay.
+    Of rows repeated with id and text one stays. A null ``doc_id`` comes after all
+    others; of a component of such rows alone the text with the smallest hash stays.
     """
-    judged = stored(near_duplicates(docs).select("doc_id", "version", (F.col("doc_id") != F.col("component_id")).alias("later")),
-                    "near")
+    later = F.when(F.col("component_id").isNull(), F.col("version") != F.col("least_version")).otherwise(
+        ~F.col("doc_id").eqNullSafe(F.col("component_id")))
+    judged = stored(_grouped(docs).select("doc_id", "version", later.alias("later")), "near")
     i, v, mine = (unused(docs, name) for name in ("_id", "_version", "_own_version"))
     gone = judged.where("later").select(F.col("doc_id").alias(i), F.col("version").alias(v)).distinct()
     marked = docs.withColumn(mine, F.xxhash64(F.col("text").cast("string")))
-    kept = marked.join(gone, (F.col("doc_id") == F.col(i)) & (F.col(mine) == F.col(v)), "left_anti")
+    kept = marked.join(gone, F.col("doc_id").eqNullSafe(F.col(i)) & (F.col(mine) == F.col(v)), "left_anti")
     if judged.groupBy("doc_id", "version").count().where("count > 1").head(1):
         kept = kept.dropDuplicates(["doc_id", mine])
     return kept.drop(mine)
