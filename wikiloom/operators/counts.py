@@ -25,7 +25,7 @@ def link_counts(links: DataFrame) -> DataFrame:
     return links.groupBy("target").agg(F.count("*").alias("n_links"))
 
 
-def _starts(buckets: DataFrame, width: int, levels: int) -> DataFrame:
+def bucket_starts(buckets: DataFrame, width: int, levels: int) -> DataFrame:
     """``_bucket, _start``: the sum of ``_n`` over all smaller buckets.
 
     Buckets are summed in wider ones, ``levels`` times, so that each window
@@ -35,7 +35,7 @@ def _starts(buckets: DataFrame, width: int, levels: int) -> DataFrame:
         before = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
         return buckets.select("_bucket", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
     wide = buckets.withColumn("_wide", F.expr(f"(_bucket - pmod(_bucket, {width}L)) div {width}L"))
-    above = _starts(wide.groupBy(F.col("_wide").alias("_bucket")).agg(F.sum("_n").alias("_n")), width, levels - 1)
+    above = bucket_starts(wide.groupBy(F.col("_wide").alias("_bucket")).agg(F.sum("_n").alias("_n")), width, levels - 1)
     before = Window.partitionBy("_wide").orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     return (wide.join(above.select(F.col("_bucket").alias("_wide"), F.col("_start").alias("_above")), "_wide")
             .select("_bucket", (F.col("_above") + F.coalesce(F.sum("_n").over(before), F.lit(0))).alias("_start")))
@@ -58,7 +58,7 @@ def running_count(df: DataFrame, flag: Column, name: str, order: str = "page_id"
         span, levels = span // width, levels + 1
     bucketed = df.withColumn("_bucket", F.expr(f"({order} - pmod({order}, {width}L)) div {width}L")).withColumn(
         "_flag", F.when(flag, 1).otherwise(0).cast("long"))
-    starts = _starts(bucketed.groupBy("_bucket").agg(F.sum("_flag").alias("_n")), width, levels)
+    starts = bucket_starts(bucketed.groupBy("_bucket").agg(F.sum("_flag").alias("_n")), width, levels)
     inside = Window.partitionBy("_bucket").orderBy(order)
     upto = F.sum("_flag").over(inside.rowsBetween(Window.unboundedPreceding, 0))
     once = F.when(F.lag(order).over(inside) == F.col(order), F.raise_error(
