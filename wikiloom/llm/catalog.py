@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wikiloom.llm import (decontaminate, host_rules, language, mixing, quality_gam, secrets, sharding, simhash, substring,
-                          warc)
+from wikiloom.llm import (decontaminate, divergence, host_rules, language, mixing, quality_gam, secrets, sharding,
+                          simhash, substring, warc)
 from wikiloom.shared import new_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -154,3 +154,36 @@ def op9_simhash(spark, sf_dir):
     "sha256(coalesce(words, '')) AS kept_sha256 FROM d LEFT JOIN kept USING (rid)")
 def op10_substring(spark, sf_dir):
     return substring.remove_repeats(_table(spark, sf_dir, "documents")).drop("kept")
+
+
+def _divergence_sql() -> str:
+    def chance(n: str, total: str) -> str:
+        return f"1 + (CAST({divergence.SCALE} AS HUGEINT) * ({n} + 1)) // ({total} + v)"
+    ranked = "CAST(row_number() OVER (PARTITION BY lang, source ORDER BY value DESC, item) AS INTEGER) AS rank"
+    upper = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+    return (
+        "WITH d AS (SELECT row_number() OVER () AS rid, coalesce(lang, '') AS lang, coalesce(source, '') AS source, "
+        "coalesce(text, '') AS t FROM documents), "
+        f"w AS (SELECT rid, lang, source, unnest(regexp_extract_all(translate(t, '{upper}', '{upper.lower()}'), "
+        r"'[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM d), "
+        f"k AS (SELECT lang, term, count(*) AS total FROM w GROUP BY ALL HAVING count(DISTINCT rid) >= {divergence.MIN_DOCS}), "
+        "l AS (SELECT lang, count(*) AS v, sum(total) AS nl FROM k GROUP BY lang), "
+        "c AS (SELECT lang, source, term, count(*) AS n FROM w SEMI JOIN k USING (lang, term) GROUP BY ALL), "
+        "g AS (SELECT lang, source, coalesce((SELECT sum(n) FROM c WHERE c.lang = x.lang AND c.source = x.source), 0) AS ng "
+        "FROM (SELECT DISTINCT lang, source FROM d) AS x), "
+        f"p AS (SELECT g.lang, g.source, k.term, coalesce(n, 0) AS n, {chance('coalesce(n, 0)', 'ng')} AS p, "
+        f"{chance('total', 'nl')} AS q FROM g JOIN l ON g.lang = l.lang JOIN k ON g.lang = k.lang "
+        "LEFT JOIN c ON c.lang = g.lang AND c.source = g.source AND c.term = k.term), "
+        "s AS (SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // b.p) AS value "
+        "FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL), "
+        "r AS (SELECT a.lang, a.source, 'pair' AS part, b.source AS item, CAST(coalesce(value, 0) AS BIGINT) AS value "
+        "FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source "
+        "LEFT JOIN s ON s.lang = a.lang AND s.source = a.source AND s.item = b.source), "
+        "t AS (SELECT lang, source, 'term' AS part, term AS item, CAST((p - q) * (p - q) // q AS BIGINT) AS value "
+        "FROM p WHERE n > 0 AND p > q) "
+        f"SELECT *, {ranked} FROM r UNION ALL SELECT * FROM (SELECT *, {ranked} FROM t) WHERE rank <= {divergence.TOP_TERMS}")
+
+
+@query(_divergence_sql())
+def op11_divergence(spark, sf_dir):
+    return divergence.audit(_table(spark, sf_dir, "documents"))
