@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wikiloom.llm import (decontaminate, divergence, host_rules, language, mixing, quality_gam, secrets, sharding,
-                          simhash, substring, warc)
+from wikiloom.llm import (decontaminate, divergence, host_rules, language, mixing, prefix_trie, quality_gam, secrets,
+                          sharding, simhash, substring, warc)
 from wikiloom.shared import new_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -187,3 +187,33 @@ def _divergence_sql() -> str:
 @query(_divergence_sql())
 def op11_divergence(spark, sf_dir):
     return divergence.audit(_table(spark, sf_dir, "documents"))
+
+
+def _trie_sql() -> str:
+    # CRC-32 of the decimal digits, bit by bit.
+    bit = "CASE WHEN r & 1 = 1 THEN xor(r >> 1, 3988292384) ELSE r >> 1 END"
+    byte = f"list_reduce(list_prepend(xor(c, ascii(x)), [CAST(0 AS BIGINT) FOR i IN range(8)]), lambda r, i: {bit})"
+    crc = (f"xor(list_reduce(list_prepend(CAST(4294967295 AS BIGINT), [CAST(ascii(x) AS BIGINT) FOR x IN string_split(CAST(conv_id AS VARCHAR), '')]), "
+           f"lambda c, a: {byte.replace('ascii(x)', 'a')}), 4294967295)")
+    n = prefix_trie.HEADS
+    return (
+        "WITH t AS (SELECT conv_id, list(struct_pack(role := coalesce(role, ''), text := coalesce(text, '')) "
+        "ORDER BY turn NULLS FIRST, role, text) AS l FROM conversations WHERE conv_id IS NOT NULL GROUP BY conv_id), "
+        f"h AS (SELECT conv_id, l, {crc} % {n} AS h FROM t), "
+        f"r AS (SELECT h.conv_id, list_concat(coalesce(b.l[1:h.h], []), h.l[h.h + 1:]) AS l FROM h "
+        f"LEFT JOIN t b ON b.conv_id = h.conv_id - h.conv_id % {prefix_trie.FAMILY}), "
+        "p AS (SELECT conv_id, d, l[1:d] AS k, d = len(l) AS last FROM (SELECT conv_id, l, unnest(range(0, len(l) + 1)) AS d FROM r)), "
+        "g AS (SELECT k, d, min(conv_id) AS conv_id, count(*) AS n_convs, "
+        "sha256(coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (WHERE last), '')) AS ends_sha256 FROM p GROUP BY k, d), "
+        "c AS (SELECT k[1:d - 1] AS k, count(*) AS n_children FROM g WHERE d > 0 GROUP BY 1), "
+        "o AS (SELECT g.*, coalesce(n_children, 0) AS n_children, "
+        "CASE WHEN d = 0 THEN 0 ELSE (n_convs - 1) * octet_length(encode(g.k[d].text)) END AS saved FROM g LEFT JOIN c ON c.k = g.k), "
+        "a AS (SELECT k[1:e] AS k, count(*) FILTER (WHERE n_children = 0) AS n_leaves, sum(saved) AS saved_tokens "
+        "FROM (SELECT *, unnest(range(0, d + 1)) AS e FROM o) GROUP BY 1) "
+        "SELECT o.conv_id, CAST(o.d AS BIGINT) AS depth, q.conv_id AS parent_conv_id, o.n_convs, o.n_children, n_leaves, "
+        "CAST(saved_tokens AS BIGINT) AS saved_tokens, o.ends_sha256 FROM o JOIN a ON a.k = o.k LEFT JOIN g q ON q.d = o.d - 1 AND q.k = o.k[1:o.d - 1]")
+
+
+@query(_trie_sql())
+def op12_prefix_trie(spark, sf_dir):
+    return prefix_trie.trie(_table(spark, sf_dir, "conversations"))
