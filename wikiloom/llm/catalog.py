@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wikiloom.llm import (decontaminate, divergence, host_rules, language, mixing, prefix_trie, quality_gam, secrets,
-                          sharding, simhash, substring, warc)
+                          sharding, simhash, substring, token_store, warc)
 from wikiloom.shared import new_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -217,3 +217,13 @@ def _trie_sql() -> str:
 @query(_trie_sql())
 def op12_prefix_trie(spark, sf_dir):
     return prefix_trie.trie(_table(spark, sf_dir, "conversations"))
+
+
+@query()
+def op13_token_store(spark, sf_dir):
+    import public_tokenizers
+
+    with open(public_tokenizers.path("byte_bpe_50k.json"), encoding="utf-8") as file:
+        tokenizer = file.read()
+    return token_store.round_trip(_table(spark, sf_dir, "documents"), tokenizer).select(
+        "doc_id", "start", F.floor(F.octet_length("ids") / 4).alias("n_tokens"), F.crc32("ids").alias("ids_crc32"))
