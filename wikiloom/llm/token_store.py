@@ -46,13 +46,17 @@ STEP_CHARS, KNOWN_BYTES = 1_000_000, 128 << 20
 class Encoder:
     """Ids of texts as little-endian bytes, 2 or 4 an id, equal to what the library gives for the whole text.
 
-    Where the tokenizer cuts a text at white space before it merges bytes, a
-    space before other text always begins a new part; such pieces are encoded
-    once and remembered. Other tokenizers, and texts that spell a special
-    token, get whole texts.
+    Where the tokenizer cuts a text into parts before it merges bytes, text is
+    cut here at places that always lie between two parts: before the last
+    white space ahead of other text, after it unless it is a space, and before
+    end punctuation that follows a letter. Such pieces are encoded once and
+    remembered. Other tokenizers, and texts that spell a special token, get
+    whole texts.
     """
 
-    _CUT, _UNUSUAL = re.compile(r"(?= \S)"), re.compile(r" (?:\s|\Z)")
+    _SPACE = "[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]"
+    _RUNS, _UNUSUAL = re.compile(f"({_SPACE}+)"), re.compile(rf"{_SPACE}{{2}}|(?![ \n]){_SPACE}|\A{_SPACE}|{_SPACE}\Z")
+    _STOPS = ".,;:!?"
 
     def __init__(self, tokenizer_json: str) -> None:
         import os
@@ -62,7 +66,8 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_str(tokenizer_json)
         self.dtype = id_type(tokenizer_json)
-        self.end = np.array([END_ID], self.dtype).tobytes()
+        self.code = {"<u2": "H", "<u4": "I"}[self.dtype]
+        self.end = struct.pack(f"<{self.code}", END_ID)
         spec = json.loads(tokenizer_json)
         cut = spec.get("pre_tokenizer") or {}
         self.cuts = (spec.get("normalizer") is None and cut.get("type") == "ByteLevel" and cut.get("use_regex", True)
@@ -71,19 +76,46 @@ class Encoder:
         self.known: dict[str, bytes] = {}
         self.held = 0
 
-    def _learn(self, pieces: list[str]) -> None:
-        for piece, found in zip(pieces, self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)):
-            ids = np.array(found.ids, self.dtype).tobytes()
-            self.known[piece] = ids
-            self.held += len(piece) + len(ids) + 200
+    def _remember(self, piece: str, ids: bytes) -> None:
+        self.known[piece] = ids
+        self.held += len(piece) + len(ids) + 200
+
+    def _stem(self, piece: str) -> str:
+        """The piece without end punctuation, if a letter or digit of the Latin blocks stands before that."""
+        stem = piece.rstrip(self._STOPS) if self.cuts else piece
+        return stem if stem and stem[-1] < "\u0250" and stem[-1].isalnum() else piece
+
+    def _learn(self, pieces: set[str]) -> None:
+        stems = {piece: self._stem(piece) for piece in pieces}
+        parts = {part for piece, stem in stems.items() for part in (stem, piece[len(stem):]) if part}
+        new = list(parts - self.known.keys())
+        for part, found in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False)):
+            ids = found.ids
+            self._remember(part, struct.pack(f"<{len(ids)}{self.code}", *ids))
+        for piece, stem in stems.items():
+            if stem != piece:
+                self._remember(piece, self.known[stem] + self.known[piece[len(stem):]])
 
     def _pieces(self, text: str) -> list[str]:
         if not self.cuts or any(token in text for token in self.special):
             return [text]
-        if self._UNUSUAL.search(text):
-            return self._CUT.split(text)
-        first, *rest = text.split(" ")
-        return [first, *[" " + part for part in rest]]
+        out: list[str] = []
+        if not self._UNUSUAL.search(text):
+            for line in text.split("\n"):
+                first, *rest = line.split(" ")
+                out += ["\n", first, *[" " + part for part in rest]]
+            return out[1:]
+        words = self._RUNS.split(text)
+        for i in range(1, len(words) - 1, 2):
+            run = words[i]
+            if words[i + 1]:  # all of the run but its last character is one part
+                out += [run[:-1]] if len(run) > 1 else []
+                words[i + 1] = " " + words[i + 1] if run[-1] == " " else words[i + 1]
+                out += [] if run[-1] == " " else [run[-1]]
+            else:
+                out.append(run)
+            out.append(words[i + 1])
+        return [piece for piece in [words[0], *out] if piece]
 
     def encode(self, texts: list[str | None]) -> Iterator[bytes]:
         start = 0
@@ -97,7 +129,7 @@ class Encoder:
                 self.known, self.held = {}, 0
             new = set().union(*cut) - self.known.keys()
             if new:
-                self._learn(list(new))
+                self._learn(new)
             for pieces in cut:
                 yield b"".join(map(self.known.__getitem__, pieces)) + self.end
             start = end
