@@ -194,9 +194,9 @@ def test_encoder_equals_library(tokenizer_json):
     library, encoder = Tokenizer.from_str(tokenizer_json), token_store.Encoder(tokenizer_json)
     alphabet = list("ab é1.'\n\t  \x1c") + [" "] * 6
     texts = TEXTS + ["".join(RNG.choice(alphabet) for _ in range(RNG.randint(1, 40))) for _ in range(3000)]
-    for text, data in zip(texts, encoder.encode(texts), strict=True):
+    for text in texts:
         want = library.encode(text or "", add_special_tokens=False).ids + [0]
-        assert np.frombuffer(data, encoder.dtype).tolist() == want, repr(text)
+        assert np.frombuffer(encoder.encode(text), encoder.dtype).tolist() == want, repr(text)
 
 
 def test_round_trip(spark, tokenizer_json):

@@ -15,6 +15,7 @@ import re
 import struct
 import uuid
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -37,26 +38,25 @@ MAGIC, HEADER, HEADER_BYTES = b"TIDS", "<4sI", 8
 BUCKET_KEYS = 32_768
 #: Unread bytes that a ranged read may span, and its size about; bytes of ids that a reading task gets.
 GAP, RANGE_BYTES, TASK_BYTES = 64 << 10, 4 << 20, 64 << 20
-#: Characters of text encoded at a time, and bytes of known pieces that an encoder keeps.
-STEP_CHARS, KNOWN_BYTES = 1_000_000, 128 << 20
+#: Bytes of known pieces that an encoder keeps, and those of an entry beside its content.
+KNOWN_BYTES, ENTRY_BYTES = 224 << 20, 200
 
 
 # --- encoding --------------------------------------------------------------
 
-class Encoder:
+class Encoder(dict):
     """Ids of texts as little-endian bytes, 2 or 4 an id, equal to what the library gives for the whole text.
 
     Where the tokenizer cuts a text into parts before it merges bytes, text is
     cut here at places that always lie between two parts: before the last
     white space ahead of other text, after it unless it is a space, and before
     end punctuation that follows a letter. Such pieces are encoded once and
-    remembered. Other tokenizers, and texts that spell a special token, get
+    remembered: this is the dictionary of pieces to ids. Other tokenizers, and texts that spell a special token, get
     whole texts.
     """
 
     _SPACE = "[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]"
-    _RUNS, _UNUSUAL = re.compile(f"({_SPACE}+)"), re.compile(rf"{_SPACE}{{2}}|(?![ \n]){_SPACE}|\A{_SPACE}|{_SPACE}\Z")
-    _STOPS = ".,;:!?"
+    _RUNS, _STOPS, _BETWEEN = re.compile(f"({_SPACE}+)"), ".,;:!?", "\0"
 
     def __init__(self, tokenizer_json: str) -> None:
         import os
@@ -73,38 +73,30 @@ class Encoder:
         self.cuts = (spec.get("normalizer") is None and cut.get("type") == "ByteLevel" and cut.get("use_regex", True)
                      and not cut.get("add_prefix_space") and spec.get("post_processor") is None)
         self.special = [t["content"] for t in spec.get("added_tokens", [])]
-        self.known: dict[str, bytes] = {}
         self.held = 0
 
-    def _remember(self, piece: str, ids: bytes) -> None:
-        self.known[piece] = ids
-        self.held += len(piece) + len(ids) + 200
-
-    def _stem(self, piece: str) -> str:
-        """The piece without end punctuation, if a letter or digit of the Latin blocks stands before that."""
+    def __missing__(self, piece: str) -> bytes:
         stem = piece.rstrip(self._STOPS) if self.cuts else piece
-        return stem if stem and stem[-1] < "\u0250" and stem[-1].isalnum() else piece
-
-    def _learn(self, pieces: set[str]) -> None:
-        stems = {piece: self._stem(piece) for piece in pieces}
-        parts = {part for piece, stem in stems.items() for part in (stem, piece[len(stem):]) if part}
-        new = list(parts - self.known.keys())
-        for part, found in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False)):
-            ids = found.ids
-            self._remember(part, struct.pack(f"<{len(ids)}{self.code}", *ids))
-        for piece, stem in stems.items():
-            if stem != piece:
-                self._remember(piece, self.known[stem] + self.known[piece[len(stem):]])
+        # A letter or digit of the Latin blocks ends a part where end punctuation follows.
+        if stem != piece and stem and stem[-1] < "\u0250" and stem[-1].isalnum():
+            data = self[stem] + self[piece[len(stem):]]
+        else:
+            ids = self.tokenizer.encode(piece, add_special_tokens=False).ids
+            data = struct.pack(f"<{len(ids)}{self.code}", *ids)
+        self.held += ENTRY_BYTES + len(piece) + len(data)
+        if self.held > KNOWN_BYTES:
+            self.clear()
+            self.held = 0
+        self[piece] = data
+        return data
 
     def _pieces(self, text: str) -> list[str]:
         if not self.cuts or any(token in text for token in self.special):
             return [text]
+        apart = self._BETWEEN
+        if text.split() == text.replace("\n", " ").split(" ") and apart not in text:  # no white space but single " " and "\n" inside
+            return text.replace("\n", f"{apart}\n{apart}").replace(" ", f"{apart} ").split(apart)
         out: list[str] = []
-        if not self._UNUSUAL.search(text):
-            for line in text.split("\n"):
-                first, *rest = line.split(" ")
-                out += ["\n", first, *[" " + part for part in rest]]
-            return out[1:]
         words = self._RUNS.split(text)
         for i in range(1, len(words) - 1, 2):
             run = words[i]
@@ -117,22 +109,14 @@ class Encoder:
             out.append(words[i + 1])
         return [piece for piece in [words[0], *out] if piece]
 
-    def encode(self, texts: list[str | None]) -> Iterator[bytes]:
-        start = 0
-        while start < len(texts):
-            end, chars = start, 0
-            while end < len(texts) and chars < STEP_CHARS:
-                chars += len(texts[end] or "")
-                end += 1
-            cut = [self._pieces(text) if text else [] for text in texts[start:end]]
-            if self.held > KNOWN_BYTES:
-                self.known, self.held = {}, 0
-            new = set().union(*cut) - self.known.keys()
-            if new:
-                self._learn(new)
-            for pieces in cut:
-                yield b"".join(map(self.known.__getitem__, pieces)) + self.end
-            start = end
+    def encode(self, text: str | None) -> bytes:
+        return b"".join(map(self.__getitem__, self._pieces(text))) + self.end if text else self.end
+
+
+@lru_cache(maxsize=1)
+def encoder_of(tokenizer_json: str) -> Encoder:
+    """Kept by the Python worker, so that its next task knows the pieces of the last one."""
+    return Encoder(tokenizer_json)
 
 
 def id_type(tokenizer_json: str) -> str:
@@ -166,7 +150,7 @@ def write_shards(docs: DataFrame, path: str, tokenizer_json: str, shard_bytes: i
     shared = docs.sparkSession.sparkContext.broadcast(tokenizer_json)  # a vocabulary file of a few MB
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, (store, place), out = Encoder(shared.value), fs.FileSystem.from_uri(folder), None
+        encoder, (store, place), out = encoder_of(shared.value), fs.FileSystem.from_uri(folder), None
         width = int(encoder.dtype[-1])
         shard, name, at, ends = TaskContext.get().partitionId(), f"{uuid.uuid4().hex}.ids", 0, []
         for batch in batches:
@@ -175,7 +159,8 @@ def write_shards(docs: DataFrame, path: str, tokenizer_json: str, shard_bytes: i
                 out = store.open_output_stream(f"{place}/{name}", compression=None)
                 out.write(struct.pack(HEADER, MAGIC, width))
             first, offsets, lengths = len(ends), [], []
-            for data in encoder.encode(batch.column("text").to_pylist()):
+            for text in batch.column("text"):
+                data = encoder.encode(text.as_py())
                 out.write(data)
                 offsets.append(at)
                 lengths.append(len(data) // width)
