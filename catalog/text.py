@@ -375,3 +375,12 @@ _ALL_TEMPLATES = sum((t + ("= ; ",) for _, _, t, _ in _ALL), ())
 _ALL_EXPECTED = sum((e + ("= ; ",) for _, _, _, e in _ALL), ())
 add_french("f20_translate_fr", R.translate_fr, _ALL_TEMPLATES, _ALL_EXPECTED)
 add_french("f20_translate_by_template", lambda t: C.apply_rules(t, F.lit("fr")), _ALL_TEMPLATES, _ALL_EXPECTED)
+
+_DEPTH = 12
+add_french("f20_deep_templates", lambda t: C.apply_rules(t, F.lit("fr")),
+           ("={{box|" + "{{nobr|" * _DEPTH + "{{date|1|mai|", _Y, "=}}" + "}}" * _DEPTH + "}} {{open {{nobr|", _WORD, "=}}"),
+           ("={{box|" + '<span class="nowrap">' * _DEPTH + "1er mai ", _Y, "=" + "</span>" * _DEPTH
+            + '}} {{open <span class="nowrap">', _WORD, "=</span>"))
+add_french("u03_rule_sets", lambda t: C.apply_rules(t, F.lit("fr"), rule_sets=("notes", "colours")),
+           ("={{rouge|", _WORD, "=}} {{pas clair|", _N, "=}} {{heure|", _N, "=}}"),
+           ("=<font color='red'>", _WORD, "=</font> ", _N, "=<sup>[pas clair]</sup> ", _N, "= h"))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Mapping
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column
@@ -47,13 +47,16 @@ class Options:
     """Switches of the conversion.
 
     ``lists``: ``"verbatim"`` keeps list lines as they are, ``"html"`` turns
-    ``*`` lines into nested ``<ul><li>``.
+    ``*`` lines into nested ``<ul><li>``. ``rule_sets``: names of optional
+    template rules, of those that the page's language has; in French ``"notes"``
+    (remarks such as ``[pas clair]``) and ``"colours"`` (coloured text).
     """
 
     keep_links: bool = True
     keep_sections: bool = True
     lists: str = "verbatim"
     use_language_rules: bool = True
+    rule_sets: tuple[str, ...] = ()
     ignored_tags: tuple[str, ...] = IGNORED_TAGS
     discard_elements: tuple[str, ...] = DISCARD_ELEMENTS
     self_closing_tags: tuple[str, ...] = SELF_CLOSING_TAGS
@@ -68,16 +71,16 @@ class Options:
 class Language:
     """A language plug-in: disallowed title prefixes and template rules.
 
-    ``trigger``: a pattern found in every text that the rules change. With it
-    the rules see one outermost template at a time, and only those that hold
-    the pattern. Without it they see the whole text, as rules made of Python
-    functions need.
+    A rule is a ``TemplateRule``, which sees one template at a time, or a
+    function of the whole text column, such as a Python function needs.
+    ``optional``: sets of further rules by name, switched on by
+    ``Options.rule_sets``; they come before the others.
     """
 
     code: str
     namespaces: tuple[str, ...]
     rules: tuple[Rule, ...] = field(default=())
-    trigger: str | None = None
+    optional: Mapping[str, tuple[Rule, ...]] = field(default_factory=dict)
 
 
 ENGLISH = Language("en", ENGLISH_NAMESPACES)
@@ -107,6 +110,6 @@ class Languages:
 
 
 def standard_languages() -> Languages:
-    from wikiloom.functions.french import FRENCH_RULES, FRENCH_TRIGGER
+    from wikiloom.functions.french import FRENCH_RULES, OPTIONAL_FRENCH_RULES
 
-    return Languages(Language("fr", FRENCH_NAMESPACES, FRENCH_RULES, FRENCH_TRIGGER))
+    return Languages(Language("fr", FRENCH_NAMESPACES, FRENCH_RULES, OPTIONAL_FRENCH_RULES))

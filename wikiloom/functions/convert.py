@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.sql import Column
@@ -12,7 +13,8 @@ from wikiloom.functions import links as L
 from wikiloom.functions import markup as M
 from wikiloom.functions.expr import Step, compose, if_contains
 from wikiloom.functions.lines import compact_to_html
-from wikiloom.functions.nesting import drop_tables, drop_templates, in_templates
+from wikiloom.functions.nesting import drop_tables, drop_templates
+from wikiloom.functions.templates import TemplateRule, rewrite_templates
 
 
 def speaks(language_code: str, lang: Column, wikitype: Column, languages: Languages) -> Column:
@@ -20,22 +22,17 @@ def speaks(language_code: str, lang: Column, wikitype: Column, languages: Langua
     return (lang == language_code) & (wikitype == languages.wikitype)
 
 
-def translate(text: Column, language: Language) -> Column:
-    """All template rules of one language."""
-
-    def rules(t: Column) -> Column:
-        return reduce(lambda c, rule: rule(c), language.rules, t)
-
-    def triggered(t: Column) -> Column:
-        return F.when(F.rlike(t, F.lit(language.trigger)), rules(t)).otherwise(t)
-
-    if language.trigger is None:
-        return if_contains(text, "{{", rules)
-    return in_templates(text, triggered)
+def translate(text: Column, language: Language, rule_sets: Sequence[str] = ()) -> Column:
+    """All template rules of one language, and the optional ones of the ``rule_sets`` that it has."""
+    rules = [rule for name in rule_sets for rule in language.optional.get(name, ())] + list(language.rules)
+    by_template = [rule for rule in rules if isinstance(rule, TemplateRule)]
+    of_text = [rule for rule in rules if not isinstance(rule, TemplateRule)]
+    result = rewrite_templates(text, by_template) if by_template else text
+    return if_contains(result, "{{", lambda t: reduce(lambda c, rule: rule(c), of_text, t)) if of_text else result
 
 
 def apply_rules(text: Column, lang: Column, wikitype: Column | None = None,
-                languages: Languages | None = None) -> Column:
+                languages: Languages | None = None, rule_sets: Sequence[str] = ()) -> Column:
     """Template rules of the page's language; other languages pass untouched."""
     languages = languages or standard_languages()
     wikitype = F.lit(languages.wikitype) if wikitype is None else wikitype
@@ -43,7 +40,7 @@ def apply_rules(text: Column, lang: Column, wikitype: Column | None = None,
     for language in languages.special():
         if language.rules:
             spoken = speaks(language.code, lang, wikitype, languages)
-            result = F.when(spoken, translate(text, language)).otherwise(result)
+            result = F.when(spoken, translate(text, language, rule_sets)).otherwise(result)
     return result
 
 
@@ -65,7 +62,7 @@ def clean_steps(lang: Column, options: Options = Options(), languages: Languages
     languages = languages or standard_languages()
     rules: list[Step] = []
     if options.use_language_rules:
-        rules = [lambda t: apply_rules(t, lang, wikitype, languages)]
+        rules = [lambda t: apply_rules(t, lang, wikitype, languages, options.rule_sets)]
     return rules + [
         drop_templates,
         drop_tables,

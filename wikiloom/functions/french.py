@@ -1,31 +1,39 @@
 """French template rules, in the order they are applied.
 
-Matching ignores case. Values in replacements (words, tags, entities) are fixed
-values that results must equal.
+Each rule is for templates of certain names and works on their arguments, in
+which inner templates are replaced already. Names ignore case. Values in
+replacements (words, tags, entities) are fixed values that results must equal.
 """
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from wikiloom.config import Rule
-from wikiloom.functions.expr import bind, replace_all, rewrite_matches
-from wikiloom.functions.nesting import in_templates
+from wikiloom.functions.expr import bind, replace_all
+from wikiloom.functions.templates import Template, TemplateRule, given, rewrite_templates
+
+
+def _rule(*names: str, pattern: str | None = None):
+    """Makes a rule of a function of a template."""
+    return lambda value: TemplateRule(value, names, pattern)
 
 
-def _rewrite(text: Column, pattern: str, cases: list[tuple[str, str]]) -> Column:
-    """Run ``cases`` on each match of ``pattern`` only, not on the whole text."""
-    return rewrite_matches(text, pattern, "{", lambda x: replace_all(x, cases))
+def _only(t: Template) -> Column:
+    """The argument of a template with one, null for others."""
+    return F.when((t.count == 1) & given(t.arg(0)), t.arg(0))
+
+
+def _all(t: Template) -> Column:
+    """All arguments as one text, null without any."""
+    return F.when(given(t.rest), t.rest)
 
 
 # --- numbers ---------------------------------------------------------------
 
 def _group_digits(digits: Column) -> Column:
     """Spaces between groups of three, counted from the right."""
-    return F.regexp_replace(digits, r"(?<=[0-9])(?=(?:[0-9]{3})+$)", " ")
+    return F.reverse(F.regexp_replace(F.reverse(digits), r"([0-9]{3})(?=[0-9])", "$1 "))
 
 
 def _strip_zeros(number: Column) -> Column:
@@ -47,24 +55,20 @@ def _localised(number: Column) -> Column:
     return bind(parts, join)
 
 
-_FORMATNUM = r"(?i:\{\{formatnum:([0-9.,]+)\}\})"
-
-
-def formatnum(text: Column) -> Column:
+@_rule(pattern="^formatnum:[0-9.,]+$")
+def formatnum(t: Template) -> Column:
     """``{{formatnum:1000}}`` to ``1 000``; a point gives six decimals."""
 
-    def number(x: Column) -> Column:
-        n = F.regexp_extract(x, _FORMATNUM, 1)
+    def number(n: Column) -> Column:
         fixed = F.translate(F.format_number(n.try_cast("double"), 6), ",.", " ,")
         has_mark = (F.instr(n, ".") > 1) | (F.instr(n, ",") > 1)
         return (F.when(~has_mark & F.rlike(n, F.lit("^[0-9]+$")), _group_digits(_strip_zeros(n)))
                 .when(has_mark & F.rlike(n, F.lit(r"^[0-9]+\.[0-9]*$")), fixed)
                 .otherwise(n))
 
-    return rewrite_matches(text, _FORMATNUM, "{", number)
+    return F.when(t.count == 0, bind(F.substring(t.body, F.lit(len("formatnum:") + 1), F.length(t.body)), number))
 
 
-_UNIT = r"(?iu:\{\{(?:unit[^\n]|nombre|num|nau)\|([^|{}]++(?:\|[^{}|]*+)*+)\}\})"
 # In "|km||s|-1" the names are km and s; an empty argument or a number ends a factor.
 _NAMES = r"(?:\|(?!-?[0-9])[^|]++)*+"
 # Names at the end, which no exponent follows, are taken along, so that they are not searched again.
@@ -72,7 +76,9 @@ _FACTORS = rf"{_NAMES}(?:(?:\|(?:-?[0-9][^|]*+)?(?=\||\z))++|\z)"
 _MARKED = r"\|(?=[^|=]++=)[^|]{2}"
 
 
-def unit(text: Column) -> Column:
+
+@_rule("unité", "unite", "nombre", "num", "nau")
+def unit(t: Template) -> Column:
     """``{{unité|10000|km|2}}`` to ``10 000 km<sup>2</sup>``.
 
     After the number come factors: names, of which the last one counts, and the
@@ -107,103 +113,117 @@ def unit(text: Column) -> Column:
         return F.when(rest == "", _localised(number)).otherwise(F.concat(
             _localised(number), F.when(of_ten, "×10").otherwise(" "), bind(plain, lambda r: measure(r, of_ten))))
 
-    return rewrite_matches(text, _UNIT, "{", lambda x: bind(F.regexp_extract(x, _UNIT, 1), value))
+    return F.when(given(t.arg(0)), bind(t.rest, value))
 
 
-def hour(text: Column) -> Column:
-    return _rewrite(text, r"(?i:\{\{heure(?:\|\d\d?+)++\}\})", [
-        (r"^..(?i:heure)\|(\d+)\}\}$", "$1 h"),
-        (r"^..(?i:heure)\|(\d+)\|(\d+)\}\}$", "$1 h $2"),
-        (r"^..(?i:heure)\|(\d+)\|(\d+)\|(\d+)\}\}$", "$1 h $2 min $3 s"),
-        (r"^\{\{.*$", ""),
-    ])
+@_rule("heure")
+def hour(t: Template) -> Column:
+    """Hours, minutes and seconds of one or two digits; more of them give nothing."""
+    h, m, s = (t.arg(i) for i in range(3))
+    written = (F.when(t.count == 1, F.concat(h, F.lit(" h")))
+               .when(t.count == 2, F.concat(h, F.lit(" h "), m))
+               .when(t.count == 3, F.concat(h, F.lit(" h "), m, F.lit(" min "), s, F.lit(" s")))
+               .otherwise(""))
+    return F.when((t.count > 0) & F.forall(t.args, lambda a: F.rlike(a, F.lit(r"^\d\d?$"))), written)
 
 
-def temperature(text: Column) -> Column:
-    return F.regexp_replace(text, r"(?iu)\{\{tmp\|([^|]+)\|°C\}\}", "$1°C")
+@_rule("tmp")
+def temperature(t: Template) -> Column:
+    return F.when((t.count == 2) & given(t.arg(0)) & (F.lower(t.arg(1)) == "°c"), F.concat(t.arg(0), F.lit("°C")))
 
 
-def small_numbers(text: Column) -> Column:
+@_rule("exp", "ind", "e", "1er", "1re", "2nde", "2nd", *map(str, range(10)))
+def small_numbers(t: Template) -> Column:
     """Exponents, indices and ordinals; only lower-case names have their own form."""
-    return _rewrite(text, r"(?i:\{\{(?:(?:exp|ind)\|[^}]+|\d|e|1er|1re|2nde|2nd)\}\})", [
-        (r"^\{\{exp\|([^}]+)\}\}$", "<sup>$1</sup>"),
-        (r"^\{\{ind\|([^}]+)\}\}$", "<sub>$1</sub>"),
-        (r"^\{\{(?i:exp|ind)\|[^}]+\}\}$", ""),
-        (r"^\{\{1(er|re)\}\}$", "1<sup>$1</sup>"),
-        (r"^\{\{2nd\}\}$", "2<sup>nd</sup>"),
-        (r"^\{\{2NDE\}\}$", "2<sup>de</sup>"),
-        (r"^\{\{([^{}]+)\}\}$", "<sup>$1</sup>"),
-    ])
+    def raised(text: Column, tag: str = "sup") -> Column:
+        return F.concat(F.lit(f"<{tag}>"), text, F.lit(f"</{tag}>"))
+
+    pair = t.name.isin("exp", "ind")
+    return (F.when(pair & ~given(t.rest), None)
+            .when(t.written == "exp", raised(t.rest)).when(t.written == "ind", raised(t.rest, "sub")).when(pair, "")
+            .when(t.count > 0, None)
+            .when(t.written.isin("1er", "1re", "2nd"), F.concat(F.left(t.written, F.lit(1)), raised(F.substring(t.written, 2, 2))))
+            .when(t.written == "2NDE", "2<sup>de</sup>")
+            .otherwise(raised(t.written)))
 
 
-def number_sign(text: Column) -> Column:
-    return F.regexp_replace(text, r"(?iu)\{\{(?:numéro|n°|nº)\}\}", "n°")
+@_rule("numéro", "n°", "nº")
+def number_sign(t: Template) -> Column:
+    return F.when(t.count == 0, "n°")
 
 
 # --- time ------------------------------------------------------------------
 
-_TWO = r"\|([^|}]+)\|(er?)\|([^|}]+)\|([^|}]+)\|(er?"
 _BC = " av. J.-C."
+_ENDINGS = ("e", "er")
 
 
-def two_centuries(text: Column) -> Column:
-    """``{{sp|VII|e|ou|VIII|e|s}}`` to ``VIIe ou VIIIe siècles``."""
-    many, one = _TWO + r")\|s\}\}", _TWO + r"s?)\|?\}\}"
-    return _rewrite(text, r"(?i:\{\{-?sp-?" + _TWO.replace("(", "(?:") + r"\|?s?)\}\})", [
-        (rf"^(?i:\{{\{{-sp-?{many})$", f"$1$2 $3 $4$5 siècles{_BC}"),
-        (rf"^(?i:\{{\{{-sp-?{one})$", f"$1$2 $3 $4$5 siècle{_BC}"),
-        (rf"^(?i:\{{\{{sp-?{many})$", "$1$2 $3 $4$5 siècles"),
-        (rf"^(?i:\{{\{{sp-?{one})$", "$1$2 $3 $4$5 siècle"),
-    ])
+@_rule("sp", "-sp", "sp-", "-sp-")
+def two_centuries(t: Template) -> Column:
+    """``{{sp|VII|e|ou|VIII|e|s}}`` to ``VIIe ou VIIIe siècles``; a minus in front for those before our era."""
+    many = F.lower(t.arg(5)) == "s"
+    first, last = F.lower(t.arg(1)).isin(*_ENDINGS), F.lower(t.arg(4))
+    complete = (F.when(t.count == 6, last.isin(*_ENDINGS) & (many | (t.arg(5) == "")))
+                .otherwise((t.count == 5) & last.isin(*_ENDINGS, *(e + "s" for e in _ENDINGS))))
+    text = F.concat(t.arg(0), t.arg(1), F.lit(" "), t.arg(2), F.lit(" "), t.arg(3), t.arg(4),
+                    F.when(many, " siècles").otherwise(" siècle"), F.when(t.name.startswith("-"), _BC).otherwise(""))
+    return F.when(complete & first & given(t.arg(0)) & given(t.arg(2)) & given(t.arg(3)), text)
 
 
-def century(text: Column) -> Column:
-    """Spelled-out centuries, ``{{s|III|e}}`` and ``{{s2|III|e|IX|e}}``."""
-    name, one = r"([^|}]+)", r"\|([^|}]+)\|[eE]"
-    spelled = r"[^|}]+(?i:si[^\n]cle|mill[^\n]naire)[^|}]*"
-    short = r"-?[sS]2?-?(?:\|[^|}]++\|[eE])++"
-    return _rewrite(text, rf"\{{\{{(?:{spelled}|{short})\|?\}}\}}", [
-        (rf"^\{{\{{-s2-?{one}{one}\|?\}}\}}$", f"$1e et $2e siècles{_BC} "),
-        (rf"^\{{\{{s2-?{one}{one}\|?\}}\}}$", "$1e et $2e siècles"),
-        # Any other number of centuries after s2 leaves the arguments.
-        (rf"^\{{\{{(-?s2-?(?:{one})++)\|?\}}\}}$", "$1"),
-        (rf"^\{{\{{-(?:[sS]|S2)-?{one}(?:{one})*+\|?\}}\}}$", f"$1e siècle{_BC} "),
-        (rf"^\{{\{{(?:[sS]|S2)-?{one}(?:{one})*+\|?\}}\}}$", "$1e siècle"),
-        (rf"^\{{\{{{name}\|?\}}\}}$", "$1"),
-    ])
+def _without_last_empty(args: Column) -> Column:
+    return F.when(F.get(args, F.size(args) - 1) == "", F.slice(args, F.lit(1), F.size(args) - 1)).otherwise(args)
 
 
-_DATE = (r"(?iu:\{\{date(?: de naissance| de décès)?\|(|\d+(?:er)?)\|([^|}]+)"
-         r"\|?(\d*)(?:\|[^}]+)?\}\})")
+_CENTURIES = tuple(f"{minus}{word}{end}" for minus in ("", "-") for word in ("s", "s2") for end in ("", "-"))
 
 
-def date(text: Column) -> Column:
-    """``{{date|1|mai|2001}}`` to ``1er mai 2001``."""
+@_rule(*_CENTURIES, pattern="(?s).(?:si[^\n]cle|mill[^\n]naire)")
+def century(t: Template) -> Column:
+    """``{{s|III|e}}``, ``{{s2|III|e|IX|e}}`` and ``{{XXe siècle}}``.
 
-    def value(x: Column) -> Column:
-        day, month, year = (F.regexp_extract(x, _DATE, g) for g in (1, 2, 3))
-        day = F.when(day == "", "").when(day == "1", "1er ").otherwise(F.concat(day, F.lit(" ")))
-        month = F.when(day == "", month).otherwise(F.regexp_replace(month, r"(?U)^\s+", ""))
-        return F.regexp_replace(F.concat(day, month, F.lit(" "), year), r"(?U)^\s+|\s+$", "")
+    Any other number of centuries after ``s2`` leaves the arguments.
+    """
+    ending = F.when(t.name.startswith("-"), _BC + " ").otherwise("")
 
-    return rewrite_matches(text, _DATE, "{", value)
+    def text(args: Column) -> Column:
+        even = F.forall(F.transform(args, lambda a, i: F.when(i % 2 == 0, a != "").otherwise(F.lower(a) == "e")), lambda ok: ok)
+        two = F.concat(F.get(args, F.lit(0)), F.lit("e et "), F.get(args, F.lit(2)), F.lit("e siècles"), ending)
+        pairs = F.contains(t.written, F.lit("s2"))
+        return F.when((F.size(args) > 0) & (F.size(args) % 2 == 0) & even,
+                      F.when(pairs & (F.size(args) == 4), two)
+                      .when(pairs, F.concat(t.written, F.lit("|"), F.array_join(args, "|")))
+                      .otherwise(F.concat(F.get(args, F.lit(0)), F.lit("e siècle"), ending)))
 
+    spelled = F.when(t.rest == "", t.written)
+    return F.when(t.name.isin(*_CENTURIES), bind(_without_last_empty(t.args), text)).otherwise(spelled)
 
-def first_of_month(text: Column) -> Column:
-    months = ("janvier|f[^\n]vrier|mars|avril|mai|juin|juillet|ao[^\n]t|septembre|"
-              "octobre|novembre|d[^\n]cembre")
-    return F.regexp_replace(text, rf"(?iu)\{{\{{1er ({months})\}}\}}", "1<sup>er</sup> $1")
 
+@_rule("date", "date de naissance", "date de décès")
+def date(t: Template) -> Column:
+    """``{{date|1|mai|2001}}`` to ``1er mai 2001``; day and year may be missing."""
+    day, month = t.arg(0), t.arg(1)
+    year = F.when(F.rlike(t.arg(2), F.lit(r"^\d+$")), t.arg(2)).otherwise("")
+    before = F.when(day == "", "").when(day == "1", "1er ").otherwise(F.concat(day, F.lit(" ")))
+    after = F.when(day == "", month).otherwise(F.regexp_replace(month, r"(?U)^\s+", ""))
+    text = F.regexp_replace(F.concat(before, after, F.lit(" "), year), r"(?U)^\s+|\s+$", "")
+    return F.when(F.rlike(day, F.lit(r"^(?:\d+(?:[eE][rR])?)?$")) & given(month), text)
 
-# --- text ------------------------------------------------------------------
 
-def nobr(text: Column) -> Column:
-    """One template may stand inside."""
-    return F.regexp_replace(
-        text, r"(?iu)\{\{nobr\|([^{]+|[^{]*\{\{[^}]+\}\}[^}]*)\}\}", '<span class="nowrap">$1</span>')
+_MONTHS = ("janvier", "février", "mars", "avril", "mai", "juin", "juillet", "août", "septembre", "octobre", "novembre",
+           "décembre")
+_PLAIN = str.maketrans("éû", "eu")
 
 
-_LANG = r"(?iu:\{\{(lang(?:ue)?(?:-[\p{L}\p{N}_]+)?(?:\|[^}|]++)++)\}\})"
+@_rule(*dict.fromkeys(f"1er {form}" for month in _MONTHS for form in (month, month.translate(_PLAIN))))
+def first_of_month(t: Template) -> Column:
+    return F.when(t.count == 0, F.concat(F.lit("1<sup>er</sup> "), F.substring(t.written, F.lit(5), F.length(t.written))))
+
+
+# --- text ------------------------------------------------------------------
+
+@_rule("nobr")
+def nobr(t: Template) -> Column:
+    return F.concat(F.lit('<span class="nowrap">'), _all(t), F.lit("</span>"))
 
 
 def _holds_piped_link(text: Column) -> Column:
@@ -215,130 +235,114 @@ def _holds_piped_link(text: Column) -> Column:
     return F.contains(line, F.lit("[[")) & F.contains(after, F.lit("]]")) & F.contains(between, F.lit("|"))
 
 
-def lang(text: Column) -> Column:
+@_rule("lang", "langue", pattern=r"^lang(?:ue)?-[\p{L}\p{N}_]+$")
+def lang(t: Template) -> Column:
     """``{{lang|xx|text}}`` and ``{{lang-xx|text}}`` to the text.
 
     Bars of a link belong to the text. With further arguments the text is the
     one named ``texte``, nothing without it.
     """
 
-    def value(body: Column) -> Column:
-        in_name = F.rlike(body, F.lit(r"^(?i:lang-)\w"))
-        first = F.regexp_extract(body, r"^[^|]*+\|([^|]*+)", 1)
-        rest = F.regexp_extract(body, r"(?s)^[^|]*+\|[^|]*+\|(.*)", 1)
+    def value(rest: Column) -> Column:
+        in_name = F.rlike(t.name, F.lit(r"^lang-\w"))
         named = F.regexp_extract(F.concat(F.lit("|"), rest), r"\|(?i:texte=)([^|\n]*+)", 1)
         one = ~F.contains(rest, F.lit("|"))
-        return (F.when(in_name & ~_holds_piped_link(body), first)
-                .when(_holds_piped_link(body), rest)
+        return (F.when(in_name & ~_holds_piped_link(t.body), t.arg(0))
+                .when(_holds_piped_link(t.body), rest)
                 .when(one, F.replace(rest, F.lit("texte="), F.lit("")))
                 .otherwise(named))
 
-    return rewrite_matches(text, _LANG, "{", lambda x: bind(F.regexp_extract(x, _LANG, 1), value))
+    after_code = F.substring(t.rest, F.length(t.arg(0)) + 2, F.length(t.rest))
+    return F.when((t.count > 0) & F.forall(t.args, lambda a: a != ""), bind(after_code, value))
 
 
 _COLOURS = (("rouge", "red"), ("bleu", "blue"), ("vert", "green"), ("jaune", "yellow"),
             ("orange", "orange"), ("gris", "grey"), ("marron", "brown"), ("rose", "pink"))
+_COLOUR_NAMES = [name for name, _ in _COLOURS]
 
 
-def colours(text: Column) -> Column:
+@_rule(*_COLOUR_NAMES)
+def colours(t: Template) -> Column:
     """``{{rouge|x}}`` to ``x``."""
-    names = "|".join(name for name, _ in _COLOURS)
-    return F.regexp_replace(text, rf"(?i)\{{\{{(?:{names})\|([^|}}]+)\}}\}}", "$1")
+    return _only(t)
 
 
-def colours_as_font(text: Column) -> Column:
+@_rule(*_COLOUR_NAMES)
+def colours_as_font(t: Template) -> Column:
     """Option: ``{{rouge|x}}`` to a ``<font>`` element."""
-    return replace_all(text, [
-        (rf"(?i)\{{\{{{name}\|([^|}}]+)\}}\}}", f"<font color='{colour}'>$1</font>")
-        for name, colour in _COLOURS])
+    colour = F.try_element_at(F.create_map(*[F.lit(x) for pair in _COLOURS for x in pair]), t.name)
+    return F.concat(F.lit("<font color='"), colour, F.lit("'>"), _only(t), F.lit("</font>"))
 
 
-def incomplete_reference(text: Column) -> Column:
-    return F.regexp_replace(
-        text, r"(?iu)\{\{Référence [^|}]+\|([^|{}]+)\}\}", "<u>$1</u><sup>[ref incomplète??]</sup>")
+@_rule(pattern="(?s)^référence .")
+def incomplete_reference(t: Template) -> Column:
+    return F.concat(F.lit("<u>"), _only(t), F.lit("</u><sup>[ref incomplète??]</sup>"))
 
 
-def who_what(text: Column) -> Column:
-    names = ("Qui|Lequel|combien|enquoi|en quoi|lesquels|laquelle|lesquelles|par qui|parqui|"
-             "pour qui")
-    return F.regexp_replace(text, rf"(?i)\{{\{{(?:{names})\|([^|{{}}]+)\}}\}}", "$1")
+@_rule("qui", "lequel", "combien", "enquoi", "en quoi", "lesquels", "laquelle", "lesquelles", "par qui", "parqui", "pour qui")
+def who_what(t: Template) -> Column:
+    return _only(t)
 
 
-def code(text: Column) -> Column:
+@_rule("code")
+def code(t: Template) -> Column:
     # The backslashes are part of the expected text.
-    return F.regexp_replace(text, r"(?i)\{\{code\|([^|}]+)\}\}",
-                            r'<span style=\\"font-family:monospace, Courier\\">$1</span>')
-
+    return F.concat(F.lit(r'<span style=\"font-family:monospace, Courier\">'), _only(t), F.lit("</span>"))
 
-def citation(text: Column) -> Column:
-    return F.regexp_replace(
-        text, r"(?iu)\{\{citation ?(?:bloc|nécessaire)?\|([^}]+)\}\}", "«&#160;<i>$1</i>&#160;»")
 
+@_rule("citation", "citation ", *(f"citation{space}{kind}" for space in ("", " ") for kind in ("bloc", "nécessaire")))
+def citation(t: Template) -> Column:
+    return F.concat(F.lit("«&#160;<i>"), _all(t), F.lit("</i>&#160;»"))
 
-def napoleon(text: Column) -> Column:
-    return F.regexp_replace(text, r"(?iu)\{\{Napoléon Ier\}\}", "Napoléon I<sup>er</sup>")
 
+@_rule("napoléon ier")
+def napoleon(t: Template) -> Column:
+    return F.when(t.count == 0, "Napoléon I<sup>er</sup>")
 
-_JAPANESE = r"(?i:\{\{japonais\|([^|]+)\|([^}]+)\}\})"
 
-
-def japanese(text: Column) -> Column:
+@_rule("japonais")
+def japanese(t: Template) -> Column:
     """``{{japonais|a|b|c}}`` to ``a (b, c)``."""
-    return rewrite_matches(text, _JAPANESE, "{", lambda x: F.concat(
-        F.regexp_extract(x, _JAPANESE, 1), F.lit(" ("),
-        F.replace(F.replace(F.regexp_extract(x, _JAPANESE, 2), F.lit("|"), F.lit(", ")),
-                  F.lit("extra="), F.lit("")),
-        F.lit(")")))
+    others = F.array_join(F.slice(t.args, F.lit(2), F.size(t.args)), ", ")
+    return F.when((t.count > 1) & given(t.arg(0)) & given(others),
+                  F.concat(t.arg(0), F.lit(" ("), F.replace(others, F.lit("extra="), F.lit("")), F.lit(")")))
 
 
-FRENCH_RULES: tuple[Rule, ...] = (
+FRENCH_RULES: tuple[TemplateRule, ...] = (
     hour, nobr, temperature, formatnum, unit, small_numbers, number_sign,
     two_centuries, century, lang, colours, incomplete_reference, date, who_what,
     code, citation, napoleon, first_of_month, japanese,
 )
 
 
-# How the templates of the rules begin.
-FRENCH_TRIGGER = (
-    r"(?iu)\{\{(?:"
-    r"heure\||nobr\||tmp\||formatnum:|unit[^\n]\||nombre\||num\||nau\|"
-    r"|exp\||ind\||\d\}|e\}|1er|1re\}|2nd"
-    r"|numéro\}|n[°º]\}|-?sp-?\||-?s2?-?\||[^|}]+(?:si[^\n]cle|mill[^\n]naire)"
-    r"|lang|rouge\||bleu\||vert\||jaune\||orange\||gris\||marron\||rose\|"
-    r"|référence |date|qui\||lequel\||combien\||enquoi\||en quoi\||lesquels\||laquelle\|"
-    r"|lesquelles\||par qui\||parqui\||pour qui\||code\||citation|napoléon|japonais\|)"
-)
-
-
 def translate_fr(text: Column) -> Column:
-    """All rules in order, in each outermost template that one of them may be for."""
-    def rules(t: Column) -> Column:
-        return F.when(F.rlike(t, F.lit(FRENCH_TRIGGER)), reduce(lambda c, rule: rule(c), FRENCH_RULES, t)).otherwise(t)
-
-    return in_templates(text, rules)
+    """All rules, in every template."""
+    return rewrite_templates(text, FRENCH_RULES)
 
 
 # --- optional rules, not part of FRENCH_RULES ------------------------------
 
-def _note(names: str, replacement: str) -> Rule:
-    # The value stops at braces, so that two templates are never taken as one.
-    pattern = rf"(?iu)\{{\{{(?:{names})\|([^|{{}}]+)(?:\|[^}}]+)?\}}\}}"
-    return lambda text: F.regexp_replace(text, pattern, replacement)
+def _note(replacement: str, *names: str) -> TemplateRule:
+    """The first argument and a note behind it."""
+    return TemplateRule(lambda t: F.when(given(t.arg(0)), F.concat(t.arg(0), F.lit(replacement))), names)
 
 
-doubtful = _note("douteux", "$1<sup>[douteux]</sup>")
-promotional = _note("passage promotionnel|pub !|promo !", "$1<sup>[passage promotionnel]</sup>")
-unpublished = _note("passage inédit", "$1<sup>[interprétion personnelle]</sup>")
-unclear = _note("pas clair", "$1<sup>[pas clair]</sup>")
-incomprehensible = _note("incomprénsible", "$1<sup>[incomprénsible]</sup>")
-imprecise = _note("précision nécessaire", "$1<sup>[précision néssaire]</sup>")
-style = _note("style", "$1")
+doubtful = _note("<sup>[douteux]</sup>", "douteux")
+promotional = _note("<sup>[passage promotionnel]</sup>", "passage promotionnel", "pub !", "promo !")
+unpublished = _note("<sup>[interprétion personnelle]</sup>", "passage inédit")
+unclear = _note("<sup>[pas clair]</sup>", "pas clair")
+incomprehensible = _note("<sup>[incomprénsible]</sup>", "incomprénsible")
+imprecise = _note("<sup>[précision néssaire]</sup>", "précision nécessaire")
+style = _note("", "style")
 
 
-def evasive(text: Column) -> Column:
-    return F.regexp_replace(
-        text, r"(?iu)\{\{passage évasif\|([^}]+)\}\}", "<u>$1</u><sup>[evasif??]</sup>")
+@_rule("passage évasif")
+def evasive(t: Template) -> Column:
+    return F.concat(F.lit("<u>"), _all(t), F.lit("</u><sup>[evasif??]</sup>"))
 
 
-OPTIONAL_FRENCH_RULES: tuple[Rule, ...] = (
-    doubtful, promotional, unpublished, unclear, incomprehensible, imprecise, style, evasive)
+#: Sets of further rules that ``Options.rule_sets`` switches on by name.
+OPTIONAL_FRENCH_RULES: dict[str, tuple[TemplateRule, ...]] = {
+    "notes": (doubtful, promotional, unpublished, unclear, incomprehensible, imprecise, style, evasive),
+    "colours": (colours_as_font,),
+}
