@@ -359,3 +359,39 @@ def test_search_cuts_terms_as_titles(spark):
     index = X.title_index(articles)
     for query, ids in (("foo-bar", {1}), ("(foo)", {1, 2}), ("ton*", {2, 3}), ("foo ton*", {2})):
         assert {r.article_id for r in X.search_titles(index, query).collect()} == ids
+
+
+def test_redirect_rounds_follow_the_longest_chain(spark, monkeypatch):
+    """Chains, tails and loops against a walk; the rounds do not grow with the number of titles."""
+    import random
+
+    from wikiloom.operators import lookups
+
+    rng, jumps = random.Random(5), {}
+    for c in range(300):  # chains of up to 20, half of them into a loop of up to 12
+        length, loop = rng.randint(1, 20), rng.randint(1, 12) if c % 2 else 0
+        names = [f"{rng.random():.9f}-{c}-{i}" for i in range(length + loop)]
+        for a, b in zip(names, names[1:]):
+            jumps[a] = b
+        if loop:
+            jumps[names[-1]] = names[length]
+        else:
+            jumps[names[-1]] = "End" if c % 4 else "Nowhere"
+    jumps["Self"] = "Self"
+
+    def walk(title):
+        seen, hops = {title}, 0
+        while title in jumps:
+            title, hops = jumps[title], hops + 1
+            if title in seen:
+                return None, None, False, True
+            seen.add(title)
+        return title, hops, title == "End", False
+
+    names, plain = [], lookups.stored
+    monkeypatch.setattr(lookups, "stored", lambda df, name: names.append(name) or plain(df, name))
+    got = lookups.resolve_redirects(spark.createDataFrame(list(jumps.items()), "title_from string, title_to string"),
+                                    spark.createDataFrame([("End",)], "title string")).collect()
+    assert sorted(tuple(r) for r in got if not r.loops) == sorted((a, b, *walk(a)) for a, b in jumps.items() if not walk(a)[3])
+    assert sorted(r.title_from for r in got if r.loops) == sorted(a for a in jumps if walk(a)[3])
+    assert len(jumps) > 3000 and names.count("hops") <= 2 + 2 * 7

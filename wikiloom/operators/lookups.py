@@ -22,15 +22,18 @@ def hot_keys(rows: DataFrame, key: str) -> list:
     return [row[0] for row in hot.select(key).collect()]
 
 
-def join_on_key(rows: DataFrame, keyed: DataFrame, key: str) -> DataFrame:
+def join_on_key(rows: DataFrame, keyed: DataFrame, key: str, n_rows: int | None = None) -> DataFrame:
     """Left join of ``rows`` with a table that has one row per ``key``.
 
+    With ``n_rows``, the number of rows or more, no hot key is looked for where
+    there can be none.
+
     The rows of a hot key are dealt over ``PARTS`` salts, and its partner is
     repeated for each of them; all other rows have one salt. Hot keys are found
     beforehand from the key column, so hand over a stored table where ``rows``
     is costly to compute. The plan reads both sides once.
     """
-    hot = hot_keys(rows, key)
+    hot = hot_keys(rows, key) if n_rows is None or n_rows > HOT_ROWS else []
     if not hot:
         return rows.join(keyed, key, "left").select(*rows.columns, *(c for c in keyed.columns if c != key))
     is_hot = F.coalesce(F.col(key).isin(hot), F.lit(False))
@@ -65,29 +68,39 @@ def resolve_redirects(redirects: DataFrame, articles: DataFrame) -> DataFrame:
     ``loops`` is true. A title that occurs twice leads to its first target in
     alphabetical order.
 
-    Each round joins the jumps with themselves, so they double; after as many
-    rounds as the number of titles has binary digits, what still moves is in a
-    loop. Rounds are stored, and only open jumps take part in them.
+    Each round finishes the open jumps that lead to a jump that has just ended,
+    and joins the others with themselves, so they double. A jump also has the
+    smallest title it passes. On a chain, a jump and the one after it pass
+    different titles, so equal smallest titles tell a loop, once jumps are as
+    long as the loop. Rounds grow with the logarithm of the longest chain or
+    loop; each stores two tables, of open jumps only.
     """
-    jump = ["node", "target", "hops"]
-    open_ = stored(redirects.where("title_from is not null and title_to is not null")
+    jump = ["node", "target", "hops", "least"]
+    first = stored(redirects.where("title_from is not null and title_to is not null")
                    .groupBy(F.col("title_from").alias("node"))
-                   .agg(F.min("title_to").alias("target"), F.lit(1).cast("long").alias("hops")), "hops")
-    ended = open_.limit(0)
-    for _ in range(open_.count().bit_length() + 1):
-        onward = ended.unionByName(open_).select(
-            F.col("node").alias("target"), F.col("target").alias("_next"), F.col("hops").alias("_hops"))
-        moved = stored(join_on_key(open_, onward, "target"), "hops")
-        ended = ended.unionByName(moved.where("_next is null").select(*jump))
-        open_ = moved.where("_next is not null").select(
-            "node", F.col("_next").alias("target"), (F.col("hops") + F.col("_hops")).alias("hops"))
-        if not open_.head(1):
-            break
-    ends = ended.withColumn("loops", F.lit(False)).unionByName(open_.select(
-        "node", F.lit(None).cast("string").alias("target"), F.lit(None).cast("long").alias("hops"), F.lit(True).alias("loops")))
+                   .agg(F.min("title_to").alias("target"), F.lit(1).cast("long").alias("hops"), F.min("title_to").alias("least")), "hops")
+    onward = first.select(F.col("node").alias("target"), F.lit(True).alias("_onward"))
+    split = stored(join_on_key(first, onward, "target", first.count()), "hops")
+    fresh = split.where("_onward is null").select("node", "target", "hops", F.lit(False).alias("loops"))
+    ended, open_ = fresh, split.where("_onward").select(jump)
+    while n_open := open_.count():
+        ends = fresh.select(F.col("node").alias("target"), F.col("target").alias("_end"), F.col("hops").alias("_hops"), F.col("loops").alias("_loops"))
+        met = stored(join_on_key(open_, ends, "target", n_open), "hops")
+        rest = met.where("_loops is null").select(jump)
+        after = rest.select(F.col("node").alias("target"), F.col("target").alias("_next"), F.col("hops").alias("_hops"), F.col("least").alias("_least"))
+        moved = stored(join_on_key(rest, after, "target", n_open), "hops")
+        fresh = met.where("_loops is not null").select(
+            "node", F.col("_end").alias("target"), (F.col("hops") + F.col("_hops")).alias("hops"), F.col("_loops").alias("loops")).unionByName(
+            moved.where("_least = least").select("node", F.lit(None).cast("string").alias("target"), F.lit(None).cast("long").alias("hops"),
+                                                 F.lit(True).alias("loops")))
+        ended = ended.unionByName(fresh)
+        # A jump whose partner has just ended waits for the next round.
+        open_ = moved.where("_least is null or _least <> least").select(
+            "node", F.coalesce("_next", "target").alias("target"), (F.col("hops") + F.coalesce("_hops", F.lit(0))).alias("hops"),
+            F.least("least", "_least").alias("least"))
 
     at_end = F.col("loops").isNull()  # title_to is no redirect itself
-    goals = stored(redirects.select(F.col("title_to").alias("node")).distinct().join(ends, "node", "left").select(
+    goals = stored(redirects.select(F.col("title_to").alias("node")).distinct().join(ended, "node", "left").select(
         F.col("node").alias("title_to"), F.when(at_end, F.col("node")).otherwise(F.col("target")).alias("target"),
         F.when(at_end, 1).otherwise(F.col("hops") + 1).cast("long").alias("hops"),
         F.coalesce("loops", F.lit(False)).alias("loops")), "goals")
