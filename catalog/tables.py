@@ -18,7 +18,7 @@ from wikiloom.operators import lookups as J
 from wikiloom.operators import routing as P
 from wikiloom.operators import search as X
 from wikiloom.plans.convert import (convert_articles, convert_dump, emitted_rows, show_articles, stored_articles,
-                                    stored_counts, stored_titles, write_wiki)
+                                    stored_counts, stored_shards, stored_titles, write_wiki)
 from wikiloom.sinks import tables as K
 from wikiloom.sources import dump as S
 from wikiloom.sources.tables import page_directory, read_metadata, unique_metadata
@@ -182,11 +182,13 @@ s AS (SELECT page_id, title, kind, cast(least(
 """
 
 
-@query(SHARDED + f"SELECT s.page_id, s.title, s.kind, shard, html FROM s LEFT JOIN ({ARTICLES_SQL}) AS h ON s.page_id = h.page_id")
+@query(SHARDED + f"SELECT s.page_id, s.title, s.kind, shard, CASE WHEN s.kind = 'article' THEN row_number() OVER "
+       "(PARTITION BY shard, s.kind ORDER BY s.page_id) END AS shard_article_id, html "
+       f"FROM s LEFT JOIN ({ARTICLES_SQL}) AS h ON s.page_id = h.page_id")
 def k04_write_sharded(spark, sf_dir):
     path = scratch(spark, "shards")
-    K.write_sharded(A.shard_emitted(emitted_rows(wiki_pages(spark, sf_dir)), MAX_ARTICLES), path)
-    return spark.read.parquet(path).select("page_id", "title", "kind", F.col("shard").cast("long").alias("shard"), "html")
+    write_wiki(wiki_pages(spark, sf_dir), path, max_articles=MAX_ARTICLES)
+    return stored_shards(spark, path).select("page_id", "title", "kind", "shard", "shard_article_id", "html")
 
 
 def _split(spark, sf_dir, n):

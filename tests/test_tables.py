@@ -395,3 +395,41 @@ def test_redirect_rounds_follow_the_longest_chain(spark, monkeypatch):
     assert sorted(tuple(r) for r in got if not r.loops) == sorted((a, b, *walk(a)) for a, b in jumps.items() if not walk(a)[3])
     assert sorted(r.title_from for r in got if r.loops) == sorted(a for a in jumps if walk(a)[3])
     assert len(jumps) > 3000 and names.count("hops") <= 2 + 2 * 7
+
+
+def exchanges(df):
+    """The shuffles of a plan, as formatted nodes."""
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    return [line for line in plan.splitlines() if "Exchange" in line and "Broadcast" not in line]
+
+
+def test_sharded_pages_move_once(spark):
+    from wikiloom.plans.convert import emitted_rows, stored_shards, write_wiki
+    from wikiloom.shared import new_path
+
+    rows = [(i * 3, f"T{i}", "Other" if i % 5 == 0 else None, "en", f"text {i}") for i in range(200)]
+    pages = spark.createDataFrame(rows, "page_id long, title string, redirect_to string, lang string, wikitext string").repartition(3)
+    stored_pages = new_path(spark, "pages")
+    pages.write.parquet(stored_pages)
+    emitted = emitted_rows(spark.read.parquet(stored_pages), max_articles=30)
+    assert len([e for e in exchanges(emitted) if "hashpartitioning(_part" in e or "wikitext" in e or "rangepartitioning" in e]) == 1
+    assert sum("SinglePartition" not in e for e in exchanges(emitted)) == 1
+    path = new_path(spark, "wiki")
+    counts = write_wiki(pages, path, max_articles=30)
+    got = stored_shards(spark, path).collect()
+    articles = sorted((r for r in got if r.kind == "article"), key=lambda r: r.page_id)
+    assert (counts.articles, counts.redirects) == (160, 40) == (len(articles), len(got) - len(articles))
+    assert [(r.shard, r.shard_article_id) for r in articles] == [(i // 30, i % 30 + 1) for i in range(160)]
+
+
+def test_skipped_pages_are_counted(spark, tmp_path):
+    from wikiloom.plans.convert import convert_dump
+
+    page = "<page><title>T%d</title><ns>0</ns><id>%d</id><revision><id>1</id><text>text</text></revision></page>"
+    broken = "<page><title>B</title><ns>0</ns><id>9</id><revision><text>&bogus; <</text></revision></page>"
+    head = ('<mediawiki xml:lang="en"><siteinfo><sitename>W</sitename><dbname>w</dbname>'
+            '<base>https://en.wikipedia.org/wiki/Main</base><generator>g</generator></siteinfo>')
+    (tmp_path / "dump.xml").write_text(head + "\n" + page % (1, 1) + "\n" + broken + "\n" + page % (2, 2) + "\n</mediawiki>")
+    counts = convert_dump(spark, str(tmp_path / "dump.xml"), str(tmp_path / "out"), on_broken="skip")
+    assert (counts.articles, counts.redirects, counts.broken) == (2, 0, 1)
+    assert "<title>B</title>" in spark.read.parquet(str(tmp_path / "out/broken")).first().raw

@@ -6,9 +6,12 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from wikiloom.operators.routing import ARTICLE, REDIRECT
+from wikiloom.shared import stored
 
 # Rows per bucket at most: ids are unique, a bucket spans this many of them.
 BUCKET_WIDTH = 65_536
+# The same where rows are whole pages, and articles that a task gets.
+SHARD_BUCKET, PER_TASK = 8_192, 50_000
 
 
 def count_rows(df: DataFrame) -> DataFrame:
@@ -42,7 +45,7 @@ def bucket_starts(buckets: DataFrame, width: int, levels: int) -> DataFrame:
 
 
 def running_count(df: DataFrame, flag: Column, name: str, order: str = "page_id",
-                  width: int = BUCKET_WIDTH) -> DataFrame:
+                  width: int = BUCKET_WIDTH, per_task: int | None = None) -> DataFrame:
     """Adds the number of flagged rows up to each row in the order of unique ids.
 
     Rows are counted per bucket of neighbouring ids, buckets in wider buckets,
@@ -51,6 +54,10 @@ def running_count(df: DataFrame, flag: Column, name: str, order: str = "page_id"
     and ids come out the same however often a task is run again. How many
     levels are needed follows from the least and the largest id. An id that
     occurs twice raises an error, since its order would change between runs.
+
+    With ``per_task`` the counts of the buckets are stored, and a task gets
+    neighbouring buckets with about that many flagged rows. Then rows move once,
+    in the order that is wanted for writing, as wide tables need.
     """
     least, most = df.agg(F.min(order), F.max(order)).first()
     span, levels = (max(abs(least), abs(most)) // width if least is not None else 0), 0
@@ -59,12 +66,17 @@ def running_count(df: DataFrame, flag: Column, name: str, order: str = "page_id"
     bucketed = df.withColumn("_bucket", F.expr(f"({order} - pmod({order}, {width}L)) div {width}L")).withColumn(
         "_flag", F.when(flag, 1).otherwise(0).cast("long"))
     starts = bucket_starts(bucketed.groupBy("_bucket").agg(F.sum("_flag").alias("_n")), width, levels)
-    inside = Window.partitionBy("_bucket").orderBy(order)
+    part = F.lit(0) if per_task is None else F.floor(F.col("_start") / per_task)
+    if per_task is not None:
+        starts = stored(starts, "starts")
+    joined = bucketed.join(starts, "_bucket").withColumn("_part", part)
+    if per_task is not None:
+        joined = joined.repartition("_part")
+    inside = Window.partitionBy(*(["_bucket"] if per_task is None else ["_part", "_bucket"])).orderBy(order)
     upto = F.sum("_flag").over(inside.rowsBetween(Window.unboundedPreceding, 0))
     once = F.when(F.lag(order).over(inside) == F.col(order), F.raise_error(
         F.concat(F.lit(f"{order} occurs twice: "), F.col(order).cast("string"))).cast("long")).otherwise(upto)
-    return (bucketed.join(starts, "_bucket").withColumn(name, F.col("_start") + once)
-            .drop("_bucket", "_flag", "_start"))
+    return joined.withColumn(name, F.col("_start") + once).drop("_bucket", "_flag", "_start", "_part")
 
 
 def assign_ids(articles: DataFrame, order: str = "page_id", name: str = "article_id") -> DataFrame:
@@ -81,18 +93,22 @@ def shard_ids(articles: DataFrame, max_articles: int) -> DataFrame:
 
 
 def shard_emitted(routed: DataFrame, max_articles: int) -> DataFrame:
-    """Adds ``shard`` to articles and redirects together.
+    """Adds ``shard`` to articles and redirects together, and ``shard_article_id`` to articles.
 
     A redirect goes to the shard that is open at its place in page order; the
-    last shard stays open until the end.
+    last shard stays open until the end. Ids restart in every shard. The rows
+    move once and come out in page order within tasks, so hand over pages
+    before they are converted and write the result as it is.
     """
     is_article = F.col("kind") == ARTICLE
-    emitted = running_count(routed.where(F.col("kind").isin(REDIRECT, ARTICLE)), is_article, "_seen")
+    emitted = running_count(routed.where(F.col("kind").isin(REDIRECT, ARTICLE)), is_article, "_seen",
+                            width=SHARD_BUCKET, per_task=PER_TASK)
     last = routed.where(is_article).agg(
         F.greatest(F.floor((F.count("*") - 1) / max_articles), F.lit(0)).alias("_last"))
-    position = F.when(is_article, F.col("_seen") - 1).otherwise(F.col("_seen"))
+    place = F.col("_seen") - 1
     return (emitted.join(F.broadcast(last))  # one row
-            .withColumn("shard", F.least(F.floor(position / max_articles), F.col("_last")))
+            .withColumn("shard", F.least(F.floor(F.when(is_article, place).otherwise(F.col("_seen")) / max_articles), F.col("_last")))
+            .withColumn("shard_article_id", F.when(is_article, place % max_articles + 1))
             .drop("_seen", "_last"))
 
 

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -11,11 +11,11 @@ from pyspark.sql import functions as F
 from wikiloom.config import Languages, Options
 from wikiloom.functions.convert import convert_steps
 from wikiloom.functions.expr import apply_steps
-from wikiloom.operators.counts import assign_ids
+from wikiloom.operators.counts import assign_ids, shard_emitted
 from wikiloom.operators.routing import (ARTICLE, REDIRECT, article_pages, guess_wikitype, route_pages, select_titles)
 from wikiloom.operators.search import title_index
 from wikiloom.sinks.tables import COMPRESSION, ROWS_PER_FILE, write_by_title, write_metadata, write_title_index
-from wikiloom.sources.dump import read_pages, read_siteinfo
+from wikiloom.sources.dump import broken_pages, read_pages, read_siteinfo
 
 
 def add_html(pages: DataFrame, options: Options = Options(), languages: Languages | None = None,
@@ -41,14 +41,20 @@ def show_articles(pages: DataFrame, titles: Sequence[str] | str, convert: bool =
 
 
 def emitted_rows(pages: DataFrame, options: Options = Options(), languages: Languages | None = None,
-                 wikitype: Column | None = None) -> DataFrame:
-    """Articles and redirects in one table: ``page_id, title, title_to, html, kind``."""
+                 wikitype: Column | None = None, max_articles: int | None = None) -> DataFrame:
+    """Articles and redirects in one table: ``page_id, title, title_to, html, kind``.
+
+    With ``max_articles`` also ``shard`` and ``shard_article_id``; pages move to
+    their shards before they are converted.
+    """
     routed = route_pages(pages, languages, wikitype).where(F.col("kind").isin(ARTICLE, REDIRECT))
+    sharded = [] if max_articles is None else ["shard", "shard_article_id"]
+    routed = routed if max_articles is None else shard_emitted(routed, max_articles)
     # Redirects have no text to convert; null passes all steps.
     text_only = F.when(F.col("kind") == ARTICLE, F.col("wikitext"))
     return add_html(routed.withColumn("wikitext", text_only), options, languages, wikitype).select(
         "page_id", "title", F.when(F.col("kind") == REDIRECT, F.col("redirect_to")).alias("title_to"),
-        "html", "kind")
+        "html", "kind", *sharded)
 
 
 class CountMismatch(RuntimeError):
@@ -59,6 +65,7 @@ class CountMismatch(RuntimeError):
 class RunCounts:
     articles: int
     redirects: int
+    broken: int = 0
 
 
 def stored_articles(spark: SparkSession, path: str) -> DataFrame:
@@ -70,6 +77,11 @@ def stored_redirects(spark: SparkSession, path: str) -> DataFrame:
         F.col("title").alias("title_from"), "title_to")
 
 
+def stored_shards(spark: SparkSession, path: str) -> DataFrame:
+    """All rows of a wiki stored in shards."""
+    return spark.read.parquet(f"{path}/pages").withColumn("shard", F.col("shard").cast("long"))
+
+
 def stored_counts(spark: SparkSession, path: str) -> DataFrame:
     """``kind, n`` of the stored rows; reads file footers and folder names only."""
     return spark.read.parquet(f"{path}/pages").groupBy("kind").agg(F.count("*").alias("n"))
@@ -82,9 +94,12 @@ def reconcile(announced: RunCounts, written: RunCounts) -> None:
 
 def write_wiki(pages: DataFrame, path: str, options: Options = Options(),
                languages: Languages | None = None, metadata: dict[str, str] | None = None,
-               overwrite: bool = False, wikitype: Column | None = None) -> RunCounts:
+               overwrite: bool = False, wikitype: Column | None = None, max_articles: int | None = None) -> RunCounts:
     """Convert and store a wiki in one pass over its pages.
 
+    With ``max_articles`` there is a folder per shard of so many articles, and
+    a pass before that counts the pages; see ``shard_emitted``.
+
     The pages are routed on the way in, where they are counted, and written
     into one folder per kind. The counts must agree with what is stored. A wiki
     that is there already is replaced only if ``overwrite`` says so. Language
@@ -97,9 +112,10 @@ def write_wiki(pages: DataFrame, path: str, options: Options = Options(),
         seen,
         F.count_if(F.col("kind") == ARTICLE).alias("articles"),
         F.count_if(F.col("kind") == REDIRECT).alias("redirects"))
-    (emitted_rows(routed, options, languages, wikitype).write.mode("overwrite" if overwrite else "errorifexists")
+    folders = ["kind"] if max_articles is None else ["shard", "kind"]
+    (emitted_rows(routed, options, languages, wikitype, max_articles).write.mode("overwrite" if overwrite else "errorifexists")
      .option("compression", COMPRESSION).option("maxRecordsPerFile", ROWS_PER_FILE)
-     .partitionBy("kind").parquet(f"{path}/pages"))
+     .partitionBy(*folders).parquet(f"{path}/pages"))
     announced = RunCounts(seen.get["articles"], seen.get["redirects"])
     written = {row["kind"]: row["n"] for row in stored_counts(spark, path).collect()}
     reconcile(announced, RunCounts(written.get(ARTICLE, 0), written.get(REDIRECT, 0)))
@@ -109,20 +125,27 @@ def write_wiki(pages: DataFrame, path: str, options: Options = Options(),
 
 
 def convert_dump(spark: SparkSession, dump: str, path: str, names: DataFrame | None = None, author: str = "unknown",
-                 options: Options = Options(), languages: Languages | None = None, overwrite: bool = False) -> RunCounts:
+                 options: Options = Options(), languages: Languages | None = None, overwrite: bool = False,
+                 max_articles: int | None = None, on_broken: str = "raise") -> RunCounts:
     """A dump to a stored wiki that can be searched.
 
     Language and wiki type come from the dump's header. Below ``path``:
     ``pages`` (articles and redirects), ``titles`` (``article_id, page_id,
     title`` with dense ids in page order, laid out by title), ``index`` (tokens
     of the titles) and ``metadata``. ``names(code, english, local)`` supplies
-    the names of the language; without it they are its code.
+    the names of the language; without it they are its code. ``max_articles``
+    splits ``pages`` into shards, as in ``write_wiki``. A page that cannot be
+    parsed stops the run; with ``on_broken="skip"`` it goes to ``broken``.
     """
     info = read_siteinfo(spark, dump, names, author)
     info = {**info, "lang-english": info["lang-english"] or info["lang"], "lang-local": info["lang-local"] or info["lang"]}
     wikitype = guess_wikitype(F.lit(info["base"]))
-    counts = write_wiki(read_pages(spark, dump, info["lang"]), path, options, languages, info, overwrite, wikitype)
+    pages = read_pages(spark, dump, info["lang"], on_broken)
+    counts = write_wiki(pages, path, options, languages, info, overwrite, wikitype, max_articles)
     mode = "overwrite" if overwrite else "errorifexists"
+    if on_broken == "skip":
+        broken_pages(spark, dump).write.mode(mode).option("compression", COMPRESSION).parquet(f"{path}/broken")
+        counts = replace(counts, broken=spark.read.parquet(f"{path}/broken").count())
     numbered = assign_ids(stored_articles(spark, path).select("page_id", "title"))
     write_by_title(numbered.select("article_id", "page_id", "title"), f"{path}/titles", mode=mode)
     write_title_index(title_index(stored_titles(spark, path)), f"{path}/index", mode=mode)
