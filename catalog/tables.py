@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 
 from catalog.text import (ARTICLES_SQL, IS_HEADING, HEADING_TITLE, LEVEL, ROUTED, replaced, sql_anchors,
                           sql_numbered, LEFTOVER)
-from catalog.views import (RICH_PAGES, SITE, WIKI_PAGES, quote, rich_pages, scratch, view, wiki_dump, wiki_pages)
+from catalog.views import (IS_WIKTIONARY, RICH_PAGES, SITE, WIKI_PAGES, quote, rich_pages, scratch, view, whole_dumps, wiki_dump,
+                           wiki_pages)
 from wikiloom.functions.convert import apply_rules
 from wikiloom.operators import counts as A
 from wikiloom.operators import extract as D
@@ -21,8 +22,9 @@ from wikiloom.plans.convert import (convert_articles, convert_dump, emitted_rows
                                     stored_counts, stored_shards, stored_titles, write_wiki)
 from wikiloom.sinks import tables as K
 from wikiloom.sources import dump as S
+from wikiloom.sources.places import fetch_pages, page_places
 from wikiloom.sources.tables import page_directory, read_metadata, unique_metadata
-from wikiloom.streaming.ingest import ingest, ingested, run_metrics, stream_pages
+from wikiloom.streaming.ingest import ingest, ingest_dumps, ingested, quarantined, run_metrics, stream_pages
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -83,8 +85,12 @@ def _packed(spark, sf_dir, codec):
     return S.read_pages(spark, path)
 
 
+def _with_text_of(pages):
+    return pages.withColumn("wikitext", F.coalesce("wikitext", F.lit("")))
+
+
 def _with_text(pages):
-    return pages.withColumn("wikitext", F.coalesce("wikitext", F.lit(""))).select(*PAGES.split(", "))
+    return _with_text_of(pages).select(*PAGES.split(", "))
 
 
 @query(over(WIKI_PAGES, PAGES))
@@ -150,9 +156,25 @@ def k03_write_metadata(spark, sf_dir):
 
 
 @query(over(WIKI_PAGES, "page_id, title, CASE WHEN instr(title, ':') > 1 THEN split_part(title, ':', 1) ELSE '' END AS ns, "
-            "cast(length(wikitext) AS INTEGER) AS n_chars"))
+            "cast(length(wikitext) AS INTEGER) AS n_chars, concat('lang=', lang) AS folder"))
 def s05_page_directory(spark, sf_dir):
-    return page_directory(wiki_pages(spark, sf_dir)).drop("input_file")
+    """Over the dumps; of the file's name the folder is checked."""
+    directory = page_directory(S.read_pages(spark, wiki_dump(spark, sf_dir)))
+    return directory.withColumn("folder", F.element_at(F.split("input_file", "/"), -2)).drop("input_file")
+
+
+@query(over(WIKI_PAGES, PAGES + ", title AS listed_title"))
+def s05_page_places(spark, sf_dir):
+    """All pages, each fetched from its place in the dump."""
+    places = page_places(spark, wiki_dump(spark, sf_dir))
+    return _with_text_of(fetch_pages(places.withColumn("listed_title", F.col("title")))).select(*PAGES.split(", "), "listed_title")
+
+
+@query(over(WIKI_PAGES, PAGES, f"WHERE title IN ({', '.join(quote(t) for t in ('Doc 1', 'Race:Doc 4', 'Alias 10'))})"))
+def s05_fetch_titles(spark, sf_dir):
+    """Pages with the given titles, found in the directory of places."""
+    places = page_places(spark, wiki_dump(spark, sf_dir))
+    return _with_text(fetch_pages(P.select_titles(places, ["Doc 1", "Race:Doc 4", "Alias 10"])))
 
 
 # --- sinks -----------------------------------------------------------------
@@ -217,6 +239,18 @@ def k06_write_by_title(spark, sf_dir):
     return spark.read.parquet(path)
 
 
+@query(f"WITH a AS (SELECT page_id, title FROM ({ROUTED}) AS q WHERE kind = 'article'), r AS (SELECT {REDIRECTS} FROM ({WIKI_PAGES}) AS w "
+       "WHERE redirect_to <> '') SELECT title_from, title_to, page_id FROM r LEFT JOIN a ON title_to = title")
+def k06_bucketed_join(spark, sf_dir):
+    """Redirects with the articles they lead to, both stored in buckets of the title: no rows move."""
+    redirects, articles = scratch(spark, "redirects"), scratch(spark, "articles")
+    names = [path.rsplit("/", 1)[1].replace("-", "_") for path in (redirects, articles)]
+    K.write_bucketed(_redirects(spark, sf_dir), names[0], 8, "title_to", path=redirects)
+    K.write_bucketed(_articles(spark, sf_dir).select("page_id", "title"), names[1], 8, path=articles)
+    left, right = (spark.table(name) for name in names)
+    return left.join(right.hint("merge"), F.col("title_to") == F.col("title"), "left").select("title_from", "title_to", "page_id")
+
+
 @query(ARTICLES_SQL)
 def k07_compressed_storage(spark, sf_dir):
     path = scratch(spark, "wiki")
@@ -571,3 +605,39 @@ def g02_run_metrics(spark, sf_dir):
     """Counts stored by the batches of the stream."""
     _, metrics = _ingested(spark.sparkContext.applicationId, sf_dir)
     return run_metrics(spark, metrics).agg(F.sum("pages").alias("pages"), F.sum("redirects").alias("redirects"))
+
+
+_WIKIS = f"SELECT * REPLACE (CASE WHEN {IS_WIKTIONARY} THEN 'wiktionary' ELSE lang END AS lang) FROM ({WIKI_PAGES}) AS v"
+
+
+@cache
+def _ingested_dumps(application: str, sf_dir: str):
+    """A folder of dumps of several wikis, some pages of which cannot be parsed."""
+    spark = SparkSession.active()
+    path, metrics = scratch(spark, "wikis"), scratch(spark, "metrics")
+    ingest_dumps(spark, whole_dumps(spark, sf_dir), path, scratch(spark, "offsets"), metrics=metrics, files_per_batch=3).awaitTermination()
+    return path, metrics
+
+
+@query(f"SELECT * FROM ({ARTICLES_SQL.replace(WIKI_PAGES, _WIKIS)}) AS a WHERE page_id % 7 <> 0")
+def g01_two_wikis(spark, sf_dir):
+    """A wikipedia and a wiktionary of one language in a stream, told apart by their headers."""
+    path, _ = _ingested_dumps(spark.sparkContext.applicationId, sf_dir)
+    return ingested(spark, path, P.ARTICLE)
+
+
+@query("SELECT doc_id AS page_id FROM documents WHERE doc_id % 7 = 0")
+def g01_broken(spark, sf_dir):
+    """The records that the stream set aside while it went on."""
+    path, _ = _ingested_dumps(spark.sparkContext.applicationId, sf_dir)
+    return quarantined(spark, path).select(F.regexp_extract("broken", r"<id>(\d+)</id>", 1).cast("long").alias("page_id"))
+
+
+@query(f"WITH r AS ({ROUTED.replace(WIKI_PAGES, _WIKIS)}), k AS (SELECT count(*) AS pages, "
+       "count(*) FILTER (WHERE kind = 'article' AND page_id % 7 <> 0) AS articles, "
+       "count(*) FILTER (WHERE kind = 'redirect' AND page_id % 7 <> 0) AS redirects, "
+       "count(*) FILTER (WHERE page_id % 7 = 0) AS broken FROM r) SELECT * FROM k")
+def a03_reconcile_batches(spark, sf_dir):
+    """Rows stored by the batches, each compared with what it announced."""
+    _, metrics = _ingested_dumps(spark.sparkContext.applicationId, sf_dir)
+    return run_metrics(spark, metrics).agg(*(F.sum(c).alias(c) for c in ("pages", "articles", "redirects", "broken")))

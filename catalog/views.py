@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wikiloom.shared import new_path
@@ -92,6 +92,25 @@ SITE = ("SELECT DISTINCT lang, concat('Wiki ', lang) AS sitename, concat(lang, '
         "concat('https://', lang, '.wikipedia.org/wiki/Main') AS base, 'MediaWiki 1.29' AS generator "
         "FROM documents")
 
+def page_xml() -> Column:
+    redirect = F.when(F.col("redirect_to").isNotNull(), F.concat(
+        F.lit('    <redirect title="'), xml_text(F.col("redirect_to")), F.lit('" />\n'))).otherwise("")
+    return F.concat(
+        F.lit("  <page>\n    <title>"), xml_text(F.col("title")), F.lit("</title>\n    <ns>0</ns>\n    <id>"),
+        F.col("page_id").cast("string"), F.lit("</id>\n"), redirect,
+        F.lit("    <revision>\n      <id>7</id>\n      <contributor><id>9</id></contributor>\n"
+              '      <text xml:space="preserve">'),
+        xml_text(F.col("wikitext")), F.lit("</text>\n    </revision>\n  </page>"))
+
+
+def head_xml() -> Column:
+    return F.concat(
+        F.lit('<mediawiki xmlns="http://www.mediawiki.org/xml/export-0.10/" version="0.10" xml:lang="'),
+        F.col("lang"), F.lit('">\n  <siteinfo>\n    <sitename>'), F.col("sitename"),
+        F.lit("</sitename>\n    <dbname>"), F.col("dbname"), F.lit("</dbname>\n    <base>"), F.col("base"),
+        F.lit("</base>\n    <generator>"), F.col("generator"), F.lit("</generator>\n  </siteinfo>"))
+
+
 _dumps: dict[tuple[str, str], str] = {}
 
 
@@ -100,20 +119,30 @@ def wiki_dump(spark: SparkSession, sf_dir: str) -> str:
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _dumps:
         path = scratch(spark, "dump")
-        redirect = F.when(F.col("redirect_to").isNotNull(), F.concat(
-            F.lit('    <redirect title="'), xml_text(F.col("redirect_to")), F.lit('" />\n'))).otherwise("")
-        page = F.concat(
-            F.lit("  <page>\n    <title>"), xml_text(F.col("title")), F.lit("</title>\n    <ns>0</ns>\n    <id>"),
-            F.col("page_id").cast("string"), F.lit("</id>\n"), redirect,
-            F.lit("    <revision>\n      <id>7</id>\n      <contributor><id>9</id></contributor>\n"
-                  '      <text xml:space="preserve">'),
-            xml_text(F.col("wikitext")), F.lit("</text>\n    </revision>\n  </page>"))
-        wiki_pages(spark, sf_dir).select("lang", page.alias("value")).write.partitionBy("lang").text(path)
-        head = F.concat(
-            F.lit('<mediawiki xmlns="http://www.mediawiki.org/xml/export-0.10/" version="0.10" xml:lang="'),
-            F.col("lang"), F.lit('">\n  <siteinfo>\n    <sitename>'), F.col("sitename"),
-            F.lit("</sitename>\n    <dbname>"), F.col("dbname"), F.lit("</dbname>\n    <base>"), F.col("base"),
-            F.lit("</base>\n    <generator>"), F.col("generator"), F.lit("</generator>\n  </siteinfo>"))
-        spark.sql(SITE).select("lang", head.alias("value")).write.mode("append").partitionBy("lang").text(path)
+        wiki_pages(spark, sf_dir).select("lang", page_xml().alias("value")).write.partitionBy("lang").text(path)
+        spark.sql(SITE).select("lang", head_xml().alias("value")).write.mode("append").partitionBy("lang").text(path)
+        _dumps[key] = path
+    return _dumps[key]
+
+
+#: Pages by the header of their dump: the French ones with an even number are of a wiktionary.
+IS_WIKTIONARY = "lang = 'fr' AND page_id % 2 = 0"
+
+
+def whole_dumps(spark: SparkSession, sf_dir: str) -> str:
+    """A folder with one dump a wiki, each a file with its header; every seventh page holds an unknown entity."""
+    key = (spark.sparkContext.applicationId, f"{sf_dir}#whole")
+    if key not in _dumps:
+        path = scratch(spark, "dumps")
+        wiki = F.concat("lang", F.when(F.expr(IS_WIKTIONARY), "wiktionary").otherwise("wikipedia"))
+        xml = F.when(F.col("page_id") % 7 == 0, F.replace(page_xml(), F.lit("</text>"), F.lit("&bogus; <</text>"))).otherwise(page_xml())
+        pages = wiki_pages(spark, sf_dir).select(wiki.alias("wiki"), F.lit(1).alias("place"), xml.alias("value"))
+        of_wiki = pages.select("wiki").distinct().select(
+            "wiki", F.left("wiki", F.lit(2)).alias("lang"), F.col("wiki").alias("sitename"), F.col("wiki").alias("dbname"),
+            F.concat(F.lit("https://"), F.left("wiki", F.lit(2)), F.lit("."), F.substring("wiki", F.lit(3), F.length("wiki")),
+                     F.lit(".org/wiki/Main")).alias("base"), F.lit("MediaWiki 1.29").alias("generator"))
+        heads = of_wiki.select("wiki", F.lit(0).alias("place"), head_xml().alias("value"))
+        (heads.unionByName(pages).repartition("wiki").sortWithinPartitions("wiki", "place").select("wiki", "value")
+         .write.partitionBy("wiki").text(path))
         _dumps[key] = path
     return _dumps[key]

@@ -433,3 +433,70 @@ def test_skipped_pages_are_counted(spark, tmp_path):
     counts = convert_dump(spark, str(tmp_path / "dump.xml"), str(tmp_path / "out"), on_broken="skip")
     assert (counts.articles, counts.redirects, counts.broken) == (2, 0, 1)
     assert "<title>B</title>" in spark.read.parquet(str(tmp_path / "out/broken")).first().raw
+
+
+PAGE = "<page><title>%s</title><ns>0</ns><id>%d</id><revision><id>1</id><text>%s</text></revision></page>"
+HEAD = ('<mediawiki xml:lang="%s"><siteinfo><sitename>W</sitename><dbname>w</dbname>'
+        '<base>https://%s.%s.org/wiki/Main</base><generator>g</generator></siteinfo>')
+
+
+def test_places_over_many_splits(spark, tmp_path):
+    from wikiloom.sources.dump import read_pages
+    from wikiloom.sources.places import fetch_pages, page_places
+
+    for name in ("a.xml", "b.xml"):
+        pages = [PAGE % (f"{name} é&amp;{i}", i, "ö " * (i % 97)) for i in range(400)]
+        (tmp_path / name).write_text(HEAD % ("en", "en", "wikipedia") + "\n" + "\n  ".join(pages) + "\n</mediawiki>", encoding="utf-8")
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "3000")
+    try:
+        places = page_places(spark, str(tmp_path)).cache()
+        assert places.rdd.getNumPartitions() > 1
+        rows = places.collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    for row in rows:
+        data = (tmp_path / row.file.rsplit("/", 1)[1]).read_bytes()[row.offset:row.offset + row.length].decode()
+        assert data.startswith("<page>") and data.endswith("</page>") and f"<id>{row.page_id}</id>" in data
+    assert len(rows) == 800 and {r.title for r in rows if r.page_id == 7} == {"a.xml é&7", "b.xml é&7"}
+    order = ["title", "page_id"]
+    columns = ["page_id", "title", "ns", "redirect_to", "revision_id", "wikitext"]
+    want = read_pages(spark, str(tmp_path)).select(columns).orderBy(order).collect()
+    assert fetch_pages(places).select(columns).orderBy(order).collect() == want
+    with pytest.raises(Exception, match="no page at byte"):
+        fetch_pages(places.withColumn("offset", places["offset"] + 1)).collect()
+
+
+def test_bucketed_join_moves_nothing(spark):
+    from catalog.tables import QUERIES
+
+    joined = QUERIES["k06_bucketed_join"](spark, "/root/testdata/sf0.001")
+    joined.collect()
+    assert exchanges(joined) == [] and "SortMergeJoin" in joined._jdf.queryExecution().executedPlan().toString()
+
+
+def test_stream_goes_on_and_compares_counts(spark, tmp_path, monkeypatch):
+    from wikiloom.streaming import ingest as I
+
+    folder = tmp_path / "dumps"
+    folder.mkdir()
+
+    def run():
+        I.ingest_dumps(spark, str(folder), str(tmp_path / "out"), str(tmp_path / "offsets"), metrics=str(tmp_path / "metrics")).awaitTermination()
+
+    template = "{{1er mai}} x"
+    (folder / "fr.xml").write_text(HEAD % ("fr", "fr", "wikipedia") + PAGE % ("Un", 1, template) + PAGE % ("Modèle:x", 2, "y")
+                                   + "<page><title>Cut</title><id>3</id><revision><text>no end", encoding="utf-8")
+    run()
+    (folder / "wikt.xml").write_text(HEAD % ("fr", "fr", "wiktionary") + PAGE % ("Deux", 4, template) + PAGE % ("Modèle:y", 5, "y"), encoding="utf-8")
+    full = I.convert_routed
+    monkeypatch.setattr(I, "convert_routed", lambda *args: full(*args).where("title <> 'Deux'"))
+    with pytest.raises(Exception, match="announced"):
+        run()
+    monkeypatch.undo()
+    run()
+    got = {r.title: r.html for r in I.ingested(spark, str(tmp_path / "out"), "article").collect()}
+    assert got == {"Un": "1<sup>er</sup> mai x", "Deux": " x", "Modèle:y": "y"}  # the wiktionary has neither the rules nor the namespaces
+    assert [r.broken[:19] for r in I.quarantined(spark, str(tmp_path / "out")).collect()] == ["<page><title>Cut</t"]
+    totals = I.run_metrics(spark, str(tmp_path / "metrics")).groupBy().sum("pages", "articles", "broken").first()
+    assert tuple(totals) == (5, 3, 1)

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from wikiloom.config import REQUIRED_METADATA, Languages, standard_languages
 from wikiloom.functions.convert import speaks
 
-REDIRECT, ARTICLE, DROPPED = "redirect", "article", "dropped"
+REDIRECT, ARTICLE, DROPPED, BROKEN = "redirect", "article", "dropped", "broken"
 
 
 def is_redirect(target: Column) -> Column:
@@ -50,8 +50,9 @@ def page_kind(languages: Languages | None = None, wikitype: Column | None = None
 
 
 def route_pages(pages: DataFrame, languages: Languages | None = None, wikitype: Column | None = None) -> DataFrame:
-    """Adds ``kind``: redirect, article or dropped."""
-    return pages.withColumn("kind", page_kind(languages, wikitype))
+    """Adds ``kind``: redirect, article or dropped; broken for records that are kept as such."""
+    kind = page_kind(languages, wikitype)
+    return pages.withColumn("kind", F.when(F.col("broken").isNotNull(), BROKEN).otherwise(kind) if "broken" in pages.columns else kind)
 
 
 def redirects(pages: DataFrame) -> DataFrame:

@@ -12,7 +12,7 @@ from wikiloom.config import Languages, Options
 from wikiloom.functions.convert import convert_steps
 from wikiloom.functions.expr import apply_steps
 from wikiloom.operators.counts import assign_ids, shard_emitted
-from wikiloom.operators.routing import (ARTICLE, REDIRECT, article_pages, guess_wikitype, route_pages, select_titles)
+from wikiloom.operators.routing import (ARTICLE, BROKEN, REDIRECT, article_pages, guess_wikitype, route_pages, select_titles)
 from wikiloom.operators.search import title_index
 from wikiloom.sinks.tables import COMPRESSION, ROWS_PER_FILE, write_by_title, write_metadata, write_title_index
 from wikiloom.sources.dump import broken_pages, read_pages, read_siteinfo
@@ -47,14 +47,22 @@ def emitted_rows(pages: DataFrame, options: Options = Options(), languages: Lang
     With ``max_articles`` also ``shard`` and ``shard_article_id``; pages move to
     their shards before they are converted.
     """
-    routed = route_pages(pages, languages, wikitype).where(F.col("kind").isin(ARTICLE, REDIRECT))
+    routed = route_pages(pages, languages, wikitype)
+    return convert_routed(routed, options, languages, wikitype, max_articles)
+
+
+def convert_routed(routed: DataFrame, options: Options = Options(), languages: Languages | None = None,
+                   wikitype: Column | None = None, max_articles: int | None = None) -> DataFrame:
+    """``emitted_rows`` of pages that have their ``kind``; broken records keep the column ``broken``."""
+    kinds = [ARTICLE, REDIRECT] + ([BROKEN] if "broken" in routed.columns else [])
+    routed = routed.where(F.col("kind").isin(kinds))
     sharded = [] if max_articles is None else ["shard", "shard_article_id"]
     routed = routed if max_articles is None else shard_emitted(routed, max_articles)
     # Redirects have no text to convert; null passes all steps.
     text_only = F.when(F.col("kind") == ARTICLE, F.col("wikitext"))
     return add_html(routed.withColumn("wikitext", text_only), options, languages, wikitype).select(
         "page_id", "title", F.when(F.col("kind") == REDIRECT, F.col("redirect_to")).alias("title_to"),
-        "html", "kind", *sharded)
+        "html", "kind", *sharded, *(["broken"] if "broken" in routed.columns else []))
 
 
 class CountMismatch(RuntimeError):

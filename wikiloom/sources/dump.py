@@ -34,23 +34,25 @@ def parse_pages(records: DataFrame, on_broken: str = "raise") -> DataFrame:
     since dumps escape ``<``. Further columns, such as those of a partitioned
     folder, stay. A page that is no XML or has no id or title, such as the last
     one of a dump that was cut off, raises an error; with ``on_broken="skip"``
-    it is left out here and found by ``broken_pages``.
+    it is left out here and found by ``broken_pages``; with ``"keep"`` it is a
+    row with the record in the column ``broken``, null for all others.
     """
-    if on_broken not in ("raise", "skip"):
+    if on_broken not in ("raise", "skip", "keep"):
         raise ValueError(f"on_broken: {on_broken!r}")
     parsed, others = _parsed(records)
     page_id = F.col("page.id")
     if on_broken == "skip":
         parsed = parsed.where(~F.col("is_broken"))
-    else:
+    elif on_broken == "raise":
         message = F.concat(F.lit("a page of the dump cannot be parsed: "), F.left("raw", F.lit(300)))
         page_id = F.when(F.col("is_broken"), F.raise_error(message).cast("long")).otherwise(page_id)
-    return parsed.select(*others, page_id.alias("page_id"),
-                         F.col("page.title").alias("title"),
-                         F.col("page.ns").alias("ns"),
-                         F.col("page.redirect._title").alias("redirect_to"),
-                         F.col("page.revision.id").alias("revision_id"),
-                         F.when(page_id.isNotNull(), F.col("page.revision.text._VALUE")).alias("wikitext"))
+    fields = {"page_id": page_id, "title": F.col("page.title"), "ns": F.col("page.ns"), "redirect_to": F.col("page.redirect._title"),
+              "revision_id": F.col("page.revision.id"),
+              "wikitext": F.when(page_id.isNotNull(), F.col("page.revision.text._VALUE"))}
+    if on_broken == "keep":  # nothing of a broken page counts
+        fields = {name: F.when(~F.col("is_broken"), value) for name, value in fields.items()}
+        fields["broken"] = F.when(F.col("is_broken"), F.col("raw"))
+    return parsed.select(*others, *(value.alias(name) for name, value in fields.items()))
 
 
 def read_pages(spark: SparkSession, path: str, lang: str | None = None, on_broken: str = "raise") -> DataFrame:
@@ -97,12 +99,17 @@ def read_siteinfo(spark: SparkSession, path: str, languages: DataFrame | None =
 
 def site_table(spark: SparkSession, path: str) -> DataFrame:
     """One row per dump: ``lang, sitename, dbname, base, generator``."""
-    records = spark.read.text(path, lineSep=PAGE_END).where(
-        F.contains("value", F.lit("<siteinfo")))
+    return site_rows(spark.read.text(path, lineSep=PAGE_END).select("value"))
+
+
+def site_rows(records: DataFrame) -> DataFrame:
+    """The headers among text records, beside the records' further columns."""
+    others = [c for c in records.columns if c != "value"]
+    records = records.where(F.contains("value", F.lit("<siteinfo")))
     lang = F.regexp_extract("value", r'<mediawiki[^\n>]*xml:lang="([^"]+)"', 1)
     xml = F.regexp_extract("value", r"(?s)<siteinfo.*</siteinfo>", 0)
     site = F.from_xml(xml, SITE_XML, {"rowTag": "siteinfo"})
-    return records.select(lang.alias("lang"), site.alias("site")).select("lang", "site.*")
+    return records.select(*others, lang.alias("lang"), site.alias("site")).select(*others, "lang", "site.*")
 
 
 def xml_text(text: Column) -> Column:
@@ -112,6 +119,13 @@ def xml_text(text: Column) -> Column:
     return text
 
 
+def xml_plain(text: Column) -> Column:
+    """The text that ``xml_text`` has escaped."""
+    for character, entity in (("\r", "&#13;"), ('"', "&quot;"), (">", "&gt;"), ("<", "&lt;"), ("&", "&amp;")):
+        text = F.replace(text, F.lit(entity), F.lit(character))
+    return text
+
+
 def spread(df: DataFrame, key: str, per_core: int = 3) -> DataFrame:
     """Redistribute rows of an input with too few partitions for the cores.
 

@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
+from dataclasses import asdict
+
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
 from wikiloom.config import Languages, Options
-from wikiloom.operators.routing import ARTICLE, REDIRECT
-from wikiloom.plans.convert import emitted_rows
+from wikiloom.operators.routing import ARTICLE, BROKEN, REDIRECT, guess_wikitype, route_pages
+from wikiloom.plans.convert import RunCounts, convert_routed, reconcile
 from wikiloom.sinks.tables import COMPRESSION
-from wikiloom.sources.dump import PAGE_END, parse_pages
+from wikiloom.sources.dump import PAGE_END, parse_pages, site_rows
 
 
 def _counts() -> list[Column]:
@@ -20,46 +22,102 @@ def _counts() -> list[Column]:
             F.coalesce(F.sum(F.length("wikitext")), F.lit(0)).alias("characters")]
 
 
+def _records(spark: SparkSession, folder: str, files_per_batch: int) -> DataFrame:
+    return spark.readStream.option("lineSep", PAGE_END).option("maxFilesPerTrigger", files_per_batch).text(folder)
+
+
 def stream_pages(spark: SparkSession, folder: str, lang: str | None = None,
-                 files_per_batch: int = 100) -> DataFrame:
+                 files_per_batch: int = 100, on_broken: str = "raise") -> DataFrame:
     """Pages of all dump files in a folder, present and future.
 
-    ``lang`` may be left out for a folder with ``lang=…`` folders inside.
+    ``lang`` may be left out for a folder with ``lang=…`` folders inside. A
+    page that cannot be parsed stops the stream, at every restart; with
+    ``on_broken="keep"`` it is a row that ``ingest`` sets aside.
     """
-    records = (spark.readStream.option("lineSep", PAGE_END).option("maxFilesPerTrigger", files_per_batch)
-               .text(folder))
-    pages = parse_pages(records)
+    pages = parse_pages(_records(spark, folder, files_per_batch), on_broken)
     return pages.withColumn("lang", F.lit(lang)) if lang is not None else pages
 
 
+def _store(pages: DataFrame, batch_id: int, path: str, options: Options, languages: Languages | None,
+           wikitype: Column | None, metrics: str | None) -> None:
+    """Write one batch, broken records in a folder of their own, and compare the counts.
+
+    A batch whose stored rows differ from those announced fails, so the stream
+    stops before the batch counts as done, and runs it again when restarted.
+    """
+    seen = Observation()
+    kinds = [F.count_if(F.col("kind") == kind).alias(f"n_{kind}") for kind in (ARTICLE, REDIRECT, BROKEN)]
+    routed = route_pages(pages, languages, wikitype).observe(seen, *_counts(), *kinds)
+    folder, spark = f"{path}/batch={batch_id}", pages.sparkSession
+    rows = convert_routed(routed, options, languages, wikitype)
+    rows.write.mode("overwrite").option("compression", COMPRESSION).partitionBy("kind").parquet(folder)
+    found = spark.read.schema(rows.schema).parquet(folder).groupBy("kind").count()  # a schema, since a batch may be empty
+    written = {row["kind"]: row["count"] for row in found.collect()}
+    announced = seen.get
+    counts = [RunCounts(*(n.get(prefix + kind, 0) for kind in (ARTICLE, REDIRECT, BROKEN)))
+              for n, prefix in ((announced, "n_"), (written, ""))]
+    reconcile(*counts)
+    if metrics is not None:
+        values = {name: n for name, n in announced.items() if not name.startswith("n_")} | asdict(counts[1])
+        row = [F.lit(n).cast("long").alias(name) for name, n in values.items()]
+        spark.range(1).select(*row).write.mode("overwrite").parquet(f"{metrics}/batch={batch_id}")
+
+
+def _started(stream: DataFrame, store, checkpoint: str, keep_running: bool) -> StreamingQuery:
+    writer = stream.writeStream.foreachBatch(store).option("checkpointLocation", checkpoint)
+    return (writer if keep_running else writer.trigger(availableNow=True)).start()
+
+
 def ingest(pages: DataFrame, path: str, checkpoint: str, options: Options = Options(),
            languages: Languages | None = None, keep_running: bool = False, wikitype: Column | None = None,
            metrics: str | None = None) -> StreamingQuery:
     """Convert a page stream into ``path/batch=…/kind=…``.
 
     A batch that is run again overwrites its own folder, so pages are stored
-    once even after a failure. By default the query stops when it has read
-    what is there. With ``metrics``, a folder of its own, each batch stores its
-    counts there as ``batch=…``; read them with ``run_metrics``.
+    once even after a failure; its rows are counted on the way in and must be
+    stored in that number. Broken records that the stream keeps are stored too,
+    see ``quarantined``. By default the query stops when it has read what is
+    there. With ``metrics``, a folder of its own, each batch stores its counts
+    there as ``batch=…``; read them with ``run_metrics``.
     """
+    counted = pages.observe("pages", *_counts())
+    return _started(counted, lambda batch, batch_id: _store(batch, batch_id, path, options, languages, wikitype, metrics),
+                    checkpoint, keep_running)
+
+
+def ingest_dumps(spark: SparkSession, folder: str, path: str, checkpoint: str, options: Options = Options(),
+                 languages: Languages | None = None, keep_running: bool = False, metrics: str | None = None,
+                 files_per_batch: int = 100) -> StreamingQuery:
+    """Convert all dumps that come into a folder, each by the language and wiki type of its own header.
+
+    Otherwise like ``ingest``; records that cannot be parsed are set aside. A
+    file is in one batch as a whole, so its header is found there: a table of
+    one row per file of the batch, ``files_per_batch`` at most. Pages of a file
+    without header have no language and no wiki type.
+    """
+    records = _records(spark, folder, files_per_batch).select("value", F.col("_metadata.file_path").alias("file"))
 
     def store(batch: DataFrame, batch_id: int) -> None:
-        seen = Observation()
-        counted = batch.observe(seen, *_counts())
-        (emitted_rows(counted, options, languages, wikitype).write.mode("overwrite")
-         .option("compression", COMPRESSION).partitionBy("kind").parquet(f"{path}/batch={batch_id}"))
-        if metrics is not None:
-            row = [F.lit(n).cast("long").alias(name) for name, n in seen.get.items()]
-            batch.sparkSession.range(1).select(*row).write.mode("overwrite").parquet(f"{metrics}/batch={batch_id}")
+        heads = site_rows(batch).groupBy("file").agg(F.first("lang").alias("lang"), guess_wikitype(F.first("base")).alias("wikitype"))
+        pages = parse_pages(batch, "keep").join(F.broadcast(heads), "file", "left")
+        _store(pages, batch_id, path, options, languages, F.col("wikitype"), metrics)
+
+    return _started(records, store, checkpoint, keep_running)
 
-    counted = pages.observe("pages", *_counts())
-    writer = counted.writeStream.foreachBatch(store).option("checkpointLocation", checkpoint)
-    return (writer if keep_running else writer.trigger(availableNow=True)).start()
+
+def quarantined(spark: SparkSession, path: str) -> DataFrame:
+    """``batch, broken``: the records of all batches that could not be parsed."""
+    return _stored(spark, path).where(F.col("kind") == BROKEN).select("batch", "broken")
+
+
+def _stored(spark: SparkSession, path: str) -> DataFrame:
+    # Batches without broken records may lack the column.
+    return spark.read.option("mergeSchema", "true").parquet(path)
 
 
 def ingested(spark: SparkSession, path: str, kind: str) -> DataFrame:
     """Stored articles or redirects of all batches."""
-    rows = spark.read.parquet(path).where(F.col("kind") == kind)
+    rows = _stored(spark, path).where(F.col("kind") == kind)
     if kind == REDIRECT:
         return rows.select(F.col("title").alias("title_from"), "title_to")
     assert kind == ARTICLE
@@ -93,5 +151,8 @@ class RunMetrics(StreamingQueryListener):
 
 
 def run_metrics(spark: SparkSession, metrics: str) -> DataFrame:
-    """``batch, pages, redirects, characters`` of all batches ever run."""
+    """``batch, pages, characters, articles, redirects, broken`` of all batches ever run.
+
+    The counts by kind are those of the stored rows.
+    """
     return spark.read.option("basePath", metrics).parquet(metrics)
