@@ -16,6 +16,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from wikiloom.shared import stored
+
 SYMBOLS = b"#*$%&|<>"
 #: Rule name to its condition on the base columns.
 RULES: dict[str, str] = {
@@ -28,6 +30,8 @@ BASE_RULES = ("short", "repeats")
 MAX_RATE = 0.8
 #: Strength of the prior where hosts do not differ more than chance, and its least.
 STRONGEST, WEAKEST = 1e6, 2.0
+#: Rejected hosts that are broadcast, and parts of a host where there are more.
+MOST_BROADCAST, SALTS = 10_000, 64
 
 
 def repeated_words(words: list[bytes]) -> int:
@@ -116,20 +120,31 @@ def apply_rules(docs: DataFrame, max_rate: float = MAX_RATE) -> DataFrame:
     counts combine before the shuffle; a hot host is one row by then, and hosts
     are joined back with the optimiser's choice of join, which splits skew.
     """
-    counted = with_counts(docs)
+    counted = stored(with_counts(docs), "counts")
     hosts = host_verdicts(counted, max_rate).select(F.col("source").alias("_host"), "host_rejected")
     failed = F.expr(" or ".join(RULES[name] for name in BASE_RULES))
     judged = counted.join(hosts, counted["source"].eqNullSafe(hosts["_host"]), "left").drop("_host")
     return judged.withColumn("base_failed", failed).withColumn("kept", ~F.col("base_failed") & ~F.col("host_rejected"))
 
 
-def keep_good(docs: DataFrame, max_rate: float = MAX_RATE) -> DataFrame:
+def keep_good(docs: DataFrame, max_rate: float = MAX_RATE, most_broadcast: int = MOST_BROADCAST) -> DataFrame:
     """The rows of ``docs`` that :func:`apply_rules` keeps, with their columns.
 
-    Only rejected hosts are joined; otherwise the texts stay where they are.
+    Texts are counted once and stored beside their counts; hosts are judged
+    from the counts alone. Up to ``most_broadcast`` rejected hosts are sent to
+    all tasks, so texts stay where they are; more of them meet the rows by host
+    and salt, which splits a hot host. Without rejected hosts nothing is joined.
     """
-    bad = host_verdicts(with_counts(docs), max_rate).where("host_rejected").select(F.col("source").alias("_host"))
-    failed = F.expr(" or ".join(RULES[name] for name in BASE_RULES))
-    passed = (docs.select(F.struct(*docs.columns).alias("_row"), counts_of(F.col("text")).alias("_counts"))
-              .select("_row", "_counts.*").where(~failed).select("_row"))
-    return passed.join(bad, F.col("_row.source").eqNullSafe(F.col("_host")), "left_anti").select("_row.*")
+    counted = stored(docs.select(F.struct(*docs.columns).alias("_row"), counts_of(F.col("text")).alias("_counts")), "counted")
+    hosts = host_verdicts(counted.select("_row.source", "_counts.*"), max_rate).where("host_rejected")
+    bad = stored(hosts.select(F.col("source").alias("_host")), "rejected")
+    failed = F.expr(" or ".join(RULES[name].replace("n_", "_counts.n_") for name in BASE_RULES))
+    passed = counted.where(~failed).select("_row")
+    n_bad, same = bad.count(), F.col("_row.source").eqNullSafe(F.col("_host"))
+    if n_bad == 0:
+        return passed.select("_row.*")
+    if n_bad <= most_broadcast:
+        return passed.join(F.broadcast(bad), same, "left_anti").select("_row.*")
+    salted = bad.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    part = F.pmod(F.xxhash64("_row.text"), F.lit(SALTS))
+    return passed.join(salted, same & (part == F.col("_salt")), "left_anti").select("_row.*")

@@ -28,6 +28,8 @@ MIN_PAYLOAD = 1000
 DATE = "1970-01-01T00:00:00Z"  # pages carry no time of capture
 #: Unread bytes that a range may span, and its size about.
 GAP, RANGE_BYTES = 64 << 10, 4 << 20
+#: Bytes of archives that a reading task fetches, about.
+TASK_BYTES = 16 << 20
 LEVEL = 3
 
 
@@ -134,12 +136,12 @@ def coalesced(selected: DataFrame, gap: int = GAP, range_bytes: int = RANGE_BYTE
             .drop("run"))
 
 
-def read_records(selected: DataFrame, path: str, id_type: str = "long") -> DataFrame:
+def read_records(selected: DataFrame, path: str, id_type: str = "long", task_bytes: int = TASK_BYTES) -> DataFrame:
     """The records of the selected index rows, read from the archives.
 
     ``page_id, url, record_type, payload_digest`` (hex SHA-1 of the header),
     ``refers_to`` and ``payload`` (empty for revisits). A record whose payload
-    does not have its digest raises an error.
+    does not have its digest raises an error. A task fetches ``task_bytes`` about.
     """
     archives = f"{path}/archives"
 
@@ -165,8 +167,11 @@ def read_records(selected: DataFrame, path: str, id_type: str = "long") -> DataF
                                                  ["page_id", "url", "record_type", "payload_digest", "refers_to", "payload"])
 
     schema = "page_id string, url string, record_type string, payload_digest string, refers_to string, payload binary"
-    ranges = coalesced(selected).repartition("file", "start")
-    return ranges.mapInArrow(run, schema).withColumns(
+    ranges = stored(coalesced(selected), "ranges")
+    total = ranges.agg(F.coalesce(F.sum(F.col("end") - F.col("start")), F.lit(0))).first()[0]
+    # A number that is given is not lowered by the size of these small rows.
+    dealt = ranges.repartition(-(-total // task_bytes) or 1, "file", "start")
+    return dealt.mapInArrow(run, schema).withColumns(
         {c: F.col(c).cast(id_type) for c in ("page_id", "refers_to")})
 
 
