@@ -14,6 +14,7 @@ import json
 import re
 import struct
 import uuid
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -57,6 +58,8 @@ class Encoder(dict):
 
     _SPACE = "[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]"
     _RUNS, _STOPS, _BETWEEN = re.compile(f"({_SPACE}+)"), ".,;:!?", "\0"
+    # In texts without these, white space is single " " or "\n" between other characters.
+    _ODD = ["  ", "\n\n", " \n", "\n ", _BETWEEN, *(chr(c) for c in range(0x3001) if chr(c).isspace() and chr(c) not in " \n")]
 
     def __init__(self, tokenizer_json: str) -> None:
         import os
@@ -66,8 +69,8 @@ class Encoder(dict):
 
         self.tokenizer = Tokenizer.from_str(tokenizer_json)
         self.dtype = id_type(tokenizer_json)
-        self.code = {"<u2": "H", "<u4": "I"}[self.dtype]
-        self.end = struct.pack(f"<{self.code}", END_ID)
+        self.code = {"<u2": "H", "<u4": "I"}[self.dtype]  # little-endian, as all machines that Arrow runs on
+        self.end = array(self.code, [END_ID]).tobytes()
         spec = json.loads(tokenizer_json)
         cut = spec.get("pre_tokenizer") or {}
         self.cuts = (spec.get("normalizer") is None and cut.get("type") == "ByteLevel" and cut.get("use_regex", True)
@@ -81,8 +84,7 @@ class Encoder(dict):
         if stem != piece and stem and stem[-1] < "\u0250" and stem[-1].isalnum():
             data = self[stem] + self[piece[len(stem):]]
         else:
-            ids = self.tokenizer.encode(piece, add_special_tokens=False).ids
-            data = struct.pack(f"<{len(ids)}{self.code}", *ids)
+            data = array(self.code, self.tokenizer.encode(piece, add_special_tokens=False).ids).tobytes()
         self.held += ENTRY_BYTES + len(piece) + len(data)
         if self.held > KNOWN_BYTES:
             self.clear()
@@ -94,7 +96,7 @@ class Encoder(dict):
         if not self.cuts or any(token in text for token in self.special):
             return [text]
         apart = self._BETWEEN
-        if text.split() == text.replace("\n", " ").split(" ") and apart not in text:  # no white space but single " " and "\n" inside
+        if not any(pair in text for pair in self._ODD) and not text[0].isspace() and not text[-1].isspace():
             return text.replace("\n", f"{apart}\n{apart}").replace(" ", f"{apart} ").split(apart)
         out: list[str] = []
         words = self._RUNS.split(text)
