@@ -1,13 +1,15 @@
-"""Plans and tasks of the corpus operators where one host, or many ranges, hold most of the bytes."""
+"""The corpus operators where one host, range, row or text holds most of the rows, bytes or matches."""
 
 from __future__ import annotations
 
 import random
+import time
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from wikiloom.llm import host_rules, warc
+from wikiloom.llm import copies, host_rules, mixing, secrets, sharding, warc
 from wikiloom.shared import new_path
 
 RNG = random.Random(5)
@@ -54,3 +56,100 @@ def test_ranges_are_dealt_by_their_bytes(spark):
     total = index.agg(F.sum("length")).first()[0]
     assert read.rdd.getNumPartitions() >= total // 50_000 > 10
     assert read.count() == 1000
+
+
+def test_numbered(spark, monkeypatch):
+    monkeypatch.setattr(copies, "BLOCK", 10)
+    monkeypatch.setattr(copies, "BLOCKS", 2)
+    rows = spark.createDataFrame([("a", 95, "x"), ("b", 10, "x"), ("c", 1, "x"), ("d", 0, "x")], "k string, c long, _first string")
+    got = copies.numbered(rows, "c", "i")
+    assert got.columns == ["k", "_first", "i"]
+    assert sorted((r.k, r.i) for r in got.collect()) == [("a", i) for i in range(95)] + [("b", i) for i in range(10)] + [("c", 0)]
+    deep = spark.createDataFrame([([None, 1], {"a": 1}, None, "x"), ([1, None], {"a": 1}, "x", None), ([None, 1], {"a": 1}, None, "x")],
+                                 "a array<int>, `m.x` map<string,int>, s string, t string")
+    hashes = [r[0] for r in deep.select(copies.row_hash(deep)).collect()]
+    assert hashes[0] == hashes[2] != hashes[1]
+    assert sorted(r.n for r in copies.collapsed(deep, "n").collect()) == [1, 2]
+
+
+@pytest.mark.parametrize("piece_bytes", [64 << 20, 20_000])
+@pytest.mark.parametrize("other", [lambda i: "same", lambda i: f"row {i}"])
+def test_equal_rows_are_cut(spark, monkeypatch, other, piece_bytes):
+    """A third of the rows without id and of one text, alike or not in other columns."""
+    monkeypatch.setattr(copies, "BLOCK", 100)
+    text = "one text that many rows hold " * 4
+    rows = [(None if i % 3 == 0 else i, text if i % 3 == 0 else text[: i % 90], other(i), None) for i in range(6000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, _heavy string, _count string").repartition(3)
+    result = sharding.shard_bytes(docs, piece_bytes=piece_bytes)
+    got = result.collect()
+    assert set(result.columns) == set(docs.columns) | {"size", "text_crc32", "shard", "slot"}
+    assert sorted(map(repr, (tuple(r)[:4] for r in result.select(docs.columns).collect()))) == sorted(map(repr, rows))
+    sizes = np.zeros(24, int)
+    for r in got:
+        sizes[r.shard] += r.size
+    assert sizes.max() - sizes.min() < 4 * (len(text) + 8)
+    for shard in range(24):
+        slots = sorted(r.slot for r in got if r.shard == shard)
+        assert slots == list(range(len(slots)))
+    again = sharding.shard_bytes(docs.repartition(5), piece_bytes=piece_bytes).collect()
+    place = lambda r: repr((r.doc_id, r.size, r.shard, r.slot))
+    assert sorted(map(place, got)) == sorted(map(place, again))
+
+
+def heavy_mix(spark):
+    """Three sources; a third of all rows share null id and size, half of those all columns."""
+    rows = [(None, "w " * 50 if i % 2 else f"w{i} " * 50, "hot", i % 7) for i in range(4000)]
+    rows += [(i, "w " * RNG.randint(1, 200), ["b", "c"][i % 2], 0) for i in range(8000)]
+    return spark.createDataFrame(rows, "doc_id long, text string, source string, _hash int").repartition(4), rows
+
+
+def test_groups_of_equal_rows_are_bounded(spark, monkeypatch):
+    docs, rows = heavy_mix(spark)
+    largest = spark.sparkContext.accumulator(0)
+    fly = mixing._fly
+
+    def counting(last):
+        run = fly(last)
+
+        def counted(group):
+            if group.num_rows > 300:
+                largest.add(1)
+            return run(group)
+
+        return counted
+
+    monkeypatch.setattr(mixing, "_fly", counting)
+    got = mixing.mix(docs, group=200).collect()
+    assert len(got) == len(rows) and largest.value == 0
+    taken, target = {}, {r.source: r.target for r in got}
+    for r in got:
+        taken[r.source] = taken.get(r.source, 0) + r.taken
+    assert all(abs(taken[s] - target[s]) <= 200 for s in target)  # several levels of groups, one text at most off
+
+
+@pytest.mark.parametrize("part", [10_000, 20])
+def test_mixed_takes_equal_rows_together(spark, monkeypatch, part):
+    monkeypatch.setattr(mixing, "HOT_PART", part)
+    docs, rows = heavy_mix(spark)
+    out = mixing.mixed(docs, group=500)
+    got = out.collect()
+    assert out.columns == docs.columns and {tuple(r) for r in got} <= set(rows)
+    targets = {r.source: r.target for r in mixing.mix(docs).select("source", "target").distinct().collect()}
+    for source, target in targets.items():
+        assert abs(sum(len(r.text.split()) for r in got if r.source == source) - target) <= 200
+    most = {r: 3 * rows.count(r) for r in set(rows[:60])}
+    assert all(sum(tuple(g) == r for g in got) <= n for r, n in most.items())
+    assert sorted(map(repr, got)) == sorted(map(repr, mixing.mixed(docs, group=500).collect()))
+
+
+def test_many_secrets_in_one_text(spark):
+    text = "é token=abcdef1 " * 100_000
+    docs = spark.createDataFrame([(1, text), (2, "none")], "doc_id long, text string")
+    path, start = new_path(spark, "ledger"), time.monotonic()
+    secrets.scan(docs, path)
+    report = secrets.findings(docs, path)
+    got = {r.doc_id: r for r in report.collect()}
+    assert time.monotonic() - start < 30
+    assert got[1].n_assign == 100_000 and got[2].spans == ""
+    assert got[1].spans == ",".join(f"assign:{16 * i + 2}:{16 * i + 15}" for i in range(100_000))
+    assert "Python" not in plan_of(report)

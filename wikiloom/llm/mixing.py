@@ -21,7 +21,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from wikiloom.shared import stored
+from wikiloom.llm.copies import collapsed, numbered, row_hash
+from wikiloom.shared import stored, unused
 
 WORD = r"[^\x20\x09-\x0D]+"
 WEIGHTS = (1, 2, 3)
@@ -31,6 +32,8 @@ GROUP = 4_000
 EPS = 1e-9
 #: Sources up to which their table is sent to all tasks.
 MANY = 10_000
+#: Equal rows that are more than this part of all rows are held apart: so many groups at most.
+HOT_PART = 10_000
 
 
 def n_words(text: Column) -> Column:
@@ -117,22 +120,29 @@ def mix(docs: DataFrame, weights: Sequence[float] = WEIGHTS, max_repeats: float
     """``doc_id, source, size, source_size, target, copies, taken``, a row per row of ``docs``.
 
     ``copies`` is how often the mix takes the document, ``taken`` its words in
-    the mix. The draws come from the ``doc_id``, so reruns agree. Null texts
-    have no words; a null source is a source, last in order; a source without
-    words has target 0. Repeated rows are taken each for itself. An empty table
-    gives no rows.
+    the mix. The draws come from the ``doc_id``, so reruns agree; rows that
+    agree in id, source and size, as many null ids may, are counted and then
+    numbered, so each draws for itself. Null texts have no words; a null source
+    is a source, last in order; a source without words has target 0. An empty
+    table gives no rows.
     """
-    id_field, source_field = docs.schema["doc_id"], docs.schema["source"]
-    sizes = stored(docs.select("doc_id", "source", n_words(F.col("text").cast("string")).alias("size")), "sizes")
-    targets = source_targets(sizes, weights, max_repeats)
+    sizes = docs.select("doc_id", "source", n_words(F.col("text").cast("string")).alias("size"))
+    return _decided(sizes, ["doc_id"], weights, max_repeats, group)
+
+
+def _decided(sizes: DataFrame, keys: list[str], weights: Sequence[float], max_repeats: float, group: int) -> DataFrame:
+    """The columns of :func:`mix` for rows of ``keys, source, size``, with ``keys`` for the id."""
+    counted = stored(sizes.groupBy(*keys, "source", "size").agg(F.count("*").alias("rows")), "sizes")
+    targets = source_targets(counted.select("source", (F.col("size") * F.col("rows")).alias("size")), weights, max_repeats)
     wanted = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
     named = targets.withColumnRenamed("source", "_source")
     few = named.limit(MANY + 1).count() <= MANY
-    rows = (sizes.join(F.broadcast(named) if few else named, F.col("source").eqNullSafe(F.col("_source")))
-            .select("doc_id", "source", "size", "source_size", "target",
+    rows = (numbered(counted, "rows", "number")
+            .join(F.broadcast(named) if few else named, F.col("source").eqNullSafe(F.col("_source")))
+            .select(*keys, "source", "size", "source_size", "target",
                     F.floor(wanted + EPS).alias("whole"), F.greatest(wanted - F.floor(wanted + EPS), F.lit(0.0)).alias("prob"),
-                    F.xxhash64(F.lit("cube"), "doc_id", "size").alias("draw")))
-    schema = T.StructType([id_field, source_field, *(T.StructField(c, t) for c, t in (
+                    F.xxhash64(F.lit("cube"), *keys, "size", "number").alias("draw")))
+    schema = T.StructType([*(sizes.schema[c] for c in (*keys, "source")), *(T.StructField(c, t) for c, t in (
         ("size", T.LongType()), ("source_size", T.LongType()), ("target", T.DoubleType()), ("whole", T.LongType()),
         ("prob", T.DoubleType()), ("draw", T.LongType()), ("part", T.LongType())))])
     open_ = (F.col("prob") > EPS) & (F.col("prob") < 1 - EPS)
@@ -147,22 +157,35 @@ def mix(docs: DataFrame, weights: Sequence[float] = WEIGHTS, max_repeats: float
         if last:
             break
     copies = (F.col("whole") + F.round("prob").cast("long")).alias("copies")
-    return done.select("doc_id", "source", "size", "source_size", "target", copies).withColumn("taken", F.col("copies") * F.col("size"))
+    return done.select(*keys, "source", "size", "source_size", "target", copies).withColumn("taken", F.col("copies") * F.col("size"))
 
 
-def mixed(docs: DataFrame, weights: Sequence[float] = WEIGHTS, max_repeats: float = MAX_REPEATS) -> DataFrame:
-    """The rows of ``docs`` as often as :func:`mix` takes them, with their columns.
+def mixed(docs: DataFrame, weights: Sequence[float] = WEIGHTS, max_repeats: float = MAX_REPEATS, group: int = GROUP) -> DataFrame:
+    """The rows of ``docs`` as often as the mix takes them, with their columns.
 
-    Rows that agree in id, source and size are numbered on both sides, so each
-    finds a decision of its own.
+    Rows are known by a 128-bit hash of all their columns, from which the draws
+    come. Rows equal in all columns decide each for itself; one of them is then
+    given as often as all of them together. A text moves once, to its decision.
     """
-    same = ["_id", "_source", "_size"]
-    number = F.row_number().over(Window.partitionBy(*same).orderBy("_order"))
-    text = F.col("text").cast("string")
-    decided = mix(docs, weights, max_repeats).select(
-        F.col("doc_id").alias("_id"), F.col("source").alias("_source"), F.col("size").alias("_size"), "copies",
-        F.col("copies").alias("_order")).withColumn("_n", number).drop("_order")
-    rows = docs.select(F.col("doc_id").alias("_id"), F.col("source").alias("_source"), n_words(text).alias("_size"),
-                       F.xxhash64(text).alias("_order"), F.struct(*docs.columns).alias("_row")).withColumn("_n", number)
-    pairs = rows.alias("r").join(decided.alias("d"), [F.col(f"r.{c}").eqNullSafe(F.col(f"d.{c}")) for c in [*same, "_n"]])
-    return pairs.where("copies > 0").select("_row", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))).select("_row.*")
+    a, b, n, same, h, h2 = (unused(docs, name) for name in ("_hash", "_hash2", "_copies", "_same", "_h", "_h2"))
+    keyed = docs.withColumns({a: row_hash(docs), b: row_hash(docs, 1)})
+    sizes = keyed.select(F.col(a).alias("hash"), F.col(b).alias("hash2"), "source", n_words(F.col("text").cast("string")).alias("size"))
+    decided = stored(_decided(sizes, ["hash", "hash2"], weights, max_repeats, group).groupBy("hash", "hash2")
+                     .agg(F.sum("copies").alias(n), F.count("*").alias(same))
+                     .select(F.col("hash").alias(h), F.col("hash2").alias(h2), n, same), "mix")
+    met = (F.col(a) == F.col(h)) & (F.col(b) == F.col(h2))
+    total, most = decided.agg(F.coalesce(F.sum(same), F.lit(0)), F.coalesce(F.max(same), F.lit(0))).first()
+
+    def often(rows: DataFrame, wanted: DataFrame) -> DataFrame:
+        return rows.join(wanted.where(F.col(n) > 0), met).drop(a, b, h, h2, same).withColumn(
+            n, F.explode(F.sequence(F.lit(1), F.col(n).cast("int")))).drop(n)
+
+    if most <= 1:
+        return often(keyed, decided)
+    hot = F.broadcast(decided.where((F.col(same) > 1) & (F.col(same) * HOT_PART > total)))  # HOT_PART rows at most
+    repeated = decided.where((F.col(same) > 1) & (F.col(same) * HOT_PART <= total))
+    light = keyed.join(hot, met, "left_anti")
+    equal = collapsed(keyed.join(hot, met, "left_semi"), same).unionByName(
+        collapsed(light.join(repeated, met, "left_semi"), same)).drop(same)
+    whole = stored(equal.join(decided.where((F.col(same) > 1) & (F.col(n) > 0)), met).drop(a, b, h, h2, same), "repeated")
+    return often(light, decided.where(F.col(same) == 1)).unionByName(numbered(whole, n, same).drop(same))

@@ -12,7 +12,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 
@@ -51,28 +51,37 @@ RULES = BASE + EXTRA
 LEDGER = "blob binary, rules array<string>, findings array<struct<kind:string,start:int,end:int>>"
 
 
-def spans(text: Column, rule: Rule) -> Column:
-    """Array of ``kind, start, end`` of the rule's matches in code points, end exclusive.
+def matches(text: Column, rule: Rule) -> Column:
+    """Array of ``kind, skipped, length, keep`` of the rule's matches, lengths in code points.
 
-    Leftmost matches that do not overlap; those with too short a value are
-    dropped after they have taken their characters. The gap before each match
-    is extracted with it and tied to the end of the match before, so places are
-    running sums of lengths and the rest of the text is read once.
+    Leftmost matches that do not overlap; ``keep`` is false for those with too
+    short a value, which take their characters all the same. The gap before
+    each match is extracted with it and tied to the end of the match before, so
+    places are running sums of ``skipped + length`` and the rest of the text is
+    read once.
     """
     whole = F.lit(rf"\G([\s\S]*?)({rule.pattern})")
     gaps, found = (F.regexp_extract_all(text, whole, F.lit(i)) for i in (1, 2))
     values = F.regexp_extract_all(text, whole, F.lit(3)) if rule.value else found
     parts = F.arrays_zip(gaps.alias("gap"), found.alias("match"), values.alias("value"))
-    nothing = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<kind:string,start:int,end:int>>").alias("spans"))
+    return F.transform(parts, lambda part: F.struct(
+        F.lit(rule.kind).alias("kind"), F.length(part["gap"]).alias("skipped"), F.length(part["match"]).alias("length"),
+        (F.length(part["value"]) >= rule.least).alias("keep")))
 
-    def step(state: Column, part: Column) -> Column:
-        start = state["at"] + F.length(part["gap"])
-        end = start + F.length(part["match"])
-        span = F.struct(F.lit(rule.kind).alias("kind"), start.alias("start"), end.alias("end"))
-        longer = F.when(F.length(part["value"]) >= rule.least, F.array_append(state["spans"], span)).otherwise(state["spans"])
-        return F.struct(end.alias("at"), longer.alias("spans"))
 
-    return F.aggregate(parts, nothing, step, lambda state: state["spans"])
+def placed(found: DataFrame) -> DataFrame:
+    """``blob, rules, findings`` from ``blob, rules, matches``, one row per blob.
+
+    A match is a row: its end is a running sum over the blob's matches of its
+    kind, so a text with very many takes time by their number. The rows are
+    narrow and stay where the blobs are.
+    """
+    before = Window.partitionBy("blob", "kind").orderBy("at").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    end = F.sum(F.col("match.skipped") + F.col("match.length")).over(before).cast("int")
+    span = F.struct("kind", (F.col("end") - F.col("match.length")).alias("start"), "end")
+    return (found.select("blob", "rules", F.posexplode_outer("matches").alias("at", "match"))
+            .withColumn("kind", F.col("match.kind")).withColumn("end", end)
+            .groupBy("blob").agg(F.any_value("rules").alias("rules"), F.collect_list(F.when(F.col("match.keep"), span)).alias("findings")))
 
 
 def _text(docs: DataFrame) -> Column:
@@ -107,11 +116,11 @@ def scan(docs: DataFrame, path: str, rules: tuple[Rule, ...] = RULES) -> None:
     One write appends pairs and findings together, so a scan that fails leaves
     no pair marked as seen; a scan that is repeated finds nothing to do.
     """
-    none = F.array().cast("array<struct<kind:string,start:int,end:int>>")
+    none = F.array().cast("array<struct<kind:string,skipped:int,length:int,keep:boolean>>")
     found = [F.when(F.array_contains("todo", rule.name) & F.col("text").rlike(rule.hint or rule.pattern),
-                    spans(F.col("text"), rule)).otherwise(none) for rule in rules]
-    (unseen(docs, read_ledger(docs.sparkSession, path), rules)
-     .select("blob", F.col("todo").alias("rules"), F.flatten(F.array(*found)).alias("findings"))
+                    matches(F.col("text"), rule)).otherwise(none) for rule in rules]
+    (placed(unseen(docs, read_ledger(docs.sparkSession, path), rules)
+            .select("blob", F.col("todo").alias("rules"), F.flatten(F.array(*found)).alias("matches")))
      .write.mode("append").parquet(path))
 
 
@@ -133,11 +142,13 @@ def findings(docs: DataFrame, path: str, rules: tuple[Rule, ...] = RULES) -> Dat
     """
     names = F.array(*(F.lit(rule.name) for rule in rules))
     kinds = {rule.kind: rule.name for rule in rules}
-    ran = F.transform(F.array_intersect("rules", names), lambda n: F.split_part(n, F.lit("@"), F.lit(1)))
-    known = (read_ledger(docs.sparkSession, path).withColumn("ran", ran)
-             .select("blob", F.filter("findings", lambda f: F.array_contains(F.col("ran"), f["kind"])).alias("findings"))
+    kind = F.split_part("rule", F.lit("@"), F.lit(1))
+    known = (read_ledger(docs.sparkSession, path)
+             .select("blob", F.explode(F.array_intersect("rules", names)).alias("rule"), "findings")
+             .select("blob", "rule", F.filter("findings", lambda f: f["kind"] == kind).alias("findings"))
              .where(F.size("findings") > 0)
-             .groupBy("blob").agg(F.array_distinct(F.flatten(F.collect_list("findings"))).alias("findings")))
+             .groupBy("blob", "rule").agg(F.any_value("findings").alias("findings"))  # a rule that ran twice found the same
+             .groupBy("blob").agg(F.flatten(F.collect_list("findings")).alias("findings")))
     base = [rule.kind for rule in BASE]
     all_spans = _joined(F.col("findings"), list(kinds))
     report = known.select("blob", *(F.size(F.filter("findings", lambda f: f["kind"] == kind)).cast("long").alias(f"n_{kind}")

@@ -2,7 +2,8 @@
 
 Rows are ordered by a 64-bit key: 40 bits of the text's hash, then 24 bits of
 the ``doc_id``'s, so equal texts lie together and a large group of them can
-still be cut. Probes between the bounds of each splitter are counted exactly
+still be cut. Rows that agree in both are counted; where such a group is large,
+the low bits come from the whole row and its number among equal rows. Probes between the bounds of each splitter are counted exactly
 over all partitions, a job a round, until the bytes below each splitter are
 within tolerance or no key lies between the bounds. Then the rows move once.
 
@@ -20,6 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from wikiloom.llm.copies import collapsed, numbered, row_hash
 from wikiloom.shared import stored, unused
 
 ROW_BYTES = 8
@@ -29,6 +31,9 @@ PROBES = 31
 INNER_TOLERANCE = 0.25
 #: Bytes in a piece about, and the most pieces of one sort: bounds what the driver holds.
 PIECE_BYTES, MAX_PIECES = 64 << 20, 1 << 16
+#: Rows of one id and text that may stay together whatever their size.
+TOGETHER = 8
+LOW_BITS = (1 << 24) - 1
 LOWEST, HIGHEST = -(1 << 63), (1 << 63) - 1
 
 
@@ -38,8 +43,11 @@ def size_of(text: Column) -> Column:
 
 
 def key_of(doc_id: Column, text: Column) -> Column:
-    low = (1 << 24) - 1
-    return F.xxhash64(text).bitwiseAND(F.lit(~low)).bitwiseOR(F.xxhash64(doc_id).bitwiseAND(F.lit(low)))
+    return _with_low_bits(F.xxhash64(text), F.xxhash64(doc_id))
+
+
+def _with_low_bits(key: Column, other: Column) -> Column:
+    return key.bitwiseAND(F.lit(~LOW_BITS)).bitwiseOR(other.bitwiseAND(F.lit(LOW_BITS)))
 
 
 def count_below(keyed: DataFrame, probes: list[int]) -> tuple[np.ndarray, np.ndarray]:
@@ -114,32 +122,56 @@ def shard_bytes(docs: DataFrame, n_shards: int = 24, tolerance: float = TOLERANC
 
     ``size``: UTF-8 bytes plus 8. Shards 0 to ``n_shards - 1`` hold near equal
     sizes, off by ``tolerance`` of a shard, or by one row where rows are larger
-    than that; rows that agree in ``doc_id`` and text stay together. ``slot``
-    counts a shard's rows from 0 without gaps. A null text counts as empty
-    (size 8, crc 0); null ids are allowed; repeated rows get a slot each. An empty table
-    gives no rows. A task sorts ``piece_bytes`` about, more where rows repeat.
+    than that; up to ``TOGETHER`` rows that agree in ``doc_id`` and text may
+    stay together, larger groups are cut. ``slot`` counts a shard's rows from 0
+    without gaps. A null text counts as empty (size 8, crc 0); null ids are
+    allowed, in any number; repeated rows get a slot each. An empty table gives
+    no rows. A task sorts ``piece_bytes`` about.
     """
     text = F.col("text").cast("string")
-    keyed = stored(docs.select(key_of(F.col("doc_id"), text).alias("key"), size_of(text).alias("size")), "keys")
+    rows = docs.withColumns({"size": size_of(text), "text_crc32": F.crc32(F.coalesce(text, F.lit("")).cast("binary"))})
+    rows = rows.drop("shard", "slot")
+    k = unused(rows, "_key")
+    rows = rows.withColumn(k, key_of(F.col("doc_id"), text))
+    keyed = stored(rows.select(F.col(k).alias("key"), "size"), "keys")
     total = keyed.agg(F.coalesce(F.sum("size"), F.lit(0))).first()[0]
+    rows, keyed = _cut_heavy(rows, k, keyed, int(total / n_shards * tolerance))
     per_shard = max(1, min(MAX_PIECES // n_shards, -(-total // (n_shards * piece_bytes))))
     exact = {i * per_shard for i in range(1, n_shards)}
     keys, below = splitters(keyed, total, n_shards * per_shard, exact, int(total / n_shards * tolerance)) if total else ([], [])
     first = [0, *below]  # rows before each piece
     starts = [first[i // per_shard * per_shard] if i // per_shard * per_shard < len(first) else 0 for i in range(len(first))]
     table = [(i, i // per_shard, first[i] - starts[i]) for i in range(len(first))]
-    rows = docs.withColumns({"size": size_of(text), "text_crc32": F.crc32(F.coalesce(text, F.lit("")).cast("binary"))})
-    return _exchanged(rows, key_of(F.col("doc_id"), text), keys, table)
+    return _exchanged(rows, k, keys, table)
+
 
+def _cut_heavy(rows: DataFrame, k: str, keyed: DataFrame, limit: int) -> tuple[DataFrame, DataFrame]:
+    """``rows`` and ``keyed`` with keys of their own for rows of a key with more than ``limit`` bytes.
 
-def _exchanged(rows: DataFrame, key: Column, keys: list[int], table: list[tuple[int, int, int]]) -> DataFrame:
+    There are at most ``n_shards / tolerance`` such keys, so they are sent to
+    all tasks. Their rows are collapsed to distinct ones before they move, and
+    dealt out again by number.
+    """
+    heavy = stored(keyed.groupBy("key").agg(F.sum("size").alias("bytes"), F.count("*").alias("rows"))
+                   .where((F.col("rows") > TOGETHER) & (F.col("bytes") > limit)).select("key"), "heavy")
+    if not heavy.head(1):
+        return rows, keyed
+    c, n, h = (unused(rows, name) for name in ("_count", "_number", "_heavy"))
+    keys = F.broadcast(heavy.select(F.col("key").alias(h)))
+    equal = stored(collapsed(rows.join(keys, F.col(k) == F.col(h), "left_semi"), c), "equal")
+    single = numbered(equal, c, n).withColumn(k, _with_low_bits(F.col(k), F.xxhash64(row_hash(rows), n))).drop(n)
+    rows = rows.join(keys, F.col(k) == F.col(h), "left_anti").unionByName(single)
+    light = keyed.join(F.broadcast(heavy), "key", "left_anti")
+    return rows, stored(light.unionByName(single.select(F.col(k).alias("key"), "size")), "keys")
+
+
+def _exchanged(rows: DataFrame, k: str, keys: list[int], table: list[tuple[int, int, int]]) -> DataFrame:
     @F.pandas_udf("int")
     def piece(key: pd.Series) -> pd.Series:
         return pd.Series(np.searchsorted(np.array(keys, np.int64), key.to_numpy(), side="right").astype(np.int32))
 
-    rows = rows.drop("shard", "slot")
-    k, p, n, b = (unused(rows, name) for name in ("_key", "_piece", "_place", "_before"))
+    p, n, b = (unused(rows, name) for name in ("_piece", "_place", "_before"))
     pieces = F.broadcast(rows.sparkSession.createDataFrame(table, f"{p} int, shard int, {b} long"))  # MAX_PIECES rows at most
     place = Window.partitionBy(p).orderBy(k, "doc_id", "text_crc32")
-    return (rows.withColumn(k, key).withColumn(p, piece(k)).withColumn(n, F.row_number().over(place) - 1)
+    return (rows.withColumn(p, piece(k)).withColumn(n, F.row_number().over(place) - 1)
             .join(pieces, p).withColumn("slot", F.col(b) + F.col(n)).drop(k, p, n, b))
