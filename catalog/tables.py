@@ -25,6 +25,7 @@ from wikiloom.sources import dump as S
 from wikiloom.sources.places import fetch_pages, page_places
 from wikiloom.sources.tables import page_directory, read_metadata, unique_metadata
 from wikiloom.streaming.ingest import ingest, ingest_dumps, ingested, quarantined, run_metrics, stream_pages
+from wikiloom.streaming.titles import compact_index, growing_index, growing_titles, id_ranges
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -578,35 +579,57 @@ def d05_extract_code_blocks(spark, sf_dir):
 
 @cache
 def _ingested(application: str, sf_dir: str):
-    """The dump ingested once as a stream: (where it is stored, metrics)."""
+    """The dump ingested once as a stream: (where it is stored, metrics, titles)."""
     spark = SparkSession.active()
     path = scratch(spark, "ingested")
-    metrics = scratch(spark, "metrics")
+    metrics, titles = scratch(spark, "metrics"), scratch(spark, "titles")
     query = ingest(stream_pages(spark, wiki_dump(spark, sf_dir), files_per_batch=40), path, scratch(spark, "offsets"),
-                   metrics=metrics)
+                   metrics=metrics, titles=titles)
     query.awaitTermination()
-    return path, metrics
+    return path, metrics, titles
 
 
 @query(ARTICLES_SQL)
 def g01_stream_articles(spark, sf_dir):
-    path, _ = _ingested(spark.sparkContext.applicationId, sf_dir)
+    path, _, _ = _ingested(spark.sparkContext.applicationId, sf_dir)
     return ingested(spark, path, P.ARTICLE)
 
 
 @query(over(WIKI_PAGES, REDIRECTS, "WHERE redirect_to <> ''"))
 def g01_stream_redirects(spark, sf_dir):
-    path, _ = _ingested(spark.sparkContext.applicationId, sf_dir)
+    path, _, _ = _ingested(spark.sparkContext.applicationId, sf_dir)
     return ingested(spark, path, P.REDIRECT)
 
 
 @query("SELECT cast(count(*) AS BIGINT) AS pages, count(*) FILTER (WHERE doc_id % 10 = 0) AS redirects FROM documents")
 def g02_run_metrics(spark, sf_dir):
     """Counts stored by the batches of the stream."""
-    _, metrics = _ingested(spark.sparkContext.applicationId, sf_dir)
+    _, metrics, _ = _ingested(spark.sparkContext.applicationId, sf_dir)
     return run_metrics(spark, metrics).agg(F.sum("pages").alias("pages"), F.sum("redirects").alias("redirects"))
 
 
+@query(f"SELECT count(*) AS articles, cast(1 AS BIGINT) AS first_id, count(*) AS last_id, count(*) AS ids, "
+       f"cast(0 AS BIGINT) AS out_of_range FROM ({IDS}) AS i")
+def a04_ids_by_batch(spark, sf_dir):
+    """Ids that go on from batch to batch of a stream: dense, none twice, none out of its batch's range."""
+    _, _, titles = _ingested(spark.sparkContext.applicationId, sf_dir)
+    rows = growing_titles(spark, titles)
+    ranges = id_ranges(spark, titles)
+    outside = rows.join(F.broadcast(ranges), F.col("article_id").between(F.col("first"), F.col("last")), "left_anti")
+    return rows.agg(F.count("*").alias("articles"), F.min("article_id").alias("first_id"), F.max("article_id").alias("last_id"),
+                    F.count_distinct("article_id").alias("ids")).join(outside.agg(F.count("*").alias("out_of_range")))  # one row
+
+
+@query(f"WITH x AS ({INDEX_SQL.replace('article_id', 'page_id')}) SELECT page_id, title FROM x WHERE token = 'doc' OR token LIKE '1%' "
+       "GROUP BY page_id, title HAVING bool_or(token = 'doc') AND bool_or(token LIKE '1%')")
+def x02_search_batches(spark, sf_dir):
+    """In the index that the batches of a stream left, after it was compacted."""
+    _, _, titles = _ingested(spark.sparkContext.applicationId, sf_dir)
+    compact_index(spark, titles)
+    found = X.search_titles(growing_index(spark, titles), "(Doc) 1*")
+    return found.join(growing_titles(spark, titles), ["article_id", "title"]).select("page_id", "title")
+
+
 _WIKIS = f"SELECT * REPLACE (CASE WHEN {IS_WIKTIONARY} THEN 'wiktionary' ELSE lang END AS lang) FROM ({WIKI_PAGES}) AS v"
 
 

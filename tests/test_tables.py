@@ -500,3 +500,35 @@ def test_stream_goes_on_and_compares_counts(spark, tmp_path, monkeypatch):
     assert [r.broken[:19] for r in I.quarantined(spark, str(tmp_path / "out")).collect()] == ["<page><title>Cut</t"]
     totals = I.run_metrics(spark, str(tmp_path / "metrics")).groupBy().sum("pages", "articles", "broken").first()
     assert tuple(totals) == (5, 3, 1)
+
+
+def test_titles_grow_by_batch(spark, tmp_path):
+    from wikiloom.streaming import titles as G
+
+    path = str(tmp_path / "titles")
+    batches = [[(7, "Foo Bar"), (3, "Bar-Ton")], [], [(5, "Foo Ton"), (9, "Été bar"), (1, "Tonne")]]
+    frames = [spark.createDataFrame(rows, "page_id long, title string") for rows in batches]
+    whole = X.title_index(spark.createDataFrame([(i, t) for i, t in ((1, "Bar-Ton"), (2, "Foo Bar"), (3, "Tonne"), (4, "Foo Ton"), (5, "Été bar"))],
+                                                "article_id long, title string"))
+
+    def state():
+        index = G.growing_index(spark, path)
+        return ({tuple(r) for r in G.growing_titles(spark, path).collect()}, sorted(map(tuple, index.select("token", "article_id").collect())),
+                [{tuple(r) for r in X.search_titles(index, q).collect()} for q in ("foo", "ton*", "bar", "foo-ton", "été")])
+
+    assert state() == (set(), [], [set()] * 5) and G.compact_index(spark, path) == -1
+    for number, frame in enumerate(frames):
+        G.add_titles(frame, path, number)
+        if number == 1:
+            assert G.compact_index(spark, path) == 1
+    once = state()
+    assert once[0] == {(1, 3, "Bar-Ton"), (2, 7, "Foo Bar"), (3, 1, "Tonne"), (4, 5, "Foo Ton"), (5, 9, "Été bar")}
+    assert once[1] == sorted(map(tuple, whole.select("token", "article_id").collect()))
+    assert once[2] == [{tuple(r) for r in X.search_titles(whole, q).collect()} for q in ("foo", "ton*", "bar", "foo-ton", "été")]
+    G.add_titles(frames[2], path, 2)  # the batch runs again
+    assert state() == once
+    assert G.compact_index(spark, path) == 2 and state() == once
+    plan = G.growing_index(spark, path).where("initial = 'f'")._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(initial" in plan
+    (tmp_path / "titles" / "ranges" / "batch=2" / "_SUCCESS").unlink()  # a batch that did not come to its end
+    assert {r.page_id for r in G.growing_titles(spark, path).collect()} == {3, 7}

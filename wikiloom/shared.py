@@ -38,6 +38,15 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def finished(spark: SparkSession, path: str) -> list[str]:
+    """The names of the folders below ``path`` whose write has finished; none if there is no such path."""
+    fs_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    root = fs_path(path)
+    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    folders = [status.getPath() for status in fs.listStatus(root)] if fs.exists(root) else []
+    return sorted(folder.getName() for folder in folders if fs.exists(fs_path(folder, "_SUCCESS")))
+
+
 def unused(df: DataFrame, name: str) -> str:
     """``name``, with as many underscores in front as it takes to be no column of ``df``."""
     taken = {c.lower() for c in df.columns}

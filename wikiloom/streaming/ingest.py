@@ -13,6 +13,7 @@ from wikiloom.operators.routing import ARTICLE, BROKEN, REDIRECT, guess_wikitype
 from wikiloom.plans.convert import RunCounts, convert_routed, reconcile
 from wikiloom.sinks.tables import COMPRESSION
 from wikiloom.sources.dump import PAGE_END, parse_pages, site_rows
+from wikiloom.streaming.titles import add_titles
 
 
 def _counts() -> list[Column]:
@@ -39,7 +40,7 @@ def stream_pages(spark: SparkSession, folder: str, lang: str | None = None,
 
 
 def _store(pages: DataFrame, batch_id: int, path: str, options: Options, languages: Languages | None,
-           wikitype: Column | None, metrics: str | None) -> None:
+           wikitype: Column | None, metrics: str | None, titles: str | None) -> None:
     """Write one batch, broken records in a folder of their own, and compare the counts.
 
     A batch whose stored rows differ from those announced fails, so the stream
@@ -57,6 +58,8 @@ def _store(pages: DataFrame, batch_id: int, path: str, options: Options, languag
     counts = [RunCounts(*(n.get(prefix + kind, 0) for kind in (ARTICLE, REDIRECT, BROKEN)))
               for n, prefix in ((announced, "n_"), (written, ""))]
     reconcile(*counts)
+    if titles is not None:
+        add_titles(spark.read.schema(rows.schema).parquet(folder).where(F.col("kind") == ARTICLE), titles, batch_id)
     if metrics is not None:
         values = {name: n for name, n in announced.items() if not name.startswith("n_")} | asdict(counts[1])
         row = [F.lit(n).cast("long").alias(name) for name, n in values.items()]
@@ -70,7 +73,7 @@ def _started(stream: DataFrame, store, checkpoint: str, keep_running: bool) -> S
 
 def ingest(pages: DataFrame, path: str, checkpoint: str, options: Options = Options(),
            languages: Languages | None = None, keep_running: bool = False, wikitype: Column | None = None,
-           metrics: str | None = None) -> StreamingQuery:
+           metrics: str | None = None, titles: str | None = None) -> StreamingQuery:
     """Convert a page stream into ``path/batch=…/kind=…``.
 
     A batch that is run again overwrites its own folder, so pages are stored
@@ -78,16 +81,19 @@ def ingest(pages: DataFrame, path: str, checkpoint: str, options: Options = Opti
     stored in that number. Broken records that the stream keeps are stored too,
     see ``quarantined``. By default the query stops when it has read what is
     there. With ``metrics``, a folder of its own, each batch stores its counts
-    there as ``batch=…``; read them with ``run_metrics``.
+    there as ``batch=…``; read them with ``run_metrics``. With ``titles``, another
+    folder, articles get ids that go on from batch to batch, and their titles an
+    index; page ids must then be unique. Read them with ``growing_titles`` and
+    ``growing_index``.
     """
     counted = pages.observe("pages", *_counts())
-    return _started(counted, lambda batch, batch_id: _store(batch, batch_id, path, options, languages, wikitype, metrics),
+    return _started(counted, lambda batch, batch_id: _store(batch, batch_id, path, options, languages, wikitype, metrics, titles),
                     checkpoint, keep_running)
 
 
 def ingest_dumps(spark: SparkSession, folder: str, path: str, checkpoint: str, options: Options = Options(),
                  languages: Languages | None = None, keep_running: bool = False, metrics: str | None = None,
-                 files_per_batch: int = 100) -> StreamingQuery:
+                 files_per_batch: int = 100, titles: str | None = None) -> StreamingQuery:
     """Convert all dumps that come into a folder, each by the language and wiki type of its own header.
 
     Otherwise like ``ingest``; records that cannot be parsed are set aside. A
@@ -100,7 +106,7 @@ def ingest_dumps(spark: SparkSession, folder: str, path: str, checkpoint: str, o
     def store(batch: DataFrame, batch_id: int) -> None:
         heads = site_rows(batch).groupBy("file").agg(F.first("lang").alias("lang"), guess_wikitype(F.first("base")).alias("wikitype"))
         pages = parse_pages(batch, "keep").join(F.broadcast(heads), "file", "left")
-        _store(pages, batch_id, path, options, languages, F.col("wikitype"), metrics)
+        _store(pages, batch_id, path, options, languages, F.col("wikitype"), metrics, titles)
 
     return _started(records, store, checkpoint, keep_running)
 
