@@ -423,9 +423,9 @@ def test_places_do_not_grow_with_copies(spark):
     hot = PASSAGE + " " + prose(60)
     rows = [(i, hot if i % 3 else prose(30) + " " + PASSAGE) for i in range(300)]
     docs = spark.createDataFrame(rows, "doc_id long, text string").withColumn("version", F.xxhash64("text"))
-    one_pool = substring.repeated_anchors(docs.coalesce(1))
+    one_pool = substring.repeated_anchors(docs.coalesce(1), 1)
     assert one_pool.count() == one_pool.distinct().count() > 0
-    lists = {r.version: r.places for r in substring.anchor_places(docs.repartition(5)).collect()}
+    lists = {r.version: r.places for r in substring.anchor_places(docs.repartition(5), 1).collect()}
     assert len(lists) == 101 and all(len(p) == len(set(p)) <= 150 for p in lists.values())
     dealt = docs.where("doc_id = 0").select("doc_id", "text", *substring._keys(F.col("doc_id")))
     places = dealt.select("row", "short", F.explode(F.array_repeat(F.lit(3), 1000)).alias("place"))

@@ -9,7 +9,8 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from wikiloom.llm import copies, host_rules, mixing, secrets, sharding, warc
+from wikiloom.llm import copies, host_rules, mixing, secrets, sharding, simhash, substring, warc
+from wikiloom.llm.components import components
 from wikiloom.shared import new_path
 
 RNG = random.Random(5)
@@ -153,3 +154,60 @@ def test_many_secrets_in_one_text(spark):
     assert got[1].n_assign == 100_000 and got[2].spans == ""
     assert got[1].spans == ",".join(f"assign:{16 * i + 2}:{16 * i + 15}" for i in range(100_000))
     assert "Python" not in plan_of(report)
+
+
+@pytest.mark.parametrize("large", [60, simhash.LARGE])
+def test_large_buckets_are_dealt_on(spark, monkeypatch, large):
+    """Fingerprints that share long runs of bits: the components are those of a comparison of all with all."""
+    rng = np.random.default_rng(3)
+    dense = np.uint64(0xABCD_1234_0000_0000) | rng.integers(0, 1 << 14, 900, dtype=np.uint64) << np.uint64(9)  # most keys in common
+    turned = (dense << np.uint64(24)) | (dense >> np.uint64(40))
+    fps = np.unique(np.concatenate([dense, turned, rng.integers(0, 2 ** 63, 200, dtype=np.uint64)]))
+    monkeypatch.setattr(simhash, "LARGE", large)
+    rows = spark.createDataFrame([(int(x),) for x in fps.view(np.int64)], "fp long")
+    got = {r.node: r.root for r in components(simhash.links(rows)).collect()}
+    near = np.bitwise_count(fps[:, None] ^ fps[None, :]) <= simhash.MAX_DISTANCE
+    root = np.arange(len(fps))
+    while (new := np.array([root[near[i]].min() for i in range(len(root))])).tolist() != root.tolist():
+        root = new
+    pairs = {(int(r), got.get(int(x), int(x))) for r, x in zip(root, fps.view(np.int64))}
+    assert len(pairs) == len({r for r, _ in pairs}) == len({g for _, g in pairs}) > 1
+
+
+def test_finer_buckets_get_small():
+    """Each round a linked pair keeps a key in common, and 2 ** 32 fingerprints of one key fall apart."""
+    import pyarrow as pa
+
+    rng = np.random.default_rng(4)
+    base = rng.integers(0, 1 << 32, 3000, dtype=np.uint64)
+    key = 3 * 2 + 1  # the chain from the third segment on that skips its fourth one
+    turn, opened = np.uint64(16), simhash.OPEN[1]
+    bits = [b for b in range(64) if opened >> b & 1]
+    spread = lambda x: sum(((x >> np.uint64(i) & np.uint64(1)) << np.uint64(b)) for i, b in enumerate(bits))
+    flips = np.array([sum(1 << int(b) for b in rng.choice(32, 3, replace=False)) for _ in base], np.uint64)
+    fps = np.concatenate([spread(base), spread(base ^ flips)])
+    fps = (fps >> turn) | (fps << (np.uint64(64) - turn))
+    rows = pa.RecordBatch.from_arrays([pa.array(np.full(len(fps), key)), pa.array(np.full(len(fps), opened)), pa.array(fps.view(np.int64))],
+                                      ["key", "open", "fp"])
+    place = {int(x): i for i, x in enumerate(fps)}
+    for _ in range(2):
+        rows = pa.Table.from_batches(simhash._finer([rows])).combine_chunks().to_batches()[0]
+        keys, held = rows.column("key").to_numpy(), rows.column("fp").to_numpy().view(np.uint64)
+        assert set(keys & 0xFF) == {key}
+        of = [set() for _ in fps]
+        for k, x in zip(keys.tolist(), held.tolist()):
+            of[place[x]].add(k)
+        assert all(of[i] & of[i + len(base)] for i in range(len(base)))
+    assert np.unique(keys, return_counts=True)[1].max() < 20
+
+
+def test_anchor_buckets_follow_the_texts(spark, monkeypatch):
+    """More buckets than shuffle partitions, several a task, and the same repeats."""
+    passage = " ".join(f"p{i}" for i in range(40))
+    rows = [(i, " ".join(f"w{RNG.randint(0, 10**9)}" for _ in range(50)) + (f" {passage}" if i % 2 else "")) for i in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    plain = sorted(map(tuple, substring.remove_repeats(docs).collect()))
+    monkeypatch.setattr(substring, "BUCKET_BYTES", 1000)
+    assert sorted(map(tuple, substring.remove_repeats(docs).collect())) == plain
+    anchors = substring.repeated_anchors(docs.withColumn("version", F.xxhash64("text")), 40_000)
+    assert anchors.rdd.getNumPartitions() == 40 and sum(r[2] for r in plain) == 29 * 40

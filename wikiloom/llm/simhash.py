@@ -10,12 +10,16 @@ What shares a key is checked along the chain, then in full.
 
 Keys are made of distinct fingerprints, so a group of equal texts counts once.
 Fingerprints within 3 bits of each other share many keys, but a bucket yields a
-spanning set of its links, never all pairs.
+spanning set of its links, never all pairs. A bucket of more than ``LARGE``
+fingerprints goes on along the chain: the bits that its key leaves open are cut
+in four, of which a linked pair shares one, so four finer keys replace the key,
+again and again until no bucket is large.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
+from functools import reduce
 from itertools import chain, repeat
 
 import numpy as np
@@ -36,6 +40,10 @@ SEED = 42
 BUDGETS = [MAX_DISTANCE * n // SEGMENTS for n in range(1, SEGMENTS + 1)]
 #: Hashes whose bits are counted at once, and rows and columns of a bucket compared at once.
 CHUNK, BLOCK = 1 << 16, 1024
+#: Fingerprints of a bucket that are compared as they are; more are dealt to finer buckets. At least 8.
+LARGE = 4096
+#: The bits that a chain key leaves open, by the segment that it skips, seen from the start of the chain.
+OPEN = [0xFFFFFF | 0xFF << (56 - 8 * skipped) for skipped in (2, 3, 4)]
 
 
 def fingerprint(text: bytes | None) -> int:
@@ -128,18 +136,52 @@ def sorted_runs(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple[int, np.nda
         keys, fps = keys[rest:], fps[rest:]
 
 
-def links(distinct: DataFrame) -> DataFrame:
-    """``a, b``: links between the distinct fingerprints ``fp`` that connect all components."""
+def _finer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Four rows for each: one key per quarter of the bits that the row's key leaves open.
+
+    Fingerprints that share the old key and differ in at most three bits agree
+    in a quarter. The lowest byte of a key, its chain, stays.
+    """
+    for batch in batches:
+        keys, opened, fps = (batch.column(c).to_numpy().view(np.uint64) for c in ("key", "open", "fp"))
+        turn = keys % np.uint64(256) // np.uint64(3) * np.uint64(8)
+        turned = np.where(turn > 0, (fps << turn) | (fps >> (np.uint64(64) - np.maximum(turn, np.uint64(1)))), fps)
+        for mask in np.unique(opened):
+            bits = [bit for bit in range(BITS) if int(mask) >> bit & 1]
+            for part in np.array_split(bits, 4):
+                own, here = np.uint64(sum(1 << int(bit) for bit in part)), opened == mask
+                finer = (keys[here] ^ own) * np.uint64(0x9E3779B97F4A7C15)
+                finer = ((finer ^ (finer >> np.uint64(32))) + (turned[here] & own)) * np.uint64(0xC2B2AE3D27D4EB4F)
+                finer = (finer ^ (finer >> np.uint64(29))) * np.uint64(0x9E3779B97F4A7C15) & ~np.uint64(255) | keys[here] % np.uint64(256)
+                columns = finer, np.full(len(finer), mask & ~own), fps[here]
+                yield pa.RecordBatch.from_arrays([pa.array(c.view(np.int64)) for c in columns], ["key", "open", "fp"])
+
+
+def _linked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for key, fps in sorted_runs(batches):
+        a, b = bucket_links(fps, (key & 0xFF) // 3)
+        if len(a):
+            yield pa.RecordBatch.from_arrays([pa.array(a.view(np.int64)), pa.array(b.view(np.int64))], ["a", "b"])
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for key, fps in sorted_runs(batches):
-            a, b = bucket_links(fps, (key & 0xFF) // 3)
-            if len(a):
-                yield pa.RecordBatch.from_arrays([pa.array(a.view(np.int64)), pa.array(b.view(np.int64))], ["a", "b"])
 
-    keyed = distinct.select(F.explode(chain_keys(F.col("fp"))).alias("key"), "fp")
-    return (keyed.repartition("key").sortWithinPartitions("key")
-            .mapInArrow(run, "a long, b long").distinct())
+def links(distinct: DataFrame) -> DataFrame:
+    """``a, b``: links between the distinct fingerprints ``fp`` that connect all components.
+
+    Buckets are counted first, combined before the shuffle; a large one is never
+    gathered. Each round leaves three quarters of the open bits, so after at
+    most six rounds a bucket holds no more distinct fingerprints than ``LARGE``.
+    """
+    keys = distinct.select(F.explode(chain_keys(F.col("fp"))).alias("key"), "fp")
+    opened = F.element_at(F.array(*map(F.lit, OPEN)), (F.col("key").bitwiseAND(255) % 3 + 1).cast("int"))
+    rows, found = keys.withColumn("open", opened), []
+    while True:
+        large = stored(rows.groupBy("key").count().where(F.col("count") > LARGE).select("key"), "large")
+        more = large.head(1)
+        small = rows.join(large, "key", "left_anti") if more else rows
+        found.append(small.select("key", "fp").repartition("key").sortWithinPartitions("key").mapInArrow(_linked, "a long, b long"))
+        if not more:
+            return reduce(DataFrame.unionByName, found).distinct()
+        rows = stored(rows.join(large, "key", "left_semi").mapInArrow(_finer, "key long, open long, fp long"), "finer")
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
@@ -159,7 +201,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 def _grouped(docs: DataFrame) -> DataFrame:
     """``doc_id, version, fp, component_id, least_version``; the last is the smallest text hash of the component."""
     hashed = stored(fingerprints(docs), "fingerprints")
-    groups = hashed.groupBy("fp").agg(F.min("doc_id").alias("smallest"), F.min("version").alias("least"))
+    groups = stored(hashed.groupBy("fp").agg(F.min("doc_id").alias("smallest"), F.min("version").alias("least")), "groups")
     roots = components(links(groups.select("fp")))
     joined = groups.join(roots, groups["fp"] == roots["node"], "left").select(
         "fp", "smallest", "least", F.coalesce("root", "fp").alias("root"))

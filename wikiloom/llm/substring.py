@@ -33,6 +33,8 @@ ANCHOR = WINDOW - PERIOD + 1
 IN_COVER = np.isin(np.arange(PERIOD), COVER)
 #: Fixed odd multipliers for the two halves of a hash over consecutive words.
 FACTORS = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
+#: Text bytes whose anchors a task holds together, about; an anchor takes some 20 bytes, and four come of 13 words.
+BUCKET_BYTES = 64 << 20
 #: Entries that a task looks at together, and rows of one Arrow batch handed on.
 POOL, ROWS = 1 << 19, 1 << 16
 #: Stands among the places of a document that is a copy of an earlier one.
@@ -127,9 +129,9 @@ def _anchors(buckets: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.R
             bucket = (keys % np.uint64(buckets)).astype(np.int64)
             keys //= np.uint64(buckets)
             order = np.argsort(bucket, kind="stable")
-            edges = np.searchsorted(bucket[order], np.arange(buckets + 1))
-            for b in np.nonzero(np.diff(edges))[0]:
-                part = order[edges[b]:edges[b + 1]]
+            held, edges = np.unique(bucket[order], return_index=True)
+            for b, low, high in zip(held, edges, [*edges[1:], len(order)]):
+                part = order[low:high]
                 starts = np.nonzero(np.r_[True, version[part][1:] != version[part][:-1]])[0]
                 columns = [keys[part].astype(np.uint32), (keys[part] >> np.uint64(32)).astype(np.uint16),
                            version[part][starts], np.diff(np.r_[starts, len(part)]).astype(np.uint32),
@@ -169,25 +171,28 @@ def _repeated_in(parcels: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield from _sliced([pa.array(version[found]), pa.array(place[found].astype(np.int32))], ["version", "place"])
 
 
-def repeated_anchors(docs: DataFrame) -> DataFrame:
+def repeated_anchors(docs: DataFrame, text_bytes: int) -> DataFrame:
     """``version, place``: the anchors that occur at another place or in another text too.
 
-    There are as many buckets as shuffle partitions, at most 2 ** 16; a task
-    holds the anchors of its bucket, about 20 bytes each.
+    ``text_bytes`` are those of all texts and give the number of buckets, at
+    least one per shuffle partition. A task holds the anchors of one bucket;
+    beyond 2 ** 16 buckets it gets several, which come one after the other.
     """
-    buckets = min(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), 1 << 16)
+    spark = docs.sparkSession
+    buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-text_bytes // BUCKET_BYTES))
     parcels = docs.mapInArrow(_anchors(buckets), "bucket int, " + ", ".join(f"{c} binary" for c in PARCEL))
-    return parcels.repartition(buckets, "bucket").sortWithinPartitions("bucket").mapInArrow(_repeated, "version long, place int")
+    dealt = parcels.repartition(min(buckets, 1 << 16), "bucket").sortWithinPartitions("bucket")
+    return dealt.mapInArrow(_repeated, "version long, place int")
 
 
-def anchor_places(docs: DataFrame) -> DataFrame:
+def anchor_places(docs: DataFrame, text_bytes: int) -> DataFrame:
     """``version, places``: each repeated anchor's place once, however many copies a text has."""
-    return repeated_anchors(docs).groupBy("version").agg(F.collect_set("place").alias("places"))
+    return repeated_anchors(docs, text_bytes).groupBy("version").agg(F.collect_set("place").alias("places"))
 
 
 def text_classes(docs: DataFrame) -> DataFrame:
-    """``version, first, n``: the smallest id and the rows of each text."""
-    return docs.groupBy("version").agg(F.min(F.struct("doc_id")).alias("first"), F.count("*").alias("n"))
+    """``version, first, n, bytes``: the smallest id, the rows and the bytes in all rows of each text."""
+    return docs.groupBy("version").agg(F.min(F.struct("doc_id")).alias("first"), F.count("*").alias("n"), F.sum("bytes").alias("bytes"))
 
 
 def _windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -254,10 +259,11 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     docs = docs.select("doc_id", F.col("text").cast("string").alias("text")).withColumn("version", F.xxhash64("text"))
     dealt = (docs.select("doc_id", "text", *_keys(F.col("doc_id"))).repartition("row", "short"))  # the text moves once; both joins read it
     narrow = docs.select("doc_id", "version")
-    classes = stored(text_classes(narrow), "texts")
+    classes = stored(text_classes(docs.select("doc_id", "version", F.octet_length("text").alias("bytes"))), "texts")
+    text_bytes = classes.agg(F.sum("bytes")).first()[0] or 0
     copies = (narrow.join(classes.where("n > 1"), "version").where(F.struct("doc_id") > F.col("first"))
               .select(*_keys(F.col("doc_id")), F.lit(COPY).alias("place")))
-    first_rows = anchor_places(docs).join(classes, "version").select(*_keys(F.col("first.doc_id")), F.explode("places").alias("place"))
+    first_rows = anchor_places(docs, text_bytes).join(classes, "version").select(*_keys(F.col("first.doc_id")), F.explode("places").alias("place"))
     schema = T.StructType([T.StructField("h1", T.LongType()), T.StructField("h2", T.IntegerType()), docs.schema["doc_id"],
                            T.StructField("short", T.IntegerType()), T.StructField("start_later", T.LongType())])
     windows = _with(dealt, first_rows.unionByName(copies)).mapInArrow(_windows, schema)
