@@ -219,6 +219,21 @@ def test_decontamination(spark, odd, none):
     assert decontaminate.contaminated(none, bench).count() == 0
 
 
+def test_parts_of_the_index_come_one_by_one(spark, monkeypatch):
+    items = [(i, prose(20)) for i in range(40)]
+    texts = [(i, prose(150)) for i in range(10)] + [(10 + i, prose(40) + " " + t + " " + prose(80) + " " + items[0][1]) for i, t in items]
+    docs = spark.createDataFrame(texts, "doc_id long, text string")
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    whole = {tuple(r) for r in decontaminate.contaminated(docs, bench).select("doc_id", "item_id").collect()}
+    monkeypatch.setattr(decontaminate, "PART_WORDS", 300)
+    monkeypatch.setattr(decontaminate, "GRID", 8)
+    held, load = [], decontaminate.load_part
+    monkeypatch.setattr(decontaminate, "load_part", lambda *a: held.append(len((part := load(*a)).ids)) or part)
+    assert {tuple(r) for r in decontaminate.contaminated(docs, bench).select("doc_id", "item_id").collect()} == whole
+    assert len(held) == 3 and sum(held) == 40 and len(whole) == 79
+    assert sorted(r.doc_id for r in decontaminate.clean(docs, bench).collect()) == list(range(10))
+
+
 def test_retrieval_is_complete(spark):
     items = spark.createDataFrame([(i, prose(30)) for i in range(80)], "item_id long, text string")
     postings, numbered, parts = decontaminate.build_index(items)

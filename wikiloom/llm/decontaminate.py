@@ -22,6 +22,8 @@ import re
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
+from itertools import chain, repeat
 
 import numpy as np
 import pandas as pd
@@ -39,8 +41,8 @@ MIN_SCORE = 0.5
 SHINGLE, MIN_OVERLAP = 5, 0.8
 #: Segments of a block; words of one part of the index about, which bounds what is broadcast.
 BLOCK, PART_WORDS = 8, 1 << 20
-#: Words that a task looks at together.
-POOL = 1 << 17
+#: Words that a task looks at together, and pairs of passage and block that are bounded at once.
+POOL, GRID = 1 << 17, 1 << 22
 PUNCTUATION = bytes.maketrans(b"!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~", b" " * 32)
 SENTENCE_END = re.compile(r"[.?!]+\s+(?=\S)|\n+(?=.*\S)")
 
@@ -162,11 +164,18 @@ def retrieve(index: IndexPart, passage: np.ndarray, term: np.ndarray, least: flo
     before = np.zeros(len(starts))
     np.maximum.at(before, nth[~behind], reach[~behind])
     which, place = _gather(term[behind], index.block_at)
-    n_blocks = int(index.block.max(initial=0)) + 1
-    keys, inverse = np.unique(nth[behind][which] * n_blocks + index.block[place], return_inverse=True)
-    limit = np.bincount(inverse, index.block_max[place], len(keys)) + before[keys // n_blocks]
-    open_ = keys[limit >= least]
-    chosen = np.isin(nth, open_ // n_blocks)
+    owner, n_blocks = nth[behind][which], int(index.block.max(initial=0)) + 1
+    open_, slab = [], max(1, GRID // n_blocks)
+    for low in range(0, len(starts), slab):
+        high = min(low + slab, len(starts))
+        here = slice(*np.searchsorted(owner, (low, high)))
+        limit = np.bincount((owner[here] - low) * n_blocks + index.block[place[here]], index.block_max[place[here]], (high - low) * n_blocks)
+        limit += np.repeat(before[low:high], n_blocks)
+        open_.append(np.nonzero(limit >= least)[0] + low * n_blocks)
+    open_ = np.concatenate(open_)
+    chosen = np.zeros(len(starts), bool)
+    chosen[open_ // n_blocks] = True
+    chosen = chosen[nth]
     which, place = _gather(term[chosen], index.at)
     owner, segment = nth[chosen][which], index.segment[place]
     kept = np.isin(owner * n_blocks + segment // BLOCK, open_)
@@ -182,8 +191,7 @@ def search(index: IndexPart, documents: list[list[bytes]], least: float) -> dict
     lengths = np.fromiter(map(len, documents), np.int64, len(documents))
     if not index.term or not lengths.sum():
         return {}
-    get = index.term.get
-    terms = np.fromiter((get(w, -1) for d in documents for w in d), np.int64, int(lengths.sum()))
+    terms = np.fromiter(map(index.term.get, chain.from_iterable(documents), repeat(-1)), np.int64, int(lengths.sum()))
     n_passages = np.maximum(-(-(lengths - SEGMENT) // STRIDE), 1)
     first = np.r_[0, np.cumsum(n_passages)]
     owner = np.repeat(np.arange(len(documents)), lengths)
@@ -194,9 +202,10 @@ def search(index: IndexPart, documents: list[list[bytes]], least: float) -> dict
     for back in (0, 1):  # a word lies in the passage of its step and in the one before
         inside = known & (step - back >= 0) & (step - back <= last)
         keys.append((first[owner] + step - back)[inside] * len(index.term) + terms[inside])
-    keys = np.unique(np.concatenate(keys))
+    keys = np.sort(np.concatenate(keys))
     if not len(keys):
         return {}
+    keys = keys[np.r_[True, keys[1:] != keys[:-1]]]
     passages, segments, scores = retrieve(index, keys // len(index.term), keys % len(index.term), least)
     best: dict[tuple[int, int], float] = {}
     for d, i, score in zip(np.searchsorted(first, passages, side="right") - 1, index.item_of[segments], scores):
@@ -245,22 +254,21 @@ def _searcher(index, kind: str, min_score: float, min_overlap: float):
 HIT = "score double, overlap double, question_overlap double, answer_overlap double"
 
 
-def contamination(text: Column, items: DataFrame, min_score: float = MIN_SCORE, min_overlap: float = MIN_OVERLAP) -> Column:
-    """Array of ``item_id`` and its scores for the items that a text contains, none for a null text.
+def _hits(text: Column, items: DataFrame, min_score: float, min_overlap: float) -> Iterator[tuple[bool, Column]]:
+    """Part by part of the index: whether more parts follow or came before, and the array of hits in a text.
 
-    An item counts if the text has ``min_overlap`` of its shingles; the shares
-    of question and answer are given beside it. The index is built here, in
-    parts of bounded size; each part is broadcast by itself.
+    A part has about PART_WORDS words. Only one is held at a time: it is taken
+    back when the next one is asked for, so a caller stores what it found
+    before that.
     """
     spark = items.sparkSession
     postings, numbered, n_parts = build_index(items)
     kind = f"array<struct<item_id:{items.schema['item_id'].dataType.simpleString()},{HIT.replace(' ', ':').replace(',:', ',')}>>"
-    found = []
     for part in range(n_parts):
         index = spark.sparkContext.broadcast(load_part(postings, numbered, part))
-
-        found.append(_searcher(index, kind, min_score, min_overlap)(text))
-    return F.concat(*found) if len(found) > 1 else found[0]
+        yield n_parts > 1, _searcher(index, kind, min_score, min_overlap)(text)
+        if n_parts > 1:
+            index.destroy()
 
 
 def _verify(index: IndexPart, pool: list[tuple[int, list[bytes]]], rows: list[list[dict]], min_score: float, min_overlap: float) -> None:
@@ -283,12 +291,22 @@ def contaminated(docs: DataFrame, items: DataFrame, min_score: float = MIN_SCORE
     One row per row of ``docs`` and item it contains; repeated rows and repeated
     items each count. Null and empty texts contain nothing, nor do items without
     words. An item of fewer than five words counts where they stand in a row.
+    An item counts if the text has ``min_overlap`` of its shingles; the shares
+    of question and answer are given beside it.
     """
-    hits = contamination(F.col("text").cast("string"), items, min_score, min_overlap)
-    return docs.select("doc_id", F.explode(hits).alias("hit")).select("doc_id", "hit.*")
+    found = []
+    for several, hits in _hits(F.col("text").cast("string"), items, min_score, min_overlap):
+        rows = docs.select("doc_id", F.explode(hits).alias("hit")).select("doc_id", "hit.*")
+        found.append(stored(rows, "hits") if several else rows)
+    return reduce(DataFrame.unionByName, found)
 
 
 def clean(docs: DataFrame, items: DataFrame, min_score: float = MIN_SCORE, min_overlap: float = MIN_OVERLAP) -> DataFrame:
-    """The rows of ``docs`` that contain no item; a narrow pass, nothing is shuffled."""
-    hits = contamination(F.col("text").cast("string"), items, min_score, min_overlap)
-    return docs.where(F.size(F.coalesce(hits, F.array())) == 0)
+    """The rows of ``docs`` that contain no item; nothing is shuffled.
+
+    One narrow pass for each part of the index, over what the parts before it left.
+    """
+    for several, hits in _hits(F.col("text").cast("string"), items, min_score, min_overlap):
+        kept = docs.where(F.size(F.coalesce(hits, F.array())) == 0)
+        docs = stored(kept, "clean") if several else kept
+    return docs
