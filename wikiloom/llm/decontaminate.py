@@ -42,7 +42,7 @@ SHINGLE, MIN_OVERLAP = 5, 0.8
 #: Segments of a block; words of one part of the index about, which bounds what is broadcast.
 BLOCK, PART_WORDS = 8, 1 << 20
 #: Words that a task looks at together, and pairs of passage and block that are bounded at once.
-POOL, GRID = 1 << 17, 1 << 22
+POOL, GRID = 1 << 17, 1 << 19
 PUNCTUATION = bytes.maketrans(b"!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~", b" " * 32)
 SENTENCE_END = re.compile(r"[.?!]+\s+(?=\S)|\n+(?=.*\S)")
 
@@ -163,27 +163,30 @@ def retrieve(index: IndexPart, passage: np.ndarray, term: np.ndarray, least: flo
     behind = reach >= least  # the pivot and what follows it
     before = np.zeros(len(starts))
     np.maximum.at(before, nth[~behind], reach[~behind])
-    which, place = _gather(term[behind], index.block_at)
-    owner, n_blocks = nth[behind][which], int(index.block.max(initial=0)) + 1
-    open_, slab = [], max(1, GRID // n_blocks)
+    n_blocks, out = int(index.block.max(initial=0)) + 1, []
+    slab = max(1, GRID // n_blocks)
     for low in range(0, len(starts), slab):
         high = min(low + slab, len(starts))
-        here = slice(*np.searchsorted(owner, (low, high)))
-        limit = np.bincount((owner[here] - low) * n_blocks + index.block[place[here]], index.block_max[place[here]], (high - low) * n_blocks)
+        here = slice(*np.searchsorted(nth, (low, high)))
+        own, terms, after = nth[here] - low, term[here], behind[here]
+        which, place = _gather(terms[after], index.block_at)
+        limit = np.bincount(own[after][which] * n_blocks + index.block[place], index.block_max[place], (high - low) * n_blocks)
         limit += np.repeat(before[low:high], n_blocks)
-        open_.append(np.nonzero(limit >= least)[0] + low * n_blocks)
-    open_ = np.concatenate(open_)
-    chosen = np.zeros(len(starts), bool)
-    chosen[open_ // n_blocks] = True
-    chosen = chosen[nth]
-    which, place = _gather(term[chosen], index.at)
-    owner, segment = nth[chosen][which], index.segment[place]
-    kept = np.isin(owner * n_blocks + segment // BLOCK, open_)
-    n_segments = len(index.item_of)
-    keys, inverse = np.unique(owner[kept] * n_segments + segment[kept], return_inverse=True)
-    score = np.bincount(inverse, index.weight[place][kept], len(keys))
-    keys, score = keys[score >= least], score[score >= least]
-    return passage[starts][keys // n_segments], keys % n_segments, score
+        open_ = np.nonzero(limit >= least)[0]
+        number = np.full((high - low) * n_blocks, -1)
+        number[open_] = np.arange(len(open_))
+        chosen = np.zeros(high - low, bool)
+        chosen[open_ // n_blocks] = True
+        chosen = chosen[own]
+        which, place = _gather(terms[chosen], index.at)
+        segment = index.segment[place]
+        at = number[own[chosen][which] * n_blocks + segment // BLOCK]
+        kept = at >= 0
+        score = np.bincount(at[kept] * BLOCK + segment[kept] % BLOCK, index.weight[place[kept]], len(open_) * BLOCK)
+        found = np.nonzero(score >= least)[0]
+        pair = open_[found // BLOCK]
+        out.append((passage[starts][low + pair // n_blocks], pair % n_blocks * BLOCK + found % BLOCK, score[found]))
+    return tuple(map(np.concatenate, zip(*out)))
 
 
 def search(index: IndexPart, documents: list[list[bytes]], least: float) -> dict[tuple[int, int], float]:
