@@ -232,6 +232,8 @@ def test_parts_of_the_index_come_one_by_one(spark, monkeypatch):
     assert {tuple(r) for r in decontaminate.contaminated(docs, bench).select("doc_id", "item_id").collect()} == whole
     assert len(held) == 3 and sum(held) == 40 and len(whole) == 79
     assert sorted(r.doc_id for r in decontaminate.clean(docs, bench).collect()) == list(range(10))
+    weak = spark.createDataFrame([(1, f"zzq {items[0][1].split()[0]} zzr")], "doc_id long, text string")  # far below any bound
+    assert decontaminate.clean(weak, bench).count() == 1
 
 
 def test_retrieval_is_complete(spark):

@@ -171,7 +171,7 @@ def retrieve(index: IndexPart, passage: np.ndarray, term: np.ndarray, least: flo
         own, terms, after = nth[here] - low, term[here], behind[here]
         which, place = _gather(terms[after], index.block_at)
         limit = np.bincount(own[after][which] * n_blocks + index.block[place], index.block_max[place], (high - low) * n_blocks)
-        limit += np.repeat(before[low:high], n_blocks)
+        limit = limit + np.repeat(before[low:high], n_blocks)  # counts of nothing are integers
         open_ = np.nonzero(limit >= least)[0]
         number = np.full((high - low) * n_blocks, -1)
         number[open_] = np.arange(len(open_))
