@@ -62,21 +62,21 @@ RICH_PAGES = "SELECT doc_id AS page_id, lang, " + joined(
 ) + " AS wikitext FROM documents"
 
 
-def tables(spark: SparkSession, sf_dir: str, *names: str) -> None:
+def tables(spark: SparkSession, sf_dir: str, *names: str, enough: int = 2) -> None:
     """Register the given tables under their names."""
     for name in names:
         df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
         key = {"documents": "doc_id", "pages": "page_id"}[name]
-        spread(df, key).createOrReplaceTempView(name)
+        spread(df, key, enough=enough).createOrReplaceTempView(name)
 
 
-def view(spark: SparkSession, sf_dir: str, sql: str) -> DataFrame:
-    tables(spark, sf_dir, "documents", "pages")
+def view(spark: SparkSession, sf_dir: str, sql: str, enough: int = 2) -> DataFrame:
+    tables(spark, sf_dir, "documents", "pages", enough=enough)
     return spark.sql(sql)
 
 
-def wiki_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return view(spark, sf_dir, WIKI_PAGES)
+def wiki_pages(spark: SparkSession, sf_dir: str, enough: int = 2) -> DataFrame:
+    return view(spark, sf_dir, WIKI_PAGES, enough)
 
 
 def rich_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -112,6 +112,8 @@ def head_xml() -> Column:
 
 
 _dumps: dict[tuple[str, str], str] = {}
+#: Characters of a dump's part, more or less; a wiki with more text has several.
+DUMP_CHARS = 1 << 28
 
 
 def wiki_dump(spark: SparkSession, sf_dir: str) -> str:
@@ -130,19 +132,26 @@ IS_WIKTIONARY = "lang = 'fr' AND page_id % 2 = 0"
 
 
 def whole_dumps(spark: SparkSession, sf_dir: str) -> str:
-    """A folder with one dump a wiki, each a file with its header; every seventh page holds an unknown entity."""
+    """A folder with the dumps of all wikis, large ones in parts, each a file with its header; every seventh page holds an unknown entity."""
     key = (spark.sparkContext.applicationId, f"{sf_dir}#whole")
     if key not in _dumps:
         path = scratch(spark, "dumps")
         wiki = F.concat("lang", F.when(F.expr(IS_WIKTIONARY), "wiktionary").otherwise("wikipedia"))
         xml = F.when(F.col("page_id") % 7 == 0, F.replace(page_xml(), F.lit("</text>"), F.lit("&bogus; <</text>"))).otherwise(page_xml())
-        pages = wiki_pages(spark, sf_dir).select(wiki.alias("wiki"), F.lit(1).alias("place"), xml.alias("value"))
-        of_wiki = pages.select("wiki").distinct().select(
-            "wiki", F.left("wiki", F.lit(2)).alias("lang"), F.col("wiki").alias("sitename"), F.col("wiki").alias("dbname"),
-            F.concat(F.lit("https://"), F.left("wiki", F.lit(2)), F.lit("."), F.substring("wiki", F.lit(3), F.length("wiki")),
+        pages = wiki_pages(spark, sf_dir, enough=0).withColumn("wiki", wiki)
+        parts, n = [], 0
+        for row in pages.groupBy("wiki").agg(F.sum(F.length("wikitext")).alias("chars")).orderBy("wiki").collect():  # a handful of wikis
+            parts.append((row["wiki"], n, 1 + (row["chars"] or 0) // DUMP_CHARS))
+            n += parts[-1][2]
+        of_wiki = spark.createDataFrame(parts, "of string, first int, parts int").select(
+            "of", "first", "parts", F.left("of", F.lit(2)).alias("lang"), F.col("of").alias("sitename"), F.col("of").alias("dbname"),
+            F.concat(F.lit("https://"), F.left("of", F.lit(2)), F.lit("."), F.substring("of", F.lit(3), F.length("of")),
                      F.lit(".org/wiki/Main")).alias("base"), F.lit("MediaWiki 1.29").alias("generator"))
-        heads = of_wiki.select("wiki", F.lit(0).alias("place"), head_xml().alias("value"))
-        (heads.unionByName(pages).repartition("wiki").sortWithinPartitions("wiki", "place").select("wiki", "value")
+        heads = of_wiki.select(F.col("of").alias("wiki"), F.explode(F.expr("sequence(first, first + parts - 1)")).alias("part"),
+                               F.lit(0).alias("place"), head_xml().alias("value"))
+        dealt = pages.join(F.broadcast(of_wiki.select("of", "first", "parts")), F.col("wiki").eqNullSafe(F.col("of"))).select(
+            "wiki", F.expr("cast(first + pmod(xxhash64(page_id), parts) as int)").alias("part"), F.lit(1).alias("place"), xml.alias("value"))
+        (heads.unionByName(dealt).repartitionById(max(n, 1), F.col("part")).sortWithinPartitions("wiki", "place").select("wiki", "value")
          .write.partitionBy("wiki").text(path))
         _dumps[key] = path
     return _dumps[key]

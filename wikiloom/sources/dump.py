@@ -126,13 +126,14 @@ def xml_plain(text: Column) -> Column:
     return text
 
 
-def spread(df: DataFrame, key: str, per_core: int = 3) -> DataFrame:
+def spread(df: DataFrame, key: str, per_core: int = 3, enough: int = 2) -> DataFrame:
     """Redistribute rows of an input with too few partitions for the cores.
 
     Small or unsplittable inputs (one gz file, one Parquet row group) would
-    keep most cores idle. Inputs with many partitions are left as they are.
+    keep most cores idle. Inputs with more than ``enough`` partitions a core
+    are left as they are; with 0, those with a partition for every core.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() > 2 * cores:
+    if df.rdd.getNumPartitions() > max(enough * cores, cores - 1):
         return df
     return df.repartition(per_core * cores, key)
