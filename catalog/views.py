@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -112,17 +115,32 @@ def head_xml() -> Column:
 
 
 _dumps: dict[tuple[str, str], str] = {}
+#: Files that a task keeps open where it writes a folder per value; with more values it sorts its rows.
+OPEN_FILES = 64
 #: Characters of a dump's part, more or less; a wiki with more text has several.
 DUMP_CHARS = 1 << 28
 
 
+@contextmanager
+def open_files(spark: SparkSession) -> Iterator[None]:
+    """Partitioned writes inside deal rows to open files, so nothing is sorted or spilled."""
+    name = "spark.sql.maxConcurrentOutputFileWriters"
+    before = spark.conf.get(name)
+    spark.conf.set(name, OPEN_FILES)
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def wiki_dump(spark: SparkSession, sf_dir: str) -> str:
-    """The wiki pages as XML dumps, one folder per language; written once."""
+    """The wiki pages as XML dumps, one folder per language; written once, by the tasks that read them."""
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _dumps:
         path = scratch(spark, "dump")
-        wiki_pages(spark, sf_dir).select("lang", page_xml().alias("value")).write.partitionBy("lang").text(path)
-        spark.sql(SITE).select("lang", head_xml().alias("value")).write.mode("append").partitionBy("lang").text(path)
+        with open_files(spark):
+            wiki_pages(spark, sf_dir, enough=0).select("lang", page_xml().alias("value")).write.partitionBy("lang").text(path)
+            spark.sql(SITE).select("lang", head_xml().alias("value")).write.mode("append").partitionBy("lang").text(path)
         _dumps[key] = path
     return _dumps[key]
 

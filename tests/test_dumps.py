@@ -34,3 +34,14 @@ def test_large_wikis_are_dumped_in_parts(spark, folder, monkeypatch):
     counts = tables.a03_reconcile_batches(spark, folder).first()
     assert (counts.pages, counts.broken) == (N, N // 7)
     assert {row.page_id for row in tables.g01_broken(spark, folder).collect()} == set(range(7, N + 1, 7))
+
+
+def test_dump_is_written_by_the_tasks_that_read(spark, folder):
+    from catalog import views
+
+    assert exchanges(views.wiki_pages(spark, folder, enough=0)) == [] != exchanges(views.wiki_pages(spark, folder))
+    before = spark.conf.get("spark.sql.maxConcurrentOutputFileWriters")
+    texts = files(views.wiki_dump(spark, folder))
+    assert sum(text.count("<page>") for text in texts.values()) == N
+    assert len([text for text in texts.values() if "<page>" in text]) <= 2 * 4  # two languages, a task per core
+    assert spark.conf.get("spark.sql.maxConcurrentOutputFileWriters") == before
