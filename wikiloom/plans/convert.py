@@ -18,11 +18,16 @@ from wikiloom.sinks.tables import COMPRESSION, ROWS_PER_FILE, write_by_title, wr
 from wikiloom.sources.dump import broken_pages, read_pages, read_siteinfo
 
 
+def html_columns(options: Options = Options(), languages: Languages | None = None, wikitype: Column | None = None) -> list[Column]:
+    """The steps of ``add_html``; building them takes seconds, so a stream does it once for all its batches."""
+    return [step(F.col("html")) for step in convert_steps(F.col("lang"), options, languages, wikitype)]
+
+
 def add_html(pages: DataFrame, options: Options = Options(), languages: Languages | None = None,
-             wikitype: Column | None = None) -> DataFrame:
-    """Adds ``html``, converted from ``wikitext`` by the page's ``lang``."""
-    steps = convert_steps(F.col("lang"), options, languages, wikitype)
-    return apply_steps(pages.withColumn("html", F.col("wikitext")), "html", steps)
+             wikitype: Column | None = None, columns: Sequence[Column] | None = None) -> DataFrame:
+    """Adds ``html``, converted from ``wikitext`` by the page's ``lang``; ``columns``: the ``html_columns``, if they are at hand."""
+    columns = html_columns(options, languages, wikitype) if columns is None else columns
+    return apply_steps(pages.withColumn("html", F.col("wikitext")), "html", [lambda _, c=c: c for c in columns])
 
 
 def convert_articles(pages: DataFrame, options: Options = Options(),
@@ -51,8 +56,8 @@ def emitted_rows(pages: DataFrame, options: Options = Options(), languages: Lang
     return convert_routed(routed, options, languages, wikitype, max_articles)
 
 
-def convert_routed(routed: DataFrame, options: Options = Options(), languages: Languages | None = None,
-                   wikitype: Column | None = None, max_articles: int | None = None) -> DataFrame:
+def convert_routed(routed: DataFrame, options: Options = Options(), languages: Languages | None = None, wikitype: Column | None = None,
+                   max_articles: int | None = None, columns: Sequence[Column] | None = None) -> DataFrame:
     """``emitted_rows`` of pages that have their ``kind``; broken records keep the column ``broken``."""
     kinds = [ARTICLE, REDIRECT] + ([BROKEN] if "broken" in routed.columns else [])
     routed = routed.where(F.col("kind").isin(kinds))
@@ -60,7 +65,7 @@ def convert_routed(routed: DataFrame, options: Options = Options(), languages: L
     routed = routed if max_articles is None else shard_emitted(routed, max_articles)
     # Redirects have no text to convert; null passes all steps.
     text_only = F.when(F.col("kind") == ARTICLE, F.col("wikitext"))
-    return add_html(routed.withColumn("wikitext", text_only), options, languages, wikitype).select(
+    return add_html(routed.withColumn("wikitext", text_only), options, languages, wikitype, columns).select(
         "page_id", "title", F.when(F.col("kind") == REDIRECT, F.col("redirect_to")).alias("title_to"),
         "html", "kind", *sharded, *(["broken"] if "broken" in routed.columns else []))
 

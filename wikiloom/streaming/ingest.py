@@ -10,7 +10,7 @@ from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
 from wikiloom.config import Languages, Options
 from wikiloom.operators.routing import ARTICLE, BROKEN, REDIRECT, guess_wikitype, route_pages
-from wikiloom.plans.convert import RunCounts, convert_routed, reconcile
+from wikiloom.plans.convert import RunCounts, convert_routed, html_columns, reconcile
 from wikiloom.sinks.tables import COMPRESSION
 from wikiloom.sources.dump import PAGE_END, parse_pages, site_rows
 from wikiloom.streaming.titles import add_titles
@@ -40,7 +40,7 @@ def stream_pages(spark: SparkSession, folder: str, lang: str | None = None,
 
 
 def _store(pages: DataFrame, batch_id: int, path: str, options: Options, languages: Languages | None,
-           wikitype: Column | None, metrics: str | None, titles: str | None) -> None:
+           wikitype: Column | None, metrics: str | None, titles: str | None, columns: list[Column]) -> None:
     """Write one batch, broken records in a folder of their own, and compare the counts.
 
     A batch whose stored rows differ from those announced fails, so the stream
@@ -50,7 +50,7 @@ def _store(pages: DataFrame, batch_id: int, path: str, options: Options, languag
     kinds = [F.count_if(F.col("kind") == kind).alias(f"n_{kind}") for kind in (ARTICLE, REDIRECT, BROKEN)]
     routed = route_pages(pages, languages, wikitype).observe(seen, *_counts(), *kinds)
     folder, spark = f"{path}/batch={batch_id}", pages.sparkSession
-    rows = convert_routed(routed, options, languages, wikitype)
+    rows = convert_routed(routed, options, languages, wikitype, None, columns)
     rows.write.mode("overwrite").option("compression", COMPRESSION).partitionBy("kind").parquet(folder)
     found = spark.read.schema(rows.schema).parquet(folder).groupBy("kind").count()  # a schema, since a batch may be empty
     written = {row["kind"]: row["count"] for row in found.collect()}
@@ -86,8 +86,8 @@ def ingest(pages: DataFrame, path: str, checkpoint: str, options: Options = Opti
     index; page ids must then be unique. Read them with ``growing_titles`` and
     ``growing_index``.
     """
-    counted = pages.observe("pages", *_counts())
-    return _started(counted, lambda batch, batch_id: _store(batch, batch_id, path, options, languages, wikitype, metrics, titles),
+    counted, columns = pages.observe("pages", *_counts()), html_columns(options, languages, wikitype)
+    return _started(counted, lambda batch, batch_id: _store(batch, batch_id, path, options, languages, wikitype, metrics, titles, columns),
                     checkpoint, keep_running)
 
 
@@ -102,11 +102,12 @@ def ingest_dumps(spark: SparkSession, folder: str, path: str, checkpoint: str, o
     without header have no language and no wiki type.
     """
     records = _records(spark, folder, files_per_batch).select("value", F.col("_metadata.file_path").alias("file"))
+    columns = html_columns(options, languages, F.col("wikitype"))
 
     def store(batch: DataFrame, batch_id: int) -> None:
         heads = site_rows(batch).groupBy("file").agg(F.first("lang").alias("lang"), guess_wikitype(F.first("base")).alias("wikitype"))
         pages = parse_pages(batch, "keep").join(F.broadcast(heads), "file", "left")
-        _store(pages, batch_id, path, options, languages, F.col("wikitype"), metrics, titles)
+        _store(pages, batch_id, path, options, languages, F.col("wikitype"), metrics, titles, columns)
 
     return _started(records, store, checkpoint, keep_running)
 
