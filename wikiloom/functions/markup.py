@@ -10,7 +10,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from wikiloom.config import DISCARD_ELEMENTS, IGNORED_TAGS, PLACEHOLDER_TAGS, SELF_CLOSING_TAGS
-from wikiloom.functions.expr import MARK, bind, compose, if_contains, rewrite_matches
+from wikiloom.functions.expr import MARK, Step, bind, compose, if_contains, rewrite_matches
 
 # End of a tag name; \b is not ASCII-only on every Java version.
 _END = r"(?![A-Za-z0-9_])"
@@ -108,24 +108,31 @@ def _names(tags: Iterable[str]) -> str:
 # on, which holds no further match, is kept at one go instead of being searched
 # again from each opening in it.
 
+def _apart(opening: str, cases: str) -> str:
+    """``cases``, each begun by ``opening`` after a "<", one after the other; what is between them, in group 1, is taken at one go."""
+    return rf"\G([^<]*+(?:<(?!{opening})[^<]*+)*+)(?:{cases}|\z)"
+
+
 def drop_comments(text: Column) -> Column:
     body = r"<!--(?:[^-]++|-(?!->))*+"
-    return if_contains(text, "<!--", lambda t: F.regexp_replace(t, rf"({body})\z|{body}-->", "$1"))
+    pattern = _apart("!--", rf"({body})\z|{body}-->")
+    return if_contains(text, "<!--", lambda t: F.regexp_replace(t, pattern, "$1$2"))
 
 
 def drop_self_closing(text: Column, tags: Iterable[str] = SELF_CLOSING_TAGS) -> Column:
     """The tag runs up to the next slash, which must end it."""
-    body = rf"<\s*{_names(tags)}{_END}[^/]*+"
-    pattern = rf"(?i)(?=<)(?:({body}(?:/(?!\s*>)|\z))|{body}/\s*>)"
-    return if_contains(text, "<", lambda t: F.regexp_replace(t, pattern, "$1"))
+    opening = rf"\s*{_names(tags)}{_END}"
+    body = rf"<{opening}[^/]*+"
+    pattern = "(?i)" + _apart(opening, rf"({body}(?:/(?!\s*>)|\z))|{body}/\s*>")
+    return if_contains(text, "<", lambda t: F.regexp_replace(t, pattern, "$1$2"))
 
 
 def unwrap_ignored_tags(text: Column, tags: Iterable[str] = IGNORED_TAGS) -> Column:
     """Remove opening and closing tags, keep what they enclose."""
     names = _names(tags)
     opening = rf"<\s*{names}{_END}[^>]*+"
-    pattern = rf"(?i)(?=<)(?:({opening})\z|{opening}>|<\s*/\s*{names}>)"
-    return if_contains(text, "<", lambda t: F.regexp_replace(t, pattern, "$1"))
+    pattern = "(?i)" + _apart(rf"\s*(?:{names}{_END}|/\s*{names}>)", rf"({opening})\z|{opening}>|<\s*/\s*{names}>")
+    return if_contains(text, "<", lambda t: F.regexp_replace(t, pattern, "$1$2"))
 
 
 # An element up to its closing tag; "@" stands for the name.
@@ -162,13 +169,14 @@ def placeholders(text: Column, tags: Iterable[tuple[str, str]] = PLACEHOLDER_TAG
 
     ``i`` is the position of the block's first copy in the page.
     """
+    def label_of(blocks: Column, word: str) -> Step:
+        return lambda block: F.concat(F.lit(word + "_"), F.array_position(blocks, block).cast("string"))
+
     def number(t: Column, tag: str, word: str) -> Column:
         pattern = code_pattern(tag)
 
         def replaced(blocks: Column) -> Column:
-            def label(block: Column) -> Column:
-                return F.concat(F.lit(word + "_"), F.array_position(blocks, block).cast("string"))
-
+            label = label_of(blocks, word)
             # A block inside another one is replaced there too, so then one after the other.
             apart = F.regexp_count(t, F.lit(_code_opening(tag))) == F.size(blocks)
             return (F.when(F.size(blocks) == 0, t)
@@ -179,8 +187,12 @@ def placeholders(text: Column, tags: Iterable[tuple[str, str]] = PLACEHOLDER_TAG
         return bind(F.regexp_extract_all(t, F.lit(pattern), F.lit(0)), replaced)
 
     def closed(t: Column, tag: str, word: str) -> Column:
-        return bind(closed_part(t, tag), lambda head: F.concat(
+        cut = bind(closed_part(t, tag), lambda head: F.concat(
             number(head, tag, word), F.substring(t, F.length(head) + 1, F.length(t))))
+        # As a rule every opening begins a block of its own; then nothing is cut off.
+        return bind(F.regexp_extract_all(t, F.lit(code_pattern(tag)), F.lit(0)), lambda blocks: F.when(
+            F.regexp_count(t, F.lit(rf"(?i)<{_opens(tag)}")) != F.size(blocks), cut).when(F.size(blocks) == 0, t)
+            .otherwise(rewrite_matches(t, code_pattern(tag), "<", label_of(blocks, word))))
 
     for tag, word in tags:
         text = bind(text, lambda t: if_contains(t, "<", lambda u: closed(u, tag, word)))
@@ -197,8 +209,12 @@ def code_pattern(tag: str) -> str:
 
 def closed_part(text: Column, tag: str) -> Column:
     """The text up to the first opening that nothing closes; no block comes after it."""
-    opens = rf"\s*{tag}(?:\s*(?:>|\z)| )"
-    return F.regexp_extract(text, rf"(?i)^((?:{code_pattern(tag)}|[^<]++|<(?!{opens}))*+)", 1)
+    return F.regexp_extract(text, rf"(?i)^((?:{code_pattern(tag)}|[^<]++|<(?!{_opens(tag)}))*+)", 1)
+
+
+def _opens(tag: str) -> str:
+    """What comes after the "<" of an opening, closed or not."""
+    return rf"\s*{tag}(?:\s*(?:>|\z)| )"
 
 
 # --- spaces and punctuation ------------------------------------------------
@@ -212,7 +228,7 @@ def collapse_spaces(text: Column) -> Column:
 
 
 def collapse_dots(text: Column) -> Column:
-    return if_contains(text, "....", lambda t: F.regexp_replace(t, r"\.{4,}", "..."))
+    return if_contains(text, "....", lambda t: F.regexp_replace(t, r"\.\.\.\.\.*+", "..."))
 
 
 def drop_punctuation_lines(text: Column) -> Column:
